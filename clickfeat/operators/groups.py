@@ -2,6 +2,9 @@
 
 The statistic is a ``groupBy`` (partial aggregation before the shuffle); it is put on the rows with ``salted_join``.
 Rows with a NULL in the key receive NULL.
+
+``base`` is the log ``df`` was derived from row by row. Statistics are computed on it, so a chain of features reads
+the log once per feature instead of repeating the chain; it defaults to ``df``.
 """
 
 from __future__ import annotations
@@ -14,14 +17,16 @@ from pyspark.sql import functions as F
 from clickfeat.functions.stats import stat
 from clickfeat.functions.timeparts import gap_seconds, shift_hours
 from clickfeat.naming import ROW_ID, TIME, as_list, feature_name
-from clickfeat.operators.slices import SlicedRows, salted_join, with_keys
+from clickfeat.operators.slices import SlicedRows, all_slices, earlier_slices, salted_join, with_keys
 
 ATTRIBUTION_SHIFT_HOURS = 8
 
 
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], rid: str | Sequence[str] = ROW_ID) -> DataFrame:
+def attach(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], rid: str | Sequence[str] = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Left join of a one-row-per-key table; only its non-key columns are added."""
-    return salted_join(df, table, as_list(keys), as_list(rid))
+    return salted_join(df, table, as_list(keys), as_list(rid), base)
 
 
 def group_table(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
@@ -29,61 +34,91 @@ def group_table(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column
     return with_keys(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
 
 
-def add_group_aggregates(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column], rid=ROW_ID) -> DataFrame:
+def add_group_aggregates(
+    df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column], rid=ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Several aggregates of one key with a single shuffle of the rows."""
-    return attach(df, group_table(df, keys, aggregates), keys, rid)
+    base = df if base is None else base
+    return attach(df, group_table(base, keys, aggregates), keys, rid, base)
 
 
-def group_size(df: DataFrame, keys: Sequence[str], name: str | None = None, rid=ROW_ID) -> DataFrame:
+def group_size(df: DataFrame, keys: Sequence[str], name: str | None = None, rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Number of rows in the group."""
-    return add_group_aggregates(df, keys, {name or feature_name(keys, "count"): F.count(F.lit(1))}, rid)
+    return add_group_aggregates(df, keys, {name or feature_name(keys, "count"): F.count(F.lit(1))}, rid, base)
 
 
-def group_stat(df: DataFrame, keys: Sequence[str], value: str, how: str, name: str | None = None, rid=ROW_ID) -> DataFrame:
+def group_stat(
+    df: DataFrame, keys: Sequence[str], value: str, how: str, name: str | None = None, rid=ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Statistic ``how`` of ``value`` in the group: count, mean, sum, min, max, var, std, skew, median or nunique."""
-    return group_stats(df, keys, value, [how], {how: name} if name else None, rid)
+    return group_stats(df, keys, value, [how], {how: name} if name else None, rid, base)
 
 
 def group_stats(
-    df: DataFrame, keys: Sequence[str], value: str, how: Sequence[str], names: dict[str, str] | None = None, rid=ROW_ID
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    how: Sequence[str],
+    names: dict[str, str] | None = None,
+    rid=ROW_ID,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Several statistics of one value column."""
     label = {h: (names or {}).get(h) or "_".join([*keys, value, h]) for h in how}
-    plain = {label[h]: stat(h, value) for h in how if h not in ("median", "nunique")}
-    tables = [group_table(df, keys, plain)] if plain else []
-    if "median" in how:
-        tables.append(median_table(df, keys, value, label["median"]))
-    if "nunique" in how:
-        tables.append(distinct_table(df, keys, [value], label["nunique"]))
-    joined = tables[0]
-    for table in tables[1:]:
-        joined = joined.join(table, list(keys), "left")
-    return attach(df, joined.select(*keys, *[label[h] for h in how]), keys, rid)
+    return group_statistics(df, [(keys, value, h, label[h]) for h in how], rid, base)
+
+
+def group_statistics(
+    df: DataFrame, specs: Sequence[tuple[Sequence[str], str, str, str]], rid=ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
+    """A list of ``(keys, value, how, name)`` statistics, one shuffle of the rows per distinct key."""
+    base = df if base is None else base
+    by_keys: dict[tuple[str, ...], list[tuple[str, str, str]]] = {}
+    for keys, value, how, name in specs:
+        by_keys.setdefault(tuple(keys), []).append((value, how, name))
+    for keys, wanted in by_keys.items():
+        df = attach(df, _statistics_table(base, list(keys), wanted), keys, rid, base)
+    return df
+
+
+def _statistics_table(df: DataFrame, keys: list[str], wanted: Sequence[tuple[str, str, str]]) -> DataFrame:
+    plain = {name: stat(how, value) for value, how, name in wanted if how not in ("median", "nunique")}
+    # Size is always present, so every key has its row even when all values are NULL.
+    table = group_table(df, keys, {**plain, "_size": F.count(F.lit(1))})
+    for value, how, name in wanted:
+        if how == "median":
+            table = table.join(median_table(df, keys, value, name), keys, "left")
+        elif how == "nunique":
+            table = table.join(distinct_table(df, keys, [value], name), keys, "left")
+    return table.select(*keys, *[name for _, _, name in wanted])
 
 
 def distinct_table(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str) -> DataFrame:
-    """Number of distinct complete ``values`` tuples per key.
+    """Number of distinct ``values`` tuples per key; tuples with a NULL do not count.
 
-    The first ``distinct`` shuffles on key and value together, so a hot key is already spread when it is counted.
+    The ``distinct`` shuffles on key and value together, so a hot key is already spread when it is counted.
     """
     pairs = with_keys(df, keys).select(*keys, *values).distinct()
-    present = F.when(F.concat(*[F.col(v).isNotNull().cast("string") for v in values]).contains("false"), None)
-    return pairs.groupBy(*keys).agg(F.count(present.otherwise(F.lit(1))).alias(name))
+    complete = F.lit(True)
+    for value in values:
+        complete = complete & F.col(value).isNotNull()
+    return pairs.groupBy(*keys).agg(F.count(F.when(complete, 1)).alias(name))
 
 
 def group_distinct(
-    df: DataFrame, base: Sequence[str], other: Sequence[str], name: str | None = None, rid=ROW_ID
+    df: DataFrame, of: Sequence[str], other: Sequence[str], name: str | None = None, rid=ROW_ID, base: DataFrame | None = None
 ) -> DataFrame:
-    """Number of distinct ``base`` tuples in each ``other`` group (``other`` is part of ``base``)."""
-    name = name or "_".join([*base, "count", *other])
-    return attach(df, distinct_table(df, other, _rest(base, other), name), other, rid)
+    """Number of distinct ``of`` tuples in each ``other`` group (``other`` is part of ``of``)."""
+    name = name or "_".join([*of, "count", *other])
+    base = df if base is None else base
+    return attach(df, distinct_table(base, other, _rest(of, other), name), other, rid, base)
 
 
-def _rest(base: Sequence[str], other: Sequence[str]) -> list[str]:
-    missing = [k for k in other if k not in base]
+def _rest(of: Sequence[str], other: Sequence[str]) -> list[str]:
+    missing = [k for k in other if k not in of]
     if missing:
-        raise ValueError(f"{missing} not among the base columns {list(base)}")
-    return [k for k in base if k not in other]
+        raise ValueError(f"{missing} not among the columns {list(of)}")
+    return [k for k in of if k not in other]
 
 
 def median_table(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -99,99 +134,91 @@ def median_table(df: DataFrame, keys: Sequence[str], value: str, name: str) -> D
     rows = sliced.carry(
         rows,
         {"_part": F.sum("_n")},
-        lambda w: {
-            "_before": F.sum("_part").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-            "_total": F.sum("_part").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        },
+        lambda w: {"_before": F.sum("_part").over(earlier_slices(w)), "_total": F.sum("_part").over(all_slices(w))},
     )
     last = F.col("_upto") + F.coalesce("_before", F.lit(0))
     first = last - F.col("_n") + 1
     total = F.coalesce("_total", "_all")
     lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
-    return rows.groupBy(*keys).agg(
-        (
-            (F.max(F.when(lower.between(first, last), F.col(value))) + F.max(F.when(upper.between(first, last), F.col(value))))
-            / 2.0
-        ).alias(name)
-    )
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when(place.between(first, last), F.col(value)))
+
+    return rows.groupBy(*keys).agg(((value_at(lower) + value_at(upper)) / 2.0).alias(name))
 
 
-def two_level_table(df: DataFrame, base: Sequence[str], other: Sequence[str], how: Sequence[str], names: dict[str, str]) -> DataFrame:
-    """Statistics over the sizes of the ``base`` groups inside each ``other`` group."""
-    sizes = group_table(df, base, {"_size": F.count(F.lit(1))})
+def two_level_table(df: DataFrame, of: Sequence[str], other: Sequence[str], how: Sequence[str], names: dict[str, str]) -> DataFrame:
+    """Statistics over the sizes of the ``of`` groups inside each ``other`` group."""
+    sizes = group_table(df, of, {"_size": F.count(F.lit(1))})
     return sizes.groupBy(*other).agg(*[stat(h, "_size").alias(names[h]) for h in how])
 
 
 def two_level_stats(
-    df: DataFrame, base: Sequence[str], other: Sequence[str], how: Sequence[str] = ("var", "size"), rid=ROW_ID
+    df: DataFrame, of: Sequence[str], other: Sequence[str], how: Sequence[str] = ("var", "size"), rid=ROW_ID, base: DataFrame | None = None
 ) -> DataFrame:
-    _rest(base, other)
-    names = {h: "_".join([*base, *other, "2level" + h]) for h in how}
-    return attach(df, two_level_table(df, base, other, how, names), other, rid)
+    _rest(of, other)
+    names = {h: "_".join([*of, *other, "2level" + h]) for h in how}
+    base = df if base is None else base
+    return attach(df, two_level_table(base, of, other, how, names), other, rid, base)
 
 
-def size_ratio(df: DataFrame, base: Sequence[str], other: Sequence[str], name: str | None = None, rid=ROW_ID) -> DataFrame:
-    """Size of the row's ``base`` group over the size of its ``other`` group."""
-    name = name or "_".join([*base, "ratio", *other])
-    counted = group_size(group_size(df, base, "_base", rid), other, "_other", rid)
-    return counted.select(*df.columns, F.try_divide("_base", "_other").alias(name))
+def size_ratio(
+    df: DataFrame, of: Sequence[str], other: Sequence[str], name: str | None = None, rid=ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
+    """Size of the row's ``of`` group over the size of its ``other`` group."""
+    name = name or "_".join([*of, "ratio", *other])
+    base = df if base is None else base
+    counted = group_size(group_size(df, of, "_of", rid, base), other, "_other", rid, base)
+    return counted.select(*df.columns, F.try_divide("_of", "_other").alias(name))
 
 
-def time_span(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID) -> DataFrame:
+def time_span(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Seconds between first and last click of the group."""
-    return add_group_aggregates(df, keys, {name or feature_name(keys, "time_span"): gap_seconds(F.max(t), F.min(t))}, rid)
+    name = name or feature_name(keys, "time_span")
+    return add_group_aggregates(df, keys, {name: gap_seconds(F.max(t), F.min(t))}, rid, base)
 
 
-def mean_gap(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID) -> DataFrame:
+def mean_gap(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Time span of the group over its size."""
     name = name or feature_name(keys, "timespan_average")
-    return add_group_aggregates(df, keys, {name: gap_seconds(F.max(t), F.min(t)) / F.count(F.lit(1))}, rid)
+    return add_group_aggregates(df, keys, {name: gap_seconds(F.max(t), F.min(t)) / F.count(F.lit(1))}, rid, base)
 
 
-def since_first(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID) -> DataFrame:
+def since_first(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Seconds since the first click of the group."""
     name = name or feature_name(keys, "time_span_min")
-    found = add_group_aggregates(df, keys, {"_first": F.min(t)}, rid)
+    found = add_group_aggregates(df, keys, {"_first": F.min(t)}, rid, base)
     return found.select(*df.columns, gap_seconds(t, "_first").alias(name))
 
 
-def until_last(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID) -> DataFrame:
+def until_last(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Seconds until the last click of the group."""
     name = name or feature_name(keys, "time_span_max")
-    found = add_group_aggregates(df, keys, {"_last": F.max(t)}, rid)
+    found = add_group_aggregates(df, keys, {"_last": F.max(t)}, rid, base)
     return found.select(*df.columns, gap_seconds("_last", t).alias(name))
 
 
 def attribution_delay(
-    df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, attributed: str = "attributed_t", rid=ROW_ID
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str | None = None,
+    t: str = TIME,
+    attributed: str = "attributed_t",
+    rid=ROW_ID,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Median seconds from click to conversion in the group, after the zone shift of the conversion time."""
     name = name or "_".join(keys) + "_attri_minus"
-    delays = df.withColumn("_delay", gap_seconds(shift_hours(attributed, ATTRIBUTION_SHIFT_HOURS), t))
-    return attach(df, median_table(delays, keys, "_delay", name), keys, rid)
+    base = df if base is None else base
+    delays = base.withColumn("_delay", gap_seconds(shift_hours(attributed, ATTRIBUTION_SHIFT_HOURS), t))
+    return attach(df, median_table(delays, keys, "_delay", name), keys, rid, base)
 
 
-def cross_stat(
-    history: DataFrame, df: DataFrame, keys: Sequence[str], value: str, how: str, name: str, rid=ROW_ID
+def cross_stats(
+    history: DataFrame, df: DataFrame, keys: Sequence[str], value: str, names: dict[str, str], rid=ROW_ID, base: DataFrame | None = None
 ) -> DataFrame:
-    """Statistic computed on one table, put on the rows of another."""
-    return attach(df, group_table(history, keys, {name: stat(how, value)}), keys, rid)
-
-
-def group_statistics(df: DataFrame, specs: Sequence[tuple[Sequence[str], str, str, str]], rid=ROW_ID) -> DataFrame:
-    """A list of ``(keys, value, how, name)`` statistics, one shuffle of the rows per distinct key."""
-    by_keys: dict[tuple[str, ...], list[tuple[str, str, str]]] = {}
-    for keys, value, how, name in specs:
-        by_keys.setdefault(tuple(keys), []).append((value, how, name))
-    for keys, wanted in by_keys.items():
-        plain = {name: stat(how, value) for value, how, name in wanted if how != "median"}
-        table = group_table(df, keys, plain) if plain else None
-        for value, how, name in wanted:
-            if how == "median":
-                medians = median_table(df, keys, value, name)
-                table = medians if table is None else table.join(medians, list(keys), "left")
-        df = attach(df, table, keys, rid)
-    return df
+    """Statistics (``how`` -> name) computed on one table, put on the rows of another."""
+    return attach(df, group_table(history, keys, {n: stat(h, value) for h, n in names.items()}), keys, rid, base)
 
 
 def overview(df: DataFrame, t: str = TIME, rid: str = ROW_ID) -> DataFrame:

@@ -1,7 +1,7 @@
 """Statistics of earlier days.
 
 The log is first reduced to one row per key and day (partial aggregation, so hot keys shrink before the shuffle).
-Lagging and running sums work on that table, whose groups are at most as long as the calendar.
+Lagging and running sums work on that table, whose groups are at most as long as the calendar. ``base`` is the log ``df`` was derived from row by row.
 """
 
 from __future__ import annotations
@@ -31,29 +31,30 @@ def daily_table(df: DataFrame, keys: Sequence[str], label: str = "is_attributed"
     )
 
 
-def _previous_day(df, keys, features, label, day, rid):
-    lagged = daily_table(df, keys, label, day).withColumn(day, F.date_add(day, 1))
-    return attach(df, lagged.select(*keys, day, *[c.alias(n) for n, c in features.items()]), [*keys, day], rid)
+def _previous_day(df, keys, features, label, day, rid, base):
+    base = df if base is None else base
+    lagged = daily_table(base, keys, label, day).withColumn(day, F.date_add(day, 1))
+    return attach(df, lagged.select(*keys, day, *[c.alias(n) for n, c in features.items()]), [*keys, day], rid, base)
 
 
-def last_day_stat(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date", rid=ROW_ID) -> DataFrame:
+def last_day_stat(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date", rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Clicks and conversion ratio of the key on the day before."""
     features = {
         feature_name(keys, "last_day_count"): F.col("_clicks"),
         feature_name(keys, "last_day_ratio"): F.col("_converted") / F.col("_clicks"),
     }
-    return _previous_day(df, keys, features, label, day, rid)
+    return _previous_day(df, keys, features, label, day, rid, base)
 
 
-def last_day_ratio(df: DataFrame, keys: Sequence[str], prior: int = PRIOR_CLICKS, label: str = "is_attributed", day: str = "date", rid=ROW_ID) -> DataFrame:
+def last_day_ratio(df: DataFrame, keys: Sequence[str], prior: int = PRIOR_CLICKS, label: str = "is_attributed", day: str = "date", rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Conversions over clicks plus ``prior`` of the key on the day before."""
     features = {feature_name(keys, "last_day_ratio"): F.col("_converted") / (F.col("_clicks") + prior)}
-    return _previous_day(df, keys, features, label, day, rid)
+    return _previous_day(df, keys, features, label, day, rid, base)
 
 
-def last_day_count(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date", rid=ROW_ID) -> DataFrame:
+def last_day_count(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date", rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Logarithm of one plus the clicks of the key on the day before."""
-    return _previous_day(df, keys, {feature_name(keys, "last_day_count"): log_count("_clicks")}, label, day, rid)
+    return _previous_day(df, keys, {feature_name(keys, "last_day_count"): log_count("_clicks")}, label, day, rid, base)
 
 
 def history_table(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date") -> DataFrame:
@@ -72,17 +73,24 @@ def history_table(df: DataFrame, keys: Sequence[str], label: str = "is_attribute
     )
 
 
-def history(df: DataFrame, key_sets: Sequence[Sequence[str]], label: str = "is_attributed", day: str = "date", rid=ROW_ID) -> DataFrame:
+def history(df: DataFrame, key_sets: Sequence[Sequence[str]], label: str = "is_attributed", day: str = "date", rid=ROW_ID, base: DataFrame | None = None) -> DataFrame:
     """Click count, conversion rate and conversions over all earlier days, for each key set."""
+    base = df if base is None else base
     for keys in key_sets:
-        df = attach(df, history_table(df, keys, label, day), [*keys, day], rid)
+        df = attach(df, history_table(base, keys, label, day), [*keys, day], rid, base)
     return df
 
 
 def history_of_days(
-    df: DataFrame, keys: Sequence[str], days: Sequence, label: str = "is_attributed", day: str = "date", rid=ROW_ID
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    days: Sequence,
+    label: str = "is_attributed",
+    day: str = "date",
+    rid=ROW_ID,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """As ``history`` for rows of the listed days only; other rows keep NULL."""
-    made = history(df, [keys], label, day, rid)
+    made = history(df, key_sets, label, day, rid, base)
     listed = F.col(day).isin(list(days))
     return made.select(*df.columns, *[F.when(listed, F.col(c)).alias(c) for c in made.columns if c not in df.columns])

@@ -2,54 +2,58 @@
 
 Order is always ``t`` then ``rid``, so ties have one answer. Groups are cut into slices (see ``slices``): a window
 runs inside each slice and one small carried row per slice supplies what lies before or after it.
+
+``base`` is the log ``df`` was derived from row by row; it must hold the columns the feature reads.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.functions.scalars import HASH_BUCKETS, hash_bucket
+from clickfeat.functions.scalars import hash_bucket
 from clickfeat.functions.timeparts import epoch_seconds, hours_field, seconds_field, whole_seconds
 from clickfeat.naming import ROW_ID, TIME, as_list, feature_name
-from clickfeat.operators.slices import SlicedRows, salted_join, with_keys
+from clickfeat.operators.slices import SlicedRows, all_slices, earlier_slices, salted_join, with_keys
 
 NO_NEXT_CLICK_SECOND = 3_000_000_000
 
 
-def _everything(w):
-    return w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
-def _earlier(w):
-    return w.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def place_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], place: str, size: str) -> DataFrame:
+def place_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], place: str, size: str, base: DataFrame | None = None
+) -> DataFrame:
     """0-based place of the row in its group and the size of the group."""
-    sliced = SlicedRows(df, keys, order)
+    sliced = SlicedRows(df, keys, order, base)
     rows = sliced.rows.withColumns(
-        {"_place": F.row_number().over(sliced.ordered()) - 1, "_size": F.count(F.lit(1)).over(sliced.window())}
+        {"_place": F.row_number().over(sliced.ordered()) - 1, "_in_slice": F.count(F.lit(1)).over(sliced.window())}
     )
     rows = sliced.carry(
         rows,
         {"_part": F.count(F.lit(1))},
-        lambda w: {"_before": F.sum("_part").over(_earlier(w)), "_total": F.sum("_part").over(_everything(w))},
+        lambda w: {"_before": F.sum("_part").over(earlier_slices(w)), "_total": F.sum("_part").over(all_slices(w))},
     )
     return sliced.finish(
         rows,
-        {place: F.col("_place") + F.coalesce("_before", F.lit(0)), size: F.coalesce("_total", "_size")},
+        {place: F.col("_place") + F.coalesce("_before", F.lit(0)), size: F.coalesce("_total", "_in_slice")},
     )
 
 
-def neighbour(df: DataFrame, keys: Sequence[str], value: str, name: str, step: int = 1, order: Sequence[str] = (TIME, ROW_ID)) -> DataFrame:
+def neighbour(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    step: int = 1,
+    order: Sequence[str] = (TIME, ROW_ID),
+    base: DataFrame | None = None,
+) -> DataFrame:
     """``value`` of the next (``step=1``) or previous (``step=-1``) row of the group; NULL at the end."""
     if step not in (1, -1):
         raise ValueError("step must be 1 or -1")
     shift, edge = (F.lead, F.min) if step == 1 else (F.lag, F.max)
-    sliced = SlicedRows(df, keys, order)
+    sliced = SlicedRows(df, keys, order, base)
     # A boxed value tells "no neighbour in this slice" from "neighbour holds NULL".
     boxed = F.struct(F.col(value).alias("v"))
     rows = sliced.rows.withColumn("_near", shift(boxed).over(sliced.ordered()))
@@ -61,17 +65,27 @@ def neighbour(df: DataFrame, keys: Sequence[str], value: str, name: str, step: i
     return sliced.finish(rows, {name: F.coalesce("_near", "_far")["v"]})
 
 
-def ordinal(df: DataFrame, keys: Sequence[str], ascending: bool = True, name: str | None = None, t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def ordinal(
+    df: DataFrame,
+    keys: Sequence[str],
+    ascending: bool = True,
+    name: str | None = None,
+    t: str = TIME,
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
+) -> DataFrame:
     """Number of earlier rows in the group, or of later rows when not ``ascending``."""
     name = name or feature_name(keys, f"rank_{ascending}")
-    placed = place_in_group(df, keys, [t, rid], "_at", "_of")
+    placed = place_in_group(df, keys, [t, rid], "_at", "_of", base)
     value = F.col("_at") if ascending else F.col("_of") - 1 - F.col("_at")
     return placed.select(*df.columns, value.cast("long").alias(name))
 
 
-def running_ordinals(df: DataFrame, keys: Sequence[str], tag: str, t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def running_ordinals(
+    df: DataFrame, keys: Sequence[str], tag: str, t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """``prev_<tag>`` and ``future_<tag>``: rows before and after this one in the group."""
-    placed = place_in_group(df, keys, [t, rid], "_at", "_of")
+    placed = place_in_group(df, keys, [t, rid], "_at", "_of", base)
     return placed.select(
         *df.columns,
         F.col("_at").cast("long").alias(f"prev_{tag}"),
@@ -79,60 +93,87 @@ def running_ordinals(df: DataFrame, keys: Sequence[str], tag: str, t: str = TIME
     )
 
 
-def normalised_rank(df: DataFrame, keys: Sequence[str], by: Sequence[str], ascending: bool = True, name: str = "rank", rid: str = ROW_ID) -> DataFrame:
+def normalised_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    ascending: bool = True,
+    name: str = "rank",
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
+) -> DataFrame:
     """Place in the group scaled to 0..1; NULL for a group of one. Ties are split by row id."""
-    placed = place_in_group(df, keys, [*by, rid], "_at", "_of")
+    placed = place_in_group(df, keys, [*by, rid], "_at", "_of", base)
     place = F.col("_at") if ascending else F.col("_of") - 1 - F.col("_at")
     return placed.select(*df.columns, F.try_divide(place, F.col("_of") - 1).alias(name))
 
 
-def _gap(df: DataFrame, keys: Sequence[str], step: int, t: str, rid: str, make) -> DataFrame:
-    found = neighbour(df, keys, t, "_near_t", step, (t, rid))
+def _gap(df: DataFrame, keys: Sequence[str], step: int, t: str, rid: str, base: DataFrame | None, make) -> DataFrame:
+    found = neighbour(df, keys, t, "_near_t", step, (t, rid), base)
     gap = F.col("_near_t") - F.col(t) if step == 1 else F.col(t) - F.col("_near_t")
     return found.select(*df.columns, make(gap))
 
 
-def click_gap(df: DataFrame, keys: Sequence[str], which: str = "next", name: str | None = None, t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def click_gap(
+    df: DataFrame,
+    keys: Sequence[str],
+    which: str = "next",
+    name: str | None = None,
+    t: str = TIME,
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
+) -> DataFrame:
     """Whole seconds to the ``next`` or since the ``last`` click of the group; NULL at the end."""
     name = name or feature_name(keys, f"next_click_{which}")
     step = {"next": 1, "last": -1}[which]
-    return _gap(df, keys, step, t, rid, lambda gap: whole_seconds(gap).alias(name))
+    return _gap(df, keys, step, t, rid, base, lambda gap: whole_seconds(gap).alias(name))
 
 
-def gap_seconds_field(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def gap_seconds_field(
+    df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Seconds-of-day part of the gap to the next click; whole days are dropped."""
-    return _gap(df, keys, 1, t, rid, lambda gap: seconds_field(gap).alias(name or feature_name(keys, "delta")))
+    return _gap(df, keys, 1, t, rid, base, lambda gap: seconds_field(gap).alias(name or feature_name(keys, "delta")))
 
 
-def gap_hours_field(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def gap_hours_field(
+    df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Hour-of-day part of the gap to the next click."""
-    return _gap(df, keys, 1, t, rid, lambda gap: hours_field(gap).alias(name or feature_name(keys, "click_easy")))
+    return _gap(df, keys, 1, t, rid, base, lambda gap: hours_field(gap).alias(name or feature_name(keys, "click_easy")))
 
 
-def consecutive_difference(df: DataFrame, value: str, order: Sequence[str], shift: int = 0, name: str = "difference", keys: Sequence[str] = ()) -> DataFrame:
+def consecutive_difference(
+    df: DataFrame, value: str, order: Sequence[str], shift: int = 0, name: str = "difference", keys: Sequence[str] = (), base: DataFrame | None = None
+) -> DataFrame:
     """Difference to the previous row in sorted order (``shift=0``) or of the next row to this one (``shift=-1``)."""
-    found = neighbour(df, keys, value, "_near", {0: -1, -1: 1}[shift], order)
+    found = neighbour(df, keys, value, "_near", {0: -1, -1: 1}[shift], order, base)
     made = F.col(value) - F.col("_near") if shift == 0 else F.col("_near") - F.col(value)
     return found.select(*df.columns, made.alias(name))
 
 
 def next_click_or_sentinel(
-    df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID, buckets: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str | None = None,
+    t: str = TIME,
+    rid: str = ROW_ID,
+    buckets: int | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Seconds to the next click of the key; the last click counts to second 3,000,000,000.
 
-    ``buckets`` groups by a hash of the key instead of the key itself (``HASH_BUCKETS`` is the usual number).
+    ``buckets`` groups by a hash of the key instead of the key itself (``scalars.HASH_BUCKETS`` is the usual number).
     """
     name = name or feature_name(keys, "hash_click")
-    seconded = df.withColumn("_sec", epoch_seconds(t))
-    grouped = list(keys)
+    made = {"_sec": epoch_seconds(t)}
     if buckets:
-        seconded = seconded.withColumn("_bucket", hash_bucket(keys, buckets))
-        grouped = ["_bucket"]
-    found = neighbour(seconded, grouped, "_sec", "_next", 1, (t, rid))
+        made["_bucket"] = hash_bucket(keys, buckets)
+    grouped = ["_bucket"] if buckets else list(keys)
+    found = neighbour(
+        df.withColumns(made), grouped, "_sec", "_next", 1, (t, rid), None if base is None else base.withColumns(made)
+    )
     gap = F.coalesce("_next", F.lit(NO_NEXT_CLICK_SECOND)) - F.col("_sec")
-    if not buckets:
-        gap = F.when(F.col("_sec").isNotNull(), gap)
     return found.select(*df.columns, gap.alias(name))
 
 
@@ -141,12 +182,15 @@ def previous_in_file(df: DataFrame, value: str, name: str | None = None, rid: st
     return neighbour(df, [], value, name or f"{value}_shift", -1, (rid,))
 
 
-def shifted_group_difference(df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def shifted_group_difference(
+    df: DataFrame, keys: Sequence[str], name: str | None = None, t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Gap since the group's previous click, taken from the next row of the whole table; seconds-of-day part."""
     name = name or feature_name(keys, "delta")
-    stepped = neighbour(df, keys, t, "_prev_t", -1, (t, rid)).withColumn("_diff", F.col(t) - F.col("_prev_t"))
-    moved = neighbour(stepped, [], "_diff", "_moved", 1, (rid,))
-    return moved.select(*df.columns, seconds_field(F.col("_moved")).alias(name))
+    base = df if base is None else base
+    stepped = neighbour(base.select(*dict.fromkeys([*keys, t, rid])), keys, t, "_prev_t", -1, (t, rid))
+    moved = neighbour(stepped.select(rid, (F.col(t) - F.col("_prev_t")).alias("_diff")), [], "_diff", "_moved", 1, (rid,))
+    return df.join(moved.select(rid, seconds_field(F.col("_moved")).alias(name)), rid, "left")
 
 
 def group_numbers(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -156,9 +200,12 @@ def group_numbers(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return placed.select(*keys, F.col("_at").cast("long").alias("_number"))
 
 
-def group_number(df: DataFrame, keys: Sequence[str], name: str | None = None, rid: str = ROW_ID) -> DataFrame:
-    table = group_numbers(df, keys).withColumnRenamed("_number", name or feature_name(keys, "ngroup"))
-    return salted_join(df, table, list(keys), as_list(rid))
+def group_number(
+    df: DataFrame, keys: Sequence[str], name: str | None = None, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
+    base = df if base is None else base
+    table = group_numbers(base, keys).withColumnRenamed("_number", name or feature_name(keys, "ngroup"))
+    return salted_join(df, table, list(keys), as_list(rid), base)
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = ROW_ID) -> DataFrame:

@@ -3,6 +3,8 @@
 A sliding frame re-reads all rows of the frame for each row. Here each row instead marks the interval of times that
 can see it: +1 where the interval starts, -1 after it ends. A running sum of the marks is the count, in time linear
 in the rows. Marks at the same (key, time) are added before the shuffle, and a hot key is cut into slices.
+
+``base`` is the log ``df`` was derived from row by row.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfeat.naming import MICROS, ROW_ID, TIME
-from clickfeat.operators.ordered import neighbour, place_in_group
-from clickfeat.operators.slices import SlicedRows, salted_join, with_keys
+from clickfeat.operators.ordered import place_in_group
+from clickfeat.operators.slices import SlicedRows, earlier_slices, salted_join, with_keys
 
 
 def visible_counts(df: DataFrame, keys: Sequence[str], reach: dict[str, tuple[int, int]], t: str = TIME, rid: str = ROW_ID) -> DataFrame:
@@ -48,82 +50,144 @@ def visible_counts(df: DataFrame, keys: Sequence[str], reach: dict[str, tuple[in
     rows = sliced.carry(
         rows,
         {f"_part_{n}": F.sum(n) for n in names},
-        lambda w: {
-            f"_before_{n}": F.sum(f"_part_{n}").over(w.rowsBetween(Window.unboundedPreceding, -1)) for n in names
-        },
+        lambda w: {f"_before_{n}": F.sum(f"_part_{n}").over(earlier_slices(w)) for n in names},
     )
     counts = [(F.col(f"_run_{n}") + F.coalesce(f"_before_{n}", F.lit(0))).alias(n) for n in names]
     return rows.where(F.col("_home") == 1).select(*keys, t, *counts)
 
 
-def _add_counts(df, keys, reach, t, rid):
-    return salted_join(df, visible_counts(df, keys, reach, t, rid), [*keys, t], [rid])
+def _add_counts(df, keys, reach, t, rid, base):
+    base = df if base is None else base
+    return salted_join(df, visible_counts(base, keys, reach, t, rid), [*keys, t], [rid], base)
 
 
-def rolling_counts(df: DataFrame, keys: Sequence[str], widths: dict[str, int], t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def rolling_counts(
+    df: DataFrame, keys: Sequence[str], widths: dict[str, int], t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Rows of the key in ``(t - width, t]``, this row and its ties included. ``widths``: name -> seconds."""
-    return _add_counts(df, keys, {n: (0, w * MICROS - 1) for n, w in widths.items()}, t, rid)
+    return _add_counts(df, keys, {n: (0, w * MICROS - 1) for n, w in widths.items()}, t, rid, base)
 
 
-def forward_rolling_counts(df: DataFrame, keys: Sequence[str], widths: dict[str, int], t: str = TIME, rid: str = ROW_ID) -> DataFrame:
+def forward_rolling_counts(
+    df: DataFrame, keys: Sequence[str], widths: dict[str, int], t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
     """Rows of the key in ``[t, t + width)``, this row and its ties included. ``widths``: name -> seconds."""
-    return _add_counts(df, keys, {n: (1 - w * MICROS, 0) for n, w in widths.items()}, t, rid)
+    return _add_counts(df, keys, {n: (1 - w * MICROS, 0) for n, w in widths.items()}, t, rid, base)
 
 
-def _one_sided(df, keys, widths, forward, mark_edge, t, rid):
+def _one_sided(df, keys, widths, forward, mark_edge, t, rid, base):
+    base = df if base is None else base
     reach = {n: ((-r * MICROS, 0) if forward else (0, r * MICROS)) for n, r in widths.items()}
-    counted = _add_counts(df, keys, reach, t, rid)
-    placed = place_in_group(counted, [*keys, t], [rid], "_tie", "_ties")
+    placed = place_in_group(df, [*keys, t], [rid], "_tie", "_ties", base)
+    counted = _add_counts(placed, keys, reach, t, rid, base)
     # Of the ties, a trailing count keeps the earlier rows only and a forward count the later rows only.
     outside = F.col("_tie") + 1 if forward else F.col("_ties") - F.col("_tie")
     values = {n: F.col(n) - outside for n in widths}
     if mark_edge:
         place = F.struct(*keys, t, rid)
-        edge = with_keys(df, keys).agg((F.max if forward else F.min)(place)).scalar()
+        edge = with_keys(base, keys).agg((F.max if forward else F.min)(place)).scalar()
         values = {n: F.when(place == edge, F.lit(-1)).otherwise(v) for n, v in values.items()}
-    return placed.select(*df.columns, *[v.cast("long").alias(n) for n, v in values.items()])
+    return counted.select(*df.columns, *[v.cast("long").alias(n) for n, v in values.items()])
 
 
 def recent_counts(
-    df: DataFrame, keys: Sequence[str], widths: dict[str, int], mark_edge: bool = False, t: str = TIME, rid: str = ROW_ID
+    df: DataFrame,
+    keys: Sequence[str],
+    widths: dict[str, int],
+    mark_edge: bool = False,
+    t: str = TIME,
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Earlier rows of the key in ``[t - width, t]``, without this row. ``widths``: name -> seconds.
 
     ``mark_edge`` gives -1 to the very first row of the (keys, t, rid) order.
     """
-    return _one_sided(df, keys, widths, False, mark_edge, t, rid)
+    return _one_sided(df, keys, widths, False, mark_edge, t, rid, base)
 
 
 def future_counts(
-    df: DataFrame, keys: Sequence[str], widths: dict[str, int], mark_edge: bool = False, t: str = TIME, rid: str = ROW_ID
+    df: DataFrame,
+    keys: Sequence[str],
+    widths: dict[str, int],
+    mark_edge: bool = False,
+    t: str = TIME,
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Later rows of the key in ``[t, t + width]``, without this row. ``widths``: name -> seconds.
 
     ``mark_edge`` gives -1 to the very last row of the (keys, t, rid) order.
     """
-    return _one_sided(df, keys, widths, True, mark_edge, t, rid)
+    return _one_sided(df, keys, widths, True, mark_edge, t, rid, base)
+
+
+def place_in_run(
+    df: DataFrame,
+    keys: Sequence[str],
+    runner: Sequence[str],
+    name: str = "run_place",
+    t: str = TIME,
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
+) -> DataFrame:
+    """0-based place of the row in its run: the stretch of equal ``runner`` values, in time order within ``keys``.
+
+    A run may cross slices. Places are global, so the start of the open run is the largest start seen so far.
+    """
+    sliced = SlicedRows(df, keys, [t, rid], base)
+    here = F.struct(*runner)
 
+    def placed(rows: DataFrame) -> DataFrame:
+        local = rows.withColumns(
+            {"_at": F.row_number().over(sliced.ordered()) - 1, "_near": F.lag(here).over(sliced.ordered())}
+        )
+        changed = (F.col("_at") > 0) & ~F.col("_near").eqNullSafe(here)
+        return local.withColumn("_start", F.when(changed, F.col("_at")))
 
-def with_runs(df: DataFrame, keys: Sequence[str], runner: Sequence[str], name: str = "run", t: str = TIME, rid: str = ROW_ID) -> DataFrame:
-    """Number of the run of equal ``runner`` values the row belongs to, counted in time order within ``keys``."""
-    marked = df.withColumn("_here", F.struct(*runner))
-    marked = neighbour(marked, keys, "_here", "_there", -1, (t, rid))
-    changed = marked.withColumn("_new", (~F.col("_here").eqNullSafe(F.col("_there"))).cast("long"))
-    sliced = SlicedRows(changed, keys, [t, rid], sample=df, unique=[*keys, t, rid])
+    rows = placed(sliced.rows)
     upto = sliced.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = sliced.rows.withColumn("_runs", F.sum("_new").over(upto))
+    rows = rows.withColumn("_start", F.max("_start").over(upto))
+    order = F.struct(t, rid)
     rows = sliced.carry(
         rows,
-        {"_part": F.sum("_new")},
-        lambda w: {"_before": F.sum("_part").over(w.rowsBetween(Window.unboundedPreceding, -1))},
+        {
+            "_n": F.count(F.lit(1)),
+            "_first": F.min(F.struct(order.alias("at"), here.alias("v"))),
+            "_last": F.max(F.struct(order.alias("at"), here.alias("v"))),
+            "_changed": F.max("_start"),
+        },
+        lambda w: {
+            "_before": F.coalesce(F.sum("_n").over(earlier_slices(w)), F.lit(0)),
+            "_goes_on": F.coalesce(F.lag("_last").over(w)["v"].eqNullSafe(F.col("_first.v")), F.lit(False)),
+        },
+        lambda w: {"_opened": F.greatest(F.when(~F.col("_goes_on"), F.col("_before")), F.col("_before") + F.col("_changed"))},
+        lambda w: {
+            "_before": F.col("_before"),
+            "_open": F.when(F.col("_goes_on"), F.max("_opened").over(earlier_slices(w))).otherwise(F.col("_before")),
+        },
+        source=placed(sliced.base_rows),
     )
-    return rows.select(*df.columns, (F.col("_runs") + F.coalesce("_before", F.lit(0))).alias(name))
+    before = F.coalesce("_before", F.lit(0))
+    start = F.coalesce(F.col("_start") + before, "_open", F.lit(0))
+    return sliced.finish(rows, {name: F.col("_at") + before - start})
 
 
 def recent_counts_in_run(
-    df: DataFrame, keys: Sequence[str], runner: Sequence[str], widths: dict[str, int], mark_edge: bool = False, t: str = TIME, rid: str = ROW_ID
+    df: DataFrame,
+    keys: Sequence[str],
+    runner: Sequence[str],
+    widths: dict[str, int],
+    mark_edge: bool = False,
+    t: str = TIME,
+    rid: str = ROW_ID,
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """As ``recent_counts``, but another ``runner`` value in between starts the count anew."""
-    runs = with_runs(df, keys, runner, "_run", t, rid)
-    counted = recent_counts(runs, [*keys, "_run"], widths, mark_edge, t, rid)
-    return counted.select(*df.columns, *widths)
+    """As ``recent_counts``, but another ``runner`` value in between starts the count anew.
+
+    Both the rows in range and the rows of the run end right before this row, so the smaller number counts.
+    """
+    base = df if base is None else base
+    counted = recent_counts(df, keys, widths, mark_edge, t, rid, base)
+    placed = place_in_run(counted, keys, runner, "_in_run", t, rid, base)
+    return placed.select(*df.columns, *[F.least(n, "_in_run").cast("long").alias(n) for n in widths])

@@ -71,13 +71,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], unique: Sequence[str]) -> DataF
     return _sampled(df, keys, unique).groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias(FAN))
 
 
-def salted_join(rows: DataFrame, one_per_key: DataFrame, keys: Sequence[str], unique: Sequence[str]) -> DataFrame:
+def salted_join(
+    rows: DataFrame, one_per_key: DataFrame, keys: Sequence[str], unique: Sequence[str], base: DataFrame | None = None
+) -> DataFrame:
     """Left join of a table with one row per key, with the rows of hot keys spread over several tasks.
 
-    The key table grows by at most ``maxCuts`` rows. ``unique`` identifies a row and drives the spread.
+    The key table grows by at most ``maxCuts`` rows. ``unique`` identifies a row and drives the spread. When ``rows``
+    is costly to compute, ``base`` may name a cheaper table with the same keys and row ids to find hot keys in.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(rows, keys, unique))
+    hot = F.broadcast(hot_keys(rows if base is None else base, keys, unique))
     spread = F.pmod(F.xxhash64(*unique), F.coalesce(FAN, F.lit(0)) + 1).cast("int")
     loose = F.pmod(F.xxhash64(*unique), F.lit(NULL_KEY_SPREAD)).cast("int")
     left = rows.join(hot, keys, "left").withColumn(SALT, F.when(any_null(keys), loose).otherwise(spread)).drop(FAN)
@@ -93,9 +96,11 @@ def salted_join(rows: DataFrame, one_per_key: DataFrame, keys: Sequence[str], un
 class SlicedRows:
     """Rows of each key cut into consecutive slices of the order given by ``order``.
 
-    ``order`` must be unique within a key. Empty ``keys`` means one order over the whole table. When ``df`` is costly
-    to compute, ``sample`` may name a cheaper table with the same key and order columns to take the cuts from, and
-    ``unique`` its unique columns.
+    ``order`` must be unique within a key. Empty ``keys`` means one order over the whole table.
+
+    Cuts and carried rows are separate passes over the input. When ``df`` is costly to compute, ``base`` names the
+    cheap log it was derived from row by row; both passes then read that log, so a chain of features stays linear.
+    ``sample`` replaces the base for the cuts only; ``unique`` are its unique columns.
     """
 
     def __init__(
@@ -103,25 +108,28 @@ class SlicedRows:
         df: DataFrame,
         keys: Sequence[str],
         order: Sequence[str],
+        base: DataFrame | None = None,
         sample: DataFrame | None = None,
         unique: Sequence[str] | None = None,
     ):
         self.keys, self.order = list(keys), list(order)
         self.columns = df.columns
+        sample = sample if sample is not None else base if base is not None else df
+        cuts = _sampled(sample, self.keys, unique or [*self.keys, *self.order], self.order)
+        self.rows = self._cut(df, cuts)
+        self.base_rows = self.rows if base is None else self._cut(base, cuts)
+
+    def _cut(self, df: DataFrame, cuts: DataFrame) -> DataFrame:
         position = F.struct(*self.order)
-        cuts = _sampled(df if sample is None else sample, self.keys, unique or [*self.keys, *self.order], self.order)
-        if self.keys:
-            found = cuts.groupBy(*self.keys).agg(F.sort_array(F.collect_list(position)).alias(CUTS))
-            located = df.join(F.broadcast(found), self.keys, "left")
-        else:
-            located = df.withColumn(CUTS, cuts.agg(F.sort_array(F.collect_list(position))).scalar())
-        number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(
-            _cuts_up_to(position, max_cuts(df.sparkSession))
-        )
+        sorted_cuts = F.sort_array(F.collect_list(position)).alias(CUTS)
+        number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(_cuts_up_to(position, max_cuts(df.sparkSession)))
         if self.keys:
+            located = df.join(F.broadcast(cuts.groupBy(*self.keys).agg(sorted_cuts)), self.keys, "left")
             loose = F.pmod(F.xxhash64(*self.order), F.lit(NULL_KEY_SPREAD)).cast("int")
             number = F.when(any_null(self.keys), loose).otherwise(number)
-        self.rows = located.withColumns({SLICE: number, SPLIT: F.col(CUTS).isNotNull()}).drop(CUTS)
+        else:
+            located = df.withColumn(CUTS, cuts.agg(sorted_cuts).scalar())
+        return located.withColumns({SLICE: number, SPLIT: F.col(CUTS).isNotNull()}).drop(CUTS)
 
     def window(self) -> WindowSpec:
         """All rows of the slice."""
@@ -134,17 +142,21 @@ class SlicedRows:
         self,
         onto: DataFrame,
         parts: dict[str, Column],
-        across: Callable[[WindowSpec], dict[str, Column]],
+        *stages: Callable[[WindowSpec], dict[str, Column]],
         source: DataFrame | None = None,
     ) -> DataFrame:
         """Join onto every row what the other slices of its key contribute.
 
-        ``parts`` are aggregates of one slice; ``across`` combines them over the slices of a key, in order. Only
-        keys that were cut appear, so the table has at most ``2 * maxCuts`` rows. Uncut keys get NULL.
+        ``parts`` are aggregates of one slice. Each of ``stages`` combines them over the slices of a key, in order;
+        the results of the last stage are joined. Only keys that were cut appear, so the table has at most
+        ``2 * maxCuts`` rows. Uncut keys get NULL.
         """
-        split = (source if source is not None else self.rows).where(F.col(SPLIT))
+        split = (self.base_rows if source is None else source).where(F.col(SPLIT))
         table = split.groupBy(*self.keys, SLICE).agg(*[c.alias(n) for n, c in parts.items()])
-        made = across(Window.partitionBy(*self.keys).orderBy(SLICE))
+        over_slices = Window.partitionBy(*self.keys).orderBy(SLICE)
+        for stage in stages[:-1]:
+            table = table.withColumns(stage(over_slices))
+        made = stages[-1](over_slices)
         table = table.select(*self.keys, SLICE, *[c.alias(n) for n, c in made.items()])
         return onto.join(F.broadcast(table), [*self.keys, SLICE], "left")
 
@@ -155,6 +167,14 @@ class SlicedRows:
         return df.select(*self.columns, *[c.alias(n) for n, c in features.items()])
 
 
+def all_slices(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def earlier_slices(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _cuts_up_to(position: Column, limit: int) -> Column:
     """How many of the sorted cuts lie at or before ``position`` (binary search, one step per power of two)."""
     steps = [1 << bit for bit in range(max(limit, 1).bit_length(), -1, -1)]

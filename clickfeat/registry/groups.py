@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickfeat.functions import scalars, timeparts
+from clickfeat.functions.stats import stat
 from clickfeat.operators import groups
 from clickfeat.registry.base import TIED, query
 from clickfeat.sources.clicklog import events_as_clicks, lineitems, orders_as_clicks, table
@@ -204,7 +205,7 @@ def lineitem_stats(spark, sf_dir):
     items = lineitems(spark, sf_dir)
     keys = ["l_suppkey", "l_returnflag"]
     how = ["count", "mean", "sum", "max", "min", "std", "var", "skew"]
-    stats = groups.group_table(items, keys, {h: groups.stat(h, "l_quantity") for h in how})
+    stats = groups.group_table(items, keys, {h: stat(h, "l_quantity") for h in how})
     lines = groups.distinct_table(items, keys, ["l_linenumber"], "lines")
     medians = groups.median_table(items, keys, "l_extendedprice", "median_price")
     joined = stats.join(lines, keys).join(medians, keys)
@@ -234,7 +235,7 @@ order_price_sum = _attached("order_price_sum", "sum", "sum(price)")
 order_price_max = _attached("order_price_max", "max", "max(price)")
 order_price_min = _attached("order_price_min", "min", "min(price)")
 order_price_std = _attached("order_price_std", "std", "stddev_samp(price)", 4)
-order_price_var = _attached("order_price_var", "var", "var_samp(price)", 2)
+order_price_var = _attached("order_price_var", "var", "var_samp(price)", -3)
 order_price_median = _attached("order_price_median", "median", "median(price)")
 order_price_skew = _attached("order_price_skew", "skew", _SKEW.format(x="price"))
 
@@ -310,7 +311,7 @@ def time_span(spark, sf_dir):
 )
 def span_to_edges(spark, sf_dir):
     clicks = events_as_clicks(spark, sf_dir)
-    made = groups.until_last(groups.since_first(clicks, ["ip", "device"]), ["ip", "device"])
+    made = groups.until_last(groups.since_first(clicks, ["ip", "device"]), ["ip", "device"], base=clicks)
     names = ["ip_device_time_span_min", "ip_device_time_span_max"]
     return made.select("rid", *[F.round(n, 6).alias(n) for n in names])
 
@@ -346,9 +347,8 @@ def attribution_delay(spark, sf_dir):
 def cross_log_stats(spark, sf_dir):
     clicks = events_as_clicks(spark, sf_dir)
     old, new = clicks.where("day < 15"), clicks.where("day >= 15")
-    for how, name in (("count", "n"), ("mean", "rate"), ("sum", "conversions")):
-        new = groups.cross_stat(old, new, ["channel", "device"], "is_attributed", how, name)
-    return new.select("rid", "n", F.round("rate", 6).alias("rate"), "conversions")
+    names = {"count": "n", "mean": "rate", "sum": "conversions"}
+    return groups.cross_stats(old, new, ["channel", "device"], "is_attributed", names).select("rid", "n", F.round("rate", 6).alias("rate"), "conversions")
 
 
 @query(

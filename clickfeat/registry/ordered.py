@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from clickfeat.functions.scalars import HASH_BUCKETS, fill_missing
@@ -136,8 +138,9 @@ def gap_hours_field(spark, sf_dir):
     views=TIED,
 )
 def consecutive_difference(spark, sf_dir):
-    made = ordered.consecutive_difference(orders_as_clicks(spark, sf_dir), "t", ["t", "rid"], 0, "back")
-    made = ordered.consecutive_difference(made, "t", ["t", "rid"], -1, "ahead")
+    log = orders_as_clicks(spark, sf_dir)
+    made = ordered.consecutive_difference(log, "t", ["t", "rid"], 0, "back")
+    made = ordered.consecutive_difference(made, "t", ["t", "rid"], -1, "ahead", base=log)
     return made.select("rid", "back", "ahead")
 
 
@@ -181,7 +184,7 @@ def dearest_orders(spark, sf_dir):
 # ---- counts in a time range -----------------------------------------------------------------------------------------
 
 DAY_US = 86_400_000_000
-MINUTES = {"2min": 120, "15min": 900, "30min": 1800, "60min": 3600}
+MINUTES = {"channel_2min": 120, "channel_15min": 900, "channel_30min": 1800, "channel_60min": 3600}
 RECENT_SECONDS = (180, 600, 900, 1800, 3600)
 
 
@@ -364,10 +367,8 @@ def history_cvr(spark, sf_dir):
     FROM clicks LEFT JOIN h USING (ip, channel, date)""",
 )
 def history_cvr_of_days(spark, sf_dir):
-    import datetime
-
     days = [datetime.date(2024, 1, d) for d in (8, 9, 10)]
-    made = history.history_of_days(events_as_clicks(spark, sf_dir), ["ip", "channel"], days)
+    made = history.history_of_days(events_as_clicks(spark, sf_dir), [["ip", "channel"]], days)
     return made.select("rid", "ip_channel_cntx", F.round("ip_channel_cvrx", 6).alias("ip_channel_cvrx"), "ip_channel_cvtimesx")
 
 
