@@ -65,6 +65,39 @@ def neighbour(
     return sliced.finish(rows, {name: F.coalesce("_near", "_far")["v"]})
 
 
+def timeline(df: DataFrame, keys: Sequence[str], t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None) -> DataFrame:
+    """Place, group size and times of the neighbours (``_at _of _prev_t _next_t``) in one pass over the key."""
+    sliced = SlicedRows(df, keys, [t, rid], base)
+    order = sliced.ordered()
+    rows = sliced.rows.withColumns(
+        {
+            "_place": F.row_number().over(order) - 1,
+            "_in_slice": F.count(F.lit(1)).over(sliced.window()),
+            "_before_t": F.lag(t).over(order),
+            "_after_t": F.lead(t).over(order),
+        }
+    )
+    rows = sliced.carry(
+        rows,
+        {"_part": F.count(F.lit(1)), "_first_t": F.min(t), "_last_t": F.max(t)},
+        lambda w: {
+            "_before": F.sum("_part").over(earlier_slices(w)),
+            "_total": F.sum("_part").over(all_slices(w)),
+            "_far_before": F.lag("_last_t").over(w),
+            "_far_after": F.lead("_first_t").over(w),
+        },
+    )
+    return sliced.finish(
+        rows,
+        {
+            "_at": F.col("_place") + F.coalesce("_before", F.lit(0)),
+            "_of": F.coalesce("_total", "_in_slice"),
+            "_prev_t": F.coalesce("_before_t", "_far_before"),
+            "_next_t": F.coalesce("_after_t", "_far_after"),
+        },
+    )
+
+
 def ordinal(
     df: DataFrame,
     keys: Sequence[str],

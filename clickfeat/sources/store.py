@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickfeat.session import ensure_checkpoint_dir
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("overwrite")
@@ -41,3 +44,8 @@ class FeatureStore:
         if not (self.reuse and self.has(name)):
             write_parquet(compute(), self.path(name))
         return self.get(name)
+
+
+def run_store(spark: SparkSession) -> FeatureStore:
+    """A store of its own for one run, in the shared checkpoint folder."""
+    return FeatureStore(spark, f"{ensure_checkpoint_dir(spark)}/features-{uuid.uuid4().hex}")
