@@ -11,14 +11,16 @@ its written row count is below ``spark.clickfeat.broadcastRows`` and otherwise j
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfeat.functions.stats import stat
 from clickfeat.functions.timeparts import epoch_seconds, seconds_field, whole_seconds
-from clickfeat.naming import ROW_ID, TIME
+from clickfeat.naming import MICROS, ROW_ID, TIME
 from clickfeat.operators.groups import group_table
 from clickfeat.operators.history import PRIOR_CLICKS
 from clickfeat.operators.ordered import NO_NEXT_CLICK_SECOND
@@ -28,6 +30,7 @@ from clickfeat.sources.store import FeatureStore
 
 BROADCAST_ROWS_CONF = "spark.clickfeat.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 200_000
+TABLES_AT_ONCE = 4
 
 
 def key_sets(feature: Feature) -> list[frozenset[str]]:
@@ -40,108 +43,120 @@ def key_sets(feature: Feature) -> list[frozenset[str]]:
     return sets
 
 
-def nested_chains(features: Sequence[Feature]) -> list[tuple[list[str], list[Feature]]]:
-    """Sort orders and the features each of them serves: every key of a chain is a prefix of its order."""
-    chains: list[tuple[list[frozenset[str]], list[Feature]]] = []
+@dataclass
+class Chain:
+    """Nested keys, coarse to fine, that one sort order serves."""
+
+    sets: list[frozenset[str]]
+    members: list[Feature]
+
+    def order(self, lead: str) -> list[str]:
+        columns = [lead]
+        for group in self.sets:
+            columns += sorted(group - set(columns))
+        return columns
+
+    def takes(self, feature: Feature) -> bool:
+        merged = sorted({*self.sets, *key_sets(feature)}, key=len)
+        nested = all(a < b for a, b in zip(merged, merged[1:]))
+        # The sort ends in time order only behind the finest key.
+        timed = [m for m in [*self.members, feature] if m.kind in ORDER_KINDS]
+        return nested and all(frozenset(m.keys) == merged[-1] for m in timed)
+
+    def add(self, feature: Feature) -> None:
+        self.sets = sorted({*self.sets, *key_sets(feature)}, key=len)
+        self.members.append(feature)
+
+
+def nested_chains(features: Sequence[Feature]) -> list[Chain]:
+    chains: list[Chain] = []
     for feature in sorted(features, key=lambda f: (f.kind not in ORDER_KINDS, -len(key_sets(f)[-1]))):
-        wanted = key_sets(feature)
-        for sets, members in chains:
-            merged = sorted({*sets, *wanted}, key=len)
-            nested = all(a < b for a, b in zip(merged, merged[1:]))
-            # Ordered features need the chain to end with their own key.
-            ends_right = all(frozenset(m.keys) == merged[-1] for m in [*members, feature] if m.kind in ORDER_KINDS)
-            if nested and ends_right:
-                sets[:] = merged
-                members.append(feature)
+        for chain in chains:
+            if chain.takes(feature):
+                chain.add(feature)
                 break
         else:
-            chains.append((sorted(set(wanted), key=len), [feature]))
-    orders = []
-    for sets, members in chains:
-        order: list[str] = []
-        for group in sets:
-            order += sorted(group - set(order))
-        orders.append((order, members))
-    return orders
-
-
-class _Chain:
-    """Window columns of the features of one chain."""
-
-    def __init__(self, order: list[str]):
-        self.order = order
-
-    def part(self, keys: Sequence[str]):
-        return Window.partitionBy(*self.order[: len(keys)])
-
-    def inside(self, keys: Sequence[str]):
-        """The chain's sort order within a key, for "first row of the key"."""
-        return self.part(keys).orderBy(*self.order[len(keys):], TIME, ROW_ID)
-
-    def stages(self, f: Feature) -> list[dict[str, Column]]:
-        """Helper columns, then the feature; each step only uses the columns of earlier steps."""
-        part, timed = self.part(f.keys), self.part(f.keys).orderBy(TIME, ROW_ID)
-        if f.kind == "ordinal":
-            place = F.row_number().over(timed)
-            value = place - 1 if f.how == "first" else F.count(F.lit(1)).over(part) - place
-            return [{f.name: value.cast("long")}]
-        if f.kind == "gap":
-            gap = F.lead(TIME).over(timed) - F.col(TIME) if f.how == "next" else F.col(TIME) - F.lag(TIME).over(timed)
-            return [{f.name: whole_seconds(gap)}]
-        if f.kind == "delta":
-            return [{f.name: seconds_field(F.lead(TIME).over(timed) - F.col(TIME))}]
-        if f.kind == "sentinel":
-            following = F.coalesce(epoch_seconds(F.lead(TIME).over(timed)), F.lit(NO_NEXT_CLICK_SECOND))
-            return [{f.name: following - epoch_seconds(TIME)}]
-        if f.kind in ("distinct", "two_level"):
-            first, members = f"_{f.name}_first", f"_{f.name}_size"
-            complete = ~any_null([c for c in f.of if c not in f.keys])
-            leads = {first: (F.row_number().over(self.inside(f.of)) == 1) & complete}
-            if f.kind == "distinct":
-                return [leads, {f.name: F.count(F.when(F.col(first), 1)).over(part)}]
-            sized = {members: F.when(F.col(first), F.count(F.lit(1)).over(self.part(f.of)))}
-            return [leads, sized, {f.name: stat(f.how, members).over(part)}]
-        if f.kind == "last_day_ratio":
-            daily, before = self.part([*f.keys, "date"]), f"_{f.name}_prev"
-            day_sum = f"_{f.name}_day"
-            earlier = part.orderBy(F.unix_date("date")).rangeBetween(Window.unboundedPreceding, -1)
-            summed = F.struct(
-                F.col("date").alias("d"), F.count(F.lit(1)).over(daily).alias("n"), F.sum("is_attributed").over(daily).alias("c")
-            )
-            ratio = F.coalesce(F.col(before)["c"], F.lit(0)) / (F.col(before)["n"] + PRIOR_CLICKS)
-            return [
-                {day_sum: summed},
-                {before: F.max(day_sum).over(earlier)},
-                {f.name: F.when(F.col(before)["d"] == F.date_sub("date", 1), ratio)},
-            ]
-        return [{f.name: _over(f, part)}]
-
-
-def _over(f: Feature, window) -> Column:
-    """A plain aggregate as a window aggregate."""
+            chains.append(Chain(sorted(set(key_sets(feature)), key=len), [feature]))
+    return chains
+
+
+def _helper(f: Feature, what: str) -> str:
+    return f"_{f.name}_{what}"
+
+
+def _first_of(order: Sequence[str], size: int) -> Column:
+    """Whether the row is the first of its key, the first ``size`` columns of the sort order."""
+    same = [F.col("_prev")[c].eqNullSafe(F.col(c)) for c in order[:size]]
+    return F.col("_prev").isNull() | ~reduce(lambda a, b: a & b, same)
+
+
+def _helpers(f: Feature, order: list[str]) -> list[dict[str, Column]]:
+    """Columns a feature needs before its value, in two steps."""
+    fine = Window.partitionBy(*order[: len(key_sets(f)[-1])])
+    if f.kind in ("distinct", "two_level"):
+        complete = ~any_null([c for c in f.of if c not in f.keys])
+        first = {_helper(f, "first"): F.when(_first_of(order, len(f.of)) & complete, 1)}
+        sized = {_helper(f, "size"): F.when(F.col(_helper(f, "first")) == 1, F.count(F.lit(1)).over(fine))}
+        return [first, sized] if f.kind == "two_level" else [first]
+    if f.kind == "last_day_ratio":
+        clicks, converted = F.count(F.lit(1)).over(fine).alias("n"), F.sum("is_attributed").over(fine).alias("c")
+        return [{_helper(f, "day"): F.struct(F.col("date").alias("d"), clicks, converted)}]
+    return []
+
+
+def _value(f: Feature, order: list[str]) -> Column:
+    """The feature as a window column."""
+    part = Window.partitionBy(*order[: len(f.keys)])
+    timed = part.orderBy(TIME, ROW_ID)
+    if f.kind == "ordinal":
+        place = F.row_number().over(timed)
+        return (place - 1 if f.how == "first" else F.count(F.lit(1)).over(part) - place).cast("long")
+    if f.kind == "gap":
+        return whole_seconds(F.lead(TIME).over(timed) - F.col(TIME) if f.how == "next" else F.col(TIME) - F.lag(TIME).over(timed))
+    if f.kind == "delta":
+        return seconds_field(F.lead(TIME).over(timed) - F.col(TIME))
+    if f.kind == "sentinel":
+        return F.coalesce(epoch_seconds(F.lead(TIME).over(timed)), F.lit(NO_NEXT_CLICK_SECOND)) - epoch_seconds(TIME)
+    if f.kind == "distinct":
+        return F.count(_helper(f, "first")).over(part)
+    if f.kind == "two_level":
+        return stat(f.how, _helper(f, "size")).over(part)
+    if f.kind == "last_day_ratio":
+        # The latest earlier day of the key; a value only if that is the day before.
+        earlier = part.orderBy(F.unix_date("date")).rangeBetween(Window.unboundedPreceding, -1)
+        latest = F.max(_helper(f, "day")).over(earlier)
+        ratio = F.coalesce(latest["c"], F.lit(0)) / (latest["n"] + PRIOR_CLICKS)
+        return F.when(latest["d"] == F.date_sub("date", 1), ratio)
     if f.kind == "span":
-        return (F.max(TIME).over(window) - F.min(TIME).over(window)) / F.lit(1e6)
+        return (F.max(TIME).over(part) - F.min(TIME).over(part)) / F.lit(float(MICROS))
     if f.kind == "mean_gap":
-        return (F.max(TIME).over(window) - F.min(TIME).over(window)) / F.lit(1e6) / F.count(F.lit(1)).over(window)
-    return f.aggregate().over(window)
+        return (F.max(TIME).over(part) - F.min(TIME).over(part)) / F.lit(float(MICROS)) / F.count(F.lit(1)).over(part)
+    return f.aggregate().over(part)
 
 
 def window_features(df: DataFrame, features: Sequence[Feature], lead: str) -> DataFrame:
-    """Features on rows without hot lead values: one exchange, one sort per chain."""
-    kept = df.columns
+    """Features on rows without hot lead values: one exchange, one sort per chain, one window per key and order.
+
+    A key that several chains share gets its values in the last of them, when all helper columns exist.
+    """
+    chains = nested_chains(features)
+    last = {group: number for number, chain in enumerate(chains) for group in chain.sets}
     wide = df.repartition(lead)
-    for order, members in nested_chains(features):
+    for number, chain in enumerate(chains):
+        order = chain.order(lead)
         wide = wide.sortWithinPartitions(*order, TIME, ROW_ID)
-        chain = _Chain(order)
-        steps = [chain.stages(f) for f in members]
-        for depth in range(max(len(s) for s in steps)):
+        if any(f.kind in ("distinct", "two_level") for f in chain.members):
+            whole_lead = Window.partitionBy(lead).orderBy(*order[1:], TIME, ROW_ID)
+            wide = wide.withColumn("_prev", F.lag(F.struct(*order)).over(whole_lead))
+        steps = [_helpers(f, order) for f in chain.members]
+        for depth in range(max(map(len, steps))):
             wide = wide.withColumns({n: c for s in steps if len(s) > depth for n, c in s[depth].items()})
-        kept = [*kept, *[f.name for f in members]]
-        # Features of rows without a full key are empty.
-        wide = wide.select(
-            *kept[: len(kept) - len(members)], *[F.when(~any_null(f.keys), F.col(f.name)).alias(f.name) for f in members]
-        )
-    return wide
+        here = [f for f in chain.members if f.kind in ORDER_KINDS]
+        here += [f for f in features if f.kind not in ORDER_KINDS and last[frozenset(f.keys)] == number]
+        if here:
+            wide = wide.withColumns({f.name: _value(f, order) for f in here})
+    # Features of rows without a full key are empty. Helper columns are pruned right after their last use.
+    return wide.select(*df.columns, *[F.when(~any_null(f.keys), F.col(f.name)).alias(f.name) for f in features])
 
 
 def lead_features(log: DataFrame, features: Sequence[Feature], lead: str, columns: Sequence[str]) -> DataFrame:
@@ -191,14 +206,15 @@ def key_tables(log: DataFrame, features: Sequence[Feature], store: FeatureStore,
             plain.setdefault(f.keys, []).append(f)
         else:
             single.append(f)
-    made = []
-    for keys, members in plain.items():
-        aggregates = {f.name: f.aggregate() for f in members}
-        name = f"{prefix}-{'-'.join(keys)}"
-        made.append((list(keys), store.get_or_compute(name, partial(group_table, log, keys, aggregates))))
-    for f in single:
-        made.append((f.table_keys(), store.get_or_compute(f"{prefix}-{f.name}", partial(f.table, log))))
-    return made
+    wanted = [
+        (list(keys), f"{prefix}-{'-'.join(keys)}", partial(group_table, log, keys, {f.name: f.aggregate() for f in members}))
+        for keys, members in plain.items()
+    ]
+    wanted += [(f.table_keys(), f"{prefix}-{f.name}", partial(f.table, log)) for f in single]
+    # The tables are independent jobs; a few at a time keep the executors busy while one of them finishes.
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        tables = list(pool.map(lambda w: store.get_or_compute(w[1], w[2]), wanted))
+    return [(keys, table) for (keys, _, _), table in zip(wanted, tables)]
 
 
 def build(

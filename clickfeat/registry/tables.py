@@ -36,9 +36,9 @@ def _sql_value(f: Feature, log: str) -> tuple[str, str]:
     if f.kind == "stat":
         return f'round({_AGGREGATES[f.how]}("{f.value}") {over}, 6)', ""
     if f.kind == "span":
-        return f"round((max(t) {over} - min(t) {over}) / 1e6, 6)", ""
+        return f"(max(t) {over} - min(t) {over}) / 1e6", ""
     if f.kind == "mean_gap":
-        return f"round((max(t) {over} - min(t) {over}) / 1e6 / count(*) {over}, 6)", ""
+        return f"(max(t) {over} - min(t) {over}) / 1e6 / count(*) {over}", ""
     if f.kind == "ordinal":
         order = "t, rid" if f.how == "first" else "t DESC, rid DESC"
         return f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1", ""
@@ -80,10 +80,10 @@ def table_sql(features: Sequence[Feature], columns: Sequence[str], log: str = "c
 
 
 def rounded(df: DataFrame, features: Sequence[Feature], columns: Sequence[str]) -> DataFrame:
-    """Columns and features, fractions cut to six digits for comparison."""
+    """Columns and features; statistics, whose last digits depend on the order of addition, cut to six digits."""
     types = dict(df.dtypes)
-    picked = [F.round(f.name, 6).alias(f.name) if types[f.name] == "double" else F.col(f.name) for f in features]
-    return df.select(*columns, *picked)
+    inexact = {f.name for f in features if f.kind not in ("span", "mean_gap") and types[f.name] == "double"}
+    return df.select(*columns, *[F.round(f.name, 6).alias(f.name) if f.name in inexact else F.col(f.name) for f in features])
 
 
 # ---- the runs -------------------------------------------------------------------------------------------------------
