@@ -69,16 +69,18 @@ def shift_hours(micros: str | Column, hours: int) -> Column:
     return _col(micros) + hours * 3600 * MICROS
 
 
-def parse_timestamp(text: str | Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Zone-less timestamp from text; NULL where the text does not parse."""
-    return F.try_to_timestamp(_col(text), F.lit(pattern)).cast("timestamp_ntz")
+def parse_timestamp(text: str | Column, pattern: str | None = None) -> Column:
+    """Zone-less timestamp from text. Without a pattern, ISO text is read and other text gives NULL."""
+    if pattern is None:
+        return _col(text).try_cast("timestamp_ntz")
+    return F.to_timestamp_ntz(_col(text), F.lit(pattern))
 
 
 def format_epoch(seconds: str | Column, zone: str = "UTC") -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text of an epoch second in ``zone``."""
+    """``yyyy-MM-dd HH:mm:ss`` text of a whole epoch second in ``zone``."""
     epoch = F.make_timestamp_ntz(*(F.lit(v) for v in (1970, 1, 1, 0, 0, 0)))
-    utc = epoch + F.make_dt_interval(secs=_col(seconds).cast("decimal(18,6)"))
-    return F.date_format(shift_zone(utc, zone), "yyyy-MM-dd HH:mm:ss")
+    utc = epoch + F.make_dt_interval(secs=F.floor(_col(seconds)).cast("decimal(18,6)"))
+    return shift_zone(utc, zone).cast("string")
 
 
 def hour_band(hour: str | Column) -> Column:

@@ -14,8 +14,7 @@ from clickfeat.functions.timeparts import epoch_seconds, gap_seconds, seconds_fi
 from clickfeat.naming import TIME
 from clickfeat.operators import groups, history, ordered
 
-# Kinds whose value is the same for all rows of a key.
-TABLE_KINDS = ("size", "count", "distinct", "stat", "two_level", "span", "mean_gap", "ratio", "last_day_ratio")
+# Kinds that depend on the row's place in time; all others have one value per key.
 ORDER_KINDS = ("ordinal", "gap", "sentinel", "delta")
 
 
