@@ -9,7 +9,10 @@ the log would stop the job. The helpers here cut such keys into slices of about
 
 Cut positions come from a hash sample of the rows. The sample only decides where slices end: every row is kept and
 results are exact for any choice of cuts. What is broadcast is bounded by ``spark.clickfeat.maxCuts`` rows,
-whatever the size of the log.
+whatever the size of the log. The sample is a function of the row, so every pass over the same log finds the same
+cuts; a log that changes between passes (a ``limit`` without order) must be written out first.
+
+A table that Spark estimates below the size of one slice is not cut: its plan is the plain window or join.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ SLICE_ROWS_CONF = "spark.clickfeat.sliceRows"
 MAX_CUTS_CONF = "spark.clickfeat.maxCuts"
 DEFAULT_SLICE_ROWS = 1_000_000
 DEFAULT_MAX_CUTS = 65_536
+# Narrow rows take at least this much in a scan; used to tell tables smaller than a slice.
+SMALL_ROW_BYTES = 16
 # Rows with a NULL key belong to no group; they only need an even spread.
 NULL_KEY_SPREAD = 4_096
 
@@ -42,6 +47,12 @@ def max_cuts(spark: SparkSession) -> int:
     return int(spark.conf.get(MAX_CUTS_CONF, str(DEFAULT_MAX_CUTS)))
 
 
+def fits_one_slice(df: DataFrame) -> bool:
+    """Whether Spark's size estimate puts the whole table below one slice."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= slice_rows(df.sparkSession) * SMALL_ROW_BYTES
+
+
 def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.lit(False))
 
@@ -79,8 +90,11 @@ def salted_join(
     The key table grows by at most ``maxCuts`` rows. ``unique`` identifies a row and drives the spread. When ``rows``
     is costly to compute, ``base`` may name a cheaper table with the same keys and row ids to find hot keys in.
     """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(rows if base is None else base, keys, unique))
+    keys, base = list(keys), rows if base is None else base
+    made = [c for c in one_per_key.columns if c not in keys]
+    if fits_one_slice(base):
+        return rows.join(one_per_key, keys, "left").select(*rows.columns, *made)
+    hot = F.broadcast(hot_keys(base, keys, unique))
     spread = F.pmod(F.xxhash64(*unique), F.coalesce(FAN, F.lit(0)) + 1).cast("int")
     loose = F.pmod(F.xxhash64(*unique), F.lit(NULL_KEY_SPREAD)).cast("int")
     left = rows.join(hot, keys, "left").withColumn(SALT, F.when(any_null(keys), loose).otherwise(spread)).drop(FAN)
@@ -89,7 +103,6 @@ def salted_join(
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(FAN, F.lit(0)))))
         .drop(FAN)
     )
-    made = [c for c in one_per_key.columns if c not in keys]
     return left.join(right, [*keys, SALT], "left").select(*rows.columns, *made)
 
 
@@ -115,6 +128,10 @@ class SlicedRows:
         self.keys, self.order = list(keys), list(order)
         self.columns = df.columns
         sample = sample if sample is not None else base if base is not None else df
+        self.is_cut = not fits_one_slice(sample)
+        if not self.is_cut:
+            self.rows = self.base_rows = df
+            return
         cuts = _sampled(sample, self.keys, unique or [*self.keys, *self.order], self.order)
         self.rows = self._cut(df, cuts)
         self.base_rows = self.rows if base is None else self._cut(base, cuts)
@@ -133,7 +150,7 @@ class SlicedRows:
 
     def window(self) -> WindowSpec:
         """All rows of the slice."""
-        return Window.partitionBy(*self.keys, SLICE)
+        return Window.partitionBy(*self.keys, *([SLICE] if self.is_cut else []))
 
     def ordered(self) -> WindowSpec:
         return self.window().orderBy(*self.order)
@@ -149,14 +166,16 @@ class SlicedRows:
 
         ``parts`` are aggregates of one slice. Each of ``stages`` combines them over the slices of a key, in order;
         the results of the last stage are joined. Only keys that were cut appear, so the table has at most
-        ``2 * maxCuts`` rows. Uncut keys get NULL.
+        ``2 * maxCuts`` rows. Keys and tables that were not cut get NULL.
         """
+        over_slices = Window.partitionBy(*self.keys).orderBy(SLICE)
+        made = stages[-1](over_slices)
+        if not self.is_cut:
+            return onto.withColumns({n: F.lit(None) for n in made})
         split = (self.base_rows if source is None else source).where(F.col(SPLIT))
         table = split.groupBy(*self.keys, SLICE).agg(*[c.alias(n) for n, c in parts.items()])
-        over_slices = Window.partitionBy(*self.keys).orderBy(SLICE)
         for stage in stages[:-1]:
             table = table.withColumns(stage(over_slices))
-        made = stages[-1](over_slices)
         table = table.select(*self.keys, SLICE, *[c.alias(n) for n, c in made.items()])
         return onto.join(F.broadcast(table), [*self.keys, SLICE], "left")
 

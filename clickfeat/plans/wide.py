@@ -24,7 +24,7 @@ from clickfeat.naming import MICROS, ROW_ID, TIME
 from clickfeat.operators.groups import group_table
 from clickfeat.operators.history import PRIOR_CLICKS
 from clickfeat.operators.ordered import NO_NEXT_CLICK_SECOND
-from clickfeat.operators.slices import any_null, hot_keys, salted_join
+from clickfeat.operators.slices import any_null, fits_one_slice, hot_keys, salted_join
 from clickfeat.plans.features import ORDER_KINDS, Feature, add_features
 from clickfeat.sources.store import FeatureStore
 
@@ -165,7 +165,7 @@ def lead_features(log: DataFrame, features: Sequence[Feature], lead: str, column
     narrow = log.select(*[c for c in needed if c in log.columns])
     present = narrow.where(F.col(lead).isNotNull())
     hot = hot_keys(present, [lead], [ROW_ID]).select(lead)
-    if hot.isEmpty():
+    if fits_one_slice(log) or hot.isEmpty():
         wide = window_features(present, features, lead)
     else:
         # At most maxCuts lead values, so the list is broadcast.
