@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clickfeat.functions.scalars import hash_bucket
 from clickfeat.functions.timeparts import epoch_seconds, hours_field, seconds_field, whole_seconds
 from clickfeat.naming import ROW_ID, TIME, as_list, feature_name
-from clickfeat.operators.slices import SlicedRows, all_slices, earlier_slices, salted_join, with_keys
+from clickfeat.operators.slices import SlicedRows, all_slices, any_null, earlier_slices, salted_join, with_keys
 
 NO_NEXT_CLICK_SECOND = 3_000_000_000
 
@@ -52,15 +52,20 @@ def neighbour(
     """``value`` of the next (``step=1``) or previous (``step=-1``) row of the group; NULL at the end."""
     if step not in (1, -1):
         raise ValueError("step must be 1 or -1")
-    shift, edge = (F.lead, F.min) if step == 1 else (F.lag, F.max)
+    shift, edge, edge_by = (F.lead, F.min, F.min_by) if step == 1 else (F.lag, F.max, F.max_by)
     sliced = SlicedRows(df, keys, order, base)
+    # Value of the slice's outermost row. A long or date as aggregate state stays in the hash aggregation; a struct
+    # would sort the rows first.
+    if value == order[0]:
+        outermost = edge(value)
+    elif len(order) == 1:
+        outermost = edge_by(value, order[0])
+    else:
+        outermost = edge_by(value, F.struct(*order))
     # A boxed value tells "no neighbour in this slice" from "neighbour holds NULL".
-    boxed = F.struct(F.col(value).alias("v"))
-    rows = sliced.rows.withColumn("_near", shift(boxed).over(sliced.ordered()))
+    rows = sliced.rows.withColumn("_near", shift(F.struct(F.col(value).alias("v"))).over(sliced.ordered()))
     rows = sliced.carry(
-        rows,
-        {"_edge": edge(F.struct(F.struct(*order).alias("at"), F.col(value).alias("v")))},
-        lambda w: {"_far": shift(F.struct(F.col("_edge.v").alias("v"))).over(w)},
+        rows, {"_edge": outermost}, lambda w: {"_far": shift(F.struct(F.col("_edge").alias("v"))).over(w)}
     )
     return sliced.finish(rows, {name: F.coalesce("_near", "_far")["v"]})
 
@@ -199,15 +204,14 @@ def next_click_or_sentinel(
     ``buckets`` groups by a hash of the key instead of the key itself (``scalars.HASH_BUCKETS`` is the usual number).
     """
     name = name or feature_name(keys, "hash_click")
-    made = {"_sec": epoch_seconds(t)}
+    grouped = list(keys)
+    log, base = df, df if base is None else base
     if buckets:
-        made["_bucket"] = hash_bucket(keys, buckets)
-    grouped = ["_bucket"] if buckets else list(keys)
-    found = neighbour(
-        df.withColumns(made), grouped, "_sec", "_next", 1, (t, rid), None if base is None else base.withColumns(made)
-    )
-    gap = F.coalesce("_next", F.lit(NO_NEXT_CLICK_SECOND)) - F.col("_sec")
-    return found.select(*df.columns, gap.alias(name))
+        grouped, bucket = ["_bucket"], hash_bucket(keys, buckets)
+        log, base = log.withColumn("_bucket", bucket), base.withColumn("_bucket", bucket)
+    found = neighbour(log, grouped, t, "_next_t", 1, (t, rid), base)
+    gap = F.coalesce(epoch_seconds("_next_t"), F.lit(NO_NEXT_CLICK_SECOND)) - epoch_seconds(t)
+    return found.select(*df.columns, F.when(~any_null(keys), gap).alias(name))
 
 
 def previous_in_file(df: DataFrame, value: str, name: str | None = None, rid: str = ROW_ID) -> DataFrame:

@@ -138,14 +138,16 @@ class SlicedRows:
 
     def _cut(self, df: DataFrame, cuts: DataFrame) -> DataFrame:
         position = F.struct(*self.order)
-        sorted_cuts = F.sort_array(F.collect_list(position)).alias(CUTS)
-        number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(_cuts_up_to(position, max_cuts(df.sparkSession)))
+        found = cuts.groupBy(*self.keys).agg(F.sort_array(F.collect_list(position)).alias("at"))
+        packed = F.struct("at", _search_steps("at", max_cuts(df.sparkSession))).alias(CUTS)
+        if self.keys:
+            located = df.join(F.broadcast(found.select(*self.keys, packed)), self.keys, "left")
+        else:
+            located = df.withColumn(CUTS, found.select(packed).scalar())
+        number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(_cuts_up_to(position))
         if self.keys:
-            located = df.join(F.broadcast(cuts.groupBy(*self.keys).agg(sorted_cuts)), self.keys, "left")
             loose = F.pmod(F.xxhash64(*self.order), F.lit(NULL_KEY_SPREAD)).cast("int")
             number = F.when(any_null(self.keys), loose).otherwise(number)
-        else:
-            located = df.withColumn(CUTS, cuts.agg(sorted_cuts).scalar())
         return located.withColumns({SLICE: number, SPLIT: F.col(CUTS).isNotNull()}).drop(CUTS)
 
     def window(self) -> WindowSpec:
@@ -194,11 +196,17 @@ def earlier_slices(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _cuts_up_to(position: Column, limit: int) -> Column:
-    """How many of the sorted cuts lie at or before ``position`` (binary search, one step per power of two)."""
-    steps = [1 << bit for bit in range(max(limit, 1).bit_length(), -1, -1)]
+def _search_steps(cuts: str, limit: int) -> Column:
+    """Powers of two up to the number of cuts, largest first."""
+    powers = F.array(*[F.lit(1 << bit) for bit in range(limit.bit_length(), -1, -1)])
+    return F.filter(powers, lambda power: power <= F.size(cuts)).alias("steps")
+
+
+def _cuts_up_to(position: Column) -> Column:
+    """How many of the sorted cuts lie at or before ``position``: a binary search, one comparison per step."""
+    cuts = F.col(CUTS)
     return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
+        cuts["steps"],
         F.lit(0),
-        lambda at, step: F.when(F.get(F.col(CUTS), at + step - 1) <= position, at + step).otherwise(at),
+        lambda at, step: F.when(F.get(cuts["at"], at + step - 1) <= position, at + step).otherwise(at),
     )
