@@ -46,10 +46,11 @@ class BetaPrior:
 
 def count_histogram(df: DataFrame, impressions: str, clicks: str) -> DataFrame:
     """Distinct values of clicks, non-clicks and impressions with their number of rows."""
-    entry = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("double").alias("value"))
     c, i = F.col(clicks), F.col(impressions)
+    values = {"clicked": c, "skipped": i - c, "shown": i}
+    entries = [F.struct(F.lit(k).alias("kind"), v.cast("double").alias("value")) for k, v in values.items()]
     return (
-        df.select(F.explode(F.array(entry("clicked", c), entry("skipped", i - c), entry("shown", i))).alias("e"))
+        df.select(F.explode(F.array(*entries)).alias("e"))
         .groupBy("e.kind", "e.value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )

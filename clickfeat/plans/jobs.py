@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickfeat.functions.scalars import MISSING_GAP, fill_missing
 from clickfeat.functions.timeparts import add_time_parts, shift_zone

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.operators import relational
 from clickfeat.plans import catalog, jobs, wide
-from clickfeat.plans.features import Feature
+from clickfeat.plans.features import Feature, size, statistic
 from clickfeat.registry.base import query
 from clickfeat.registry.relational import _BOTH, train_and_test
 from clickfeat.sources.clicklog import events_as_clicks
@@ -230,8 +230,6 @@ def user_item_features(spark, sf_dir):
 )
 def stored_feature_tables(spark, sf_dir):
     """Written once, read back by name: the second call finds the first one's tables."""
-    from clickfeat.plans.features import size, statistic
-
     log, store = events_as_clicks(spark, sf_dir), run_store(spark)
     features = [size("app"), statistic("mean", "hour", "app")]
     for _ in range(2):

@@ -108,8 +108,11 @@ def test_smoothing_matches_tail_sums(spark):
     pairs = [(10, 0), (5, 5), (20, 3), (8, 1), (20, 3)]
     found = smoothing.fit_beta_prior(spark.createDataFrame(pairs, "i long, c long"), "i", "c", max_rounds=15)
     alpha = beta = 1.0
+
+    def rise(n, a):
+        return sum(1 / (a + k) for k in range(n))
+
     for _ in range(15):
-        rise = lambda n, a: sum(1 / (a + k) for k in range(n))
         below = sum(rise(i, alpha + beta) for i, _ in pairs)
         alpha, beta = (
             alpha * sum(rise(c, alpha) for _, c in pairs) / below,
