@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, mixing, sharding
+from clickfeat.llm import chat, mixing, quality, sharding
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,14 @@ def op1_chat_formatting(spark, sf_dir):
     )
 
 
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    """Quality scores of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.ranked(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", (quality.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op8_sharding")
 def op8_sharding(spark, sf_dir):
     """All documents in 16 shards whose row counts differ by at most one."""

@@ -48,10 +48,12 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """Words of consecutive rows: row ``i`` owns words ``bounds[i]:bounds[i + 1]`` at bytes ``starts:ends`` of ``data``."""
+    """Words of consecutive rows from row ``first`` on: row ``i`` of them owns bytes ``offsets[i]:offsets[i + 1]`` of
+    ``data`` and words ``bounds[i]:bounds[i + 1]``, which are its bytes ``starts:ends``."""
 
     first: int
     data: np.ndarray
+    offsets: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
@@ -119,7 +121,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
         end[1:-1] &= ~solid[1:]
         end[inner] = solid[inner - 1]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
-        yield Words(first, data, starts, ends, np.searchsorted(starts, offsets), _hash_words(data, starts, ends))
+        yield Words(first, data, offsets, starts, ends, np.searchsorted(starts, offsets), _hash_words(data, starts, ends))
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
