@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, mixing, quality, sharding
+from clickfeat.llm import chat, decontaminate, mixing, quality, sharding
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,12 @@ def op8_sharding(spark, sf_dir):
     )
 
 
+@query("op9_decontamination")
+def op9_decontamination(spark, sf_dir):
+    """Documents whose words cover half of a benchmark item or more, with the item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query(
     "op10_mixing",
     """WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),

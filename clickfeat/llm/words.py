@@ -130,7 +130,6 @@ def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total, width = None, 0
     bit, block = 1, hashes
-    factor = _STEP
     while True:  # binary doubling: block covers ``bit`` values, total the last ``width`` ones taken so far
         if k & bit:
             if total is None:
@@ -142,8 +141,7 @@ def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
         if width == k:
             return mix(total)
         n = len(hashes) - 2 * bit + 1
-        block = block[: max(n, 0)] * factor + block[bit : bit + max(n, 0)]
-        factor = factor * factor
+        block = block[: max(n, 0)] * _power(bit) + block[bit : bit + max(n, 0)]
         bit *= 2
 
 
