@@ -47,7 +47,7 @@ def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket
     scattered = rows.select(
         F.pmod(seeded, F.lit(buckets)).cast("int").alias("_bucket"),
         F.struct(F.xxhash64(F.lit(seed + 1), "_id").alias("h"), F.col("_row").alias("row")).alias("_item"),
-    ).repartition(buckets, "_bucket")
+    ).repartitionById(buckets, F.col("_bucket"))
     order = F.shuffle(F.sort_array(F.collect_list("_item")), F.lit(seed))
     shuffled = scattered.groupBy("_bucket").agg(order.alias("_items"))
     written = stored(
