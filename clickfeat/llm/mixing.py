@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.llm.common import stored, without
 
-SLICE_ROWS = 100_000
+SLICE_ROWS = 10_000
 MAX_EPOCHS = 3
 SEED = "mix-1"
 

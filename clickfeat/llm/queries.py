@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, mixing, near_duplicates, quality, sharding
+from clickfeat.llm import chat, decontaminate, lm, mixing, near_duplicates, quality, sharding
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,12 @@ def op1_chat_formatting(spark, sf_dir):
     )
 
 
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark, sf_dir):
+    """Log10 probabilities of all documents under the subword lattice and the unigram base."""
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op5_ngram_jaccard")
 def op5_ngram_jaccard(spark, sf_dir):
     """Near-duplicate components of all documents."""

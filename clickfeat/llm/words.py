@@ -153,3 +153,14 @@ def inside(bounds: np.ndarray, k: int, total: int) -> np.ndarray:
     """True for each of the ``total`` window places whose ``k`` words lie in one row."""
     row_end = np.repeat(bounds[1:], np.diff(bounds))[:total]
     return np.arange(total) + k <= row_end
+
+
+def spelled(words: Words, index: np.ndarray) -> pa.Array:
+    """The words at ``index`` as an Arrow text column."""
+    starts, ends = words.starts[index], words.ends[index]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    at = np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])
+    data = words.data[at]
+    return pa.Array.from_buffers(
+        pa.string(), len(index), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+    )
