@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, lm, mixing, near_duplicates, quality, sharding
+from clickfeat.llm import chat, decontaminate, lm, mixing, near_duplicates, quality, sharding, substrings
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,13 @@ def op1_chat_formatting(spark, sf_dir):
     )
 
 
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, sf_dir):
+    """All documents without the words of repeated 20-word windows."""
+    out = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op4_lm_scoring")
 def op4_lm_scoring(spark, sf_dir):
     """Log10 probabilities of all documents under the subword lattice and the unigram base."""
