@@ -7,9 +7,7 @@ Within a band the bound on the symmetric difference is k: the hashed domain is c
 differs in few elements, and that part into n2 pieces, of which all subsets of n2 - k2 are enumerated. Linked sets
 share the hash of their content on at least one subset.
 
-Sets that are equal are linked first and signed once. Candidates come from equal signatures: each set is compared with the
-smallest set of its signatures, and only where a signature still joins different components are its other pairs
-compared, so no group is expanded into all its pairs while one component holds it.
+Sets that are equal are linked first and signed once. Candidates come from equal signatures, see ``candidates``.
 """
 
 from __future__ import annotations
@@ -22,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickfeat.llm.candidates import PACKED, pack, resolve, shared
 from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
 from clickfeat.llm.components import components
 from clickfeat.llm.words import Words, inside, mix, window_hashes, words_of
 
 WIDTH, PERCENT = 4, 85
 SPARE = 1  # parts beyond those that the bound asks for, so that a match on an empty subset need not count
-HOT = 64  # sets of one batch that share a signature are tied to one of them before the shuffle, from this count on
 BUCKET_BYTES = 8 << 20  # text bytes per signature bucket
 
 
@@ -155,7 +153,7 @@ def _digests(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """Signatures of all documents, packed by range of the signature: (bucket, hot, base, signatures, nodes)."""
+    """Signatures of all documents, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,88 +161,10 @@ def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFram
             for words in words_of(batch.column("text"), lower=True):
                 found, owner = signatures(*shingle_sets(words, width), percent)
                 parts.append((found, nodes[words.first + owner]))
-            if not parts:
-                continue
-            found, owner = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(found, kind="stable")
-            found, owner = found[order], owner[order]
-            first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
-            times = np.diff(np.append(first, len(found)))
-            rows = []
-            if (times >= HOT).any():
-                hot = np.repeat(times >= HOT, times)
-                least = np.minimum.reduceat(owner, first)
-                leaders = least[times >= HOT]
-                rows.append((int(found[hot][0] % np.uint64(buckets)), np.repeat(leaders, times[times >= HOT]), found[hot], owner[hot]))
-                keep = ~hot
-                keep[first[times >= HOT]] = True
-                owner = np.where(hot, np.repeat(least, times), owner)[keep]
-                found = found[keep]
-            bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(found) else []
-            rows += [(int(bucket[i]), None, found[i:j], owner[i:j]) for i, j in itertools.pairwise(cuts)]
-            base = int(owner.min()) if len(owner) else 0
-            small = len(owner) and int(owner.max()) - base < 1 << 32
-            kind = np.uint32 if small else np.int64
-            pack = lambda x: ((x - base) if small else x).astype(kind).tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.int32()),
-                    pa.array([None if r[1] is None else r[1].astype(np.int64).tobytes() for r in rows], pa.binary()),
-                    pa.array([base if small else None] * len(rows), pa.int64()),
-                    pa.array([r[2].tobytes() for r in rows], pa.binary()),
-                    pa.array([pack(r[3]) if r[1] is None else r[3].astype(np.int64).tobytes() for r in rows], pa.binary()),
-                ],
-                ["bucket", "leaders", "base", "signatures", "nodes"],
-            )
-
-    return docs.select("_node", "text").mapInArrow(
-        run, "bucket int, leaders binary, base long, signatures binary, nodes binary"
-    )
+            if parts:
+                yield pack(*(np.concatenate(x) for x in zip(*parts)), buckets)
 
-
-def _members(signed: DataFrame) -> DataFrame:
-    """(signature, leader, node) of every signature that several sets share; the leader is the smallest of them, or the
-    smallest of one batch for the sets that were tied there."""
-
-    def table(signature, leader, node):
-        arrays = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in (signature, leader, node)]
-        return pa.RecordBatch.from_arrays(arrays, ["signature", "leader", "node"])
-
-    def merged(parts):
-        found, node = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((node, found))
-        found, node = found[order], node[order]
-        new = np.ones(len(found), bool)
-        new[1:] = (found[1:] != found[:-1]) | (node[1:] != node[:-1])
-        found, node = found[new], node[new]
-        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-        times = np.diff(np.append(first, len(found)))
-        shared = np.repeat(times > 1, times)
-        return table(found[shared], np.repeat(node[first], times)[shared], node[shared])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, parts = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = np.frombuffer(row["signatures"], np.uint64)
-                if row["leaders"] is not None:
-                    leader, node = np.frombuffer(row["leaders"], np.int64), np.frombuffer(row["nodes"], np.int64)
-                    yield table(found, leader, node)
-                    continue
-                if row["bucket"] != bucket and parts:
-                    yield merged(parts)
-                    parts = []
-                bucket = row["bucket"]
-                if row["base"] is None:
-                    parts.append((found, np.frombuffer(row["nodes"], np.int64)))
-                else:
-                    parts.append((found, np.frombuffer(row["nodes"], np.uint32).astype(np.int64) + row["base"]))
-        if parts:
-            yield merged(parts)
-
-    sorted_ = signed.repartition("bucket").sortWithinPartitions("bucket")
-    return sorted_.mapInArrow(run, "signature long, leader long, node long")
+    return docs.select("_node", "text").mapInArrow(run, PACKED)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -288,13 +208,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _labelled(rows: DataFrame, label: DataFrame, by: str, name: str, few: bool) -> DataFrame:
-    """``rows`` plus the component of the node in column ``by``; a node without links is its own component."""
-    side = label.select(F.col("node").alias("_of"), F.col("component").alias("_label"))
-    joined = rows.join(F.broadcast(side) if few else side, F.col(by) == F.col("_of"), "left")
-    return joined.withColumn(name, F.coalesce("_label", by)).drop("_of", "_label")
-
-
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text); other columns are not read.
 
@@ -319,35 +232,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     distinct = keyed.select("_node", "text").join(side, "_node", "left_anti")
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     signed = _signed(distinct, width, percent, int(text_bytes // BUCKET_BYTES) + 1)
-    members = stored(_members(signed), "near-members")
+    members = stored(shared(signed), "near-members")
 
     alike = stored(members.select(F.col("node").alias("_node")).distinct(), "near-alike")
     sets = stored(_sets(semi_join(distinct, alike, "_node"), width).dropDuplicates(["node"]), "near-sets")
-
-    # Each set against the smallest leader of its signatures.
-    pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where(F.col("a") < F.col("node"))
-    tested = stored(pairs.select("a", F.col("node").alias("b")), "near-pairs")
-    links = stored(_verified(tested, sets, percent), "near-links")
-    for leaders_only in (True, False):
-        label = stored(components(links), "near-components")
-        few = label.count() <= BROADCAST_ROWS
-        open_ = _labelled(_labelled(members, label, "node", "c", few), label, "leader", "leader_c", few)
-        if leaders_only:
-            # Against the leaders of all signatures that still join different components.
-            apart = open_.where(F.col("c") != F.col("leader_c"))
-            pairs = apart.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        else:
-            # Where a signature joins different components after that: everything outside the leader's against the rest.
-            outside = stored(open_.where(F.col("c") != F.col("leader_c")), "near-outside")
-            left = outside.select("signature", F.col("node").alias("a"), F.col("c").alias("_c"))
-            shared = semi_join(open_, outside.select("signature").distinct(), "signature")
-            right = shared.select("signature", F.col("node").alias("b"), F.col("c").alias("_d"))
-            crossed = left.join(right, "signature").where(F.col("_c") != F.col("_d"))
-            pairs = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-        more = stored(pairs, "near-pairs")
-        tested = tested.unionByName(more)
-        links = links.unionByName(stored(_verified(more, sets, percent), "near-links"))
+    links = resolve(members, lambda pairs: _verified(pairs, sets, percent))
     label = stored(components(links.unionByName(equal)), "near-components")
     joined = all_sets.join(label, "node", "left").withColumn("_c", F.coalesce("component", "node"))
     least = joined.groupBy("_c").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("_c", "_of")
