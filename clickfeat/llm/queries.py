@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, lm, mixing, near_duplicates, quality, sharding, substrings
+from clickfeat.llm import chat, decontaminate, lm, maxscore, mixing, near_duplicates, quality, sharding, substrings
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,23 @@ def op2_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query(
+    "op3_maxscore",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vector FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vector, c.vector)::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+)
+def op3_maxscore(spark, sf_dir):
+    """The ten nearest vectors of every hundredth vector, by integer inner product."""
+    given = table(spark, sf_dir, "embeddings")
+    vectors = given.select("vec_id", maxscore.integers(F.col("embedding")).alias("vector"))
+    return maxscore.search(vectors.where(F.col("vec_id") % 100 == 0), vectors)
+
+
 @query("op4_lm_scoring")
 def op4_lm_scoring(spark, sf_dir):
     """Log10 probabilities of all documents under the subword lattice and the unigram base."""
