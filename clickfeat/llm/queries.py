@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, lm, maxscore, mixing, near_duplicates, quality, sharding, substrings
+from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, quality, sharding, substrings
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,14 @@ def op6_quality(spark, sf_dir):
     return out.select("doc_id", (quality.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+@query("op7_line_dedup")
+def op7_line_dedup(spark, sf_dir):
+    """All documents without the lines that repeat an earlier line, exactly or nearly."""
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    kept = F.coalesce("kept", F.lit("")).cast("binary")
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 @query("op8_sharding")
 def op8_sharding(spark, sf_dir):
     """All documents in 16 shards whose row counts differ by at most one."""
