@@ -27,6 +27,7 @@ from clickfeat.llm.words import Words, inside, mix, window_hashes, words_of
 
 WIDTH, PERCENT = 4, 85
 SPARE = 1  # parts beyond those that the bound asks for, so that a match on an empty subset need not count
+SCHEMES = 8  # partitions of the domain that are tried for sets with too many empty subsets
 BUCKET_BYTES = 8 << 20  # text bytes per signature bucket
 
 
@@ -74,48 +75,71 @@ def layout(bound: int) -> tuple[int, int, int]:
     return bound // 2 + 1 + SPARE, 3, 1
 
 
+def _enumerated(values: np.ndarray, starts: np.ndarray, tag: np.ndarray, bound: np.ndarray, scheme: int, last: bool):
+    """Signatures of one scheme, the number of the set of each, and which sets ask for another scheme.
+
+    Of the first-level parts, SPARE + 1 at least (one, if there is only one) agree on a subset of their pieces. A set of
+    which at most SPARE parts (none) have an empty subset therefore agrees on a subset that is not empty, and need not
+    sign the empty ones, which unrelated sets would share. The others go to the next scheme, another partition of the
+    domain: a pair is found in the first scheme that is good for one of the two. Only the last scheme signs empty subsets.
+    """
+    sizes = np.diff(starts)
+    n1, n2, k2 = np.array([layout(b) for b in range(int(bound.max(initial=0)) + 1)])[bound].T
+    n1 = np.where(sizes > 0, n1, 0)
+    pieces = n1 * n2
+    base = np.concatenate([[0], np.cumsum(pieces)])
+    # The hash is sorted within a set, and so is the piece, which is its high part scaled to the number of pieces.
+    piece = ((values >> np.uint64(32)) * np.repeat(pieces, sizes).astype(np.uint64)) >> np.uint64(32)
+    slot = np.repeat(base[:-1], sizes) + piece.astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else np.zeros(0, np.int64)
+    sums, counts = np.zeros(base[-1], np.uint64), np.zeros(base[-1], np.int64)
+    if len(first):
+        sums[slot[first]] = np.add.reduceat(mix(values + np.uint64(0x51ED2701A5)), first)
+        counts[slot[first]] = np.diff(np.append(first, len(slot)))
+    out, owners, bad = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], np.zeros(len(sizes), bool)
+    for two, keep in sorted({(int(x), int(x - y)) for x, y in zip(n2, k2)}):
+        mine = (n2 == two) & (n2 - k2 == keep) & (sizes > 0)
+        use = np.repeat(mine, pieces)
+        owner = np.repeat(np.flatnonzero(mine), n1[mine])
+        part = np.arange(len(owner)) - np.repeat(np.cumsum(n1[mine]) - n1[mine], n1[mine])
+        grid, size = sums[use].reshape(-1, two), counts[use].reshape(-1, two)
+        subsets = list(itertools.combinations(range(two), keep))
+        total = np.stack([grid[:, x].sum(axis=1, dtype=np.uint64) for x in subsets], axis=1)
+        empty = np.stack([size[:, x].sum(axis=1) == 0 for x in subsets], axis=1)
+        place = (tag[owner].astype(np.uint64) << np.uint64(32)) + part.astype(np.uint64)
+        code = mix(place + (np.uint64(scheme) << np.uint64(56)))[:, None]
+        code = code + np.arange(1, len(subsets) + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+        gaps = np.bincount(owner[empty.any(axis=1)], minlength=len(sizes))
+        bad |= gaps > np.where(n1 > 1, SPARE, 0)
+        signed = ~empty | (last & bad[owner][:, None])
+        out.append(mix(total + code)[signed])
+        owners.append(np.repeat(owner, len(subsets)).reshape(-1, len(subsets))[signed])
+    return np.concatenate(out), np.concatenate(owners), bad
+
+
 def signatures(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of the sets ``values[starts[i]:starts[i + 1]]``, and the number i of the set of each."""
     sizes = np.diff(starts)
     ends = bands(int(sizes.max(initial=1)), percent)
     own = np.searchsorted(ends, np.maximum(sizes, 1))
-    marked = mix(values + np.uint64(0x51ED2701A5))
-    out, owners = [], []
+    out, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for tag in (own, own + 1):
         bound = 2 * ends[tag] * (100 - percent) // (100 + percent)
-        n1, n2, k2 = np.array([layout(b) for b in range(int(bound.max(initial=0)) + 1)])[bound].T
-        n1 = np.where(sizes > 0, n1, 0)
-        pieces = n1 * n2
-        base = np.concatenate([[0], np.cumsum(pieces)])
-        # The hash is sorted within a set, and so is the piece, which is its high part scaled to the number of pieces.
-        piece = ((values >> np.uint64(32)) * np.repeat(pieces, sizes).astype(np.uint64)) >> np.uint64(32)
-        slot = np.repeat(base[:-1], sizes) + piece.astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else np.zeros(0, np.int64)
-        sums, counts = np.zeros(base[-1], np.uint64), np.zeros(base[-1], np.int64)
-        if len(first):
-            sums[slot[first]] = np.add.reduceat(marked, first)
-            counts[slot[first]] = np.diff(np.append(first, len(slot)))
-        for two, keep in {(int(a), int(a - b)) for a, b in zip(n2, k2)}:
-            mine = (n2 == two) & (n2 - k2 == keep) & (sizes > 0)
-            use = np.repeat(mine, pieces)
-            owner = np.repeat(np.flatnonzero(mine), n1[mine])
-            part = np.arange(len(owner)) - np.repeat(np.cumsum(n1[mine]) - n1[mine], n1[mine])
-            grid, size = sums[use].reshape(-1, two), counts[use].reshape(-1, two)
-            subsets = list(itertools.combinations(range(two), keep))
-            total = np.stack([grid[:, s].sum(axis=1, dtype=np.uint64) for s in subsets], axis=1)
-            empty = np.stack([size[:, s].sum(axis=1) == 0 for s in subsets], axis=1)
-            place = (tag[owner].astype(np.uint64) << np.uint64(32)) + part.astype(np.uint64)
-            code = mix(place)[:, None] + np.arange(1, len(subsets) + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
-            signed = np.ones_like(empty)
-            if (two, keep) == (3, 2):
-                # Of the parts that agree at least 1 + SPARE do so on some subset, so a set with at most SPARE parts
-                # that have an empty subset agrees on a subset that is not empty, and need not sign the empty ones.
-                many = np.bincount(owner[empty.any(axis=1)], minlength=len(sizes)) > SPARE
-                large = bound[owner] > 3
-                signed = ~empty | many[owner][:, None] | ~large[:, None]
-            out.append(mix(total + code)[signed])
-            owners.append(np.repeat(owner, len(subsets)).reshape(-1, len(subsets))[signed])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64), np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        sets, value, start = np.arange(len(sizes)), values, starts
+        for scheme in range(SCHEMES):
+            found, owner, bad = _enumerated(value, start, tag[sets], bound[sets], scheme, scheme == SCHEMES - 1)
+            out.append(found)
+            owners.append(sets[owner])
+            if not bad.any():
+                break
+            # The sets that ask for it go on with another hash of their elements.
+            size = np.diff(start)
+            value = mix(value[np.repeat(bad, size)] ^ np.uint64(0x2545F4914F6CDD1D))
+            sets, size = sets[bad], size[bad]
+            row = np.repeat(np.arange(len(sets)), size)
+            value = value[np.lexsort((value, row))]
+            start = np.concatenate([[0], np.cumsum(size)])
+    return np.concatenate(out), np.concatenate(owners)
 
 
 def with_nodes(docs: DataFrame) -> DataFrame:
