@@ -233,9 +233,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text); other columns are not read.
+    """(doc_id, n_shingles, component_id, node, first) for every row of ``docs`` (doc_id, text); other columns are not read.
 
-    ``component_id`` is the smallest id among the documents reachable by links, the row's own included. Words are compared
+    ``component_id`` is the smallest id among the documents reachable by links, the row's own included; ``node`` tells
+    rows apart (see ``with_nodes``), and ``first`` marks the node of the component that has this id. Words are compared
     without the case of A-Z. A text without words, NULL included, has no shingles and links with nothing. Rows with a
     NULL id link like others; their component has the smallest id that is not NULL, or NULL. Repeated rows are one
     document; rows of one id with different texts are judged one by one. An empty table gives no rows.
@@ -263,7 +264,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = resolve(members, lambda pairs: _verified(pairs, sets, percent))
     label = stored(components(links.unionByName(equal)), "near-components")
     joined = all_sets.join(label, "node", "left").withColumn("_c", F.coalesce("component", "node"))
-    least = joined.groupBy("_c").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("_c", "_of")
-    return joined.join(least, F.col("_c") == F.col("_of")).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
+    order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "node")
+    least = joined.groupBy("_c").agg(F.min("doc_id").alias("component_id"), F.min(order).alias("_least"))
+    return joined.join(least.withColumnRenamed("_c", "_of"), F.col("_c") == F.col("_of")).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "node", (order == F.col("_least")).alias("first")
     )
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component, the first; repeated rows count as one. Columns are kept."""
+    gone = near_duplicates(docs, width, percent).where(~F.col("first")).select(F.col("node").alias("_node")).distinct()
+    gone = stored(gone, "near-gone")
+    rows = with_nodes(docs)
+    left = rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "_node", "left_anti")
+    # Only rows of one node can still be repeated, and only ids that stand for several rows have such nodes.
+    if not rows.where(~F.col("_node").eqNullSafe(F.col("doc_id").cast("long"))).isEmpty():
+        left = left.dropDuplicates(["_node"])
+    return left.drop("_node")

@@ -95,7 +95,8 @@ def op4_lm_scoring(spark, sf_dir):
 @query("op5_ngram_jaccard")
 def op5_ngram_jaccard(spark, sf_dir):
     """Near-duplicate components of all documents."""
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    out = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op6_quality")
