@@ -46,7 +46,9 @@ def text_key(columns: Sequence[str]) -> Column:
 
 
 def hash_bucket(columns: Sequence[str], buckets: int = HASH_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("long")
+    """Bucket of the columns' text key, from the first 15 hex digits of its md5 so that other engines find the same."""
+    digits = F.substring(F.md5(text_key(columns).cast("binary")), 1, 15)
+    return F.conv(digits, 16, 10).cast("long") % buckets
 
 
 def log_count(column: str | Column) -> Column:
@@ -67,8 +69,8 @@ def predictors(df: DataFrame, exclude: Sequence[str] = NOT_PREDICTORS) -> list[s
 
 
 def categoricals(df: DataFrame) -> list[str]:
-    numbered = [c for c in df.columns if c.endswith("ngroup")]
-    return [c for c in BASE_CATEGORICALS if c in df.columns] + numbered
+    """Columns taken as categories. Group numbers are left as numbers: there are as many of them as key tuples."""
+    return [c for c in BASE_CATEGORICALS if c in df.columns]
 
 
 def has_columns(df: DataFrame, columns: Sequence[str]) -> bool:

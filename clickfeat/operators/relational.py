@@ -78,8 +78,8 @@ def split_at(df: DataFrame, cutoff: str | Column, timestamp: str = "click_time")
     return df.where(F.col(timestamp) < bound), df.where(F.col(timestamp) >= bound)
 
 
-def split_days(df: DataFrame, train: tuple[int, int], validate: int, score: int, day: str = "day", label: str = "is_attributed") -> dict[str, DataFrame]:
-    """The four parts of the modelling run."""
+def split_days(df: DataFrame, train: tuple, validate, score, day: str = "day", label: str = "is_attributed") -> dict[str, DataFrame]:
+    """The four parts of the modelling run, by day of the month or, with ``day="date"``, by date."""
     return {
         "all_labelled": labelled(df, label),
         "train": between_days(df, *train, day),

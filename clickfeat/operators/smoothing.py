@@ -6,6 +6,7 @@ of one precomputed histogram, as a Spark aggregate; only three numbers per itera
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -57,15 +58,16 @@ def count_histogram(df: DataFrame, impressions: str, clicks: str) -> DataFrame:
 
 
 def fit_beta_prior(
-    df: DataFrame, impressions: str, clicks: str, alpha: float = 1.0, beta: float = 1.0, max_rounds: int = 1000, epsilon: float = 1e-10
+    df: DataFrame, impressions: str, clicks: str, alpha: float = 1.0, beta: float = 1.0, max_rounds: int | None = None, epsilon: float = 1e-10
 ) -> BetaPrior:
-    """Fit the prior; stops when both parameters move less than ``epsilon``.
+    """Fit the prior; stops when both parameters move less than ``epsilon``, or after ``max_rounds`` if given.
 
-    The step that falls below ``epsilon`` is not taken.
+    The step that falls below ``epsilon`` is not taken. Rates that differ no more than by chance have no finite answer:
+    the parameters then grow for very long, and ``max_rounds`` is the way to stop.
     """
     histogram = count_histogram(df, impressions, clicks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for done in range(max_rounds):
+        for done in itertools.count() if max_rounds is None else range(max_rounds):
             start = {"clicked": alpha, "skipped": beta, "shown": alpha + beta}
             gain = digamma(F.col("value") + F.col("start")) - digamma(F.col("start"))
             starts = F.create_map(*[F.lit(v) for pair in start.items() for v in pair])

@@ -73,7 +73,7 @@ WIDE = [*COUNTS, *DISTINCT, *STATISTICS, *TWO_LEVEL, *PLACES, *GAPS, *SPANS, *ME
 # Added once the wide table stands; the first one reads a column of it.
 DERIVED = [
     statistic("median", "ip_count", "app", name="ip_count_app_median"),
-    ratio("app", "channel", of=("app",), name="ratio1"),
+    ratio("app", of=("app", "channel"), name="ratio1"),
 ]
 
 # ---- counts over train and test together ----------------------------------------------------------------------------
@@ -124,6 +124,7 @@ DELTAS = [
 ]
 # The gap of this key is read one row later in file order.
 SHIFTED_DELTA = ("ip", "os", "app")
+# The key of each letter.
 RUNNING_KEYS = {
     "a": ("ip",),
     "b": ("device",),
@@ -153,13 +154,39 @@ HISTORY_KEYS = [
     ("ip", "channel"),
 ]
 
+# ---- statistics of the second schema --------------------------------------------------------------------------------
+
+# The score columns with the short names their statistics carry, and the statistics outside the pattern.
+SCORES = {
+    "shop_review_positive_rate": "review",
+    "shop_score_service": "service",
+    "shop_score_delivery": "delivery",
+    "shop_score_description": "description",
+}
+IMPRESSION_STATISTICS = [
+    (("shop_id",), "instance_id", "count", "shop_cnt"),
+    (("shop_review_num_level",), "instance_id", "count", "shop_review_num_level_cnt"),
+    (("shop_star_level",), "instance_id", "count", "shop_star_level_cnt"),
+    (("user_id", "item_id"), "shop_review_positive_rate", "mean", "shop_review_positive_mean"),
+    (("user_id", "item_id"), "shop_score_service", "mean", "shop_score_service_mean"),
+    (("context_page_id", "item_id"), "item_sales_level", "mean", "item_sales_mean"),
+    (("context_page_id", "item_id"), "shop_star_level", "mean", "shop_star_mean"),
+]
+# The median of the description score by shop is taken per shop and item.
+IMPRESSION_STATISTICS += [
+    (("shop_id", "item_id") if (of, how, short) == ("shop", "median", "description") else (f"{of}_id",), value, how, f"{of}_{short}_{how}")
+    for of, hows in (("shop", ("median", "mean")), ("item", ("median", "mean")), ("user", ("mean",)))
+    for how in hows
+    for value, short in SCORES.items()
+]
+
 # ---- counts in a time range -----------------------------------------------------------------------------------------
 
 RECENT_SECONDS = (180, 600, 900, 1800, 3600)
 ROLLING_MINUTES = (2, 15, 30, 60)
-SECONDS_PER_DAY = 86_400
-USER_ITEM_SECONDS = (SECONDS_PER_DAY // (24 * 6 * 2), SECONDS_PER_DAY // (24 * 6 * 5))
-USER_FIELD_SECONDS = (SECONDS_PER_DAY // (24 * 6 * 5), SECONDS_PER_DAY // (24 * 4))
+# Fixed values, in seconds.
+USER_ITEM_SECONDS = (300, 120)
+USER_FIELD_SECONDS = (120, 900)
 
 
 def recent_widths(seconds=RECENT_SECONDS) -> dict[str, int]:

@@ -23,7 +23,7 @@ class Feature:
     kind: str
     keys: tuple[str, ...]
     name: str
-    of: tuple[str, ...] = ()  # the finer key of distinct, two_level and ratio
+    of: tuple[str, ...] = ()  # the finer key of distinct and two_level, the denominator's key of ratio
     value: str | None = None
     how: str | None = None
 
@@ -42,6 +42,8 @@ class Feature:
         raise ValueError(f"{self.kind} does not depend on order")
 
     def table_keys(self) -> list[str]:
+        if self.kind == "ratio":
+            return list(dict.fromkeys([*self.keys, *self.of]))
         return [*self.keys, "date"] if self.kind == "last_day_ratio" else list(self.keys)
 
     def table(self, log: DataFrame) -> DataFrame:
@@ -52,10 +54,12 @@ class Feature:
         if self.kind == "two_level":
             return groups.two_level_table(log, self.of, keys, [self.how], {self.how: self.name})
         if self.kind == "ratio":
-            # Size of the keys group over the size of the coarser ``of`` group it lies in.
-            inner = groups.group_table(log, keys, {"_n": F.count(F.lit(1))})
-            outer = inner.groupBy(*self.of).agg(F.sum("_n").alias("_all"))
-            return groups.salted_join(inner, outer, list(self.of), keys).select(*keys, (F.col("_n") / F.col("_all")).alias(self.name))
+            # Size of the ``keys`` group over the size of the ``of`` group, for every pair of them that occurs.
+            pairs = groups.group_table(log, self.table_keys(), {"_pairs": F.count(F.lit(1))})
+            for part, size in ((self.keys, "_over"), (self.of, "_under")):
+                sizes = groups.group_table(log, list(part), {size: F.count(F.lit(1))})
+                pairs = groups.salted_join(pairs, sizes, list(part), self.table_keys())
+            return pairs.select(*self.table_keys(), (F.col("_over") / F.col("_under")).alias(self.name))
         if self.kind == "last_day_ratio":
             lagged = history.daily_table(log, keys).withColumn("date", F.date_add("date", 1))
             ratio = F.col("_converted") / (F.col("_clicks") + history.PRIOR_CLICKS)
@@ -162,6 +166,7 @@ def mean_gap(*keys: str) -> Feature:
 
 
 def ratio(*keys: str, of: tuple[str, ...], name: str) -> Feature:
+    """Size of the ``keys`` group over that of the ``of`` group; either may be the finer one."""
     return Feature("ratio", keys, name, of=of)
 
 

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from clickfeat.functions.scalars import MISSING_GAP, fill_missing
+from clickfeat.functions.scalars import MISSING_GAP, add_all_interactions, fill_missing
 from clickfeat.functions.timeparts import add_time_parts, shift_zone
 from clickfeat.naming import ROW_ID
-from clickfeat.operators import history, ordered, ranges, relational
+from clickfeat.operators import groups, history, ordered, ranges, relational
 from clickfeat.plans import catalog, wide
-from clickfeat.sources.store import FeatureStore
+from clickfeat.sources.store import FeatureStore, identity, write_parquet
 
 
 def training_table(log: DataFrame, store: FeatureStore, name: str = "training") -> DataFrame:
@@ -21,6 +21,7 @@ def training_table(log: DataFrame, store: FeatureStore, name: str = "training")
         lambda: fill_missing(
             wide.build(log, catalog.WIDE, store, f"{name}-key"), [f.name for f in catalog.GAPS], MISSING_GAP
         ),
+        identity(log, catalog.WIDE),
     )
     return wide.build(base, catalog.DERIVED, store, f"{name}-derived", lead="ip")
 
@@ -38,7 +39,7 @@ def counts_of_both(train: DataFrame, test: DataFrame, store: FeatureStore, name:
 
 def selected_features(log: DataFrame, store: FeatureStore, name: str = "selected", columns: Sequence[str] = (ROW_ID,)) -> DataFrame:
     """The second training table, with the next-click gap of the row before."""
-    made = store.get_or_compute(f"{name}-rows", lambda: wide.build(log, catalog.SELECTED, store, f"{name}-key", columns=columns))
+    made = store.get_or_compute(f"{name}-rows", lambda: wide.build(log, catalog.SELECTED, store, f"{name}-key", columns=columns), identity(log, (catalog.SELECTED, columns)))
     return ordered.previous_in_file(made, "nextClick")
 
 
@@ -50,6 +51,20 @@ def deltas_and_places(log: DataFrame, store: FeatureStore, name: str = "deltas")
     return made.join(shifted.select(ROW_ID, shifted.columns[-1]), ROW_ID)
 
 
+def impression_statistics(log: DataFrame, rid: str = ROW_ID) -> DataFrame:
+    """The listed statistics of impressions, and the interactions of every pair of scores."""
+    made = groups.group_statistics(log, catalog.IMPRESSION_STATISTICS, rid)
+    return add_all_interactions(made, list(catalog.SCORES))
+
+
+def write_counts_of_both(train: DataFrame, test: DataFrame, store: FeatureStore, name: str = "counts") -> dict[str, DataFrame]:
+    """``counts_of_both`` with each part written as a table of its own, read back."""
+    parts = dict(zip(("train", "test"), counts_of_both(train, test, store, name)))
+    for part, made in parts.items():
+        write_parquet(made, store.path(f"{name}-{part}"))
+    return {part: store.get(f"{name}-{part}") for part in parts}
+
+
 def history_features(log: DataFrame) -> DataFrame:
     """Clicks, conversion rate and conversions over all earlier days for every listed key."""
     return history.history(log, catalog.HISTORY_KEYS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,14 +16,20 @@ from pyspark.sql import functions as F
 
 from clickfeat.operators.ordered import top_rows
 from clickfeat.operators.relational import project_scores, union_like
+from clickfeat.session import ensure_checkpoint_dir
 from clickfeat.sources.store import write_csv
 
 SEEDS = tuple(range(42, 52))
+SEEDS_AT_ONCE = 4
 REFIT_FACTOR = 1.46
 TOP_FEATURES = 60
 # No feature value is negative, so trees can tell a missing value apart.
 MISSING = -1.0
-LABEL, WEIGHT, FEATURES, SCORE, HELD_OUT = "is_attributed", "_weight", "_features", "score", "_held_out"
+LABEL, WEIGHT, FEATURES, SCORE = "is_attributed", "_weight", "_features", "score"
+# Idle rounds after which a validated fit stops. Fixed value.
+PATIENCE = 30
+# Categories of one column that may be listed on the driver; a column with more must be given as a number.
+MAX_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -99,6 +106,17 @@ class FittedModel:
         return top_rows(table, [F.col("gain").desc(), F.col("feature")], top)
 
 
+def best_of(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The best round (from 1) before ``patience`` rounds without a better one, and whether that wait is over."""
+    best = 0
+    for number, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = number
+        elif number - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def fit(
     train: DataFrame,
     predictors: Sequence[str],
@@ -106,16 +124,31 @@ def fit(
     params: FitParams = WIDE_PARAMS,
     seed: int = SEEDS[0],
     validate: DataFrame | None = None,
+    patience: int = PATIENCE,
 ) -> FittedModel:
-    """Boosted trees; with ``validate`` rows the fit stops when they no longer improve and keeps the best round."""
-    columns = [*predictors, LABEL]
-    rows = train.select(*columns).withColumn(HELD_OUT, F.lit(False))
-    if validate is not None:
-        rows = union_like(rows, validate.select(*columns).withColumn(HELD_OUT, F.lit(True)))
-    rows = fill_predictors(weighted(rows, params.positive_weight), predictors, categorical)
-    rows = rows.withColumn(LABEL, F.col(LABEL).cast("double"))
-    prepared = Pipeline(stages=matrix_stages(predictors, categorical)).fit(rows)
-    sizes = [len(labels) + 1 for labels in prepared.stages[0].labelsArray] if len(prepared.stages) > 1 else []
+    """Boosted trees. With ``validate`` rows the number of rounds is the best one found before ``patience`` rounds without
+    a smaller validation loss, or ``params.rounds``.
+
+    Spark ML fits a fixed number of rounds, and the first rounds of two fits with one seed are the same trees. So the
+    rounds are doubled until the wait is over, and the best round is fitted last.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+
+    def made(df: DataFrame) -> DataFrame:
+        rows = fill_predictors(weighted(df.select(*predictors, LABEL), params.positive_weight), predictors, categorical)
+        return rows.withColumn(LABEL, F.col(LABEL).cast("double"))
+
+    rows = made(train)
+    listed = [c for c in predictors if c in categorical]
+    if listed:
+        sizes = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in listed]).first().asDict()
+        large = sorted(c for c, n in sizes.items() if n > MAX_CATEGORIES)
+        if large:
+            raise ValueError(f"too many categories, give them as numbers: {large}")
+    # Categories of the validation rows count as known too.
+    known = rows if validate is None else union_like(rows, made(validate))
+    prepared = Pipeline(stages=matrix_stages(predictors, categorical)).fit(known)
+    bins = [len(labels) + 1 for labels in prepared.stages[0].labelsArray] if len(prepared.stages) > 1 else []
     trees = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
@@ -127,12 +160,23 @@ def fit(
         featureSubsetStrategy=str(params.column_share),
         minInstancesPerNode=params.min_rows,
         # A categorical feature needs a bin per category.
-        maxBins=max([params.max_bins, *sizes]),
+        maxBins=max([params.max_bins, *bins]),
         seed=seed,
     )
-    if validate is not None:
-        trees = trees.setValidationIndicatorCol(HELD_OUT)
-    model = trees.fit(prepared.transform(rows))
+    matrix_rows = prepared.transform(rows)
+    if validate is None:
+        model = trees.fit(matrix_rows)
+    else:
+        held_out = prepared.transform(made(validate))
+        rounds, over = min(params.rounds, patience + 2), False
+        while True:
+            model = trees.setMaxIter(rounds).fit(matrix_rows)
+            best, over = best_of(model.evaluateEachIteration(held_out), patience)
+            if over or rounds == params.rounds:
+                break
+            rounds = min(params.rounds, 2 * rounds)
+        if best < rounds:
+            model = trees.setMaxIter(best).fit(matrix_rows)
     return FittedModel(PipelineModel([*prepared.stages, model]), list(predictors), list(categorical))
 
 
@@ -160,11 +204,13 @@ def seed_average(
     click_id: str = "click_id",
 ) -> DataFrame:
     """Validate, refit and score once per seed; the mean score per click."""
-    runs = []
-    for seed in seeds:
+    def run(seed: int) -> DataFrame:
         found = fit(train, predictors, categorical, params, seed, validate)
-        runs.append(refit(found, labelled, params, seed).score(scored))
-    return average_scores(runs, click_id)
+        return refit(found, labelled, params, seed).score(scored)
+
+    # The seeds are independent; a few at a time keep the executors busy between the steps of one fit.
+    with ThreadPoolExecutor(SEEDS_AT_ONCE) as pool:
+        return average_scores(list(pool.map(run, seeds)), click_id)
 
 
 def metrics(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
@@ -179,7 +225,22 @@ def metrics(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFr
 
 
 def write_report(clicks: DataFrame, scored: DataFrame, path: str, on: Sequence[str], score: str = SCORE) -> DataFrame:
-    """Scores of the reported clicks as a CSV of click id and predicted label."""
+    """Scores of the reported clicks written as a CSV of click id and predicted label, and read back."""
     report = project_scores(clicks, scored, score, on).withColumnRenamed(score, LABEL)
-    write_csv(report, path)
-    return report
+    return written(report, path)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as CSV and read back with its own types."""
+    write_csv(df, path)
+    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
+
+
+def write_importance(found: FittedModel, path: str, top: int = TOP_FEATURES) -> DataFrame:
+    """The importance table as CSV."""
+    return written(found.importance(top), path)
+
+
+def write_validation(found: FittedModel, validate: DataFrame, path: str, row_id: str = "rid") -> DataFrame:
+    """Scores of the validation rows with their labels, as CSV."""
+    return written(found.score(validate).select(row_id, LABEL, SCORE), path)

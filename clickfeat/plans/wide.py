@@ -26,7 +26,7 @@ from clickfeat.operators.history import PRIOR_CLICKS
 from clickfeat.operators.ordered import NO_NEXT_CLICK_SECOND
 from clickfeat.operators.slices import any_null, fits_one_slice, hot_keys, salted_join
 from clickfeat.plans.features import ORDER_KINDS, Feature, add_features
-from clickfeat.sources.store import FeatureStore
+from clickfeat.sources.store import FeatureStore, identity, spec_name
 
 BROADCAST_ROWS_CONF = "spark.clickfeat.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 200_000
@@ -206,15 +206,21 @@ def key_tables(log: DataFrame, features: Sequence[Feature], store: FeatureStore,
             plain.setdefault(f.keys, []).append(f)
         else:
             single.append(f)
+    source = identity(log)
     wanted = [
-        (list(keys), f"{prefix}-{'-'.join(keys)}", partial(group_table, log, keys, {f.name: f.aggregate() for f in members}))
+        (
+            list(keys),
+            f"{prefix}-{'-'.join(keys)}",
+            partial(group_table, log, keys, {f.name: f.aggregate() for f in members}),
+            members,
+        )
         for keys, members in plain.items()
     ]
-    wanted += [(f.table_keys(), f"{prefix}-{f.name}", partial(f.table, log)) for f in single]
+    wanted += [(f.table_keys(), f"{prefix}-{f.name}", partial(f.table, log), [f]) for f in single]
     # The tables are independent jobs; a few at a time keep the executors busy while one of them finishes.
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        tables = list(pool.map(lambda w: store.get_or_compute(w[1], w[2]), wanted))
-    return [(keys, table) for (keys, _, _), table in zip(wanted, tables)]
+        tables = list(pool.map(lambda w: store.get_or_compute(w[1], w[2], spec_name(source, w[3])), wanted))
+    return [(keys, table) for (keys, _, _, _), table in zip(wanted, tables)]
 
 
 def build(
@@ -227,8 +233,8 @@ def build(
 ) -> DataFrame:
     """The log's ``columns`` plus all ``features``. ``name`` prefixes what is written to the store."""
     columns = list(columns or log.columns)
-    led = [f for f in features if lead in f.keys]
-    others = [f for f in features if lead not in f.keys]
+    led = [f for f in features if lead in f.keys and f.kind != "ratio"]
+    others = [f for f in features if f not in led]
     tables = [f for f in others if f.kind not in ORDER_KINDS]
     carried = list(dict.fromkeys([*columns, *[k for f in others for k in [*f.table_keys(), TIME, ROW_ID]]]))
     wide = lead_features(log, led, lead, carried) if led else log.select(*carried)

@@ -120,7 +120,10 @@ def text_keys(spark, sf_dir):
     return events_as_clicks(spark, sf_dir).select("rid", scalars.text_key(["ip", "app", "device", "os"]).alias("category"))
 
 
-@query("hash_buckets")
+@query(
+    "hash_buckets",
+    f""" SELECT rid, ('0x' || substr(md5(concat_ws('_', ip, app, device, os)), 1, 15))::BIGINT % {scalars.HASH_BUCKETS} AS bucket FROM clicks""",
+)
 def hash_buckets(spark, sf_dir):
     clicks = events_as_clicks(spark, sf_dir)
     return clicks.select("rid", scalars.hash_bucket(["ip", "app", "device", "os"]).alias("bucket"))
@@ -158,12 +161,12 @@ def channel_count(spark, sf_dir):
 
 @query(
     "label_count_by_ip_app",
-    """, gaps AS (SELECT rid, ip, channel, CASE WHEN is_attributed = 1 THEN 1 END AS y FROM clicks)
-       SELECT rid, count(y) OVER (PARTITION BY ip, channel) AS n_converted FROM gaps""",
+    """, gaps AS (SELECT rid, ip, app, CASE WHEN is_attributed = 1 THEN 1 END AS y FROM clicks)
+       SELECT rid, count(y) OVER (PARTITION BY ip, app) AS n_converted FROM gaps""",
 )
 def label_count_by_ip_app(spark, sf_dir):
     clicks = events_as_clicks(spark, sf_dir).withColumn("y", F.when(F.col("is_attributed") == 1, 1))
-    return groups.group_stat(clicks, ["ip", "channel"], "y", "count", "n_converted").select("rid", "n_converted")
+    return groups.group_stat(clicks, ["ip", "app"], "y", "count", "n_converted").select("rid", "n_converted")
 
 
 @query(
@@ -234,8 +237,8 @@ order_price_mean = _attached("order_price_mean", "mean", "avg(price)")
 order_price_sum = _attached("order_price_sum", "sum", "sum(price)")
 order_price_max = _attached("order_price_max", "max", "max(price)")
 order_price_min = _attached("order_price_min", "min", "min(price)")
-order_price_std = _attached("order_price_std", "std", "stddev_samp(price)", 4)
-order_price_var = _attached("order_price_var", "var", "var_samp(price)", -3)
+order_price_std = _attached("order_price_std", "std", "stddev_samp(price)", 6)
+order_price_var = _attached("order_price_var", "var", "var_samp(price)", 0)
 order_price_median = _attached("order_price_median", "median", "median(price)")
 order_price_skew = _attached("order_price_skew", "skew", _SKEW.format(x="price"))
 
@@ -294,6 +297,17 @@ def size_ratio(spark, sf_dir):
     return made.select("rid", F.round("app_channel_ratio_app", 6).alias("app_channel_ratio_app"))
 
 
+@query(
+    "size_ratio_coarse_over_fine",
+    """ SELECT rid, round(count(*) OVER (PARTITION BY app) / count(*) OVER (PARTITION BY app, channel), 6)
+        AS app_ratio_app_channel FROM clicks""",
+)
+def size_ratio_coarse_over_fine(spark, sf_dir):
+    """The direction that the wide table uses: never below 1."""
+    made = groups.size_ratio(events_as_clicks(spark, sf_dir), ["app"], ["app", "channel"])
+    return made.select("rid", F.round("app_ratio_app_channel", 6).alias("app_ratio_app_channel"))
+
+
 @query(
     "time_span",
     """ SELECT rid, round((max(t) OVER (PARTITION BY ip, day) - min(t) OVER (PARTITION BY ip, day)) / 1e6, 6)

@@ -11,31 +11,19 @@ from clickfeat.functions.scalars import NOT_PREDICTORS, categoricals, predictors
 from clickfeat.naming import ROW_ID
 from clickfeat.operators import groups, relational
 from clickfeat.operators.ordered import neighbour
-from clickfeat.plans import model, wide
-from clickfeat.plans.features import first_place, gap, last_day_ratio, size, statistic
+from clickfeat.plans import catalog, model, wide
 from clickfeat.registry.base import query
 from clickfeat.sources.clicklog import events_as_clicks
 from clickfeat.sources.store import run_store
 
-# A few features of every family keep the example fits short.
-FEATURES = [
-    size("ip"),
-    size("ip", "app"),
-    size("app", "channel"),
-    first_place("ip", "app"),
-    gap("next", "ip", "device"),
-    last_day_ratio("ip"),
-    statistic("var", "hour", "ip", "device"),
-]
-PARAMS = replace(model.SECOND_PARAMS, rounds=4)
-SEEDS = model.SEEDS[:2]
+PARAMS = model.SECOND_PARAMS
 
 
 def model_parts(spark, sf_dir):
-    """Feature table cut into train, validation and scored days, with predictor names."""
+    """The second training table cut into train, validation and scored days, with predictor names."""
     log, store = events_as_clicks(spark, sf_dir), run_store(spark)
     columns = [ROW_ID, "app", "channel", "device", "os", "hour", "day", "ip", "click_time", "is_attributed"]
-    table = store.get_or_compute("model-table", lambda: wide.build(log, FEATURES, store, "model", columns=columns))
+    table = store.get_or_compute("model-table", lambda: wide.build(log, catalog.SELECTED, store, "model", columns=columns))
     names = predictors(table, [*NOT_PREDICTORS, ROW_ID])
     parts = {
         "train": relational.between_days(table, 1, 16),
@@ -46,6 +34,17 @@ def model_parts(spark, sf_dir):
     return parts, names, categoricals(table)
 
 
+# A label that follows one column, so that the right answer can be written in SQL. Twenty rounds settle it.
+RULE = replace(PARAMS, rounds=20)
+
+
+def rule_parts(spark, sf_dir):
+    log = events_as_clicks(spark, sf_dir).withColumn("is_attributed", (F.col("os") >= 3).cast("int"))
+    table = log.select(ROW_ID, "app", "channel", "device", "os", "hour", "day", "ip", "click_time", "is_attributed")
+    parts = [relational.between_days(table, *days) for days in ((1, 16), (17, 22), (23, 31))]
+    return parts, ["app", "channel", "device", "os", "hour"]
+
+
 @query(
     "model_matrix",
     """ SELECT rid, is_attributed AS label, CASE WHEN is_attributed = 1 THEN 200.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
@@ -78,35 +77,83 @@ def rate_metrics(spark, sf_dir):
 
 @query("model_validation")
 def model_validation(spark, sf_dir):
+    """Metrics of the validated fit on its validation scores, read back from their file."""
     parts, names, categorical = model_parts(spark, sf_dir)
     found = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
-    return model.metrics(found.score(parts["validate"])).withColumn("best_round", F.lit(found.best_round))
+    scores = model.write_validation(found, parts["validate"], run_store(spark).path("validation"))
+    return model.metrics(scores).withColumn("best_round", F.lit(found.best_round))
 
 
 @query("model_importance")
 def model_importance(spark, sf_dir):
     parts, names, categorical = model_parts(spark, sf_dir)
-    return model.fit(parts["train"], names, categorical, PARAMS).importance()
+    found = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
+    return model.write_importance(found, run_store(spark).path("importance"))
 
 
 @query("model_seed_average")
 def model_seed_average(spark, sf_dir):
     parts, names, categorical = model_parts(spark, sf_dir)
-    return model.seed_average(
-        parts["train"], parts["validate"], parts["labelled"], parts["scored"], names, categorical, PARAMS, SEEDS
-    )
+    return model.seed_average(parts["train"], parts["validate"], parts["labelled"], parts["scored"], names, categorical, PARAMS)
 
 
 @query("model_report")
 def model_report(spark, sf_dir):
     """Scores projected onto the reported clicks by their columns and written as CSV."""
     parts, names, categorical = model_parts(spark, sf_dir)
-    found = model.fit(parts["train"], names, categorical, PARAMS)
+    found = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
     scored = found.score(parts["scored"])
     clicks = parts["scored"].drop("is_attributed")
     return model.write_report(clicks, scored, run_store(spark).path("report"), relational.REPORT_KEYS)
 
 
+@query(
+    "model_rule_validation",
+    """ SELECT rid, CASE WHEN os >= 3 THEN 1 ELSE 0 END AS is_attributed, CASE WHEN os >= 3 THEN 1 ELSE 0 END AS predicted
+        FROM clicks WHERE day BETWEEN 17 AND 22""",
+)
+def model_rule_validation(spark, sf_dir):
+    """Validation scores of a learnable label, read back from their file, from a half on."""
+    (train, validate, _), names = rule_parts(spark, sf_dir)
+    found = model.fit(train, names, ["channel"], RULE, validate=validate)
+    scores = model.write_validation(found, validate, run_store(spark).path("rule-validation"))
+    return scores.select("rid", "is_attributed", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("model_rule_importance", " SELECT 'os' AS feature, 100.0::DOUBLE AS gain")
+def model_rule_importance(spark, sf_dir):
+    """The one column that the label follows has all of the gain."""
+    (train, _, _), names = rule_parts(spark, sf_dir)
+    found = model.fit(train, names, ["channel"], replace(RULE, column_share=1.0))
+    made = model.write_importance(found, run_store(spark).path("rule-importance"), 1)
+    return made.select("feature", F.round("gain", 0).alias("gain"))
+
+
+@query(
+    "model_rule_seed_average",
+    " SELECT rid AS click_id, CASE WHEN os >= 3 THEN 1 ELSE 0 END AS predicted FROM clicks WHERE day >= 23",
+)
+def model_rule_seed_average(spark, sf_dir):
+    """All ten seeds, each validated, refitted on all labelled days and scored."""
+    (train, validate, scored), names = rule_parts(spark, sf_dir)
+    both = relational.union_like(train, validate)
+    made = model.seed_average(train, validate, both, scored.withColumn("click_id", F.col(ROW_ID)), names, ["channel"], RULE)
+    return made.select("click_id", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query(
+    "model_rule_report",
+    " SELECT rid AS click_id, CASE WHEN os >= 3 THEN 1 ELSE 0 END AS is_attributed FROM clicks WHERE day >= 23",
+)
+def model_rule_report(spark, sf_dir):
+    """The written report of a learnable label, from a half on."""
+    (train, validate, scored), names = rule_parts(spark, sf_dir)
+    found = model.fit(train, names, ["channel"], RULE, validate=validate)
+    clicks = scored.drop("is_attributed").withColumn("click_id", F.col(ROW_ID))
+    made = model.write_report(clicks, found.score(scored), run_store(spark).path("rule-report"), relational.REPORT_KEYS)
+    return made.select("click_id", (F.col("is_attributed") >= 0.5).cast("int").alias("is_attributed"))
+
+
 @query(
     "averaged_scores",
     """, a AS (SELECT rid AS click_id, avg(is_attributed) OVER (PARTITION BY app) AS s FROM clicks

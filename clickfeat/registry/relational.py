@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
+from clickfeat.functions.scalars import has_columns, null_where
 from clickfeat.operators import groups, ordered, ranges, relational
 from clickfeat.registry.base import TIED, query
 from clickfeat.sources.clicklog import events_as_clicks, orders_as_clicks, table
@@ -119,3 +122,57 @@ def projected_scores(spark, sf_dir):
     scored = groups.group_stat(clicks, ["app"], "is_attributed", "mean", "score").withColumn("score", F.round("score", 6))
     test = clicks.where("day > 20").withColumn("click_id", F.col("rid"))
     return relational.project_scores(test, scored, "score", on=["ip", "device", "channel"])
+
+
+@query(
+    "left_merge_by_id",
+    """, early AS (SELECT rid, row_number() OVER (PARTITION BY ip ORDER BY t, rid) - 1 AS place FROM clicks WHERE day < 11)
+       SELECT rid, place FROM clicks LEFT JOIN early USING (rid)""",
+)
+def left_merge_by_id(spark, sf_dir):
+    """Places in the first days only; later clicks have none."""
+    clicks = events_as_clicks(spark, sf_dir)
+    early = ordered.ordinal(relational.before_day(clicks, 11), ["ip"], name="place").select("rid", "place")
+    return relational.left_on_id(clicks.select("rid"), early)
+
+
+@query(
+    "masked_gaps",
+    """ SELECT rid, CASE WHEN NOT coalesce(app > 50, false) THEN t - lag(t) OVER (PARTITION BY ip ORDER BY t, rid) END AS gap,
+        true AS has_app, false AS has_price FROM clicks""",
+)
+def masked_gaps(spark, sf_dir):
+    """A feature emptied where a condition holds, and the check of a table's columns."""
+    log = ordered.neighbour(events_as_clicks(spark, sf_dir), ["ip"], "t", "_before", -1)
+    gap = null_where(F.col("app") > 50, F.col("t") - F.col("_before"))
+    return log.select(
+        "rid", gap.alias("gap"), F.lit(has_columns(log, ["app"])).alias("has_app"), F.lit(has_columns(log, ["price"])).alias("has_price")
+    )
+
+
+@query(
+    "split_by_dates",
+    """ SELECT 'train' AS part, rid FROM clicks WHERE date BETWEEN DATE '2024-01-07' AND DATE '2024-01-08' UNION ALL
+        SELECT 'validate', rid FROM clicks WHERE date = DATE '2024-01-09' UNION ALL
+        SELECT 'score', rid FROM clicks WHERE date = DATE '2024-01-10' UNION ALL
+        SELECT 'all_labelled', rid FROM clicks""",
+)
+def split_by_dates(spark, sf_dir):
+    """The split by calendar dates, which holds for logs of several months."""
+    day = lambda n: datetime.date(2024, 1, n)
+    parts = relational.split_days(events_as_clicks(spark, sf_dir), (day(7), day(8)), day(9), day(10), day="date")
+    return relational.union_like(*[df.select(F.lit(name).alias("part"), "rid") for name, df in parts.items()])
+
+
+@query(
+    "projected_scores_six_columns",
+    """, scored AS (SELECT ip, app, device, os, channel, click_time, round(avg(is_attributed) OVER (PARTITION BY app), 6) AS score, rid FROM clicks),
+       firsts AS (SELECT * EXCLUDE (rid, n) FROM (SELECT *, row_number() OVER
+         (PARTITION BY ip, app, device, os, channel, click_time ORDER BY rid) AS n FROM scored) WHERE n = 1)
+       SELECT rid AS click_id, score FROM clicks LEFT JOIN firsts USING (ip, app, device, os, channel, click_time) WHERE day > 20""",
+)
+def projected_scores_six_columns(spark, sf_dir):
+    clicks = events_as_clicks(spark, sf_dir)
+    scored = groups.group_stat(clicks, ["app"], "is_attributed", "mean", "score").withColumn("score", F.round("score", 6))
+    test = clicks.where("day > 20").withColumn("click_id", F.col("rid"))
+    return relational.project_scores(test, scored, "score")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from clickfeat.plans import catalog, jobs, wide
 from clickfeat.plans.features import Feature, size, statistic
 from clickfeat.registry.base import query
 from clickfeat.registry.relational import _BOTH, train_and_test
-from clickfeat.sources.clicklog import events_as_clicks
-from clickfeat.sources.store import run_store
+from clickfeat.sources.clicklog import TRAIN_SCHEMA, events_as_clicks, orders_as_impressions, prepare, read_csv
+from clickfeat.sources.store import run_store, write_csv
 
 # ---- SQL of a feature -----------------------------------------------------------------------------------------------
 
@@ -97,7 +98,7 @@ _wide_ctes, _wide_select = table_sql(
     "training_table",
     f"""{_wide_ctes}, wide AS ({_wide_select})
     SELECT *, round(median(ip_count) OVER (PARTITION BY app), 6) AS ip_count_app_median,
-    round(count(*) OVER (PARTITION BY app, channel) / count(*) OVER (PARTITION BY app), 6) AS ratio1 FROM wide""",
+    round(count(*) OVER (PARTITION BY app) / count(*) OVER (PARTITION BY app, channel), 6) AS ratio1 FROM wide""",
 )
 def training_table(spark, sf_dir):
     log = events_as_clicks(spark, sf_dir)
@@ -187,12 +188,12 @@ def recent_features(spark, sf_dir):
     return made.select("rid", *catalog.recent_widths())
 
 
-def _rolling_sql(label: str, forward: bool) -> str:
+def _rolling_sql(label: str, forward: bool, keys: tuple[str, ...] = ("app", "channel")) -> str:
     frames = []
-    for name, seconds in catalog.rolling_widths(["app", "channel"], label).items():
+    for name, seconds in catalog.rolling_widths(keys, label).items():
         reach = seconds * 10**6 - 1
         frame = f"CURRENT ROW AND {reach} FOLLOWING" if forward else f"{reach} PRECEDING AND CURRENT ROW"
-        frames.append(f"count(*) OVER (PARTITION BY day > 20, app, channel ORDER BY t RANGE BETWEEN {frame}) AS {name}")
+        frames.append(f"count(*) OVER (PARTITION BY day > 20, {', '.join(keys)} ORDER BY t RANGE BETWEEN {frame}) AS {name}")
     return f" SELECT rid, {', '.join(frames)} FROM clicks"
 
 
@@ -206,6 +207,93 @@ def rolling_forward_features(spark, sf_dir):
     return jobs.rolling_features(train_and_test(spark, sf_dir), ["app", "channel"], forward=True)
 
 
+@query("rolling_forward_three_keys", _rolling_sql("future_click", True, ("ip", "device", "os")))
+def rolling_forward_three_keys(spark, sf_dir):
+    return jobs.rolling_features(train_and_test(spark, sf_dir), ["ip", "device", "os"], forward=True)
+
+
+_IMPRESSIONS = """
+impressions AS (SELECT o_orderkey AS instance_id, o_custkey AS user_id, o_orderkey % 97 AS item_id, o_custkey % 31 AS shop_id,
+  o_orderkey % 13 AS context_page_id, o_custkey % 5 AS shop_review_num_level, o_orderkey % 7 AS shop_star_level,
+  o_orderkey % 11 AS item_sales_level, c % 101 / 100 AS shop_review_positive_rate, c % 53 / 50 AS shop_score_service,
+  c % 29 / 25 AS shop_score_delivery, c % 17 / 20 AS shop_score_description
+  FROM (SELECT *, CAST(floor(o_totalprice) AS BIGINT) AS c FROM orders))"""
+
+
+def _impression_sql() -> str:
+    how = {"count": "count({0})", "mean": "round(avg({0}), 6)", "median": "round(median({0}), 6)"}
+    by_keys: dict[tuple[str, ...], list[str]] = {}
+    for keys, value, stat, name in catalog.IMPRESSION_STATISTICS:
+        by_keys.setdefault(keys, []).append(f"{how[stat].format(value)} AS {name}")
+    ctes = "".join(
+        f", s{i} AS (SELECT {', '.join(k)}, {', '.join(made)} FROM impressions GROUP BY {', '.join(k)})"
+        for i, (k, made) in enumerate(by_keys.items())
+    )
+    joins = " ".join(f"JOIN s{i} USING ({', '.join(k)})" for i, k in enumerate(by_keys))
+    pairs = []
+    for n, (x, y) in enumerate(combinations(catalog.SCORES, 2)):
+        for sign in "*+-":
+            pairs.append(f'round({x} {sign} {y}, 6) AS "inter_{n}_{x}_{y}{sign}"')
+        pairs.append(f'round({x} / nullif({y}, 0), 6) AS "inter_{n}_{x}_{y}/"')
+    names = [name for *_, name in catalog.IMPRESSION_STATISTICS]
+    return f"{ctes} SELECT instance_id, {', '.join(names + pairs)} FROM impressions {joins}"
+
+
+@query("impression_statistics", _impression_sql(), views=_IMPRESSIONS)
+def impression_statistics(spark, sf_dir):
+    made = jobs.impression_statistics(orders_as_impressions(spark, sf_dir), "instance_id")
+    counts = [name for _, _, how, name in catalog.IMPRESSION_STATISTICS if how == "count"]
+    values = [c for c in made.columns if c.startswith("inter_")]
+    values += [name for _, _, how, name in catalog.IMPRESSION_STATISTICS if how != "count"]
+    return made.select("instance_id", *counts, *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in values])
+
+
+@query(
+    "counts_written_by_part",
+    f"""{_BOTH}{_local}{_counts_ctes}, made AS ({_counts_select})
+    SELECT 'train' AS part, count(*) AS n, sum(ip_count)::BIGINT AS ips FROM made WHERE click_id IS NULL
+    UNION ALL SELECT 'test', count(*), sum(ip_count)::BIGINT FROM made WHERE click_id IS NOT NULL""",
+)
+def counts_written_by_part(spark, sf_dir):
+    parts = jobs.write_counts_of_both(*train_and_test(spark, sf_dir), run_store(spark))
+    sums = [df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.sum("ip_count").alias("ips")) for name, df in parts.items()]
+    return relational.union_like(*sums)
+
+
+def _written_log(spark, sf_dir) -> str:
+    """The clicks as a CSV file of the train schema, and its path."""
+    clicks = events_as_clicks(spark, sf_dir).withColumns(
+        {
+            "channel": F.col("device") * 10 + F.col("os"),
+            "click_time": F.date_trunc("second", F.col("click_time")).cast("timestamp_ntz"),
+            "attributed_time": F.lit(None).cast("timestamp_ntz"),
+        }
+    )
+    path = run_store(spark).path("log-csv")
+    columns = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c.endswith("_time") else F.col(c) for c in TRAIN_SCHEMA.names]
+    write_csv(clicks.select(*columns), path)
+    return path
+
+
+@query(
+    "csv_log_counts",
+    """ SELECT ip, app, device * 10 + os AS channel, day, hour, count(*) AS n, sum(is_attributed)::BIGINT AS converted
+        FROM clicks GROUP BY ALL""",
+)
+def csv_log_counts(spark, sf_dir):
+    """The log written as CSV, read back by its schema, and counted."""
+    log = prepare(read_csv(spark, _written_log(spark, sf_dir), TRAIN_SCHEMA))
+    keys = ["ip", "app", "channel", "day", "hour"]
+    return log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("is_attributed").alias("converted"))
+
+
+@query("csv_limited_scan", " SELECT least(count(*), 500) AS n, 3 AS n_columns FROM clicks")
+def csv_limited_scan(spark, sf_dir):
+    """A trial scan of some columns of the first rows of a file."""
+    few = read_csv(spark, _written_log(spark, sf_dir), TRAIN_SCHEMA, ["ip", "app", "click_time"], 500)
+    return few.agg(F.count(F.lit(1)).alias("n"), F.lit(len(few.columns)).alias("n_columns"))
+
+
 def _closed(keys: str, seconds: int, forward: bool) -> str:
     frame = f"CURRENT ROW AND {seconds * 10**6} FOLLOWING" if forward else f"{seconds * 10**6} PRECEDING AND CURRENT ROW"
     return f"count(*) OVER (PARTITION BY {keys} ORDER BY t RANGE BETWEEN {frame}) - 1"

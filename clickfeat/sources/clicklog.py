@@ -24,11 +24,11 @@ TRAIN_SCHEMA = T.StructType(
 )
 TEST_SCHEMA = T.StructType([T.StructField("click_id", T.LongType()), *_KEYS])
 IMPRESSION_SCHEMA = T.StructType(
-    [
-        T.StructField("instance_id", T.LongType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("item_id", T.LongType()),
-        T.StructField("context_timestamp", T.LongType()),
+    [T.StructField(n, T.LongType()) for n in ("instance_id", "user_id", "item_id", "shop_id", "context_page_id", "context_timestamp")]
+    + [T.StructField(n, T.IntegerType()) for n in ("shop_review_num_level", "shop_star_level", "item_sales_level")]
+    + [
+        T.StructField(n, T.DoubleType())
+        for n in ("shop_review_positive_rate", "shop_score_service", "shop_score_delivery", "shop_score_description")
     ]
 )
 
@@ -97,6 +97,19 @@ def orders_as_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_as_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the columns of the second schema, with levels and scores taken from their numbers."""
+    o = _table(spark, sf_dir, "orders")
+    key, user, cents = F.col("o_orderkey"), F.col("o_custkey"), F.floor("o_totalprice").cast("long")
+    values = {
+        "instance_id": key, "user_id": user, "item_id": key % 97, "shop_id": user % 31, "context_page_id": key % 13,
+        "context_timestamp": F.floor(epoch_micros("o_orderdate") / MICROS), "shop_review_num_level": user % 5,
+        "shop_star_level": key % 7, "item_sales_level": key % 11, "shop_review_positive_rate": cents % 101 / 100,
+        "shop_score_service": cents % 53 / 50, "shop_score_delivery": cents % 29 / 25, "shop_score_description": cents % 17 / 20,
+    }
+    return o.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in IMPRESSION_SCHEMA])
+
+
 def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -19,10 +20,26 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) ->
     (df.select(*columns) if columns else df).write.mode("overwrite").option("header", True).csv(path)
 
 
+def identity(log: DataFrame, spec: object = "") -> str:
+    """A short name for "this computation on this input": the input's plan, the files it reads, and ``spec``.
+
+    Files replaced in place by others of the same total size are not noticed; ``FeatureStore.drop`` removes old tables.
+    """
+    plan = log._jdf.queryExecution().optimizedPlan()
+    parts = [plan.canonicalized().toString(), str(log.semanticHash()), *sorted(log.inputFiles()), str(plan.stats().sizeInBytes()), repr(spec)]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:16]
+
+
+def spec_name(source: str, spec: object) -> str:
+    """``source`` (an ``identity``) narrowed to one computation on it."""
+    return hashlib.sha256(f"{source}\n{spec!r}".encode()).hexdigest()[:16]
+
+
 class FeatureStore:
     """Feature tables by name below one folder that all executors can reach.
 
-    A table counts as present once its write has committed (``_SUCCESS``), so a job lost half-way is computed again.
+    A table counts as present once its write has committed (``_SUCCESS``), so a job lost half-way is computed again. A
+    name stands for one computation only; ``made_of`` tells computations of one name apart.
     """
 
     def __init__(self, spark: SparkSession, root: str, reuse: bool = True):
@@ -31,20 +48,33 @@ class FeatureStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _hadoop(self, path: str):
+        found = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), found
+
     def has(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
-        return done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+        files, done = self._hadoop(f"{self.path(name)}/_SUCCESS")
+        return files.exists(done)
 
     def get(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def get_or_compute(self, name: str, compute: Callable[[], DataFrame]) -> DataFrame:
-        """The stored table; computed and written first when absent or when ``reuse`` is off."""
+    def get_or_compute(self, name: str, compute: Callable[[], DataFrame], made_of: str = "") -> DataFrame:
+        """The stored table; computed and written first when absent or when ``reuse`` is off.
+
+        ``made_of`` (see ``identity``) becomes part of the name, so another input or another spec misses.
+        """
+        name = f"{name}-{made_of}" if made_of else name
         if not (self.reuse and self.has(name)):
             write_parquet(compute(), self.path(name))
         return self.get(name)
 
+    def drop(self, name: str = "") -> None:
+        """Delete the tables whose name starts with ``name``; without one, the whole folder."""
+        files, found = self._hadoop(f"{self.root}/{name}*" if name else self.root)
+        for status in files.globStatus(found) or []:
+            files.delete(status.getPath(), True)
+
 
 def run_store(spark: SparkSession) -> FeatureStore:
     """A store of its own for one run, in the shared checkpoint folder."""
