@@ -8,9 +8,14 @@ the log would stop the job. The helpers here cut such keys into slices of about
   result with one small row per slice ("carry").
 
 Cut positions come from a hash sample of the rows. The sample only decides where slices end: every row is kept and
-results are exact for any choice of cuts. What is broadcast is bounded by ``spark.clickfeat.maxCuts`` rows,
-whatever the size of the log. The sample is a function of the row, so every pass over the same log finds the same
-cuts; a log that changes between passes (a ``limit`` without order) must be written out first.
+results are exact for any choice of cuts. Their number follows the log: one per ``sliceRows`` rows. The sample is a
+function of the row, so every pass over the same log finds the same cuts; a log that changes between passes (a ``limit``
+without order) must be written out first.
+
+A row finds its slice in three levels. The cuts of a key are grouped by the cube root of their number, twice; a level
+tells the row which group it belongs to, and only that group's few cuts meet the row at the next level. Cuts and
+carried rows are broadcast when the log's size says that there are at most ``spark.clickfeat.broadcastCuts`` of them,
+and joined by shuffling otherwise; the groups of the last level are even, so that join has no hot key.
 
 A table that Spark estimates below the size of one slice is not cut: its plan is the plain window or join.
 """
@@ -28,29 +33,42 @@ SPLIT = "_split"
 CUTS = "_cuts"
 SALT = "_salt"
 FAN = "_fan"
+GROUP = "_group"
 
 SLICE_ROWS_CONF = "spark.clickfeat.sliceRows"
-MAX_CUTS_CONF = "spark.clickfeat.maxCuts"
+BROADCAST_CUTS_CONF = "spark.clickfeat.broadcastCuts"
 DEFAULT_SLICE_ROWS = 1_000_000
-DEFAULT_MAX_CUTS = 65_536
+DEFAULT_BROADCAST_CUTS = 500_000
 # Narrow rows take at least this much in a scan; used to tell tables smaller than a slice.
 SMALL_ROW_BYTES = 16
-# Rows with a NULL key belong to no group; they only need an even spread.
-NULL_KEY_SPREAD = 4_096
 
 
 def slice_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(SLICE_ROWS_CONF, str(DEFAULT_SLICE_ROWS)))
 
 
-def max_cuts(spark: SparkSession) -> int:
-    return int(spark.conf.get(MAX_CUTS_CONF, str(DEFAULT_MAX_CUTS)))
+def _size_estimate(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_one_slice(df: DataFrame) -> bool:
     """Whether Spark's size estimate puts the whole table below one slice."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= slice_rows(df.sparkSession) * SMALL_ROW_BYTES
+    return _size_estimate(df) <= slice_rows(df.sparkSession) * SMALL_ROW_BYTES
+
+
+def few_cuts(df: DataFrame) -> bool:
+    """Whether the cuts of the table are few enough to be sent to every task."""
+    limit = int(df.sparkSession.conf.get(BROADCAST_CUTS_CONF, str(DEFAULT_BROADCAST_CUTS)))
+    return _size_estimate(df) <= limit * slice_rows(df.sparkSession) * SMALL_ROW_BYTES
+
+
+def _sent(table: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(table) if few else table
+
+
+def null_key_spread(spark: SparkSession) -> int:
+    """Rows with a NULL key belong to no group; they only need an even spread over the partitions of a shuffle."""
+    return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -63,22 +81,14 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _sampled(df: DataFrame, keys: Sequence[str], unique: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
-    """About one row in ``sliceRows``, never more than ``maxCuts`` rows in all."""
-    spark = df.sparkSession
+    """About one row in ``sliceRows``."""
     columns = list(dict.fromkeys([*keys, *also, *unique]))
-    tag = "_tag"
-    return (
-        with_keys(df, keys)
-        .where(F.pmod(F.xxhash64(*unique), F.lit(slice_rows(spark))) == 0)
-        .select(*columns, F.xxhash64(F.lit("cut"), *unique).alias(tag))
-        .orderBy(tag, *columns)
-        .limit(max_cuts(spark))
-        .drop(tag)
-    )
+    chosen = F.pmod(F.xxhash64(*unique), F.lit(slice_rows(df.sparkSession))) == 0
+    return with_keys(df, keys).where(chosen).select(*columns)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], unique: Sequence[str]) -> DataFrame:
-    """Keys with many rows and the number of extra tasks each should get; at most ``maxCuts`` rows."""
+    """Keys with many rows and the number of extra tasks each should get; at most one per ``sliceRows`` rows."""
     return _sampled(df, keys, unique).groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias(FAN))
 
 
@@ -87,16 +97,16 @@ def salted_join(
 ) -> DataFrame:
     """Left join of a table with one row per key, with the rows of hot keys spread over several tasks.
 
-    The key table grows by at most ``maxCuts`` rows. ``unique`` identifies a row and drives the spread. When ``rows``
+    The key table grows by at most one row per ``sliceRows`` rows. ``unique`` identifies a row and drives the spread. When ``rows``
     is costly to compute, ``base`` may name a cheaper table with the same keys and row ids to find hot keys in.
     """
     keys, base = list(keys), rows if base is None else base
     made = [c for c in one_per_key.columns if c not in keys]
     if fits_one_slice(base):
         return rows.join(one_per_key, keys, "left").select(*rows.columns, *made)
-    hot = F.broadcast(hot_keys(base, keys, unique))
+    hot = _sent(hot_keys(base, keys, unique), few_cuts(base))
     spread = F.pmod(F.xxhash64(*unique), F.coalesce(FAN, F.lit(0)) + 1).cast("int")
-    loose = F.pmod(F.xxhash64(*unique), F.lit(NULL_KEY_SPREAD)).cast("int")
+    loose = F.pmod(F.xxhash64(*unique), F.lit(null_key_spread(rows.sparkSession))).cast("int")
     left = rows.join(hot, keys, "left").withColumn(SALT, F.when(any_null(keys), loose).otherwise(spread)).drop(FAN)
     right = (
         one_per_key.join(hot, keys, "left")
@@ -132,23 +142,51 @@ class SlicedRows:
         if not self.is_cut:
             self.rows = self.base_rows = df
             return
-        cuts = _sampled(sample, self.keys, unique or [*self.keys, *self.order], self.order)
-        self.rows = self._cut(df, cuts)
-        self.base_rows = self.rows if base is None else self._cut(base, cuts)
-
-    def _cut(self, df: DataFrame, cuts: DataFrame) -> DataFrame:
+        self.few = few_cuts(sample)
+        levels = self._levels(_sampled(sample, self.keys, unique or [*self.keys, *self.order], self.order))
+        self.rows = self._cut(df, levels)
+        self.base_rows = self.rows if base is None else self._cut(base, levels)
+
+    def _levels(self, cuts: DataFrame) -> list[DataFrame]:
+        """Of each level the sorted cuts of every group. A group is numbered by the cuts before it: the first level has
+        one group per key, the second about the cube root of the key's cuts, the third its square."""
+        of_key = Window.partitionBy(*self.keys)
+        place = (F.row_number().over(of_key.orderBy(*self.order)) - 1).cast("long")
+        count = F.count(F.lit(1)).over(of_key)
+        numbered = cuts.withColumns({"_i": place, "_fan": F.ceil(F.cbrt(count)).cast("long")})
+        position, i, fan = F.struct(*self.order), F.col("_i"), F.col("_fan")
+        found = []
+        for step, group in ((fan * fan, F.lit(0)), (fan, i - i % (fan * fan)), (F.lit(1), i - i % fan)):
+            named = numbered.where(i % step == 0).withColumns({GROUP: group.cast("long"), "_step": step.cast("long")})
+            packed = named.groupBy(*self.keys, GROUP).agg(
+                F.sort_array(F.collect_list(position)).alias("at"), F.max("_step").alias("step")
+            )
+            found.append(packed.select(*self.keys, GROUP, F.struct("at", "step").alias(CUTS)))
+        return found
+
+    def _cut(self, df: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
+        """The number of cuts at or before each row, level by level; NULL where the key has no cuts."""
         position = F.struct(*self.order)
-        found = cuts.groupBy(*self.keys).agg(F.sort_array(F.collect_list(position)).alias("at"))
-        packed = F.struct("at", _search_steps("at", max_cuts(df.sparkSession))).alias(CUTS)
-        if self.keys:
-            located = df.join(F.broadcast(found.select(*self.keys, packed)), self.keys, "left")
-        else:
-            located = df.withColumn(CUTS, found.select(packed).scalar())
-        number = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(_cuts_up_to(position))
+        located = df
+        for depth, level in enumerate(levels):
+            if depth == 0 and not self.keys:
+                located = located.withColumn(CUTS, level.select(CUTS).scalar())
+            elif depth == 0:
+                located = located.join(F.broadcast(level.drop(GROUP)) if self.few else level.drop(GROUP), self.keys, "left")
+            else:
+                located = located.join(_sent(level, self.few), [*self.keys, GROUP], "left")
+            here = _cuts_up_to(position)
+            before = F.lit(0).cast("long") if depth == 0 else F.col(GROUP)
+            last = depth == len(levels) - 1
+            # Of the groups whose first cut lies at or before the row the last one is the row's; without one it is the first.
+            at = before + (here if last else F.greatest(here - 1, F.lit(0)) * F.col(CUTS)["step"])
+            located = located.withColumn("_next", F.when(F.col(CUTS).isNotNull(), at))
+            located = located.drop(CUTS, GROUP).withColumnRenamed("_next", GROUP)
+        number = F.coalesce(GROUP, F.lit(0))
         if self.keys:
-            loose = F.pmod(F.xxhash64(*self.order), F.lit(NULL_KEY_SPREAD)).cast("int")
+            loose = F.pmod(F.xxhash64(*self.order), F.lit(null_key_spread(df.sparkSession)))
             number = F.when(any_null(self.keys), loose).otherwise(number)
-        return located.withColumns({SLICE: number, SPLIT: F.col(CUTS).isNotNull()}).drop(CUTS)
+        return located.withColumns({SLICE: number, SPLIT: F.col(GROUP).isNotNull()}).drop(GROUP)
 
     def window(self) -> WindowSpec:
         """All rows of the slice."""
@@ -167,8 +205,8 @@ class SlicedRows:
         """Join onto every row what the other slices of its key contribute.
 
         ``parts`` are aggregates of one slice. Each of ``stages`` combines them over the slices of a key, in order;
-        the results of the last stage are joined. Only keys that were cut appear, so the table has at most
-        ``2 * maxCuts`` rows. Keys and tables that were not cut get NULL.
+        the results of the last stage are joined. Only keys that were cut appear, so the table has at most two
+        rows per cut. Keys and tables that were not cut get NULL.
         """
         over_slices = Window.partitionBy(*self.keys).orderBy(SLICE)
         made = stages[-1](over_slices)
@@ -179,7 +217,7 @@ class SlicedRows:
         for stage in stages[:-1]:
             table = table.withColumns(stage(over_slices))
         table = table.select(*self.keys, SLICE, *[c.alias(n) for n, c in made.items()])
-        return onto.join(F.broadcast(table), [*self.keys, SLICE], "left")
+        return onto.join(_sent(table, self.few), [*self.keys, SLICE], "left")
 
     def finish(self, df: DataFrame, features: dict[str, Column]) -> DataFrame:
         """Input columns plus ``features``, which are NULL for rows without a full key."""
@@ -196,17 +234,7 @@ def earlier_slices(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _search_steps(cuts: str, limit: int) -> Column:
-    """Powers of two up to the number of cuts, largest first."""
-    powers = F.array(*[F.lit(1 << bit) for bit in range(limit.bit_length(), -1, -1)])
-    return F.filter(powers, lambda power: power <= F.size(cuts)).alias("steps")
-
-
 def _cuts_up_to(position: Column) -> Column:
-    """How many of the sorted cuts lie at or before ``position``: a binary search, one comparison per step."""
-    cuts = F.col(CUTS)
-    return F.aggregate(
-        cuts["steps"],
-        F.lit(0),
-        lambda at, step: F.when(F.get(cuts["at"], at + step - 1) <= position, at + step).otherwise(at),
-    )
+    """How many of the group's cuts lie at or before ``position``; a group has few."""
+    at = F.col(CUTS)["at"]
+    return F.size(F.filter(at, lambda cut: cut <= position)).cast("long")

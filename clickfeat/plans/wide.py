@@ -24,7 +24,7 @@ from clickfeat.naming import MICROS, ROW_ID, TIME
 from clickfeat.operators.groups import group_table
 from clickfeat.operators.history import PRIOR_CLICKS
 from clickfeat.operators.ordered import NO_NEXT_CLICK_SECOND
-from clickfeat.operators.slices import any_null, fits_one_slice, hot_keys, salted_join
+from clickfeat.operators.slices import any_null, few_cuts, fits_one_slice, hot_keys, salted_join, slice_rows
 from clickfeat.plans.features import ORDER_KINDS, Feature, add_features
 from clickfeat.sources.store import FeatureStore, identity, spec_name
 
@@ -159,18 +159,26 @@ def window_features(df: DataFrame, features: Sequence[Feature], lead: str) -> Da
     return wide.select(*df.columns, *[F.when(~any_null(f.keys), F.col(f.name)).alias(f.name) for f in features])
 
 
-def lead_features(log: DataFrame, features: Sequence[Feature], lead: str, columns: Sequence[str]) -> DataFrame:
-    """``columns`` of the log plus all ``features``, whose keys contain ``lead``."""
+def lead_features(
+    log: DataFrame, features: Sequence[Feature], lead: str, columns: Sequence[str], store: FeatureStore, name: str
+) -> DataFrame:
+    """``columns`` of the log plus all ``features``, whose keys contain ``lead``.
+
+    Hot lead values and their rows are written to the store once; all sliced operators then read those rows only.
+    """
     needed = dict.fromkeys([*columns, ROW_ID, TIME, lead, *_inputs(features)])
     narrow = log.select(*[c for c in needed if c in log.columns])
     present = narrow.where(F.col(lead).isNotNull())
-    hot = hot_keys(present, [lead], [ROW_ID]).select(lead)
-    if fits_one_slice(log) or hot.isEmpty():
+    made_of = identity(narrow, (lead, slice_rows(log.sparkSession)))
+    found = lambda: hot_keys(present, [lead], [ROW_ID]).select(lead)
+    hot = None if fits_one_slice(log) else store.get_or_compute(f"{name}-hot-{lead}", found, made_of)
+    if hot is None or hot.isEmpty():
         wide = window_features(present, features, lead)
     else:
-        # At most maxCuts lead values, so the list is broadcast.
-        cold = present.join(F.broadcast(hot), lead, "left_anti").select(*narrow.columns)
-        apart = present.join(F.broadcast(hot), lead, "left_semi").select(*narrow.columns)
+        listed = F.broadcast(hot) if few_cuts(log) else hot
+        cold = present.join(listed, lead, "left_anti").select(*narrow.columns)
+        theirs = lambda: present.join(listed, lead, "left_semi").select(*narrow.columns)
+        apart = store.get_or_compute(f"{name}-rows-of-hot-{lead}", theirs, made_of)
         warm = add_features(apart, features)
         wide = window_features(cold, features, lead)
         wide = wide.unionByName(warm.select(*wide.columns))
@@ -237,7 +245,7 @@ def build(
     others = [f for f in features if f not in led]
     tables = [f for f in others if f.kind not in ORDER_KINDS]
     carried = list(dict.fromkeys([*columns, *[k for f in others for k in [*f.table_keys(), TIME, ROW_ID]]]))
-    wide = lead_features(log, led, lead, carried) if led else log.select(*carried)
+    wide = lead_features(log, led, lead, carried, store, name) if led else log.select(*carried)
     for keys, table in key_tables(log, tables, store, name):
         wide = attach_checked(wide, table, keys, log)
     wide = add_features(wide, [f for f in others if f.kind in ORDER_KINDS], log)

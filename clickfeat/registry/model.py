@@ -34,6 +34,18 @@ def model_parts(spark, sf_dir):
     return parts, names, categoricals(table)
 
 
+_FITS: dict[tuple[str, str], model.FittedModel] = {}
+
+
+def validated(spark, sf_dir):
+    """The validated fit of the first seed, made once per session and folder, and what it was made of."""
+    parts, names, categorical = model_parts(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        _FITS[key] = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
+    return _FITS[key], parts
+
+
 # A label that follows one column, so that the right answer can be written in SQL. Twenty rounds settle it.
 RULE = replace(PARAMS, rounds=20)
 
@@ -78,16 +90,14 @@ def rate_metrics(spark, sf_dir):
 @query("model_validation")
 def model_validation(spark, sf_dir):
     """Metrics of the validated fit on its validation scores, read back from their file."""
-    parts, names, categorical = model_parts(spark, sf_dir)
-    found = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
+    found, parts = validated(spark, sf_dir)
     scores = model.write_validation(found, parts["validate"], run_store(spark).path("validation"))
     return model.metrics(scores).withColumn("best_round", F.lit(found.best_round))
 
 
 @query("model_importance")
 def model_importance(spark, sf_dir):
-    parts, names, categorical = model_parts(spark, sf_dir)
-    found = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
+    found, parts = validated(spark, sf_dir)
     return model.write_importance(found, run_store(spark).path("importance"))
 
 
@@ -100,8 +110,7 @@ def model_seed_average(spark, sf_dir):
 @query("model_report")
 def model_report(spark, sf_dir):
     """Scores projected onto the reported clicks by their columns and written as CSV."""
-    parts, names, categorical = model_parts(spark, sf_dir)
-    found = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
+    found, parts = validated(spark, sf_dir)
     scored = found.score(parts["scored"])
     clicks = parts["scored"].drop("is_attributed")
     return model.write_report(clicks, scored, run_store(spark).path("report"), relational.REPORT_KEYS)
