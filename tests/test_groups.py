@@ -126,3 +126,14 @@ def test_smoothing_stops_when_steps_are_small(spark):
     pairs = [(10, 2), (30, 6), (50, 14), (40, 6)]
     found = smoothing.fit_beta_prior(spark.createDataFrame(pairs, "i long, c long"), "i", "c", max_rounds=50, epsilon=0.5)
     assert found.rounds < 50
+
+
+def test_ratio_feature_counts_both_groups_by_hand(spark):
+    from clickfeat.plans.features import ratio
+
+    rows = [(1, "a", "x"), (2, "a", "x"), (3, "a", "y"), (4, "b", "x"), (5, "a", None), (6, None, "x")]
+    log = spark.createDataFrame(rows, "rid long, app string, channel string")
+    coarse = {(r["app"], r["channel"]): r["r"] for r in ratio("app", of=("app", "channel"), name="r").table(log).collect()}
+    assert coarse == {("a", "x"): 2.0, ("a", "y"): 4.0, ("b", "x"): 1.0}
+    fine = {(r["app"], r["channel"]): r["r"] for r in ratio("app", "channel", of=("channel",), name="r").table(log).collect()}
+    assert fine == {("a", "x"): 0.5, ("a", "y"): 1.0, ("b", "x"): 0.25}

@@ -55,3 +55,24 @@ def test_report_has_one_row_per_click(spark, table, tmp_path):
     made = model.write_report(clicks, scored, str(tmp_path / "report"), ["a"])
     assert made.count() == 600
     assert spark.read.option("header", True).csv(str(tmp_path / "report")).columns == ["click_id", "is_attributed"]
+
+
+def test_patience_keeps_the_best_round():
+    assert model.best_of([5.0, 4.0, 3.0, 3.5, 3.4], 2) == (3, True)
+    assert model.best_of([5.0, 4.0, 3.0, 3.5], 2) == (3, False)
+    assert model.best_of([5.0, 4.9, 5.0, 4.8, 5.0, 5.0, 4.7], 2) == (4, True)
+    assert model.best_of([1.0]) == (1, False)
+
+
+def test_fit_stops_after_idle_rounds(table):
+    """Validation labels are the opposite of what can be learned, so the first round is the best one."""
+    learned = table.withColumn("is_attributed", (F.col("a") < 3).cast("int"))
+    opposite = learned.withColumn("is_attributed", 1 - F.col("is_attributed"))
+    params = model.FitParams(positive_weight=1.0, rounds=40, max_depth=2, row_share=1.0, column_share=1.0)
+    assert model.fit(learned, ["a"], [], params, validate=opposite, patience=3).best_round == 1
+
+
+def test_group_numbers_are_not_categories(table):
+    from clickfeat.functions.scalars import categoricals
+
+    assert categoricals(table.withColumn("a_ngroup", F.lit(1)).withColumn("app", F.lit(1))) == ["app"]
