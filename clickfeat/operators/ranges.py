@@ -1,8 +1,9 @@
 """How many rows of the same key lie near a row in time.
 
-A sliding frame re-reads all rows of the frame for each row. Here each row instead marks the interval of times that
-can see it: +1 where the interval starts, -1 after it ends. A running sum of the marks is the count, in time linear
-in the rows. Marks at the same (key, time) are added before the shuffle, and a hot key is cut into slices.
+A sliding frame re-reads all rows of the frame for each row. Here each row instead marks where it starts to be seen and
+where it ends: +1 and -1 in the order of times. A running sum of the marks is the count, in time linear in the rows. The
+rows travel with their own marks, so the counts are on the rows after one exchange, and a hot key is cut into slices,
+between rows of one time as well.
 
 ``base`` is the log ``df`` was derived from row by row.
 """
@@ -10,84 +11,109 @@ in the rows. Marks at the same (key, time) are added before the shuffle, and a h
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfeat.naming import MICROS, ROW_ID, TIME
-from clickfeat.operators.ordered import place_in_group
-from clickfeat.operators.slices import SlicedRows, earlier_slices, salted_join, with_keys
-
+from clickfeat.operators.slices import SlicedRows, any_null, earlier_slices, with_keys
+
+
+class Mark(NamedTuple):
+    """A change of the count ``offset`` microseconds from the row. Marks apply before all rows of their time, or, with
+    ``beside``, right before (-1) or right after (1) the row itself in the order of row ids."""
+
+    offset: int
+    change: int
+    beside: int = 0
+
+
+def _marked(df: DataFrame, keys: Sequence[str], marks: dict[str, Sequence[Mark]], t: str, rid: str, row: Column) -> DataFrame:
+    """One row per input row ("home", which carries ``row``) and mark; marks at one place are one."""
+    places: dict[tuple[int, int], dict[str, int]] = {}
+    for name, own in marks.items():
+        for mark in own:
+            at = places.setdefault((mark.offset, mark.beside), {})
+            at[name] = at.get(name, 0) + mark.change
+    zeros = [F.lit(0).cast("long").alias(n) for n in marks]
+    order = lambda late, number: (F.lit(late).alias("late"), F.lit(number).alias("number"))
+    entries = [F.struct(F.col(t).alias("at"), *order(1, 0), row.alias("row"), *zeros)]
+    for number, ((offset, beside), changes) in enumerate(sorted(places.items())):
+        late = (1, beside) if beside else (0, number)
+        values = [F.lit(changes.get(n, 0)).cast("long").alias(n) for n in marks]
+        entries.append(F.struct((F.col(t) + offset).alias("at"), *order(*late), F.lit(None).alias("row"), *values))
+    # A row without a full key or a time has no group; only the row itself stays.
+    entered = F.when(any_null([*keys, t]), F.array(entries[0])).otherwise(F.array(*entries))
+    exploded = df.select(*keys, F.col(rid).alias("_rid"), F.explode(entered).alias("_m"))
+    return exploded.select(
+        *keys,
+        F.col("_m.at").alias("_at"),
+        F.col("_m.late").alias("_late"),
+        "_rid",
+        F.col("_m.number").alias("_number"),
+        F.col("_m.row").alias("_row"),
+        *[F.col(f"_m.{n}").alias(f"_change_{n}") for n in marks],
+    )
 
-def visible_counts(df: DataFrame, keys: Sequence[str], reach: dict[str, tuple[int, int]], t: str = TIME, rid: str = ROW_ID) -> DataFrame:
-    """Per (key, time): number of rows whose time ``u`` puts the time into ``[u + low, u + high]``.
 
-    ``reach`` maps a result name to ``(low, high)`` in microseconds. All results share one pass.
-    """
-    names = list(reach)
-    marks: dict[int, dict[str, int]] = {0: {}}
-    for name, (low, high) in reach.items():
-        for offset, change in ((low, 1), (high + 1, -1)):
-            at = marks.setdefault(offset, {})
-            at[name] = at.get(name, 0) + change
-    entries = [
-        F.struct(
-            (F.col(t) + offset).alias("at"),
-            F.lit(1 if offset == 0 else 0).alias("home"),
-            *[F.lit(changes.get(n, 0)).cast("long").alias(n) for n in names],
-        )
-        for offset, changes in sorted(marks.items())
-    ]
-    grouped = with_keys(df, [*keys, t])
-    summed = (
-        grouped.select(*keys, F.explode(F.array(*entries)).alias("_mark"))
-        .groupBy(*keys, F.col("_mark.at").alias(t))
-        .agg(F.max("_mark.home").alias("_home"), *[F.sum(f"_mark.{n}").alias(n) for n in names])
+def counted(
+    df: DataFrame, keys: Sequence[str], marks: dict[str, Sequence[Mark]], t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
+) -> DataFrame:
+    """``df`` plus, for each name of ``marks``, the sum of the marks of all rows of the key that apply before the row."""
+    base, keys = df if base is None else base, list(keys)
+    names = [f"_change_{n}" for n in marks]
+    # The key columns of the marks get names of their own, so that the row's columns can follow them.
+    own = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    renamed = lambda log: log.withColumns({own[k]: F.col(k) for k in keys})
+    grouped, order = list(own.values()), ["_at", "_late", "_rid", "_number"]
+    payload = F.struct(*df.columns)
+    rows = _marked(renamed(df), grouped, marks, t, rid, payload)
+    other = rows if base is df else _marked(renamed(base), grouped, marks, t, rid, F.lit(None))
+    sample = with_keys(renamed(base), [*grouped, t]).select(
+        *grouped, F.col(t).alias("_at"), F.lit(0).alias("_late"), F.col(rid).alias("_rid"), F.lit(0).alias("_number")
     )
-    sliced = SlicedRows(summed, keys, [t], sample=grouped, unique=[rid])
+    sliced = SlicedRows(rows, grouped, order, other, sample=sample, unique=["_rid"])
     upto = sliced.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = sliced.rows.withColumns({f"_run_{n}": F.sum(n).over(upto) for n in names})
-    rows = sliced.carry(
-        rows,
-        {f"_part_{n}": F.sum(n) for n in names},
-        lambda w: {f"_before_{n}": F.sum(f"_part_{n}").over(earlier_slices(w)) for n in names},
+    run = sliced.rows.withColumns({f"_run{n}": F.sum(n).over(upto) for n in names})
+    run = sliced.carry(
+        run,
+        {f"_part{n}": F.sum(n) for n in names},
+        lambda w: {f"_before{n}": F.sum(f"_part{n}").over(earlier_slices(w)) for n in names},
     )
-    counts = [(F.col(f"_run_{n}") + F.coalesce(f"_before_{n}", F.lit(0))).alias(n) for n in names]
-    return rows.where(F.col("_home") == 1).select(*keys, t, *counts)
-
-
-def _add_counts(df, keys, reach, t, rid, base):
-    base = df if base is None else base
-    return salted_join(df, visible_counts(base, keys, reach, t, rid), [*keys, t], [rid], base)
+    home = run.where(F.col("_row").isNotNull())
+    total = lambda n: F.col(f"_run_change_{n}") + F.coalesce(f"_before_change_{n}", F.lit(0))
+    missing = any_null(grouped) | F.col("_at").isNull()
+    return home.select("_row.*", *[F.when(~missing, total(n)).alias(n) for n in marks])
 
 
 def rolling_counts(
     df: DataFrame, keys: Sequence[str], widths: dict[str, int], t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
 ) -> DataFrame:
     """Rows of the key in ``(t - width, t]``, this row and its ties included. ``widths``: name -> seconds."""
-    return _add_counts(df, keys, {n: (0, w * MICROS - 1) for n, w in widths.items()}, t, rid, base)
+    return counted(df, keys, {n: (Mark(0, 1), Mark(w * MICROS, -1)) for n, w in widths.items()}, t, rid, base)
 
 
 def forward_rolling_counts(
     df: DataFrame, keys: Sequence[str], widths: dict[str, int], t: str = TIME, rid: str = ROW_ID, base: DataFrame | None = None
 ) -> DataFrame:
     """Rows of the key in ``[t, t + width)``, this row and its ties included. ``widths``: name -> seconds."""
-    return _add_counts(df, keys, {n: (1 - w * MICROS, 0) for n, w in widths.items()}, t, rid, base)
+    return counted(df, keys, {n: (Mark(1 - w * MICROS, 1), Mark(1, -1)) for n, w in widths.items()}, t, rid, base)
 
 
 def _one_sided(df, keys, widths, forward, mark_edge, t, rid, base):
     base = df if base is None else base
-    reach = {n: ((-r * MICROS, 0) if forward else (0, r * MICROS)) for n, r in widths.items()}
-    placed = place_in_group(df, [*keys, t], [rid], "_tie", "_ties", base)
-    counted = _add_counts(placed, keys, reach, t, rid, base)
-    # Of the ties, a trailing count keeps the earlier rows only and a forward count the later rows only.
-    outside = F.col("_tie") + 1 if forward else F.col("_ties") - F.col("_tie")
-    values = {n: F.col(n) - outside for n in widths}
-    if mark_edge:
-        place = F.struct(*keys, t, rid)
-        edge = with_keys(base, keys).agg((F.max if forward else F.min)(place)).scalar()
-        values = {n: F.when(place == edge, F.lit(-1)).otherwise(v) for n, v in values.items()}
-    return counted.select(*df.columns, *[v.cast("long").alias(n) for n, v in values.items()])
+
+    def marks(width: int) -> tuple[Mark, Mark]:
+        # Of the rows of one time, a trailing count sees those before the row and a forward count those after it.
+        return (Mark(-width, 1), Mark(0, -1, -1)) if forward else (Mark(0, 1, 1), Mark(width + 1, -1))
+
+    made = counted(df, keys, {n: marks(r * MICROS) for n, r in widths.items()}, t, rid, base)
+    if not mark_edge:
+        return made
+    place = F.struct(*keys, t, rid)
+    edge = with_keys(base, keys).agg((F.max if forward else F.min)(place)).scalar()
+    return made.select(*df.columns, *[F.when(place == edge, F.lit(-1).cast("long")).otherwise(F.col(n)).alias(n) for n in widths])
 
 
 def recent_counts(
