@@ -9,13 +9,14 @@ a path that is kept as one row: a run. Four joins and aggregations follow, none
    its places but the first are repeats.
 3. Paths whose anchors branch are opened into their windows at the first place of the path; a window there is a repeat if
    it is found earlier.
-4. Repeats that follow each other in a document and in their sources are compacted into spans, and a span counts only if
-   the words at its place and at its source's place are the same (compared by 128-bit digests of the words).
+4. Repeats that touch are compacted into spans of their document.
+
+Paths and windows are told apart by 128-bit digests of all their words, next to the anchor: a repeat counts only against a
+source place whose words have the same digest.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
 from clickfeat.llm.words import Words, inside, mix, window_hashes, words_of
 
 WINDOW, SEED = 20, 8
-_BASE = 0xC2B2AE3D27D4EB4F
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASES = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+_SALT = np.uint64(0x27D4EB2F165667C5)
 KEY = ["doc", "sub"]
 
 
@@ -53,12 +54,12 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 def runs(words: Words, window: int, seed: int, paths: bool) -> tuple[np.ndarray, ...]:
-    """(row, start, count, anchor, path) of each run of a group: ``count`` windows from word ``start`` of the row on.
-    ``path`` is the hash of all its words, or None unless asked for."""
+    """(row, start, count, anchor, path, check) of each run of a group: ``count`` windows from word ``start`` of the row on.
+    ``path`` and ``check`` are hashes of all its words, or None unless asked for."""
     total = len(words.hashes) - window + 1
     if total <= 0:
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return none, none, none, *[np.zeros(0, np.uint64)] * 3
     seeds = window_hashes(words.hashes, seed)
     width = window - seed + 1
     at = np.lib.stride_tricks.sliding_window_view(seeds, width)[:total].argmin(axis=1) + np.arange(total)
@@ -70,12 +71,13 @@ def runs(words: Words, window: int, seed: int, paths: bool) -> tuple[np.ndarray,
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(places)))
     begin, row = places[first], row[first]
-    path = None
+    digests = [None, None]
     if paths:
-        n = len(words.hashes)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hashes * _powers(n, _BASE), dtype=np.uint64)])
-        path = mix((sums[begin + count + window - 1] - sums[begin]) * _powers(n, _INVERSE)[begin])
-    return row, begin - words.bounds[row], count, seeds[at[first]], path
+        n, last = len(words.hashes), begin + count + window - 1
+        for i, base in enumerate(_BASES):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hashes * _powers(n, base), dtype=np.uint64)])
+            digests[i] = mix((sums[last] - sums[begin]) * _powers(n, pow(base, -1, 1 << 64))[begin])
+    return row, begin - words.bounds[row], count, seeds[at[first]], *digests
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -96,20 +98,20 @@ def anchors(docs: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def run_rows(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """All runs: (anchor, path, doc, sub, start, count)."""
+    """All runs: (anchor, path, check, doc, sub, start, count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, sub = batch.column("doc").to_numpy(), batch.column("sub").to_numpy()
             for words in words_of(batch.column("text")):
-                row, start, count, anchor, path = runs(words, window, seed, True)
+                row, start, count, anchor, path, check = runs(words, window, seed, True)
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(anchor), _signed(path), pa.array(doc[words.first + row]), pa.array(sub[words.first + row]),
+                    [_signed(anchor), _signed(path), _signed(check), pa.array(doc[words.first + row]), pa.array(sub[words.first + row]),
                      pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
-                    ["anchor", "path", *KEY, "start", "count"],
+                    ["anchor", "path", "check", *KEY, "start", "count"],
                 )
 
-    schema = "anchor long, path long, doc long, sub long, start int, count int"
+    schema = "anchor long, path long, check long, doc long, sub long, start int, count int"
     return docs.select(*KEY, "text").mapInArrow(run, schema)
 
 
@@ -133,7 +135,7 @@ def _place_arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def opened(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
-    """(window, doc, sub, start) of every window of ``paths`` (doc, sub, start, count)."""
+    """(window, check, doc, sub, start) of every window of ``paths`` (doc, sub, start, count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,32 +143,32 @@ def opened(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
             places = list(_place_arrays(batch))
             for words in words_of(batch.column("text")):
                 found = window_hashes(words.hashes, window)
+                check = window_hashes(mix(words.hashes ^ _SALT), window)
                 row = np.repeat(np.arange(words.rows), [len(places[words.first + i][0]) for i in range(words.rows)])
                 mine = places[words.first : words.first + words.rows]
                 start, count = (np.concatenate([p[k] for p in mine]).astype(np.int64) for k in (0, 1))
                 row = np.repeat(row, count)
                 at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+                here = words.bounds[row] + at
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(found[words.bounds[row] + at]), pa.array(doc[words.first + row]),
+                    [_signed(found[here]), _signed(check[here]), pa.array(doc[words.first + row]),
                      pa.array(sub[words.first + row]), pa.array(at.astype(np.int32))],
-                    ["window", *KEY, "start"],
+                    ["window", "check", *KEY, "start"],
                 )
 
     with_lists = with_places(docs, paths).select(*KEY, "text", "places")
-    return with_lists.mapInArrow(run, "window long, doc long, sub long, start int")
+    return with_lists.mapInArrow(run, "window long, check long, doc long, sub long, start int")
 
 
 def spans(repeats: DataFrame) -> DataFrame:
-    """Repeats (doc, sub, start, count, source struct<doc, sub, start>) that follow each other in the document and in the
-    source, as one row each."""
+    """Repeats (doc, sub, start, count) that touch or overlap in their document, as one row each."""
     order = Window.partitionBy(*KEY).orderBy("start")
-    shift = F.col("start") - F.col("source.start")
-    line = F.struct(F.col("source.doc"), F.col("source.sub"), shift, F.col("start"))
-    after = F.struct(F.col("source.doc"), F.col("source.sub"), shift, F.col("start") + F.col("count"))
-    marked = repeats.withColumn("_new", F.coalesce(F.lag(after).over(order) != line, F.lit(True)).cast("int"))
+    reach = F.max(F.col("start") + F.col("count")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = repeats.withColumn("_new", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
     marked = marked.withColumn("_span", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    last = F.max(F.col("start") + F.col("count"))
     return marked.groupBy(*KEY, "_span").agg(
-        F.min("start").alias("start"), F.sum("count").cast("int").alias("count"), F.min("source").alias("source")
+        F.min("start").alias("start"), (last - F.min("start")).cast("int").alias("count")
     ).drop("_span")
 
 
@@ -181,66 +183,21 @@ def _joined(words: Words) -> tuple[bytes, np.ndarray]:
     return out.tobytes(), offsets
 
 
-def digests(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """(doc, sub, start, count, digest) of the words that ``places`` covers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, sub = batch.column("doc").to_numpy(), batch.column("sub").to_numpy()
-            places = list(_place_arrays(batch))
-            for words in words_of(batch.column("text")):
-                text, offsets = _joined(words)
-                rows, starts, counts, found = [], [], [], []
-                for i in range(words.rows):
-                    for start, count in zip(*places[words.first + i]):
-                        a = words.bounds[i] + start
-                        part = text[offsets[a] : offsets[a + count + window - 1]]
-                        found.append(hashlib.blake2b(part, digest_size=16).digest())
-                        rows.append(words.first + i)
-                        starts.append(start)
-                        counts.append(count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[rows]), pa.array(sub[rows]), pa.array(starts, pa.int32()), pa.array(counts, pa.int32()),
-                     pa.array(found, pa.binary())],
-                    [*KEY, "start", "count", "digest"],
-                )
-
-    with_lists = with_places(docs, places).select(*KEY, "text", "places")
-    return with_lists.mapInArrow(run, "doc long, sub long, start int, count int, digest binary")
-
-
-def verified(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """The spans whose words are the same as at their source."""
-    own = found.select(*KEY, "start", "count")
-    theirs = found.select("source.doc", "source.sub", "source.start", "count")
-    known = stored(digests(docs, own.unionByName(theirs).distinct(), window).distinct(), "span-digests")
-    there = known.select(
-        F.struct("doc", "sub", "start").alias("source"), "count", F.col("digest").alias("_source_digest")
-    )
-    both = found.join(known, [*KEY, "start", "count"]).join(there, ["source", "count"])
-    return both.where(F.col("digest") == F.col("_source_digest")).select(*KEY, "start", "count")
-
-
 def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(doc, sub, start, count): spans of ``count`` windows from word ``start`` on, each of which also starts earlier, for
     ``docs`` made by ``keyed``."""
     repeated = stored(anchors(docs, window, seed), "span-anchors")
     kept = stored(semi_join(run_rows(docs, window, seed), repeated, "anchor"), "span-runs")
-    place = F.struct("doc", "sub", "start")
-    paths = kept.groupBy("anchor", "path").agg(F.min(place).alias("source"), F.max("count").alias("count"))
+    place, path = F.struct(*KEY, "start"), ["anchor", "path", "check"]
+    paths = kept.groupBy(*path).agg(F.min(place).alias("source"), F.max("count").alias("count"))
     paths = stored(paths, "span-paths")
-    later = (
-        kept.join(paths.select("anchor", "path", "source"), ["anchor", "path"])
-        .where(place != F.col("source"))
-        .select(*KEY, "start", "count", "source")
-    )
+    later = kept.join(paths.select(*path, "source"), path).where(place != F.col("source")).select(*KEY, "start", "count")
     forks = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor")
     forked = paths.join(forks, "anchor", "left_semi").select("source.*", "count")
     windows = stored(opened(docs, stored(forked, "span-forks"), window), "span-windows")
-    first = windows.groupBy("window").agg(F.min(place).alias("source"))
-    again = windows.join(first, "window").where(place != F.col("source"))
-    again = again.select(*KEY, "start", F.lit(1).alias("count"), "source")
-    return verified(docs, stored(spans(later.unionByName(again)), "span-found"), window)
+    first = windows.groupBy("window", "check").agg(F.min(place).alias("source"))
+    again = windows.join(first, ["window", "check"]).where(place != F.col("source"))
+    return spans(later.unionByName(again.select(*KEY, "start", F.lit(1).alias("count"))))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
