@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -11,7 +12,7 @@ from clickfeat.functions.timeparts import add_time_parts, shift_zone
 from clickfeat.naming import ROW_ID
 from clickfeat.operators import groups, history, ordered, ranges, relational
 from clickfeat.plans import catalog, wide
-from clickfeat.sources.store import FeatureStore, identity, write_parquet
+from clickfeat.sources.store import FeatureStore, identity, spec_name, write_parquet
 
 
 def training_table(log: DataFrame, store: FeatureStore, name: str = "training") -> DataFrame:
@@ -65,9 +66,19 @@ def write_counts_of_both(train: DataFrame, test: DataFrame, store: FeatureStore,
     return {part: store.get(f"{name}-{part}") for part in parts}
 
 
-def history_features(log: DataFrame) -> DataFrame:
-    """Clicks, conversion rate and conversions over all earlier days for every listed key."""
-    return history.history(log, catalog.HISTORY_KEYS)
+def history_features(log: DataFrame, store: FeatureStore, name: str = "history") -> DataFrame:
+    """Clicks, conversion rate and conversions over all earlier days for every listed key.
+
+    The tables by key and day are written first; the small ones then meet the log by broadcast, so the log itself is
+    shuffled for the large ones only.
+    """
+    source, made = identity(log), log
+    for keys in catalog.HISTORY_KEYS:
+        table = store.get_or_compute(
+            f"{name}-{'-'.join(keys)}", partial(history.history_table, log, keys), spec_name(source, ("history", keys))
+        )
+        made = wide.attach_checked(made, table, [*keys, "date"], log)
+    return made
 
 
 def recent_features(log: DataFrame, keys: Sequence[str], runner: Sequence[str] = ()) -> DataFrame:

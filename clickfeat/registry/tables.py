@@ -163,7 +163,7 @@ def _history_sql() -> str:
 
 @query("history_features", _history_sql())
 def history_features(spark, sf_dir):
-    made = jobs.history_features(events_as_clicks(spark, sf_dir))
+    made = jobs.history_features(events_as_clicks(spark, sf_dir), run_store(spark))
     rates = [c for c in made.columns if c.endswith("_cvrx")]
     others = [c for c in made.columns if c.endswith(("_cntx", "_cvtimesx"))]
     return made.select("rid", *others, *[F.round(c, 6).alias(c) for c in rates])

@@ -7,10 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from clickfeat.operators.slices import SLICE_ROWS_CONF
+from clickfeat.registry.base import QUERIES, SQL
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # Queries with a driver step while they are built (fits, stores) have no single plan to look at.
-EAGER = ("model_", "training_table", "selected_features", "deltas_and_places", "counts_of_both", "stored_", "smoothed", "rate_metrics")
+EAGER = ("model_", "training_table", "selected_features", "deltas_and_places", "counts_of_both", "counts_written", "csv_", "history_features", "stored_", "smoothed", "rate_metrics")
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +48,10 @@ def test_plan_has_no_python_and_no_cross_join(spark, sf_dir, name):
         assert node not in plan
 
 
+def test_entry_has_every_registered_query():
+    assert set(QUERIES) <= set(entry.queries()) and SQL.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     found = entry.entry(spark)
     assert found.columns == ["rid", "ip", "day", "hour", "ip_day_hour_count"] and found.count() > 0
