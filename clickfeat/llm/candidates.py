@@ -8,7 +8,7 @@ is never expanded into all its pairs while one component holds it, and yet no li
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
 from clickfeat.llm.components import components
 
-# Nodes of one batch that share a signature are tied to one of them before the shuffle, from this count on.
+# Of the signatures packed at a time: nodes that share one are tied to one of them before the shuffle, from this count on.
 HOT = 64
+ROWS = 1 << 19  # signatures packed at a time, which bounds the memory of a task
 PACKED = "bucket int, leaders binary, base long, signatures binary, nodes binary"
 
 
@@ -62,6 +63,19 @@ def pack(found: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
     )
 
 
+def packed(parts: Iterable[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """``pack`` for signatures and nodes that come in parts, about ``ROWS`` at a time."""
+    waiting, count = [], 0
+    for part in parts:
+        waiting.append(part)
+        count += len(part[0])
+        if count >= ROWS:
+            yield pack(*(np.concatenate(x) for x in zip(*waiting)), buckets)
+            waiting, count = [], 0
+    if count:
+        yield pack(*(np.concatenate(x) for x in zip(*waiting)), buckets)
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     found, node = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((node, found))
@@ -81,7 +95,7 @@ def _rows(found: np.ndarray, leader: np.ndarray, node: np.ndarray) -> pa.RecordB
     )
 
 
-def shared(packed: DataFrame) -> DataFrame:
+def shared(rows: DataFrame) -> DataFrame:
     """(signature, leader, node) of every signature that several nodes share; the leader is the smallest of them, or the
     smallest of one batch for the nodes that were tied there. A task holds one bucket at a time."""
 
@@ -104,7 +118,7 @@ def shared(packed: DataFrame) -> DataFrame:
         if parts:
             yield _merged(parts)
 
-    in_order = packed.repartition("bucket").sortWithinPartitions("bucket")
+    in_order = rows.repartition("bucket").sortWithinPartitions("bucket")
     return in_order.mapInArrow(run, "signature long, leader long, node long")
 
 

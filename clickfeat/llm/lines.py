@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.candidates import PACKED, pack, resolve, shared
+from clickfeat.llm.candidates import PACKED, packed, resolve, shared
 from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
 from clickfeat.llm.components import components
 from clickfeat.llm.substrings import keyed
@@ -125,24 +125,25 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 def _signed(lines: DataFrame, edits: int, min_chars: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node = batch.column("node").to_numpy()
-            _, first = np.unique(node, return_index=True)
-            texts = batch.column("text").take(pa.array(first))
-            node, lengths = node[first], pc.utf8_length(texts).to_numpy().astype(np.int64)
-            use = np.flatnonzero(lengths >= min_chars)
-            ends = np.cumsum(lengths[use])
-            parts, i = [], 0
-            while i < len(use):
-                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + CHARS, "right")))
-                group = use[i:j]
-                chars = np.frombuffer("".join(texts.take(pa.array(group)).to_pylist()).encode("utf-32-le"), np.uint32)
-                size = lengths[group]
-                found, owner = keys(chars, np.cumsum(size) - size, size, edits)
-                parts.append((found, node[group][owner]))
-                i = j
-            if parts:
-                yield pack(*(np.concatenate(x) for x in zip(*parts)), buckets)
+        def parts():
+            for batch in batches:
+                node = batch.column("node").to_numpy()
+                _, first = np.unique(node, return_index=True)
+                texts = batch.column("text").take(pa.array(first))
+                node, lengths = node[first], pc.utf8_length(texts).to_numpy().astype(np.int64)
+                use = np.flatnonzero(lengths >= min_chars)
+                ends = np.cumsum(lengths[use])
+                i = 0
+                while i < len(use):
+                    j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + CHARS, "right")))
+                    group = use[i:j]
+                    chars = "".join(texts.take(pa.array(group)).to_pylist()).encode("utf-32-le")
+                    size = lengths[group]
+                    found, owner = keys(np.frombuffer(chars, np.uint32), np.cumsum(size) - size, size, edits)
+                    yield found, node[group][owner]
+                    i = j
+
+        yield from packed(parts(), buckets)
 
     return lines.select("node", "text").mapInArrow(run, PACKED)
 

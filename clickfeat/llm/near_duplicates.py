@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.candidates import PACKED, pack, resolve, shared
+from clickfeat.llm.candidates import PACKED, packed, resolve, shared
 from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
 from clickfeat.llm.components import components
 from clickfeat.llm.words import Words, inside, mix, window_hashes, words_of
@@ -180,13 +180,14 @@ def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFram
     """Signatures of all documents, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, parts = batch.column("_node").to_numpy(zero_copy_only=False), []
-            for words in words_of(batch.column("text"), lower=True):
-                found, owner = signatures(*shingle_sets(words, width), percent)
-                parts.append((found, nodes[words.first + owner]))
-            if parts:
-                yield pack(*(np.concatenate(x) for x in zip(*parts)), buckets)
+        def parts():
+            for batch in batches:
+                nodes = batch.column("_node").to_numpy(zero_copy_only=False)
+                for words in words_of(batch.column("text"), lower=True):
+                    found, owner = signatures(*shingle_sets(words, width), percent)
+                    yield found, nodes[words.first + owner]
+
+        yield from packed(parts(), buckets)
 
     return docs.select("_node", "text").mapInArrow(run, PACKED)
 
