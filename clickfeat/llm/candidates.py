@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
@@ -129,10 +129,16 @@ def _labelled(rows: DataFrame, label: DataFrame, by: str, name: str, few: bool)
     return joined.withColumn(name, F.coalesce("_label", by)).drop("_of", "_label")
 
 
-def resolve(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def resolve(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    facts: DataFrame,
+    possible: Callable[[Column, Column], Column],
+) -> DataFrame:
     """Links (a, b) that join the same components as all links between nodes that share a signature.
 
-    ``members`` comes from ``shared``; ``verify`` keeps the pairs (a, b) that are links.
+    ``members`` comes from ``shared``; ``verify`` keeps the pairs (a, b) that are links. ``facts`` has a small ``fact`` of
+    every node, and ``possible`` says whether two nodes with given facts can be linked at all.
     """
     # Each node against the smallest leader of its signatures.
     pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where(F.col("a") < F.col("node"))
@@ -149,10 +155,11 @@ def resolve(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Dat
         else:
             # Where a signature joins different components after that: everything outside the leader's against the rest.
             outside = stored(labelled.where(F.col("c") != F.col("leader_c")), "outside")
-            left = outside.select("signature", F.col("node").alias("a"), F.col("c").alias("_c"))
-            rest = semi_join(labelled, outside.select("signature").distinct(), "signature")
-            right = rest.select("signature", F.col("node").alias("b"), F.col("c").alias("_d"))
-            crossed = left.join(right, "signature").where(F.col("_c") != F.col("_d"))
+            left = outside.join(facts, "node").select("signature", F.col("node").alias("a"), F.col("c").alias("_c"), F.col("fact").alias("_f"))
+            rest = semi_join(labelled, outside.select("signature").distinct(), "signature").join(facts, "node")
+            right = rest.select("signature", F.col("node").alias("b"), F.col("c").alias("_d"), F.col("fact").alias("_g"))
+            apart = (F.col("_c") != F.col("_d")) & possible(F.col("_f"), F.col("_g"))
+            crossed = left.join(right, (left["signature"] == right["signature"]) & apart)
             pairs = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)

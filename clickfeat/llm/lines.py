@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.llm.candidates import PACKED, packed, resolve, shared
@@ -117,6 +117,32 @@ def within(a: str, b: str, edits: int) -> bool:
     return score <= k
 
 
+def with_sketches(texts: DataFrame) -> DataFrame:
+    """``texts`` (node, text) plus ``fact``: the length, and which of 128 kinds of character pairs (by hash) occur an odd
+    number of times. One edit takes away or adds four pairs at most, so it changes four kinds at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chars, kinds = [], []
+            for text in batch.column("text").to_pylist():
+                c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+                pairs = mix((c[:-1] << np.uint64(32)) + c[1:])
+                odd = np.bincount((pairs & np.uint64(127)).astype(np.int64), minlength=128) & 1
+                chars.append(len(c))
+                kinds.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            both = np.array(kinds, np.int64).reshape(-1, 2)
+            fact = pa.StructArray.from_arrays([pa.array(chars, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])], ["chars", "x", "y"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, fact], ["node", "text", "fact"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, text string, fact struct<chars:int,x:long,y:long>")
+
+
+def can_be_near(a: Column, b: Column, edits: int) -> Column:
+    """Whether lines with these facts can be near; far lines are told apart without their texts."""
+    changed = F.bit_count(a["x"].bitwiseXOR(b["x"])) + F.bit_count(a["y"].bitwiseXOR(b["y"]))
+    return (F.abs(a["chars"] - b["chars"]) <= edits) & (changed <= 4 * edits)
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
     """(doc, sub, line, text, node) of every line that is not blank; ``node`` is a hash of the line."""
     parts = docs.select("doc", "sub", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
@@ -154,9 +180,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
             keep = [within(x, y, edits) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    named = lambda node, text: texts.select(F.col("node").alias(node), F.col("text").alias(text))
-    both = pairs.join(named("a", "x"), "a").join(named("b", "y"), "b")
-    near = both.where(F.abs(F.length("x") - F.length("y")) <= edits)
+    named = lambda node, column, name: texts.select(F.col("node").alias(node), F.col(column).alias(name))
+    facts = pairs.join(named("a", "fact", "_f"), "a").join(named("b", "fact", "_g"), "b")
+    near = facts.where(can_be_near(F.col("_f"), F.col("_g"), edits)).select("a", "b")
+    near = near.join(named("a", "text", "x"), "a").join(named("b", "text", "y"), "b")
     return near.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -174,8 +201,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     members = stored(shared(_signed(lines, edits, min_chars, int(text_bytes // BUCKET_BYTES) + 1)), "line-members")
     alike = stored(members.select("node").distinct(), "line-alike")
-    texts = stored(semi_join(lines.select("node", "text"), alike, "node").dropDuplicates(["node"]), "line-texts")
-    links = resolve(members, lambda pairs: _verified(pairs, texts, edits))
+    texts = semi_join(lines.select("node", "text"), alike, "node").dropDuplicates(["node"])
+    texts = stored(with_sketches(texts), "line-texts")
+    near = lambda a, b: can_be_near(a, b, edits)
+    links = resolve(members, lambda pairs: _verified(pairs, texts, edits), texts.select("node", "fact"), near)
     label = stored(components(links), "line-components")
     few = label.count() <= BROADCAST_ROWS
     places = lines.select("doc", "sub", "line", "node").join(F.broadcast(label) if few else label, "node", "left")

@@ -262,7 +262,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     alike = stored(members.select(F.col("node").alias("_node")).distinct(), "near-alike")
     sets = stored(_sets(semi_join(distinct, alike, "_node"), width).dropDuplicates(["node"]), "near-sets")
-    links = resolve(members, lambda pairs: _verified(pairs, sets, percent))
+    sizes = sets.select("node", F.col("n").alias("fact"))
+    close = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    links = resolve(members, lambda pairs: _verified(pairs, sets, percent), sizes, close)
     label = stored(components(links.unionByName(equal)), "near-components")
     joined = all_sets.join(label, "node", "left").withColumn("_c", F.coalesce("component", "node"))
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "node")
