@@ -20,12 +20,28 @@ from clickfeat.llm.components import components
 
 # Of the signatures packed at a time: nodes that share one are tied to one of them before the shuffle, from this count on.
 HOT = 64
+KEPT = 5  # bytes of a signature that are sent, next to its bucket
 ROWS = 1 << 19  # signatures packed at a time, which bounds the memory of a task
 PACKED = "bucket int, leaders binary, base long, signatures binary, nodes binary"
 
 
+def _five_bytes(found: np.ndarray) -> bytes:
+    return np.ascontiguousarray(found.view(np.uint8).reshape(-1, 8)[:, :KEPT]).tobytes()
+
+
+def _from_five_bytes(raw: bytes, bucket: int) -> np.ndarray:
+    out = np.zeros((len(raw) // KEPT, 8), np.uint8)
+    out[:, :KEPT] = np.frombuffer(raw, np.uint8).reshape(-1, KEPT)
+    return out.view(np.uint64).ravel() + np.uint64(bucket << (8 * KEPT))
+
+
 def pack(found: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Signatures and their nodes (int64) as one row for each bucket of signatures, and one for what is hot here."""
+    """Signatures and their nodes (int64) as one row for each bucket of signatures, and one for what is hot here.
+
+    A signature is shortened to its bucket and ``KEPT`` bytes. Two that then fall together only add candidates.
+    """
+    bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    found = (bucket << np.uint64(8 * KEPT)) + (found & np.uint64((1 << 8 * KEPT) - 1))
     order = np.argsort(found, kind="stable")
     found, owner = found[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
@@ -40,7 +56,7 @@ def pack(found: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
         keep[first[crowded]] = True
         owner = np.where(hot, np.repeat(least, times), owner)[keep]
         found = found[keep]
-    bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    bucket = found >> np.uint64(8 * KEPT)
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(found) else []
     rows += [(int(bucket[i]), None, found[i:j], owner[i:j]) for i, j in itertools.pairwise(cuts)]
     base = int(owner.min()) if len(owner) else 0
@@ -56,7 +72,7 @@ def pack(found: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
             pa.array([r[0] for r in rows], pa.int32()),
             pa.array([None if r[1] is None else r[1].astype(np.int64).tobytes() for r in rows], pa.binary()),
             pa.array([base if narrow else None] * len(rows), pa.int64()),
-            pa.array([r[2].tobytes() for r in rows], pa.binary()),
+            pa.array([r[2].tobytes() if r[1] is not None else _five_bytes(r[2]) for r in rows], pa.binary()),
             pa.array([nodes(r[1], r[3]) for r in rows], pa.binary()),
         ],
         ["bucket", "leaders", "base", "signatures", "nodes"],
@@ -103,14 +119,15 @@ def shared(rows: DataFrame) -> DataFrame:
         bucket, parts = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                found = np.frombuffer(row["signatures"], np.uint64)
                 if row["leaders"] is not None:
+                    found = np.frombuffer(row["signatures"], np.uint64)
                     yield _rows(found, np.frombuffer(row["leaders"], np.int64), np.frombuffer(row["nodes"], np.int64))
                     continue
                 if row["bucket"] != bucket and parts:
                     yield _merged(parts)
                     parts = []
                 bucket = row["bucket"]
+                found = _from_five_bytes(row["signatures"], bucket)
                 if row["base"] is None:
                     parts.append((found, np.frombuffer(row["nodes"], np.int64)))
                 else:
@@ -140,9 +157,21 @@ def resolve(
     ``members`` comes from ``shared``; ``verify`` keeps the pairs (a, b) that are links. ``facts`` has a small ``fact`` of
     every node, and ``possible`` says whether two nodes with given facts can be linked at all.
     """
-    # Each node against the smallest leader of its signatures.
-    pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where(F.col("a") < F.col("node"))
-    tested = stored(pairs.select("a", F.col("node").alias("b")), "pairs")
+    # In a signature, lead by the node that is in most signatures: among copies of one text that is the one most like it.
+    counts = members.groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = members.select("signature", "leader", "node").join(counts, "node")
+    best = F.max(F.struct("_n", (-F.col("node")).alias("_node")))
+    leaders = heavy.groupBy("signature", "leader").agg(best.alias("_best"))
+    leaders = leaders.select(
+        "signature", "leader", F.col("_best._n").alias("_n"), (-F.col("_best._node")).alias("_lead")
+    )
+    members = members.join(leaders, ["signature", "leader"]).select("signature", F.col("_lead").alias("leader"), "node", "_n")
+    members = stored(members, "led")
+    # Each node against the leader in most signatures of those it has.
+    pairs = members.groupBy("node").agg(F.max(F.struct("_n", (-F.col("leader")).alias("_l"))).alias("_best"))
+    pairs = pairs.select("node", (-F.col("_best._l")).alias("a")).where(F.col("a") != F.col("node"))
+    pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    tested = stored(pairs, "pairs")
     links = stored(verify(tested), "links")
     for leaders_only in (True, False):
         label = stored(components(links), "components")
@@ -151,7 +180,7 @@ def resolve(
         if leaders_only:
             # Against the leaders of all signatures that still join different components.
             apart = labelled.where(F.col("c") != F.col("leader_c"))
-            pairs = apart.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+            pairs = apart.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
         else:
             # Where a signature joins different components after that: everything outside the leader's against the rest.
             outside = stored(labelled.where(F.col("c") != F.col("leader_c")), "outside")

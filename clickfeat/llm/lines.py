@@ -25,6 +25,7 @@ from clickfeat.llm.words import mix
 
 EDITS = 2
 MIN_CHARS = 20  # shorter lines are only equal or not
+SKETCH = 4  # longs of a line's sketch
 BUCKET_BYTES = 8 << 20
 CHARS = 1 << 18  # characters handled at a time
 _BASE = 0x9FB21C651E98DF25
@@ -118,28 +119,30 @@ def within(a: str, b: str, edits: int) -> bool:
 
 
 def with_sketches(texts: DataFrame) -> DataFrame:
-    """``texts`` (node, text) plus ``fact``: the length, and which of 128 kinds of character pairs (by hash) occur an odd
-    number of times. One edit takes away or adds four pairs at most, so it changes four kinds at most."""
+    """``texts`` (node, text) plus ``fact``: the length, and which of 64 * SKETCH kinds of character pairs (by hash) occur an
+    odd number of times. One edit takes away or adds four pairs at most, so it changes four kinds at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             chars, kinds = [], []
             for text in batch.column("text").to_pylist():
                 c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-                pairs = mix((c[:-1] << np.uint64(32)) + c[1:])
-                odd = np.bincount((pairs & np.uint64(127)).astype(np.int64), minlength=128) & 1
+                pairs = mix((c[:-1] << np.uint64(32)) + c[1:]) % np.uint64(64 * SKETCH)
+                odd = np.bincount(pairs.astype(np.int64), minlength=64 * SKETCH) & 1
                 chars.append(len(c))
                 kinds.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            both = np.array(kinds, np.int64).reshape(-1, 2)
-            fact = pa.StructArray.from_arrays([pa.array(chars, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])], ["chars", "x", "y"])
+            both = np.array(kinds, np.int64).reshape(-1, SKETCH)
+            columns = [pa.array(chars, pa.int32()), *[pa.array(np.ascontiguousarray(both[:, i])) for i in range(SKETCH)]]
+            fact = pa.StructArray.from_arrays(columns, ["chars", *[f"w{i}" for i in range(SKETCH)]])
             yield pa.RecordBatch.from_arrays([*batch.columns, fact], ["node", "text", "fact"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, text string, fact struct<chars:int,x:long,y:long>")
+    fields = ", ".join(f"w{i}:long" for i in range(SKETCH))
+    return texts.select("node", "text").mapInArrow(run, f"node long, text string, fact struct<chars:int, {fields}>")
 
 
 def can_be_near(a: Column, b: Column, edits: int) -> Column:
     """Whether lines with these facts can be near; far lines are told apart without their texts."""
-    changed = F.bit_count(a["x"].bitwiseXOR(b["x"])) + F.bit_count(a["y"].bitwiseXOR(b["y"]))
+    changed = sum((F.bit_count(a[f"w{i}"].bitwiseXOR(b[f"w{i}"])) for i in range(SKETCH)), F.lit(0))
     return (F.abs(a["chars"] - b["chars"]) <= edits) & (changed <= 4 * edits)
 
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.llm.candidates import PACKED, packed, resolve, shared
@@ -26,8 +26,9 @@ from clickfeat.llm.components import components
 from clickfeat.llm.words import Words, inside, mix, window_hashes, words_of
 
 WIDTH, PERCENT = 4, 85
-SPARE = 1  # parts beyond those that the bound asks for, so that a match on an empty subset need not count
+SPARE = 16  # one part in so many, and one more, is beyond what the bound asks for, so that empty subsets need not count
 SCHEMES = 8  # partitions of the domain that are tried for sets with too many empty subsets
+SKETCH = 8  # longs of a set's sketch
 BUCKET_BYTES = 8 << 20  # text bytes per signature bucket
 
 
@@ -66,25 +67,27 @@ def bands(largest: int, percent: int) -> np.ndarray:
     return np.array(ends[1:])
 
 
-def layout(bound: int) -> tuple[int, int, int]:
-    """(n1, n2, k2) for sets that differ in at most ``bound`` elements."""
+def layout(bound: int) -> tuple[int, int, int, int]:
+    """(n1, n2, k2, spare parts among n1) for sets that differ in at most ``bound`` elements."""
     if bound == 0:
-        return 1, 1, 0
+        return 1, 1, 0, 0
     if bound <= 3:
-        return 1, (3, 4, 6)[bound - 1], bound
-    return bound // 2 + 1 + SPARE, 3, 1
+        return 1, (3, 4, 6)[bound - 1], bound, 0
+    needed = bound // 2 + 1
+    spare = 1 + needed // SPARE
+    return needed + spare, 3, 1, spare
 
 
 def _enumerated(values: np.ndarray, starts: np.ndarray, tag: np.ndarray, bound: np.ndarray, scheme: int, last: bool):
     """Signatures of one scheme, the number of the set of each, and which sets ask for another scheme.
 
-    Of the first-level parts, SPARE + 1 at least (one, if there is only one) agree on a subset of their pieces. A set of
-    which at most SPARE parts (none) have an empty subset therefore agrees on a subset that is not empty, and need not
+    Of the first-level parts, one more than the spare ones at least agree on a subset of their pieces. A set of which no
+    more parts than the spare ones have an empty subset therefore agrees on a subset that is not empty, and need not
     sign the empty ones, which unrelated sets would share. The others go to the next scheme, another partition of the
     domain: a pair is found in the first scheme that is good for one of the two. Only the last scheme signs empty subsets.
     """
     sizes = np.diff(starts)
-    n1, n2, k2 = np.array([layout(b) for b in range(int(bound.max(initial=0)) + 1)])[bound].T
+    n1, n2, k2, spare = np.array([layout(b) for b in range(int(bound.max(initial=0)) + 1)])[bound].T
     n1 = np.where(sizes > 0, n1, 0)
     pieces = n1 * n2
     base = np.concatenate([[0], np.cumsum(pieces)])
@@ -110,7 +113,7 @@ def _enumerated(values: np.ndarray, starts: np.ndarray, tag: np.ndarray, bound:
         code = mix(place + (np.uint64(scheme) << np.uint64(56)))[:, None]
         code = code + np.arange(1, len(subsets) + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
         gaps = np.bincount(owner[empty.any(axis=1)], minlength=len(sizes))
-        bad |= gaps > np.where(n1 > 1, SPARE, 0)
+        bad |= gaps > spare
         signed = ~empty | (last & bad[owner][:, None])
         out.append(mix(total + code)[signed])
         owners.append(np.repeat(owner, len(subsets)).reshape(-1, len(subsets))[signed])
@@ -193,20 +196,43 @@ def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFram
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, n, shingles): the sets themselves, as sorted 64-bit hashes."""
+    """(node, n, shingles, fact): the sets themselves, as sorted 64-bit hashes, and a sketch of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, cells = [], []
+            sizes, cells, bits = [], [], []
             for words in words_of(batch.column("text"), lower=True):
                 values, starts = shingle_sets(words, width)
                 sizes += np.diff(starts).tolist()
                 cells += [values[i:j].tobytes() for i, j in itertools.pairwise(starts)]
+                bits.append(_parities(values, starts))
+            sketch = np.concatenate(bits) if bits else np.zeros((0, SKETCH), np.int64)
+            n = pa.array(sizes, pa.int64())
+            fact = pa.StructArray.from_arrays(
+                [n, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)]], ["n", *[f"w{i}" for i in range(SKETCH)]]
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_node"), pa.array(sizes, pa.int64()), pa.array(cells, pa.binary())], ["node", "n", "shingles"]
+                [batch.column("_node"), n, pa.array(cells, pa.binary()), fact], ["node", "n", "shingles", "fact"]
             )
 
-    return docs.select("_node", "text").mapInArrow(run, "node long, n long, shingles binary")
+    fields = ", ".join(f"w{i}:long" for i in range(SKETCH))
+    return docs.select("_node", "text").mapInArrow(run, f"node long, n long, shingles binary, fact struct<n:long, {fields}>")
+
+
+def _parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each set, whether it has an odd number of elements in each of 64 * SKETCH classes, as SKETCH longs. The bits
+    in which two sets differ are at most as many as the elements in which they differ."""
+    rows, width = len(starts) - 1, 64 * SKETCH
+    slot = np.repeat(np.arange(rows), np.diff(starts)) * width + (mix(values) % np.uint64(width)).astype(np.int64)
+    odd = (np.bincount(slot, minlength=rows * width) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(rows, SKETCH)
+
+
+def can_link(a: Column, b: Column, percent: int) -> Column:
+    """Whether sets with these facts can link: what differs is at most (100 - percent) / (100 + percent) of both sizes."""
+    differ = sum((F.bit_count(a[f"w{i}"].bitwiseXOR(b[f"w{i}"])) for i in range(SKETCH)), F.lit(0))
+    at_least = F.greatest(differ, F.abs(a["n"] - b["n"]))
+    return at_least * (100 + percent) <= (a["n"] + b["n"]) * (100 - percent)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -221,14 +247,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sizes = sets.select("node", "n")
     named = lambda df, node, **names: df.select(F.col("node").alias(node), *[F.col(k).alias(v) for k, v in names.items()])
-    near = (
-        pairs.join(named(sizes, "a", n="_n"), "a")
-        .join(named(sizes, "b", n="_m"), "b")
-        .where(F.least("_n", "_m") * 100 >= F.greatest("_n", "_m") * percent)
-        .select("a", "b")
-    )
+    with_a = pairs.join(named(sets, "a", fact="_f"), "a")
+    theirs = named(sets, "_b", fact="_g")
+    near = with_a.join(theirs, (F.col("b") == F.col("_b")) & can_link(F.col("_f"), F.col("_g"), percent)).select("a", "b")
     full = near.join(named(sets, "a", shingles="x"), "a").join(named(sets, "b", shingles="y"), "b")
     return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
@@ -262,9 +284,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     alike = stored(members.select(F.col("node").alias("_node")).distinct(), "near-alike")
     sets = stored(_sets(semi_join(distinct, alike, "_node"), width).dropDuplicates(["node"]), "near-sets")
-    sizes = sets.select("node", F.col("n").alias("fact"))
-    close = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    links = resolve(members, lambda pairs: _verified(pairs, sets, percent), sizes, close)
+    possible = lambda a, b: can_link(a, b, percent)
+    links = resolve(members, lambda pairs: _verified(pairs, sets, percent), sets.select("node", "fact"), possible)
     label = stored(components(links.unionByName(equal)), "near-components")
     joined = all_sets.join(label, "node", "left").withColumn("_c", F.coalesce("component", "node"))
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "node")
