@@ -21,7 +21,7 @@ from clickfeat.llm.components import components
 # Of the signatures packed at a time: nodes that share one are tied to one of them before the shuffle, from this count on.
 HOT = 64
 KEPT = 5  # bytes of a signature that are sent, next to its bucket
-ROWS = 1 << 19  # signatures packed at a time, which bounds the memory of a task
+ROWS = 1 << 18  # signatures packed at a time, which bounds the memory of a task
 PACKED = "bucket int, leaders binary, base long, signatures binary, nodes binary"
 
 
@@ -118,7 +118,8 @@ def shared(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts = None, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 if row["leaders"] is not None:
                     found = np.frombuffer(row["signatures"], np.uint64)
                     yield _rows(found, np.frombuffer(row["leaders"], np.int64), np.frombuffer(row["nodes"], np.int64))

@@ -26,7 +26,7 @@ from clickfeat.llm.words import mix
 EDITS = 2
 MIN_CHARS = 20  # shorter lines are only equal or not
 SKETCH = 4  # longs of a line's sketch
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 CHARS = 1 << 18  # characters handled at a time
 _BASE = 0x9FB21C651E98DF25
 _INVERSE = pow(_BASE, -1, 1 << 64)

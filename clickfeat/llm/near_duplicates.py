@@ -29,7 +29,7 @@ WIDTH, PERCENT = 4, 85
 SPARE = 16  # one part in so many, and one more, is beyond what the bound asks for, so that empty subsets need not count
 SCHEMES = 8  # partitions of the domain that are tried for sets with too many empty subsets
 SKETCH = 8  # longs of a set's sketch
-BUCKET_BYTES = 8 << 20  # text bytes per signature bucket
+BUCKET_BYTES = 4 << 20  # text bytes per signature bucket
 
 
 def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:

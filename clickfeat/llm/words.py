@@ -92,17 +92,20 @@ def text_groups(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
     """(first row, bytes, offsets) of groups of rows of at most about ``LIMIT`` bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
-    _, offsets, data = texts.buffers()
     if not len(texts):
         return
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if texts.null_count:
+        texts = texts.fill_null("")
+    _, offsets, data = texts.buffers()
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(offsets, width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     i = 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + LIMIT, "right")) - 1)
         yield i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
