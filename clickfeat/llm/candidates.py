@@ -183,10 +183,20 @@ def resolve(
             apart = labelled.where(F.col("c") != F.col("leader_c"))
             pairs = apart.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
         else:
-            # Where a signature joins different components after that: everything outside the leader's against the rest.
-            outside = stored(labelled.where(F.col("c") != F.col("leader_c")), "outside")
+            # Where a signature joins different components after that, over all its groups: everything outside its most
+            # frequent component against the rest.
+            spread = labelled.groupBy("signature").agg(F.min("c").alias("_low"), F.max("c").alias("_high"))
+            spread = stored(spread.where("_low != _high").select("signature"), "spread")
+            known = spread.count()
+            rest = stored(semi_join(labelled, spread, "signature", known).select("signature", "node", "c").distinct(), "rest")
+            main = rest.groupBy("signature", "c").agg(F.count(F.lit(1)).alias("_n"))
+            main = main.groupBy("signature").agg(F.max(F.struct("_n", "c")).alias("_main"))
+            main = main.select(F.col("signature").alias("_of"), F.col("_main.c").alias("_in"))
+            side = F.broadcast(main) if known <= BROADCAST_ROWS else main
+            outside = rest.join(side, (F.col("signature") == F.col("_of")) & (F.col("c") != F.col("_in"))).drop("_of", "_in")
+            outside = stored(outside, "outside")
             left = outside.join(facts, "node").select("signature", F.col("node").alias("a"), F.col("c").alias("_c"), F.col("fact").alias("_f"))
-            rest = semi_join(labelled, outside.select("signature").distinct(), "signature").join(facts, "node")
+            rest = rest.join(facts, "node")
             right = rest.select("signature", F.col("node").alias("b"), F.col("c").alias("_d"), F.col("fact").alias("_g"))
             apart = (F.col("_c") != F.col("_d")) & possible(F.col("_f"), F.col("_g"))
             crossed = left.join(right, (left["signature"] == right["signature"]) & apart)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from clickfeat.llm import candidates as C
 from clickfeat.llm import lines as L
 
 
@@ -96,5 +97,34 @@ def test_equals_brute_force(spark, documents):
         assert r.kept == (None if r.doc_id == 900 else "\n".join(kept))
 
 
+def test_groups_of_two_batches_joined_by_one_inner_pair(spark, monkeypatch):
+    """Each side shares its keys within its own batch; only one line of each is near one of the other."""
+
+    def tiny(parts, buckets):
+        before = C.HOT, C.ROWS
+        C.HOT, C.ROWS = 2, 8
+        try:
+            yield from C.packed(parts, buckets)
+        finally:
+            C.HOT, C.ROWS = before
+
+    monkeypatch.setattr(L, "packed", tiny)
+    random.seed(3)
+    sides = ([], [])
+    for _ in range(4):
+        x = [random.choice("abcdefghij") for _ in range(60)]
+        y = ["Y" if i in (5, 25) else c for i, c in enumerate(x)]
+        for side, base in enumerate((x, y)):
+            for at in (None, 2, 8, 11, 14, 17, 22, 28, 31, 34, 37):
+                sides[side].append((1000 * side + len(sides[side]), "".join("XZ"[side] if i == at else c for i, c in enumerate(base))))
+    rows = sides[0] + sides[1]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    expected = brute(rows, 2, 20)
+    assert sum(gone for _, gone, _ in expected.values()) == len(rows) - 4
+    for r in L.dedup_lines(docs).collect():
+        n, gone, kept = expected[r.doc_id]
+        assert (r.n_lines, r.n_removed, r.kept) == (n, gone, "\n".join(kept)), r.doc_id
+
+
 def test_empty_table(spark, documents):
     assert L.dedup_lines(documents([])).collect() == []

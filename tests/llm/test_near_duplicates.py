@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from clickfeat.llm import candidates as C
 from clickfeat.llm import near_duplicates as nd
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,6 +60,34 @@ def test_equals_brute_force(spark, documents, width, percent):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute(rows, width, percent)
 
 
+def test_groups_of_two_batches_joined_by_one_inner_pair(spark, monkeypatch):
+    """Each side shares its signatures within its own batch; only the last text of one and of the other link across."""
+
+    def tiny(parts, buckets):
+        before = C.HOT, C.ROWS
+        C.HOT, C.ROWS = 2, 8
+        try:
+            yield from C.packed(parts, buckets)
+        finally:
+            C.HOT, C.ROWS = before
+
+    monkeypatch.setattr(nd, "packed", tiny)
+    sides = ([], [])
+    for family in range(3):
+        x = [f"f{family}w{i}" for i in range(160)]
+        y = [f"{w}y" if i in (20, 80, 140) else w for i, w in enumerate(x)]
+        for side, base in enumerate((x, y)):
+            for at in (35, 50, 65, 95, 110, 125, None):
+                text = [f"{w}e{side}" if i == at else w for i, w in enumerate(base)]
+                sides[side].append((1000 * side + len(sides[side]), " ".join(text)))
+    rows = sides[0] + sides[1]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    found = nd.near_duplicates(docs).collect()
+    expected = brute(rows, nd.WIDTH, nd.PERCENT)
+    assert len({c for *_, c in expected}) == 3
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == expected
+
+
 def test_repeated_rows_and_one_of_each(spark, documents):
     text = " ".join(f"a{i}" for i in range(30))
     rows = [(5, text), (5, text), (5, "other words that are not alike"), (3, text + " b"), (8, None), (9, None), (None, text)]
