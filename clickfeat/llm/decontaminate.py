@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.llm.common import stored
+from clickfeat.llm.near_duplicates import with_nodes
 from clickfeat.llm.words import inside, window_hashes, words_of
 
 MIN_MATCH = 5
@@ -165,6 +166,10 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, min_mat
 
 
 def clean(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, min_match: int = MIN_MATCH) -> DataFrame:
-    """``docs`` without the rows whose id leaks an item. Rows with a NULL id are judged together, as one id."""
-    bad = stored(leaks(docs, items, coverage, min_match).select(F.col("doc_id").alias("_bad")).distinct(), "bench-leaks")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """``docs`` without the rows that leak an item. Rows are judged one by one (see ``with_nodes``), also where their id is
+    NULL or repeated; only rows of equal id and text are judged together."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*docs.columns).alias("_row"))
+    rows = with_nodes(rows)
+    bad = leaks(rows.select(F.col("_node").alias("doc_id"), "text"), items, coverage, min_match)
+    bad = stored(bad.select(F.col("doc_id").alias("_bad")).distinct(), "bench-leaks")
+    return rows.join(bad, F.col("_node") == F.col("_bad"), "left_anti").select("_row.*")

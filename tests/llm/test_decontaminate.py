@@ -53,6 +53,16 @@ def test_clean_and_empty_tables(spark, documents):
     assert D.clean(docs, items.limit(0)).count() == 4 and D.clean(docs.limit(0), items).count() == 0
 
 
+def test_clean_rows_stay_under_null_and_repeated_ids(spark, documents):
+    items = spark.createDataFrame([(1, " ".join(ITEM))], "item_id long, text string")
+    leak = " ".join(ITEM)
+    rows = [(None, leak), (None, "fine"), (None, None), (5, leak), (5, "good"), (5, leak), (6, "good"), (7, leak)]
+    kept = D.clean(documents(rows, {"_node": ("long", 1), "_id": ("string", "x")}), items)
+    assert kept.columns == ["doc_id", "text", "_node", "_id"]
+    found = sorted(((r.doc_id or 0, r.text or "", r["_node"], r["_id"]) for r in kept.collect()))
+    assert found == [(0, "", 1, "x"), (0, "fine", 1, "x"), (5, "good", 1, "x"), (6, "good", 1, "x")]
+
+
 def test_items_of_a_block():
     block = D.Items.of([1, 2], pa.array(["a b c d e f", "x"]), 5)
     assert len(block.seeds) == 2 and sorted(block.place.tolist()) == [0, 1] and len(block.words[1]) == 1
