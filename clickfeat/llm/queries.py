@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, quality, sharding, substrings
+from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, quality, sharding, substrings, urls
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,26 @@ def op10_mixing(spark, sf_dir):
     """How much of every document the mix of all sources takes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("words"))
     return mixing.mix(docs, F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# The entries of the query.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query(
+    "op11_url_filters",
+    """WITH r(rule_host, rule_path, rule_verdict) AS (VALUES
+      ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+    p AS (SELECT row_number() OVER () AS nth, page_id,
+      translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+    f AS (SELECT nth, rule_host || rule_path AS rule, rule_verdict,
+      row_number() OVER (PARTITION BY nth ORDER BY length(rule_host) DESC, length(rule_path) DESC) AS place
+      FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+    SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
+    FROM p LEFT JOIN (SELECT * FROM f WHERE place = 1) b ON p.nth = b.nth""",
+)
+def op11_url_filters(spark, sf_dir):
+    """The verdict of the url lists on every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.rules(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
