@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, quality, sharding, substrings, urls
+from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, negatives, quality, sharding, substrings, urls
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,27 @@ def op11_url_filters(spark, sf_dir):
     """The verdict of the url lists on every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.rules(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op13_hard_negatives",
+    """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS alike, c.vec_id, list_inner_product(a.vector, c.vector)::BIGINT AS score
+          FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+          row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE alike),
+    n AS (SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+          row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+          FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike
+            AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score WHERE place <= 5)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+)
+def op13_hard_negatives(spark, sf_dir):
+    """The hard negatives of every fiftieth vector and its five nearest of the same label."""
+    given = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = given.select("vec_id", label.alias("label"), maxscore.integers(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
