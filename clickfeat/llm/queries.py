@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, negatives, quality, sharding, substrings, urls
+from clickfeat.llm import chat, decontaminate, lines, lm, maxscore, mixing, near_duplicates, negatives, quality, repair, sharding, substrings, urls
 from clickfeat.llm.common import n_words, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,6 +185,32 @@ def op11_url_filters(spark, sf_dir):
     return urls.judge(pages, urls.rules(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op12_structure_repair")
+def op12_structure_repair(spark, sf_dir):
+    """Every conversation after the stated damage, and its repair."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    drawn = given.withColumn("_harm", F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")) % 20)
+    harm, text = F.col("_harm"), told("text")
+    harmed = drawn.where(harm != 0).select(
+        "conv_id",
+        "turn",
+        F.when(harm == 4, "user").otherwise(told("role")).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(harm == 3, 2).otherwise(1))).alias("_copy"),
+    )
+    found = repair.report(repair.repair(harmed.drop("_copy"))).withColumnRenamed("conv_id", "_id")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = given.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return every.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
 @query(
     "op13_hard_negatives",
     """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
