@@ -8,12 +8,14 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickfeat.naming import ROW_ID
 from clickfeat.operators import relational
 from clickfeat.plans import catalog, jobs, wide
 from clickfeat.plans.features import Feature, size, statistic
 from clickfeat.registry.base import query
 from clickfeat.registry.relational import _BOTH, train_and_test
 from clickfeat.sources.clicklog import TRAIN_SCHEMA, events_as_clicks, orders_as_impressions, prepare, read_csv
+from clickfeat.sources.positions import load_csv
 from clickfeat.sources.store import run_store, write_csv
 
 # ---- SQL of a feature -----------------------------------------------------------------------------------------------
@@ -260,8 +262,8 @@ def counts_written_by_part(spark, sf_dir):
     return relational.union_like(*sums)
 
 
-def _written_log(spark, sf_dir) -> str:
-    """The clicks as a CSV file of the train schema, and its path."""
+def _log_lines(spark, sf_dir) -> DataFrame:
+    """The clicks as text columns of the train schema."""
     clicks = events_as_clicks(spark, sf_dir).withColumns(
         {
             "channel": F.col("device") * 10 + F.col("os"),
@@ -269,9 +271,14 @@ def _written_log(spark, sf_dir) -> str:
             "attributed_time": F.lit(None).cast("timestamp_ntz"),
         }
     )
+    columns = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c.endswith("_time") else F.col(c).cast("string") for c in TRAIN_SCHEMA.names]
+    return clicks.select(ROW_ID, *columns)
+
+
+def _written_log(spark, sf_dir) -> str:
+    """The clicks as a CSV file of the train schema, and its path."""
     path = run_store(spark).path("log-csv")
-    columns = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c.endswith("_time") else F.col(c) for c in TRAIN_SCHEMA.names]
-    write_csv(clicks.select(*columns), path)
+    write_csv(_log_lines(spark, sf_dir).drop(ROW_ID), path)
     return path
 
 
@@ -287,6 +294,45 @@ def csv_log_counts(spark, sf_dir):
     return log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("is_attributed").alias("converted"))
 
 
+def _flawed_files(spark, sf_dir) -> str:
+    """The clicks as several CSV files without an id, each line twice, every hundredth one with a text as its app, and their path."""
+    flawed = _log_lines(spark, sf_dir).withColumn("app", F.when(F.col(ROW_ID) % 100 == 7, "x").otherwise(F.col("app")))
+    twice = flawed.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    path = run_store(spark).path("flawed-csv")
+    files = twice.repartitionByRange(5, ROW_ID, "_copy").sortWithinPartitions(ROW_ID, "_copy")
+    write_csv(files, path, TRAIN_SCHEMA.names)
+    return path
+
+
+_TWICE = """, lines AS (SELECT c.rid, row_number() OVER (ORDER BY c.rid, copy) - 1 AS place, ip, app, device, os, is_attributed, click_time
+  FROM clicks c, (VALUES (0), (1)) v(copy))"""
+
+
+@query(
+    "csv_file_row_index",
+    f"""{_TWICE} SELECT place AS rid, ip, app, device, os, is_attributed, date_trunc('second', click_time) AS click_time
+        FROM lines WHERE rid % 100 <> 7""",
+)
+def csv_file_row_index(spark, sf_dir):
+    """A log without an id, read from several files: rows are numbered by their place in the files."""
+    log, _ = load_csv(spark, _flawed_files(spark, sf_dir), TRAIN_SCHEMA, run_store(spark))
+    return log.select(ROW_ID, "ip", "app", "device", "os", "is_attributed", "click_time")
+
+
+@query(
+    "csv_rejected_lines",
+    f"""{_TWICE} SELECT rid % 100 <> 7 AS fits, count(*) AS n, min(place) AS first_rid, max(place) AS last_rid,
+        sum(ip)::BIGINT AS ips FROM lines GROUP BY fits""",
+)
+def csv_rejected_lines(spark, sf_dir):
+    """Lines that fit the schema and lines that do not; the ip of a rejected line is read from its text."""
+    good, bad = load_csv(spark, _flawed_files(spark, sf_dir), TRAIN_SCHEMA, run_store(spark))
+    told = bad.select(ROW_ID, F.split("line", ",")[0].cast("long").alias("ip"), F.lit(False).alias("fits"))
+    both = told.unionByName(good.select(ROW_ID, "ip", F.lit(True).alias("fits")))
+    counts = {"n": F.count(F.lit(1)), "first_rid": F.min(ROW_ID), "last_rid": F.max(ROW_ID), "ips": F.sum("ip")}
+    return both.groupBy("fits").agg(*[c.alias(n) for n, c in counts.items()])
+
+
 @query("csv_limited_scan", " SELECT least(count(*), 500) AS n, 3 AS n_columns FROM clicks")
 def csv_limited_scan(spark, sf_dir):
     """A trial scan of some columns of the first rows of a file."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,15 +36,17 @@ IMPRESSION_SCHEMA = T.StructType(
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Typed CSV scan of the chosen columns; ``limit`` is for trials on part of a file."""
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
-    )
-    return _chosen(df, columns, limit)
+    """Typed CSV scan of the chosen columns; ``limit`` is for trials on part of a file.
+
+    A value that does not fit its type is NULL; ``positions.load_csv`` tells such lines apart and gives row ids.
+    """
+    return _chosen(csv_reader(spark, schema).csv(path), columns, limit)
+
+
+def csv_reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
+    """Reader of CSV files with a header and the time format of the logs."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
