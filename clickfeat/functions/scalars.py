@@ -69,8 +69,8 @@ def predictors(df: DataFrame, exclude: Sequence[str] = NOT_PREDICTORS) -> list[s
 
 
 def categoricals(df: DataFrame) -> list[str]:
-    """Columns taken as categories. Group numbers are left as numbers: there are as many of them as key tuples."""
-    return [c for c in BASE_CATEGORICALS if c in df.columns]
+    """Columns taken as categories: the listed ones and all group numbers."""
+    return [c for c in BASE_CATEGORICALS if c in df.columns] + [c for c in df.columns if c.endswith("ngroup")]
 
 
 def has_columns(df: DataFrame, columns: Sequence[str]) -> bool:

@@ -1,26 +1,29 @@
-"""Training-table steps on Spark ML: matrix, boosted-tree fit, importance, scores, metrics and report."""
+"""Training-table steps on Spark ML: category codes, matrix, boosted-tree fit, importance, scores, metrics and report."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickfeat.operators.ordered import top_rows
+from clickfeat.operators.ordered import place_in_group, top_rows
 from clickfeat.operators.relational import project_scores, union_like
+from clickfeat.operators.slices import salted_join
+from clickfeat.plans.wide import broadcast_rows
 from clickfeat.session import ensure_checkpoint_dir
-from clickfeat.sources.store import write_csv
+from clickfeat.sources.store import FeatureStore, run_store, write_csv
 
 SEEDS = tuple(range(42, 52))
-SEEDS_AT_ONCE = 4
+SEEDS_AT_ONCE = 5
 REFIT_FACTOR = 1.46
 TOP_FEATURES = 60
 # No feature value is negative, so trees can tell a missing value apart.
@@ -28,8 +31,10 @@ MISSING = -1.0
 LABEL, WEIGHT, FEATURES, SCORE = "is_attributed", "_weight", "_features", "score"
 # Idle rounds after which a validated fit stops. Fixed value.
 PATIENCE = 30
-# Categories of one column that may be listed on the driver; a column with more must be given as a number.
-MAX_CATEGORIES = 100_000
+# Rows that one task of a fit takes; a fit is many short jobs, so small tables are read by few tasks.
+ROWS_PER_TASK = 50_000
+# Scores of one round are counted in so many bins for its area under the curve; so many rounds are counted at once.
+BINS, ROUNDS_AT_ONCE = 8192, 64
 
 
 @dataclass(frozen=True)
@@ -44,11 +49,13 @@ class FitParams:
     min_rows: int = 1
     max_bins: int = 155
     rounds: int = 10_000
+    # Validation measures that are watched; the first one that has waited long enough ends the fit.
+    metrics: tuple[str, ...] = ("auc", "logloss")
 
 
 WIDE_PARAMS = FitParams()
 SECOND_PARAMS = FitParams(
-    positive_weight=402.7, max_depth=4, row_share=0.7, column_share=0.9, min_rows=100, max_bins=256, rounds=1_000
+    positive_weight=402.7, max_depth=4, row_share=0.7, column_share=0.9, min_rows=100, max_bins=256, rounds=1_000, metrics=("auc",)
 )
 
 
@@ -57,37 +64,145 @@ def weighted(df: DataFrame, positive_weight: float, label: str = LABEL) -> DataF
     return df.withColumn(WEIGHT, F.when(F.col(label) == 1, positive_weight).otherwise(1.0))
 
 
-def matrix_stages(predictors: Sequence[str], categorical: Sequence[str]) -> list:
-    """Stages that turn predictor columns into one vector; categorical columns become numbered categories."""
-    listed = [c for c in predictors if c in categorical]
-    indexer = StringIndexer(
-        inputCols=listed, outputCols=[f"_{c}_index" for c in listed], handleInvalid="keep", stringOrderType="alphabetAsc"
-    )
-    inputs = [f"_{c}_index" if c in categorical else c for c in predictors]
-    assembler = VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="keep")
-    return [indexer, assembler] if listed else [assembler]
-
+def category_codes(df: DataFrame, column: str, label: str | None = None) -> DataFrame:
+    """(column, code): the values of a column numbered from 0 on in the order of their weighted label rate, ties and tables
+    without a label in the order of the values. NULL has no code. The order is cut into slices; no task sees all values."""
+    present = df.where(F.col(column).isNotNull())
+    if label is None:
+        rated = present.select(column, F.lit(0.0).alias("_rate")).distinct()
+    else:
+        # Whole sums, so that the order does not depend on the order of addition.
+        share = F.try_divide(F.sum(F.when(F.col(label) == 1, F.lit(1)).otherwise(0)), F.count(F.lit(1)))
+        rated = present.groupBy(column).agg(share.alias("_rate"))
+    placed = place_in_group(rated, [], ["_rate", column], "_at", "_of")
+    return placed.select(column, F.col("_at").cast("double").alias("code"))
 
-def fill_predictors(df: DataFrame, predictors: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in predictors if c not in categorical}
-    return df.withColumns(filled) if filled else df
 
+@dataclass
+class Encoder:
+    """Turns predictor columns into one vector; categorical columns become codes of written tables."""
 
-def matrix(df: DataFrame, predictors: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
-    """The table with one feature vector per row."""
-    filled = fill_predictors(df, predictors, categorical)
-    return Pipeline(stages=matrix_stages(predictors, categorical)).fit(filled).transform(filled)
+    predictors: list[str]
+    categorical: list[str]
+    codes: dict[str, DataFrame]
+    few: dict[str, bool]
+
+    @classmethod
+    def learned(cls, known: DataFrame, predictors: Sequence[str], categorical: Sequence[str], label: str | None, store: FeatureStore) -> Encoder:
+        """Codes of all values in ``known``; other values, as NULL, become ``MISSING``."""
+        listed = [c for c in predictors if c in categorical]
+        codes = {c: store.get_or_compute(f"codes-{c}", lambda c=c: category_codes(known, c, label)) for c in listed}
+        few = {c: table.count() <= broadcast_rows(known.sparkSession) for c, table in codes.items()}
+        return cls(list(predictors), list(categorical), codes, few)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """The rows with their vector as ``_features``."""
+        made = df
+        for c, table in self.codes.items():
+            named = table.withColumnRenamed("code", f"_{c}_code")
+            # Rows of a very common value are spread by their other predictors.
+            made = made.join(F.broadcast(named), c, "left") if self.few[c] else salted_join(made, named, [c], self.predictors, df)
+        values = {f"_{c}_value": F.coalesce(F.col(f"_{c}_code" if c in self.codes else c).cast("double"), F.lit(MISSING)) for c in self.predictors}
+        assembler = VectorAssembler(inputCols=list(values), outputCol=FEATURES, handleInvalid="keep")
+        return assembler.transform(made.withColumns(values)).select(*df.columns, FEATURES)
+
+
+def matrix(df: DataFrame, predictors: Sequence[str], categorical: Sequence[str] = (), label: str | None = None) -> DataFrame:
+    """The table with one feature vector per row; categories are coded by label rate, without a label by value."""
+    return Encoder.learned(df, predictors, categorical, label, run_store(df.sparkSession)).apply(df)
+
+
+def written_matrix(df: DataFrame, encoder: Encoder, params: FitParams, store: FeatureStore, name: str) -> DataFrame:
+    """Vector, label and weight of the rows, written once for all fits on them."""
+    rows = encoder.apply(weighted(df.select(*dict.fromkeys([*encoder.predictors, LABEL])), params.positive_weight))
+    made = store.get_or_compute(name, lambda: rows.select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), WEIGHT))
+    return made.coalesce(made.count() // ROWS_PER_TASK + 1)
+
+
+def nodes(trees: GBTClassificationModel) -> DataFrame:
+    """All nodes of a fitted ensemble: ``tree``, ``node``, ``prediction``, ``feature`` (of the split, NULL in a leaf)."""
+    path = run_store(SparkSession.active()).path("trees")
+    trees.write().save(path)
+    found = SparkSession.active().read.parquet(f"{path}/data")
+    inner = F.col("nodeData.leftChild") >= 0
+    return found.select(
+        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"), F.col("nodeData.prediction").alias("prediction"),
+        F.when(inner, F.col("nodeData.split.featureIndex")).alias("feature"),
+    )
+
+
+def first_trees(trees: GBTClassificationModel, count: int) -> GBTClassificationModel:
+    """The ensemble of the first ``count`` trees; the same as a fit of so many rounds with the same seed."""
+    context, whole = SparkSession.active().sparkContext, trees._java_obj
+    classes, gateway = context._jvm.org.apache.spark.ml, context._gateway
+    kept = gateway.new_array(classes.regression.DecisionTreeRegressionModel, count)
+    weights = gateway.new_array(gateway.jvm.double, count)
+    all_trees, all_weights = whole.trees(), whole.treeWeights()
+    for i in range(count):
+        kept[i], weights[i] = all_trees[i], all_weights[i]
+    made = classes.classification.GBTClassificationModel(whole.uid(), kept, weights, whole.numFeatures(), whole.numClasses())
+    made = GBTClassificationModel(whole.copyValues(made, whole.extractParamMap()))
+    made._transfer_params_from_java()
+    return made
+
+
+def round_measures(trees: GBTClassificationModel, held_out: DataFrame) -> list[dict[str, float]]:
+    """Area under the ROC curve and log-loss on ``held_out`` after every round.
+
+    Every row goes through the trees once; its leaves give the sums of all rounds. A task counts the scores of a round in
+    ``BINS`` steps by label, so what is exchanged grows with rounds and bins, not with rows. Scores in one step count as ties.
+    """
+    leaves = nodes(trees).where(F.col("feature").isNull()).orderBy("tree", "node").select("tree", "prediction").toPandas()
+    place = leaves.groupby("tree").cumcount()
+    values = np.zeros((trees.getNumTrees, int(place.max()) + 1))
+    values[leaves["tree"], place] = leaves["prediction"]
+    values *= np.array(trees.treeWeights)[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = batch.column("leaf").flatten().to_numpy().astype(int).reshape(batch.num_rows, -1)
+            label = batch.column("label").to_numpy() == 1
+            margin = np.zeros(batch.num_rows)
+            for low in range(0, leaf.shape[1], ROUNDS_AT_ONCE):
+                here = np.arange(low, min(low + ROUNDS_AT_ONCE, leaf.shape[1]))
+                margins = margin[:, None] + np.cumsum(values[here, leaf[:, here]], axis=1)
+                margin = margins[:, -1]
+                step = np.floor((margins / (1 + np.abs(margins)) + 1) / 2 * (BINS - 1)).astype(np.int64)
+                loss = np.logaddexp(0, np.where(label[:, None], -2 * margins, 2 * margins))
+                cell = (np.arange(len(here)) * BINS + step).ravel()
+                size = len(here) * BINS
+                every = np.bincount(cell, minlength=size)
+                ones = np.bincount(cell, np.repeat(label, len(here)), size).astype(np.int64)
+                losses = np.bincount(cell, loss.ravel(), size)
+                full = np.flatnonzero(every)
+                columns = [low + full // BINS, full % BINS, ones[full], (every - ones)[full], losses[full]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["round", "step", "ones", "zeros", "loss"])
+
+    scored = trees.copy().setLeafCol("_leaf").transform(held_out.select(FEATURES, LABEL))
+    told = scored.select(vector_to_array("_leaf").alias("leaf"), F.col(LABEL).cast("double").alias("label"))
+    binned = told.mapInArrow(run, "round long, step long, ones long, zeros long, loss double").groupBy("round", "step")
+    summed = binned.agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), F.sum("loss").alias("loss"))
+    below = Window.partitionBy("round").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    beaten = F.col("ones") * (F.coalesce(F.sum("zeros").over(below), F.lit(0)) + F.col("zeros") / 2)
+    rows = summed.withColumn("won", beaten).groupBy("round").agg(
+        F.try_divide(F.sum("won"), F.sum("ones") * F.sum("zeros").cast("double")).alias("auc"),
+        (F.sum("loss") / F.sum(F.col("ones") + F.col("zeros"))).alias("logloss"),
+    )
+    return [{"auc": r["auc"], "logloss": r["logloss"]} for r in rows.orderBy("round").collect()]
 
 
 @dataclass
 class FittedModel:
-    pipeline: PipelineModel
-    predictors: list[str]
-    categorical: list[str]
+    encoder: Encoder
+    trees: GBTClassificationModel
 
     @property
-    def trees(self) -> GBTClassificationModel:
-        return self.pipeline.stages[-1]
+    def predictors(self) -> list[str]:
+        return self.encoder.predictors
+
+    @property
+    def categorical(self) -> list[str]:
+        return self.encoder.categorical
 
     @property
     def best_round(self) -> int:
@@ -95,14 +210,16 @@ class FittedModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """The rows with the conversion probability as ``score``."""
-        found = self.pipeline.transform(fill_predictors(df, self.predictors, self.categorical))
+        found = self.trees.transform(self.encoder.apply(df))
         return found.select(*df.columns, vector_to_array("probability")[1].alias(SCORE))
 
     def importance(self, top: int = TOP_FEATURES) -> DataFrame:
-        """Share of the gain per feature in percent, largest first."""
+        """Number of splits and share of the gain per feature in percent, largest gain first."""
         gains = self.trees.featureImportances.toArray()
-        rows = [(name, float(100.0 * gain)) for name, gain in zip(self.predictors, gains)]
-        table = SparkSession.active().createDataFrame(rows, "feature string, gain double")
+        rows = [(i, name, float(100.0 * gain)) for i, (name, gain) in enumerate(zip(self.predictors, gains))]
+        named = SparkSession.active().createDataFrame(rows, "_at int, feature string, gain double")
+        splits = nodes(self.trees).where(F.col("feature").isNotNull()).groupBy(F.col("feature").alias("_at")).agg(F.count(F.lit(1)).alias("split"))
+        table = named.join(splits, "_at", "left").select("feature", F.coalesce("split", F.lit(0)).alias("split"), "gain")
         return top_rows(table, [F.col("gain").desc(), F.col("feature")], top)
 
 
@@ -117,38 +234,25 @@ def best_of(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, boo
     return best + 1, False
 
 
-def fit(
-    train: DataFrame,
-    predictors: Sequence[str],
-    categorical: Sequence[str] = (),
-    params: FitParams = WIDE_PARAMS,
-    seed: int = SEEDS[0],
-    validate: DataFrame | None = None,
-    patience: int = PATIENCE,
-) -> FittedModel:
-    """Boosted trees. With ``validate`` rows the number of rounds is the best one found before ``patience`` rounds without
-    a smaller validation loss, or ``params.rounds``.
+def best_round(measures: Sequence[dict[str, float]], metrics: Sequence[str], patience: int = PATIENCE) -> tuple[int, bool]:
+    """As ``best_of`` for several measures: the one whose wait ends first decides, the first listed one if none does."""
+    found = []
+    for place, name in enumerate(metrics):
+        values = [m[name] if m[name] is not None else 0.0 for m in measures]
+        best, over = best_of([-v for v in values] if name == "auc" else values, patience)
+        found.append((not over, best if over else 0, place, best, over))
+    return min(found)[3:]
+
+
+def fit_trees(
+    train: DataFrame, params: FitParams, seed: int, validate: DataFrame | None = None, patience: int = PATIENCE, start: int | None = None
+) -> GBTClassificationModel:
+    """Boosted trees on written matrices. With ``validate`` the trees up to the best round before ``patience`` idle ones are kept.
 
-    Spark ML fits a fixed number of rounds, and the first rounds of two fits with one seed are the same trees. So the
-    rounds are doubled until the wait is over, and the best round is fitted last.
+    Spark ML fits a fixed number of rounds, so ``start`` rounds (a few more than the wait) are fitted first, and twice as
+    many until the wait is over or ``params.rounds`` is reached. The kept trees are cut from the last fit.
     """
     ensure_checkpoint_dir(train.sparkSession)
-
-    def made(df: DataFrame) -> DataFrame:
-        rows = fill_predictors(weighted(df.select(*predictors, LABEL), params.positive_weight), predictors, categorical)
-        return rows.withColumn(LABEL, F.col(LABEL).cast("double"))
-
-    rows = made(train)
-    listed = [c for c in predictors if c in categorical]
-    if listed:
-        sizes = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in listed]).first().asDict()
-        large = sorted(c for c, n in sizes.items() if n > MAX_CATEGORIES)
-        if large:
-            raise ValueError(f"too many categories, give them as numbers: {large}")
-    # Categories of the validation rows count as known too.
-    known = rows if validate is None else union_like(rows, made(validate))
-    prepared = Pipeline(stages=matrix_stages(predictors, categorical)).fit(known)
-    bins = [len(labels) + 1 for labels in prepared.stages[0].labelsArray] if len(prepared.stages) > 1 else []
     trees = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
@@ -159,31 +263,46 @@ def fit(
         subsamplingRate=params.row_share,
         featureSubsetStrategy=str(params.column_share),
         minInstancesPerNode=params.min_rows,
-        # A categorical feature needs a bin per category.
-        maxBins=max([params.max_bins, *bins]),
+        maxBins=params.max_bins,
         seed=seed,
     )
-    matrix_rows = prepared.transform(rows)
     if validate is None:
-        model = trees.fit(matrix_rows)
-    else:
-        held_out = prepared.transform(made(validate))
-        rounds, over = min(params.rounds, patience + 2), False
-        while True:
-            model = trees.setMaxIter(rounds).fit(matrix_rows)
-            best, over = best_of(model.evaluateEachIteration(held_out), patience)
-            if over or rounds == params.rounds:
-                break
-            rounds = min(params.rounds, 2 * rounds)
-        if best < rounds:
-            model = trees.setMaxIter(best).fit(matrix_rows)
-    return FittedModel(PipelineModel([*prepared.stages, model]), list(predictors), list(categorical))
+        return trees.fit(train)
+    rounds = min(params.rounds, start or patience + 2)
+    while True:
+        model = trees.setMaxIter(rounds).fit(train)
+        best, over = best_round(round_measures(model, validate), params.metrics, patience)
+        if over or rounds == params.rounds:
+            return first_trees(model, best)
+        rounds = min(params.rounds, 2 * rounds)
+
+
+def fit(
+    train: DataFrame,
+    predictors: Sequence[str],
+    categorical: Sequence[str] = (),
+    params: FitParams = WIDE_PARAMS,
+    seed: int = SEEDS[0],
+    validate: DataFrame | None = None,
+    patience: int = PATIENCE,
+) -> FittedModel:
+    """Boosted trees. With ``validate`` rows the number of rounds is the best one found before ``patience`` rounds without
+    a better value of one of ``params.metrics``, or the best of ``params.rounds``. Categories are coded by the label rate of ``train``."""
+    store = run_store(train.sparkSession)
+    encoder = Encoder.learned(train, predictors, categorical, LABEL, store)
+    rows = written_matrix(train, encoder, params, store, "train-matrix")
+    held_out = None if validate is None else written_matrix(validate, encoder, params, store, "validate-matrix")
+    return FittedModel(encoder, fit_trees(rows, params, seed, held_out, patience))
+
+
+def refit_rounds(best: int) -> int:
+    """Rounds of the fit on all labelled rows: more than the validated best."""
+    return max(1, round(best * REFIT_FACTOR))
 
 
 def refit(found: FittedModel, labelled: DataFrame, params: FitParams, seed: int) -> FittedModel:
     """Fit on all labelled rows with more rounds than the validated best."""
-    rounds = max(1, round(found.best_round * REFIT_FACTOR))
-    return fit(labelled, found.predictors, found.categorical, replace(params, rounds=rounds), seed)
+    return fit(labelled, found.predictors, found.categorical, replace(params, rounds=refit_rounds(found.best_round)), seed)
 
 
 def average_scores(runs: Sequence[DataFrame], click_id: str = "click_id", score: str = SCORE) -> DataFrame:
@@ -203,14 +322,27 @@ def seed_average(
     seeds: Sequence[int] = SEEDS,
     click_id: str = "click_id",
 ) -> DataFrame:
-    """Validate, refit and score once per seed; the mean score per click."""
-    def run(seed: int) -> DataFrame:
-        found = fit(train, predictors, categorical, params, seed, validate)
-        return refit(found, labelled, params, seed).score(scored)
+    """Validate, refit and score once per seed; the mean score per click.
 
-    # The seeds are independent; a few at a time keep the executors busy between the steps of one fit.
+    Codes and matrices are written once and shared by all seeds. The first seed finds about how many rounds are needed; the others
+    begin there.
+    """
+    store = run_store(train.sparkSession)
+    seen = Encoder.learned(train, predictors, categorical, LABEL, FeatureStore(train.sparkSession, store.path("train")))
+    every = Encoder.learned(labelled, predictors, categorical, LABEL, FeatureStore(train.sparkSession, store.path("labelled")))
+    rows, held_out = (written_matrix(df, seen, params, store, name) for df, name in ((train, "train-matrix"), (validate, "validate-matrix")))
+    all_rows = written_matrix(labelled, every, params, store, "labelled-matrix")
+
+    def run(seed: int, start: int | None = None) -> tuple[int, DataFrame]:
+        best = fit_trees(rows, params, seed, held_out, start=start).getNumTrees
+        trees = fit_trees(all_rows, replace(params, rounds=refit_rounds(best)), seed)
+        return best, FittedModel(every, trees).score(scored)
+
+    needed, first = run(seeds[0])
+    # The other seeds are independent; a few at a time keep the executors busy between the steps of one fit.
     with ThreadPoolExecutor(SEEDS_AT_ONCE) as pool:
-        return average_scores(list(pool.map(run, seeds)), click_id)
+        others = list(pool.map(lambda seed: run(seed, needed + PATIENCE + 1)[1], seeds[1:]))
+    return average_scores([first, *others], click_id)
 
 
 def metrics(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickfeat.functions.stats import stat
@@ -197,10 +197,14 @@ def _inputs(features: Sequence[Feature]) -> list[str]:
     return list(found)
 
 
+def broadcast_rows(spark: SparkSession) -> int:
+    """Rows up to which a counted key table is sent to every task."""
+    return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+
+
 def attach_checked(df: DataFrame, table: DataFrame, keys: Sequence[str], base: DataFrame) -> DataFrame:
     """Left join of a written one-row-per-key table: broadcast when it is small, salted otherwise."""
-    limit = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-    if table.count() <= limit:
+    if table.count() <= broadcast_rows(df.sparkSession):
         return df.join(F.broadcast(table), list(keys), "left").select(*df.columns, *[c for c in table.columns if c not in keys])
     return salted_join(df, table, keys, [ROW_ID], base)
 

@@ -34,20 +34,15 @@ def model_parts(spark, sf_dir):
     return parts, names, categoricals(table)
 
 
-_FITS: dict[tuple[str, str], model.FittedModel] = {}
-
-
 def validated(spark, sf_dir):
-    """The validated fit of the first seed, made once per session and folder, and what it was made of."""
+    """The validated fit of the first seed, and what it was made of."""
     parts, names, categorical = model_parts(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITS:
-        _FITS[key] = model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"])
-    return _FITS[key], parts
+    return model.fit(parts["train"], names, categorical, PARAMS, validate=parts["validate"]), parts
 
 
-# A label that follows one column, so that the right answer can be written in SQL. Twenty rounds settle it.
-RULE = replace(PARAMS, rounds=20)
+# A label that follows one column, so that the right answer can be written in SQL. Its first tree is right for every row, and
+# the fit ends when thirty more bring no better one.
+RULE = PARAMS
 
 
 def rule_parts(spark, sf_dir):
@@ -129,13 +124,36 @@ def model_rule_validation(spark, sf_dir):
     return scores.select("rid", "is_attributed", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-@query("model_rule_importance", " SELECT 'os' AS feature, 100.0::DOUBLE AS gain")
+@query(
+    "model_rule_importance",
+    """ SELECT * FROM (VALUES ('os', true, 100.0::DOUBLE), ('app', false, 0.0::DOUBLE), ('channel', false, 0.0::DOUBLE),
+        ('device', false, 0.0::DOUBLE), ('hour', false, 0.0::DOUBLE)) v(feature, has_splits, gain)""",
+)
 def model_rule_importance(spark, sf_dir):
-    """The one column that the label follows has all of the gain."""
-    (train, _, _), names = rule_parts(spark, sf_dir)
-    found = model.fit(train, names, ["channel"], replace(RULE, column_share=1.0))
-    made = model.write_importance(found, run_store(spark).path("rule-importance"), 1)
-    return made.select("feature", F.round("gain", 0).alias("gain"))
+    """The one column that the label follows has all splits and all of the gain."""
+    (train, validate, _), names = rule_parts(spark, sf_dir)
+    found = model.fit(train, names, ["channel"], replace(RULE, column_share=1.0), validate=validate)
+    made = model.write_importance(found, run_store(spark).path("rule-importance"))
+    return made.select("feature", (F.col("split") > 0).alias("has_splits"), F.round("gain", 6).alias("gain"))
+
+
+@query("model_rule_rounds", " SELECT 1 AS best_round, true AS separates")
+def model_rule_rounds(spark, sf_dir):
+    """The wait for a better round ends the fit of a learnable label long before its thousand rounds."""
+    (train, validate, _), names = rule_parts(spark, sf_dir)
+    found = model.fit(train, names, ["channel"], RULE, validate=validate)
+    scored = model.metrics(found.score(validate))
+    return scored.select(F.lit(found.best_round).alias("best_round"), (F.col("auc") == 1.0).alias("separates"))
+
+
+@query(
+    "category_codes_by_rate",
+    """, r AS (SELECT ip, avg(is_attributed) AS rate FROM clicks GROUP BY ip)
+       SELECT ip, row_number() OVER (ORDER BY rate, ip) - 1 AS code FROM r""",
+)
+def category_codes_by_rate(spark, sf_dir):
+    """Codes of a category in the order of its conversion rate."""
+    return model.category_codes(events_as_clicks(spark, sf_dir), "ip", "is_attributed").select("ip", F.col("code").cast("long").alias("code"))
 
 
 @query(

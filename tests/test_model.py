@@ -72,7 +72,77 @@ def test_fit_stops_after_idle_rounds(table):
     assert model.fit(learned, ["a"], [], params, validate=opposite, patience=3).best_round == 1
 
 
-def test_group_numbers_are_not_categories(table):
+def test_group_numbers_are_categories(table):
     from clickfeat.functions.scalars import categoricals
 
-    assert categoricals(table.withColumn("a_ngroup", F.lit(1)).withColumn("app", F.lit(1))) == ["app"]
+    assert categoricals(table.withColumn("a_ngroup", F.lit(1)).withColumn("app", F.lit(1))) == ["app", "a_ngroup"]
+
+
+def test_many_categories_are_coded_without_lists_on_the_driver(spark):
+    """A group number with 150,000 values, hot and NULL ones among them, becomes codes in the order of the label rate."""
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 150_000).alias("a_ngroup"),
+        F.when(F.xxhash64("id") % 4 == 0, 1).otherwise(0).alias("is_attributed"),
+    )
+    codes = model.category_codes(rows, "a_ngroup", "is_attributed")
+    n = rows.where("a_ngroup IS NOT NULL").select("a_ngroup").distinct().count()
+    assert n > 90_000 and codes.count() == n and codes.select("code").distinct().count() == n
+    assert codes.agg(F.min("code"), F.max("code")).first() == (0, n - 1)
+    rates = rows.groupBy("a_ngroup").agg(F.avg("is_attributed").alias("rate")).join(codes, "a_ngroup")
+    first, last = (rates.where(F.col("code") == x).first()["rate"] for x in (0, n - 1))
+    assert (first, last) == (0.0, 1.0)
+    made = model.matrix(rows, ["a_ngroup"], ["a_ngroup"], "is_attributed")
+    assert made.count() == 400_000
+    found = model.fit(rows, ["a_ngroup"], ["a_ngroup"], model.FitParams(rounds=2, max_depth=2))
+    assert found.importance().first()["split"] > 0
+
+
+@pytest.mark.parametrize("limit", [None, "0"])
+def test_codes_join_by_broadcast_and_by_shuffle(spark, table, limit):
+    if limit:
+        spark.conf.set("spark.clickfeat.broadcastRows", limit)
+    try:
+        made = model.matrix(table, ["a", "c"], ["c"], "is_attributed").select("rid", "c", model.FEATURES).collect()
+    finally:
+        spark.conf.unset("spark.clickfeat.broadcastRows")
+    assert len(made) == 600 and {(r.c, r[model.FEATURES][1]) for r in made} == {("0", 0.0), ("1", 1.0), ("3", 2.0), ("2", 3.0)}
+
+
+def test_first_trees_are_a_shorter_fit(table):
+    params = model.FitParams(positive_weight=3.0, max_depth=3, rounds=9)
+    store = model.run_store(table.sparkSession)
+    encoder = model.Encoder.learned(table, ["a", "b", "c"], ["c"], model.LABEL, store)
+    rows = model.written_matrix(table, encoder, params, store, "rows")
+    nine, four = (model.fit_trees(rows, model.replace(params, rounds=n), 42) for n in (9, 4))
+    cut = model.first_trees(nine, 4)
+    assert cut.getNumTrees == 4
+    same = [[r["probability"] for r in m.transform(rows).select("probability").collect()] for m in (cut, four)]
+    assert same[0] == same[1]
+
+
+def test_measures_of_every_round(table):
+    """Against the metrics of the ensemble cut at that round."""
+    params = model.FitParams(positive_weight=3.0, max_depth=3, rounds=6)
+    found = model.fit(table, ["a", "b", "c"], ["c"], params)
+    held_out = model.weighted(table.where("rid % 3 = 0"), 3.0)
+    measured = model.round_measures(found.trees, found.encoder.apply(held_out))
+    assert len(measured) == 6
+    for count in (1, 4, 6):
+        cut = model.FittedModel(found.encoder, model.first_trees(found.trees, count))
+        row = model.metrics(cut.score(held_out)).first()
+        assert measured[count - 1]["auc"] == pytest.approx(row["auc"], abs=2e-3)
+        assert measured[count - 1]["logloss"] == pytest.approx(row["logloss"], rel=1e-6)
+
+
+def test_the_first_measure_to_wait_decides():
+    rising = [{"auc": 0.5 + i / 100, "logloss": 1.0} for i in range(9)]
+    assert model.best_round(rising, ("auc",), 3) == (9, False)
+    assert model.best_round(rising, ("auc", "logloss"), 3) == (1, True)
+    assert model.best_round([{"auc": None, "logloss": 1.0}], ("auc",), 3) == (1, False)
+
+
+def test_importance_counts_splits(table):
+    found = model.fit(table, ["a", "b", "c"], ["c"], PARAMS)
+    rows = {r["feature"]: r for r in found.importance().collect()}
+    text = found.trees.toDebugString
+    assert {name: r["split"] for name, r in rows.items()} == {n: text.count(f"If (feature {i} ") for i, n in enumerate("abc")}
