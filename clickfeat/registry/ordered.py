@@ -380,17 +380,24 @@ def history_cvr_of_days(spark, sf_dir):
 # ---- smoothing ------------------------------------------------------------------------------------------------------
 
 
-def supplier_counts(spark, sf_dir):
-    """Items per supplier and how many of them came back."""
-    # Line numbers up to one of 0 to 7 per supplier: rates that differ by supplier, so the fit has a finite answer.
-    counted = F.count(F.when(F.col("l_linenumber") <= F.col("l_suppkey") % 8, 1))
-    return groups.group_table(lineitems(spark, sf_dir), ["l_suppkey"], {"imps": F.count(F.lit(1)), "clks": counted})
+def supplier_counts(spark, sf_dir, counted):
+    """Items per supplier and how many of them are ``counted``."""
+    counts = {"imps": F.count(F.lit(1)), "clks": F.count(F.when(counted, 1))}
+    return groups.group_table(lineitems(spark, sf_dir), ["l_suppkey"], counts)
 
 
-@query(
-    "smoothed_return_rate",
-    """WITH RECURSIVE c AS (SELECT l_suppkey, count(*) AS imps, count(*) FILTER (l_linenumber <= l_suppkey % 8) AS clks
+def _smoothed(counts):
+    prior = smoothing.fit_beta_prior(counts, "imps", "clks")
+    return counts.select("l_suppkey", "imps", "clks", F.round(prior.rate("imps", "clks"), 6).alias("smoothed"))
+
+
+def _smoothed_sql(counted: str) -> str:
+    """The pooled rate where the slope in the spread is not positive, else the fixed point of the plain iteration."""
+    return f"""WITH RECURSIVE c AS (SELECT l_suppkey, count(*) AS imps, count(*) FILTER ({counted}) AS clks
          FROM lineitem GROUP BY l_suppkey),
+       pool AS (SELECT sum(clks) / sum(imps) AS p, sum(clks * (clks - 1)) AS cc, sum((imps - clks) * (imps - clks - 1)) AS ss,
+                sum(imps * (imps - 1)) AS nn FROM c),
+       spread AS (SELECT p, p > 0 AND p < 1 AND cc / nullif(p, 0) + ss / nullif(1 - p, 0) - nn > 0 AS finite FROM pool),
        tails AS (
          SELECT k,
            (SELECT count(*) FROM c WHERE clks > k) AS more_clicked,
@@ -400,17 +407,38 @@ def supplier_counts(spark, sf_dir):
        packed AS (SELECT list(k ORDER BY k) AS ks, list(more_clicked ORDER BY k) AS nc,
                   list(more_skipped ORDER BY k) AS ns, list(more_shown ORDER BY k) AS ni FROM tails),
        fit(i, a, b) AS (
-         SELECT 0, CAST(1 AS DOUBLE), CAST(1 AS DOUBLE)
+         SELECT 0, CAST(1 AS DOUBLE), CAST(1 AS DOUBLE) FROM spread WHERE finite
          UNION ALL
          SELECT i + 1, na, nb FROM (SELECT i, a, b,
            a * list_sum(list_transform(ks, lambda k: nc[k + 1] / (a + k))) / list_sum(list_transform(ks, lambda k: ni[k + 1] / (a + b + k))) AS na,
            b * list_sum(list_transform(ks, lambda k: ns[k + 1] / (b + k))) / list_sum(list_transform(ks, lambda k: ni[k + 1] / (a + b + k))) AS nb
-         FROM fit, packed) WHERE abs(na - a) >= 1e-10 OR abs(nb - b) >= 1e-10)
-       SELECT l_suppkey, imps, clks, round((clks + a) / (imps + a + b), 6) AS smoothed
-       FROM c, fit WHERE i = (SELECT max(i) FROM fit)""",
+         FROM fit, packed) WHERE abs(na - a) >= 1e-10 OR abs(nb - b) >= 1e-10),
+       last AS (SELECT a, b FROM fit WHERE i = (SELECT max(i) FROM fit))
+       SELECT l_suppkey, imps, clks, round(CASE WHEN finite THEN (clks + a) / (imps + a + b) ELSE p END, 6) AS smoothed
+       FROM c CROSS JOIN spread LEFT JOIN last ON true"""
+
+
+@query("smoothed_return_rate", _smoothed_sql("l_returnflag = 'R'"), views="")
+def smoothed_return_rate(spark, sf_dir):
+    """The rate at which the items of a supplier come back. It differs less between suppliers than chance makes it."""
+    return _smoothed(supplier_counts(spark, sf_dir, F.col("l_returnflag") == "R"))
+
+
+@query("smoothed_first_lines_rate", _smoothed_sql("l_linenumber <= l_suppkey % 8"), views="")
+def smoothed_first_lines_rate(spark, sf_dir):
+    """The rate of line numbers up to one of 0 to 7 per supplier: rates that do differ, so that the prior is finite."""
+    return _smoothed(supplier_counts(spark, sf_dir, F.col("l_linenumber") <= F.col("l_suppkey") % 8))
+
+
+@query(
+    "smoothing_rounds",
+    """WITH c AS (SELECT l_suppkey, count(*) AS imps, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY l_suppkey)
+       SELECT false AS first_lines_pooled, true AS first_lines_ended, true AS returns_pooled, round(sum(r) / sum(imps), 6) AS returned FROM c""",
     views="",
 )
-def smoothed_return_rate(spark, sf_dir):
-    counts = supplier_counts(spark, sf_dir)
-    prior = smoothing.fit_beta_prior(counts, "imps", "clks")
-    return counts.select("l_suppkey", "imps", "clks", F.round(prior.rate("imps", "clks"), 6).alias("smoothed"))
+def smoothing_rounds(spark, sf_dir):
+    """Both fits come to rest in fewer than twenty rounds; the one at the binomial limit needs none."""
+    lines = smoothing.fit_beta_prior(supplier_counts(spark, sf_dir, F.col("l_linenumber") <= F.col("l_suppkey") % 8), "imps", "clks", max_rounds=19)
+    back = smoothing.fit_beta_prior(supplier_counts(spark, sf_dir, F.col("l_returnflag") == "R"), "imps", "clks")
+    values = {"first_lines_pooled": lines.pooled is not None, "first_lines_ended": lines.ended, "returns_pooled": back.rounds == 0}
+    return lineitems(spark, sf_dir).limit(1).select(*[F.lit(v).alias(n) for n, v in values.items()], F.round(F.lit(back.pooled), 6).alias("returned"))

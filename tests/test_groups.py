@@ -1,6 +1,7 @@
 """Group statistics: edge groups, NULL keys, medians and skew."""
 
 import datetime
+import math
 import random
 import statistics
 
@@ -106,7 +107,7 @@ def test_digamma(spark):
 
 def test_smoothing_matches_tail_sums(spark):
     pairs = [(10, 0), (5, 5), (20, 3), (8, 1), (20, 3)]
-    found = smoothing.fit_beta_prior(spark.createDataFrame(pairs, "i long, c long"), "i", "c", max_rounds=15)
+    found = smoothing.iterate_beta_prior(spark.createDataFrame(pairs, "i long, c long"), "i", "c", 15)
     alpha = beta = 1.0
 
     def rise(n, a):
@@ -124,7 +125,7 @@ def test_smoothing_matches_tail_sums(spark):
 
 def test_smoothing_stops_when_steps_are_small(spark):
     pairs = [(10, 2), (30, 6), (50, 14), (40, 6)]
-    found = smoothing.fit_beta_prior(spark.createDataFrame(pairs, "i long, c long"), "i", "c", max_rounds=50, epsilon=0.5)
+    found = smoothing.iterate_beta_prior(spark.createDataFrame(pairs, "i long, c long"), "i", "c", 50, epsilon=0.5)
     assert found.rounds < 50
 
 
@@ -137,3 +138,42 @@ def test_ratio_feature_counts_both_groups_by_hand(spark):
     assert coarse == {("a", "x"): 2.0, ("a", "y"): 4.0, ("b", "x"): 1.0}
     fine = {(r["app"], r["channel"]): r["r"] for r in ratio("app", "channel", of=("channel",), name="r").table(log).collect()}
     assert fine == {("a", "x"): 0.5, ("a", "y"): 1.0, ("b", "x"): 0.25}
+
+
+def test_trigamma(spark):
+    row = spark.range(1).select(*[smoothing.trigamma(F.lit(x)).alias(n) for n, x in (("one", 1.0), ("half", 0.5), ("big", 1000.0))]).first()
+    assert row["one"] == pytest.approx(math.pi**2 / 6, abs=1e-12) and row["half"] == pytest.approx(math.pi**2 / 2, abs=1e-12)
+    assert row["big"] == pytest.approx(0.0010005001666666, abs=1e-15)
+
+
+def likelihood(pairs, a, b):
+    g = math.lgamma
+    return sum(g(c + a) + g(i - c + b) - g(i + a + b) + g(a + b) - g(a) - g(b) for i, c in pairs)
+
+
+@pytest.mark.parametrize("shape", [(0.5, 0.7), (3.0, 40.0), (200.0, 300.0), (0.05, 5.0)])
+def test_second_order_fit_is_a_maximum(spark, shape):
+    random.seed(str(shape))
+    pairs = []
+    for _ in range(1500):
+        i, p = random.choice([5, 60, 400]), random.betavariate(*shape)
+        pairs.append((i, sum(random.random() < p for _ in range(i))))
+    found = smoothing.fit_beta_prior(spark.createDataFrame([*pairs, (None, 1), (3, None)], "i long, c long"), "i", "c")
+    assert found.pooled is None and found.ended and found.rounds < 20
+    best = likelihood(pairs, found.alpha, found.beta)
+    for f in (0.98, 1.02):
+        assert best >= likelihood(pairs, found.alpha * f, found.beta) and best >= likelihood(pairs, found.alpha, found.beta * f)
+    assert abs(found.alpha / (found.alpha + found.beta) - shape[0] / sum(shape)) < 0.05
+
+
+@pytest.mark.parametrize("pairs, rate", [([(100, 50), (200, 100), (300, 150)], 0.5), ([(10, 0), (20, 0)], 0.0), ([(10, 10), (5, 5)], 1.0)])
+def test_rates_without_spread_are_pooled(spark, pairs, rate):
+    df = spark.createDataFrame(pairs, "i long, c long")
+    found = smoothing.fit_beta_prior(df, "i", "c")
+    assert (found.pooled, found.rounds) == (rate, 0)
+    assert {r["s"] for r in df.select(found.rate("i", "c").alias("s")).collect()} == {rate}
+
+
+def test_no_rows_have_no_rate(spark):
+    found = smoothing.fit_beta_prior(spark.createDataFrame([], "i long, c long"), "i", "c")
+    assert math.isnan(found.pooled)
