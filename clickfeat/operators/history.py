@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from clickfeat.functions.scalars import log_count
 from clickfeat.naming import ROW_ID, feature_name
 from clickfeat.operators.groups import attach, group_table
+from clickfeat.operators.slices import any_null
 
 PRIOR_CLICKS = 100
 
@@ -31,6 +32,44 @@ def daily_table(df: DataFrame, keys: Sequence[str], label: str = "is_attributed"
     )
 
 
+KEY_SET = "_set"
+
+
+def daily_lattice(df: DataFrame, key_sets: Sequence[Sequence[str]], label: str = "is_attributed", day: str = "date") -> DataFrame:
+    """``daily_table`` of several key sets from one pass over the rows: one aggregation over grouping sets.
+
+    ``_set`` is the place of the key set in ``key_sets``; keys of other sets are NULL.
+    """
+    keys = list(dict.fromkeys(k for s in key_sets for k in s))
+    made = df.groupingSets([[F.col(k) for k in [*s, day]] for s in key_sets], *keys, day).agg(
+        F.grouping_id().alias("_id"),
+        F.count(F.lit(1)).alias("_clicks"),
+        F.count(label).alias("_labelled"),
+        F.coalesce(F.sum(F.col(label).cast("long")), F.lit(0)).alias("_converted"),
+    )
+    number, complete = F.lit(None).cast("int"), F.lit(False)
+    for place, s in enumerate(key_sets):
+        # One bit per key, first key highest, set where the key is not of the set; the day is of every set.
+        bits = sum(1 << (len(keys) - i) for i, k in enumerate(keys) if k not in s)
+        number = F.when(F.col("_id") == bits, place).otherwise(number)
+        complete = F.when(F.col("_id") == bits, ~any_null([*s, day])).otherwise(complete)
+    return made.where(complete).select(number.alias(KEY_SET), *keys, day, "_clicks", "_labelled", "_converted")
+
+
+def history_lattice(df: DataFrame, key_sets: Sequence[Sequence[str]], label: str = "is_attributed", day: str = "date") -> DataFrame:
+    """``history_table`` of several key sets as one table, from one pass over the rows: ``_set``, keys, day, ``cnt``, ``cvr``, ``cvt``."""
+    keys = list(dict.fromkeys(k for s in key_sets for k in s))
+    earlier = Window.partitionBy(KEY_SET, *keys).orderBy(F.unix_date(day)).rangeBetween(Window.unboundedPreceding, -1)
+    summed = daily_lattice(df, key_sets, label, day).withColumns({"cnt": F.sum("_labelled").over(earlier), "cvt": F.sum("_converted").over(earlier)})
+    return summed.select(KEY_SET, *keys, day, "cnt", F.try_divide("cvt", "cnt").alias("cvr"), "cvt")
+
+
+def history_of_set(lattice: DataFrame, place: int, keys: Sequence[str], day: str = "date") -> DataFrame:
+    """The rows of one key set with the columns of ``history_table``."""
+    names = {"cnt": "cntx", "cvr": "cvrx", "cvt": "cvtimesx"}
+    return lattice.where(F.col(KEY_SET) == place).select(*keys, day, *[F.col(c).alias(feature_name(keys, n)) for c, n in names.items()])
+
+
 def _previous_day(df, keys, features, label, day, rid, base):
     base = df if base is None else base
     lagged = daily_table(base, keys, label, day).withColumn(day, F.date_add(day, 1))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
-
 from pyspark.sql import DataFrame
 
 from clickfeat.functions.scalars import MISSING_GAP, add_all_interactions, fill_missing
@@ -12,7 +10,7 @@ from clickfeat.functions.timeparts import add_time_parts, shift_zone
 from clickfeat.naming import ROW_ID
 from clickfeat.operators import groups, history, ordered, ranges, relational
 from clickfeat.plans import catalog, wide
-from clickfeat.sources.store import FeatureStore, identity, spec_name, write_parquet
+from clickfeat.sources.store import FeatureStore, identity, write_parquet
 
 
 def training_table(log: DataFrame, store: FeatureStore, name: str = "training") -> DataFrame:
@@ -69,15 +67,17 @@ def write_counts_of_both(train: DataFrame, test: DataFrame, store: FeatureStore,
 def history_features(log: DataFrame, store: FeatureStore, name: str = "history") -> DataFrame:
     """Clicks, conversion rate and conversions over all earlier days for every listed key.
 
-    The tables by key and day are written first; the small ones then meet the log by broadcast, so the log itself is
-    shuffled for the large ones only.
+    One pass over the log makes the table by key and day of all key sets; its small parts then meet the log by broadcast, so
+    the log itself is shuffled for the large ones only.
     """
-    source, made = identity(log), log
-    for keys in catalog.HISTORY_KEYS:
-        table = store.get_or_compute(
-            f"{name}-{'-'.join(keys)}", partial(history.history_table, log, keys), spec_name(source, ("history", keys))
-        )
-        made = wide.attach_checked(made, table, [*keys, "date"], log)
+    key_sets = catalog.HISTORY_KEYS
+    lattice = store.get_or_compute(
+        name, lambda: history.history_lattice(log, key_sets), identity(log, ("history", key_sets)), [history.KEY_SET]
+    )
+    sizes = {r[history.KEY_SET]: r["count"] for r in lattice.groupBy(history.KEY_SET).count().collect()}
+    made = log
+    for place, keys in enumerate(key_sets):
+        made = wide.attach_checked(made, history.history_of_set(lattice, place, keys), [*keys, "date"], log, sizes.get(place, 0))
     return made
 
 

@@ -202,9 +202,9 @@ def broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def attach_checked(df: DataFrame, table: DataFrame, keys: Sequence[str], base: DataFrame) -> DataFrame:
-    """Left join of a written one-row-per-key table: broadcast when it is small, salted otherwise."""
-    if table.count() <= broadcast_rows(df.sparkSession):
+def attach_checked(df: DataFrame, table: DataFrame, keys: Sequence[str], base: DataFrame, rows: int | None = None) -> DataFrame:
+    """Left join of a written one-row-per-key table: broadcast when it is small, salted otherwise. ``rows`` is its size if counted."""
+    if (table.count() if rows is None else rows) <= broadcast_rows(df.sparkSession):
         return df.join(F.broadcast(table), list(keys), "left").select(*df.columns, *[c for c in table.columns if c not in keys])
     return salted_join(df, table, keys, [ROW_ID], base)
 

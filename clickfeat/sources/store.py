@@ -59,14 +59,14 @@ class FeatureStore:
     def get(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def get_or_compute(self, name: str, compute: Callable[[], DataFrame], made_of: str = "") -> DataFrame:
+    def get_or_compute(self, name: str, compute: Callable[[], DataFrame], made_of: str = "", partition_by: Sequence[str] = ()) -> DataFrame:
         """The stored table; computed and written first when absent or when ``reuse`` is off.
 
         ``made_of`` (see ``identity``) becomes part of the name, so another input or another spec misses.
         """
         name = f"{name}-{made_of}" if made_of else name
         if not (self.reuse and self.has(name)):
-            write_parquet(compute(), self.path(name))
+            write_parquet(compute(), self.path(name), partition_by)
         return self.get(name)
 
     def drop(self, name: str = "") -> None:

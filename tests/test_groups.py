@@ -177,3 +177,28 @@ def test_rates_without_spread_are_pooled(spark, pairs, rate):
 def test_no_rows_have_no_rate(spark):
     found = smoothing.fit_beta_prior(spark.createDataFrame([], "i long, c long"), "i", "c")
     assert math.isnan(found.pooled)
+
+
+def test_lattice_equals_tables_of_each_key_set(spark):
+    """NULL in a key of the set drops the row from that set only; a NULL day belongs to no set."""
+    random.seed(8)
+    day = lambda: random.choice([None, *[datetime.date(2024, 2, 27) + datetime.timedelta(n) for n in range(4)]])
+    rows = [(i, random.choice("ab"), random.choice(["x", "y", None]), random.choice([1, None]), day(), random.choice([0, 1, None])) for i in range(300)]
+    log = spark.createDataFrame(rows, "rid long, ip string, app string, os int, date date, is_attributed int")
+    sets = [["ip"], ["app"], ["app", "ip"], ["os", "app"], ["os"]]
+    daily, lattice = history.daily_lattice(log, sets), history.history_lattice(log, sets)
+    for place, keys in enumerate(sets):
+        plain = history.daily_table(log, keys)
+        assert sorted(map(repr, daily.where(daily._set == place).select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
+        table = history.history_table(log, keys)
+        made = history.history_of_set(lattice, place, keys).select(*table.columns)
+        assert sorted(map(repr, made.collect())) == sorted(map(repr, table.collect()))
+
+
+def test_lattice_reads_the_log_once(spark, sf_dir):
+    from clickfeat.plans import catalog
+    from clickfeat.sources.clicklog import events_as_clicks
+
+    made = history.history_lattice(events_as_clicks(spark, sf_dir), catalog.HISTORY_KEYS)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Expand" in plan
