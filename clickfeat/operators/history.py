@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfeat.functions.scalars import log_count
@@ -19,6 +19,12 @@ from clickfeat.operators.slices import any_null
 PRIOR_CLICKS = 100
 
 
+def daily_sums(label: str = "is_attributed") -> dict[str, tuple[str, Column]]:
+    """The columns of ``daily_table`` as mergeable aggregates of ``FeatureStore.merged``."""
+    converted = F.coalesce(F.col(label).cast("long"), F.lit(0))
+    return {"_clicks": ("count", F.lit(1)), "_labelled": ("count", F.col(label)), "_converted": ("sum", converted)}
+
+
 def daily_table(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date") -> DataFrame:
     """Clicks, labelled clicks and conversions per key and day."""
     return group_table(
@@ -98,8 +104,13 @@ def last_day_count(df: DataFrame, keys: Sequence[str], label: str = "is_attribut
 
 def history_table(df: DataFrame, keys: Sequence[str], label: str = "is_attributed", day: str = "date") -> DataFrame:
     """Per key and day: labelled clicks, conversion rate and conversions over all earlier days."""
+    return history_of_daily(daily_table(df, keys, label, day), keys, day)
+
+
+def history_of_daily(daily: DataFrame, keys: Sequence[str], day: str = "date") -> DataFrame:
+    """``history_table`` from a table in the form of ``daily_table``, which may be merged from stored parts."""
     earlier = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(Window.unboundedPreceding, -1)
-    summed = daily_table(df, keys, label, day).withColumns(
+    summed = daily.withColumns(
         {"_cnt": F.sum("_labelled").over(earlier), "_cvt": F.sum("_converted").over(earlier)}
     )
     # A key whose earlier rows are all unlabelled counts 0 with no rate.

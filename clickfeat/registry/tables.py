@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.naming import ROW_ID
-from clickfeat.operators import relational
+from clickfeat.operators import history, relational
 from clickfeat.plans import catalog, jobs, wide
 from clickfeat.plans.features import Feature, size, statistic
 from clickfeat.registry.base import query
 from clickfeat.registry.relational import _BOTH, train_and_test
 from clickfeat.sources.clicklog import TRAIN_SCHEMA, events_as_clicks, orders_as_impressions, prepare, read_csv
 from clickfeat.sources.positions import load_csv
-from clickfeat.sources.store import run_store, write_csv
+from clickfeat.sources.store import run_store, write_csv, write_parquet
 
 # ---- SQL of a feature -----------------------------------------------------------------------------------------------
 
@@ -369,3 +369,26 @@ def stored_feature_tables(spark, sf_dir):
     for _ in range(2):
         made = wide.build(log, features, store, "stored", columns=["rid"])
     return rounded(made, features, ["rid"])
+
+
+@query(
+    "appended_daily_history",
+    """, d AS (SELECT ip, date, count(is_attributed) AS n, sum(is_attributed)::BIGINT AS c FROM clicks GROUP BY ip, date)
+       SELECT ip, date, CAST(sum(n) OVER w AS BIGINT) AS ip_cntx, round(sum(c) OVER w / sum(n) OVER w, 6) AS ip_cvrx,
+         CAST(sum(c) OVER w AS BIGINT) AS ip_cvtimesx FROM d
+       WINDOW w AS (PARTITION BY ip ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)""",
+)
+def appended_daily_history(spark, sf_dir):
+    """Earlier days of a log that arrives in files: the first call reads the first days, the second one only the new file."""
+    log, store = events_as_clicks(spark, sf_dir).select("ip", "date", "is_attributed"), run_store(spark)
+    paths: list[str] = []
+    for name, part in (("first", relational.between_days(_dated(log), 1, 20)), ("then", relational.between_days(_dated(log), 21, 31))):
+        write_parquet(part.drop("day"), store.path(f"log-{name}"))
+        paths += store.get(f"log-{name}").inputFiles()
+        daily = store.merged("daily", paths, lambda files: spark.read.parquet(*files), ["ip", "date"], history.daily_sums())
+    made = history.history_of_daily(daily, ["ip"])
+    return made.withColumn("ip_cvrx", F.round("ip_cvrx", 6))
+
+
+def _dated(log: DataFrame) -> DataFrame:
+    return log.withColumn("day", F.dayofmonth("date"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickfeat.session import ensure_checkpoint_dir
 
@@ -20,13 +22,37 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) ->
     (df.select(*columns) if columns else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def identity(log: DataFrame, spec: object = "") -> str:
-    """A short name for "this computation on this input": the input's plan, the files it reads, and ``spec``.
+@dataclass(frozen=True, order=True)
+class InputFile:
+    """A file as it was when it was listed; a file that was written again differs in its time."""
 
-    Files replaced in place by others of the same total size are not noticed; ``FeatureStore.drop`` removes old tables.
-    """
+    path: str
+    size: int
+    changed: int
+
+
+def manifest(spark: SparkSession, paths: Sequence[str]) -> list[InputFile]:
+    """Path, length and modification time of input files (named as in ``inputFiles``)."""
+    context = spark.sparkContext
+    of_folder: dict[str, dict[str, str]] = {}
+    for path in paths:
+        found = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(path))
+        of_folder.setdefault(found.getParent().toString(), {})[found.getName()] = path
+    made = []
+    for folder, names in of_folder.items():
+        where = context._jvm.org.apache.hadoop.fs.Path(folder)
+        for status in where.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(where):
+            if (name := status.getPath().getName()) in names:
+                # A scan writes an empty authority as file:/ in the metadata of a file and as file:/// in its list of files.
+                made.append(InputFile(names[name].replace(":///", ":/"), status.getLen(), status.getModificationTime()))
+    return sorted(made)
+
+
+def identity(log: DataFrame, spec: object = "") -> str:
+    """A short name for "this computation on this input": the input's plan, the files it reads with their lengths and times,
+    and ``spec``. ``FeatureStore.drop`` removes old tables."""
     plan = log._jdf.queryExecution().optimizedPlan()
-    parts = [plan.canonicalized().toString(), str(log.semanticHash()), *sorted(log.inputFiles()), str(plan.stats().sizeInBytes()), repr(spec)]
+    parts = [plan.canonicalized().toString(), str(log.semanticHash()), repr(manifest(log.sparkSession, log.inputFiles())), repr(spec)]
     return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:16]
 
 
@@ -35,6 +61,12 @@ def spec_name(source: str, spec: object) -> str:
     return hashlib.sha256(f"{source}\n{spec!r}".encode()).hexdigest()[:16]
 
 
+# Aggregates of a part of the rows, and how those of several parts become that of all.
+MERGED = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+# Lists of up to so many files are sent to every task.
+LISTED = 100_000
+
+
 class FeatureStore:
     """Feature tables by name below one folder that all executors can reach.
 
@@ -69,6 +101,39 @@ class FeatureStore:
             write_parquet(compute(), self.path(name), partition_by)
         return self.get(name)
 
+    def merged(
+        self, name: str, paths: Sequence[str], read: Callable[[list[str]], DataFrame], keys: Sequence[str], sums: dict[str, tuple[str, Column]]
+    ) -> DataFrame:
+        """Aggregates by ``keys`` over files of a log that grows: each file is read once and its own aggregates are kept.
+
+        ``sums`` names ``(how, column)`` with ``how`` one of ``MERGED``; NULL keys form a group. A call reads only the files that
+        are new or were written again since (other length or time), adds their aggregates as a batch of their own, and
+        merges those of all files in ``paths``; files that are gone or replaced no longer count. ``read`` is a direct scan
+        of the files it is given. A batch counts once its list of files is written, so a call that was lost is done again.
+        """
+        folder = f"{self.path(name)}/{spec_name('merged', (list(keys), {n: (how, str(c)) for n, (how, c) in sums.items()}))}"
+        present = manifest(self.spark, paths)
+        now = self.spark.createDataFrame([(f.path, f.size, f.changed) for f in present], "_path string, _size long, _changed long")
+        files, at = self._hadoop(f"{folder}/*/files/_SUCCESS")
+        batches = [status.getPath().getParent().getParent().toString() for status in files.globStatus(at) or []]
+        known = self.spark.read.parquet(*[f"{b}/files" for b in batches]) if batches else now.limit(0)
+        # As many rows as files; the paths to read must be known to the driver, as in any scan.
+        new = now.join(known, now.columns, "left_anti").collect()
+        if new:
+            context = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+            batch, told = f"{folder}/{uuid.uuid4().hex}", {r["_path"] for r in new}
+            fresh = [f for f in present if f.path in told]
+            listed = self.spark.createDataFrame([(f.path, f.size, f.changed) for f in fresh], now.schema)
+            plain = [context.Path(self.spark.sparkContext._jvm.java.net.URI(f.path)).toString() for f in fresh]
+            rows = read(plain).select("*", F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("_path"))
+            parts = rows.groupBy("_path", *keys).agg(*[MERGED[how][0](c).alias(n) for n, (how, c) in sums.items()])
+            write_parquet(parts.join(F.broadcast(listed) if len(fresh) <= LISTED else listed, "_path"), f"{batch}/sums")
+            write_parquet(listed, f"{batch}/files")
+            batches.append(batch)
+        every = self.spark.read.parquet(*[f"{b}/sums" for b in batches])
+        kept = every.join(F.broadcast(now) if len(present) <= LISTED else now, now.columns, "left_semi")
+        return kept.groupBy(*keys).agg(*[MERGED[how][1](n).alias(n) for n, (how, _) in sums.items()])
+
     def drop(self, name: str = "") -> None:
         """Delete the tables whose name starts with ``name``; without one, the whole folder."""
         files, found = self._hadoop(f"{self.root}/{name}*" if name else self.root)
