@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from clickfeat.functions.scalars import MISSING_GAP, add_all_interactions, fill_missing
 from clickfeat.functions.timeparts import add_time_parts, shift_zone
-from clickfeat.naming import ROW_ID
+from clickfeat.naming import ROW_ID, TIME
 from clickfeat.operators import groups, history, ordered, ranges, relational
 from clickfeat.plans import catalog, wide
 from clickfeat.sources.store import FeatureStore, identity, write_parquet
@@ -50,6 +50,12 @@ def deltas_and_places(log: DataFrame, store: FeatureStore, name: str = "deltas")
     return made.join(shifted.select(ROW_ID, shifted.columns[-1]), ROW_ID)
 
 
+def bucketed_log(log: DataFrame, store: FeatureStore, lead: str = "ip", buckets: int | None = None, name: str = "bucketed") -> DataFrame:
+    """The log written once in buckets of its lead key, for the runs that use that key again and again."""
+    buckets = buckets or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store.bucketed(name, log, lead, [TIME, ROW_ID], buckets)
+
+
 def impression_statistics(log: DataFrame, rid: str = ROW_ID) -> DataFrame:
     """The listed statistics of impressions, and the interactions of every pair of scores."""
     made = groups.group_statistics(log, catalog.IMPRESSION_STATISTICS, rid)

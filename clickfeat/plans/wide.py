@@ -134,14 +134,20 @@ def _value(f: Feature, order: list[str]) -> Column:
     return f.aggregate().over(part)
 
 
+def partitioned_by(df: DataFrame, lead: str) -> bool:
+    """Whether the scan itself brings equal values of ``lead`` together, as that of a bucketed table does."""
+    return str(df._jdf.queryExecution().sparkPlan().outputPartitioning()).startswith(f"hashpartitioning({lead}#")
+
+
 def window_features(df: DataFrame, features: Sequence[Feature], lead: str) -> DataFrame:
     """Features on rows without hot lead values: one exchange, one sort per chain, one window per key and order.
+    A log that is stored in buckets of the lead needs no exchange.
 
     A key that several chains share gets its values in the last of them, when all helper columns exist.
     """
     chains = nested_chains(features)
     last = {group: number for number, chain in enumerate(chains) for group in chain.sets}
-    wide = df.repartition(lead)
+    wide = df if partitioned_by(df, lead) else df.repartition(lead)
     for number, chain in enumerate(chains):
         order = chain.order(lead)
         wide = wide.sortWithinPartitions(*order, TIME, ROW_ID)

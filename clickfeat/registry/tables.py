@@ -139,17 +139,24 @@ def selected_features(spark, sf_dir):
 _delta_ctes, _delta_select = table_sql([*catalog.DELTAS, *catalog.RUNNING], ["rid"])
 
 
-@query(
-    "deltas_and_places",
-    f"""{_delta_ctes}, made AS ({_delta_select}),
+_DELTAS_SQL = f"""{_delta_ctes}, made AS ({_delta_select}),
     g AS (SELECT rid, t - lag(t) OVER (PARTITION BY ip, os, app ORDER BY t, rid) AS gap FROM clicks),
     m AS (SELECT rid, CAST(floor((lead(gap) OVER (ORDER BY rid)) / 1000000.0) AS BIGINT) % 86400 AS ip_os_app_delta FROM g)
-    SELECT * FROM made JOIN m USING (rid)""",
-)
+    SELECT * FROM made JOIN m USING (rid)"""
+
+
+@query("deltas_and_places", _DELTAS_SQL)
 def deltas_and_places(spark, sf_dir):
     return jobs.deltas_and_places(events_as_clicks(spark, sf_dir), run_store(spark))
 
 
+@query("deltas_over_bucketed_log", _DELTAS_SQL)
+def deltas_over_bucketed_log(spark, sf_dir):
+    """The same over a log stored in buckets of its ip."""
+    store = run_store(spark)
+    return jobs.deltas_and_places(jobs.bucketed_log(events_as_clicks(spark, sf_dir), store), store)
+
+
 def _history_sql() -> str:
     ctes, picks, joins = [], [], []
     for keys in catalog.HISTORY_KEYS:

@@ -134,6 +134,18 @@ class FeatureStore:
         kept = every.join(F.broadcast(now) if len(present) <= LISTED else now, now.columns, "left_semi")
         return kept.groupBy(*keys).agg(*[MERGED[how][1](n).alias(n) for n, (how, _) in sums.items()])
 
+    def bucketed(self, name: str, df: DataFrame, key: str, order: Sequence[str], buckets: int) -> DataFrame:
+        """``df`` written once into ``buckets`` by ``key``, sorted by ``key`` and ``order`` in each, and read back as such.
+
+        Windows, groups and joins whose keys contain ``key`` then need no exchange of the rows. The table is known to this
+        session's catalog; its files are those of the store.
+        """
+        table = f"clickfeat_{uuid.uuid4().hex}"
+        # One task writes a bucket, so that a bucket is one file.
+        rows = df.repartition(buckets, F.col(key))
+        rows.write.bucketBy(buckets, key).sortBy(key, *order).option("path", self.path(name)).saveAsTable(table)
+        return self.spark.table(table)
+
     def drop(self, name: str = "") -> None:
         """Delete the tables whose name starts with ``name``; without one, the whole folder."""
         files, found = self._hadoop(f"{self.root}/{name}*" if name else self.root)

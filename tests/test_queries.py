@@ -10,7 +10,7 @@ from clickfeat.operators.slices import SLICE_ROWS_CONF
 from clickfeat.registry.base import QUERIES, SQL
 
 # Queries with a driver step while they are built (fits, stores) have no single plan to look at.
-EAGER = ("model_", "training_table", "selected_features", "deltas_and_places", "counts_of_both", "counts_written", "csv_", "history_features", "stored_", "smooth", "rate_metrics", "appended_")
+EAGER = ("model_", "training_table", "selected_features", "deltas_", "counts_of_both", "counts_written", "csv_", "history_features", "stored_", "smooth", "rate_metrics", "appended_")
 
 
 @pytest.fixture(scope="module")

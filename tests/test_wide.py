@@ -66,3 +66,19 @@ def test_catalogue_names_are_unique():
         names = [f.name for f in features]
         assert len(names) == len(set(names))
     assert len(catalog.WIDE) == 15 + 16 + 4 + 6 + 3 + 5 + 3 + 4 + 3
+
+
+def test_bucketed_log_needs_no_exchange_on_its_key(spark, sf_dir, tmp_path):
+    """All features whose key contains ip, over the log in buckets and over the plain log."""
+    from clickfeat.plans import catalog, jobs
+    from clickfeat.sources.clicklog import events_as_clicks
+    from clickfeat.sources.store import FeatureStore
+
+    log = events_as_clicks(spark, sf_dir)
+    stored = jobs.bucketed_log(log, FeatureStore(spark, str(tmp_path)), buckets=3)
+    features = [f for f in [*catalog.DELTAS, *catalog.RUNNING] if "ip" in f.keys]
+    assert len(features) > 4 and wide.partitioned_by(stored, "ip") and not wide.partitioned_by(log, "ip")
+    made = [wide.window_features(df.where("ip IS NOT NULL"), features, "ip") for df in (stored, log)]
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in made]
+    assert "Exchange" not in plans[0] and "Exchange" in plans[1]
+    assert sorted(map(repr, made[0].collect())) == sorted(map(repr, made[1].select(*made[0].columns).collect()))
