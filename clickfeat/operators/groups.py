@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from clickfeat.functions.stats import stat
 from clickfeat.functions.timeparts import gap_seconds, shift_hours
 from clickfeat.naming import ROW_ID, TIME, as_list, feature_name
-from clickfeat.operators.slices import SlicedRows, all_slices, earlier_slices, salted_join, with_keys
+from clickfeat.operators.slices import SlicedRows, all_slices, earlier_slices, fits_one_slice, salted_join, with_keys
+from clickfeat.sources.store import run_store
 
 ATTRIBUTION_SHIFT_HOURS = 8
 
@@ -121,12 +122,74 @@ def _rest(of: Sequence[str], other: Sequence[str]) -> list[str]:
     return [k for k in of if k not in other]
 
 
+# A median is narrowed down by so many leading bits of the value at a time.
+MEDIAN_BITS = 16
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
+def _as_ordered_long(value: Column, kind: str) -> Column:
+    """A long that sorts as the value does. A double's bits do so once those of negative values are turned round."""
+    if kind in WHOLE_TYPES:
+        return value.cast("long")
+    # Adding zero makes one zero of the two.
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value.cast("double") + F.lit(0.0)).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits)
+
+
+def _from_ordered_long(ordered: Column, kind: str) -> Column:
+    if kind in WHOLE_TYPES:
+        return ordered
+    bits = F.when(ordered < 0, ordered.bitwiseXOR(F.lit(2**63 - 1))).otherwise(ordered)
+    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
+
+
+def narrowed_median_table(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Exact interpolated median per key, without sorting or exchanging the values.
+
+    The rows of a key are counted by the leading bits of the value; running counts over these buckets, at most 65,536 a key, tell in
+    which one the middle rows lie, and only rows of that bucket are counted by the next bits. Four rounds reach the value.
+    Each round reads the log once and exchanges counts. The buckets looked for, at most two per key, are written after a
+    round; they are broadcast where they are few.
+    """
+    spark, kind, keys = df.sparkSession, dict(df.dtypes)[value], list(keys)
+    store, limit = run_store(spark), int(spark.conf.get("spark.clickfeat.broadcastRows", "200000"))
+    rows = with_keys(df, [*keys, value]).select(*keys, _as_ordered_long(F.col(value), kind).alias("_long"))
+    wanted = None
+    for level, shift in enumerate(range(64 - MEDIAN_BITS, -1, -MEDIAN_BITS)):
+        bucket = F.shiftright("_long", shift).alias("_bucket")
+        if wanted is None:
+            counted = rows.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
+            of_key = Window.partitionBy(*keys)
+            total = F.sum("_n").over(of_key)
+            ranks = F.array(F.floor((total + 1) / 2).cast("long"), (F.floor(total / 2) + 1).cast("long"))
+            found = counted.withColumns({"_ranks": ranks, "_parent": F.lit(0).cast("long")})
+        else:
+            few = wanted.count() <= limit
+            near = rows.withColumn("_parent", F.shiftright("_long", shift + MEDIAN_BITS))
+            near = near.join(F.broadcast(wanted) if few else wanted, [*keys, "_parent"])
+            found = near.groupBy(*keys, "_parent", "_ranks", bucket).agg(F.count(F.lit(1)).alias("_n"))
+        order = Window.partitionBy(*keys, "_parent").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_n").over(order), F.lit(0))
+        # Ranks are those of the lower and the upper middle row inside the bucket; 0 stands for a middle row elsewhere.
+        here = found.withColumn("_before", before).withColumn(
+            "_ranks",
+            F.transform("_ranks", lambda r: F.when((r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")), r - F.col("_before")).otherwise(0)),
+        )
+        kept = here.where(F.exists("_ranks", lambda r: r > 0)).select(*keys, F.col("_bucket").alias("_parent"), "_ranks")
+        wanted = store.get_or_compute(f"{name}-median-{level}", lambda kept=kept: kept)
+    told = wanted.withColumn("_value", _from_ordered_long(F.col("_parent"), kind))
+    middle = [F.max(F.when(F.col("_ranks")[i] > 0, F.col("_value"))) for i in (0, 1)]
+    return told.groupBy(*keys).agg(((middle[0] + middle[1]) / 2.0).alias(name))
+
+
 def median_table(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Exact interpolated median per key.
 
-    Equal values are first counted together; then a running count in value order finds the middle one or two.
-    A hot key is sliced by value, so no task holds all values of a key.
+    Numbers of a log above one slice are narrowed down (``narrowed_median_table``). Otherwise equal values are first counted
+    together; then a running count in value order finds the middle one or two, sliced where the values are cut.
     """
+    if not fits_one_slice(df) and dict(df.dtypes)[value] in (*WHOLE_TYPES, "float", "double"):
+        return narrowed_median_table(df, keys, value, name)
     counted = with_keys(df, [*keys, value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     sliced = SlicedRows(counted, keys, [value])
     upto = sliced.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -202,3 +202,27 @@ def test_lattice_reads_the_log_once(spark, sf_dir):
     made = history.history_lattice(events_as_clicks(spark, sf_dir), catalog.HISTORY_KEYS)
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Expand" in plan
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "long", "int"])
+@pytest.mark.parametrize("limit", ["200000", "0"])
+def test_narrowed_median(spark, kind, limit):
+    """Hot, tied, negative and extreme values; keys of one row, of two rows and of NULLs only."""
+    random.seed(kind)
+    extreme = {"double": [1e300, -1e300, 5e-324, -0.0, 0.0, float("inf")], "float": [0.5, -0.5, 0.0, -0.0, 1e30, -1e-30]}.get(kind, [2**31 - 1, -(2**31), 0, 0, -1, 1])
+    draw = (lambda: random.choice([random.gauss(0, 50), 1.5, *extreme])) if kind in ("double", "float") else (lambda: random.choice([random.randint(-99, 99), *extreme]))
+    rows = [(random.choice(["hot", "hot", "a", "b"]), i % 2, draw()) for i in range(900)]
+    rows += [("one", 0, draw()), ("two", 0, draw()), ("two", 0, draw()), ("none", 0, None), (None, 0, draw()), ("big", 1, extreme[0]), ("big", 1, extreme[0])]
+    df = spark.createDataFrame(rows, f"k string, j int, v {kind}")
+    spark.conf.set("spark.clickfeat.broadcastRows", limit)
+    try:
+        made = groups.narrowed_median_table(df, ["k", "j"], "v", "m").collect()
+    finally:
+        spark.conf.unset("spark.clickfeat.broadcastRows")
+    known = df.where("k IS NOT NULL AND v IS NOT NULL").groupBy("k", "j").agg(F.sort_array(F.collect_list("v")).alias("v")).collect()
+    assert {(r.k, r.j): r.m for r in made} == {(r.k, r.j): (r.v[(len(r.v) - 1) // 2] + r.v[len(r.v) // 2]) / 2.0 for r in known}
+
+
+def test_narrowed_median_of_nothing(spark):
+    df = spark.createDataFrame([("a", None)], "k string, v double")
+    assert groups.narrowed_median_table(df, ["k"], "v", "m").collect() == []
