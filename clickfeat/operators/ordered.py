@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from clickfeat.functions.scalars import hash_bucket
 from clickfeat.functions.timeparts import epoch_seconds, hours_field, seconds_field, whole_seconds
 from clickfeat.naming import ROW_ID, TIME, as_list, feature_name
-from clickfeat.operators.slices import SlicedRows, all_slices, any_null, earlier_slices, salted_join, with_keys
+from clickfeat.operators.slices import SlicedRows, all_slices, any_null, earlier_slices, fits_one_slice, salted_join, with_keys
+from clickfeat.sources.store import run_store
 
 NO_NEXT_CLICK_SECOND = 3_000_000_000
 
@@ -214,6 +215,14 @@ def next_click_or_sentinel(
     return found.select(*df.columns, F.when(~any_null(keys), gap).alias(name))
 
 
+def written_if_cut(derived: DataFrame, base: DataFrame, name: str) -> DataFrame:
+    """A table derived from ``base`` by an exchange, written where it will be cut: cuts, rows and carried rows then read the
+    written table instead of deriving it three times."""
+    if fits_one_slice(base):
+        return derived
+    return run_store(base.sparkSession).get_or_compute(name, lambda: derived)
+
+
 def previous_in_file(df: DataFrame, value: str, name: str | None = None, rid: str = ROW_ID) -> DataFrame:
     """Value of the row before, in row-id order over the whole table."""
     return neighbour(df, [], value, name or f"{value}_shift", -1, (rid,))
@@ -226,13 +235,14 @@ def shifted_group_difference(
     name = name or feature_name(keys, "delta")
     base = df if base is None else base
     stepped = neighbour(base.select(*dict.fromkeys([*keys, t, rid])), keys, t, "_prev_t", -1, (t, rid))
-    moved = neighbour(stepped.select(rid, (F.col(t) - F.col("_prev_t")).alias("_diff")), [], "_diff", "_moved", 1, (rid,))
+    steps = written_if_cut(stepped.select(rid, (F.col(t) - F.col("_prev_t")).alias("_diff")), base, "steps")
+    moved = neighbour(steps, [], "_diff", "_moved", 1, (rid,))
     return df.join(moved.select(rid, seconds_field(F.col("_moved")).alias(name)), rid, "left")
 
 
 def group_numbers(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys with their 0-based number in key order. The order is cut into slices; no task sees all keys."""
-    distinct = with_keys(df, keys).select(*keys).distinct()
+    distinct = written_if_cut(with_keys(df, keys).select(*keys).distinct(), df, "distinct")
     placed = place_in_group(distinct, [], list(keys), "_at", "_of")
     return placed.select(*keys, F.col("_at").cast("long").alias("_number"))
 
