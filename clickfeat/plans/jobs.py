@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickfeat.functions.scalars import MISSING_GAP, add_all_interactions, fill_missing
 from clickfeat.functions.timeparts import add_time_parts, shift_zone
 from clickfeat.naming import ROW_ID, TIME
 from clickfeat.operators import groups, history, ordered, ranges, relational
 from clickfeat.plans import catalog, wide
+from clickfeat.sources.clicklog import TEST_SCHEMA, TRAIN_SCHEMA, prepare
+from clickfeat.sources.positions import load_csv, next_row_id
 from clickfeat.sources.store import FeatureStore, identity, write_parquet
 
 
@@ -50,6 +54,17 @@ def deltas_and_places(log: DataFrame, store: FeatureStore, name: str = "deltas")
     return made.join(shifted.select(ROW_ID, shifted.columns[-1]), ROW_ID)
 
 
+def logs_from_csv(
+    spark: SparkSession, train: str, test: str, store: FeatureStore, schemas: tuple[T.StructType, T.StructType] = (TRAIN_SCHEMA, TEST_SCHEMA)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labelled and unlabelled clicks of CSV files with time columns and row ids, the test rows numbered behind the train rows,
+    and the lines of both that do not fit their schema (``part``, row id, line)."""
+    first, bad_first = load_csv(spark, train, schemas[0], store, "train")
+    then, bad_then = load_csv(spark, test, schemas[1], store, "test", next_row_id(first, bad_first))
+    bad = [b.select(F.lit(part).alias("part"), ROW_ID, "line") for part, b in (("train", bad_first), ("test", bad_then))]
+    return prepare(first), prepare(then), relational.union_like(*bad)
+
+
 def bucketed_log(log: DataFrame, store: FeatureStore, lead: str = "ip", buckets: int | None = None, name: str = "bucketed") -> DataFrame:
     """The log written once in buckets of its lead key, for the runs that use that key again and again."""
     buckets = buckets or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.naming import ROW_ID
-from clickfeat.operators import history, relational
+from clickfeat.operators import groups, history, ordered, relational
 from clickfeat.plans import catalog, jobs, wide
 from clickfeat.plans.features import Feature, size, statistic
 from clickfeat.registry.base import query
 from clickfeat.registry.relational import _BOTH, train_and_test
-from clickfeat.sources.clicklog import TRAIN_SCHEMA, events_as_clicks, orders_as_impressions, prepare, read_csv
+from clickfeat.sources.clicklog import TEST_SCHEMA, TRAIN_SCHEMA, events_as_clicks, orders_as_impressions, prepare, read_csv
 from clickfeat.sources.positions import load_csv
 from clickfeat.sources.store import run_store, write_csv, write_parquet
 
@@ -340,6 +340,37 @@ def csv_rejected_lines(spark, sf_dir):
     return both.groupBy("fits").agg(*[c.alias(n) for n, c in counts.items()])
 
 
+def _train_and_test_files(spark, sf_dir) -> tuple[str, str]:
+    """Clicks up to day 20 as files of the train schema, later ones as files of the test schema; no row id in either."""
+    lines, paths = _log_lines(spark, sf_dir), []
+    day = F.dayofmonth(F.col("click_time").cast("timestamp_ntz"))
+    parts = (("train", day <= 20, TRAIN_SCHEMA.names), ("test", day > 20, TEST_SCHEMA.names))
+    for name, chosen, columns in parts:
+        path = run_store(spark).path(f"{name}-files")
+        files = lines.where(chosen).withColumn("click_id", F.col(ROW_ID).cast("string")).repartitionByRange(4, ROW_ID).sortWithinPartitions(ROW_ID)
+        write_csv(files, path, columns)
+        paths.append(path)
+    return tuple(paths)
+
+
+@query(
+    "csv_train_test_features",
+    """, numbered AS (SELECT *, row_number() OVER (ORDER BY day > 20, rid) - 1 AS place, t // 1000000 AS s FROM clicks)
+       SELECT place AS rid, CASE WHEN day > 20 THEN rid END AS click_id, CASE WHEN day <= 20 THEN is_attributed END AS is_attributed,
+         count(*) OVER (PARTITION BY ip, day, hour) AS ip_day_hour_count,
+         row_number() OVER (PARTITION BY app, device ORDER BY s, place) - 1 AS app_device_rank_True,
+         lead(s) OVER (PARTITION BY ip, os ORDER BY s, place) - s AS ip_os_next_click_next FROM numbered""",
+)
+def csv_train_test_features(spark, sf_dir):
+    """From train and test files without row ids to features over both: counts, places and gaps."""
+    train, test, _ = jobs.logs_from_csv(spark, *_train_and_test_files(spark, sf_dir), run_store(spark))
+    log = relational.union_logs(train, test)
+    made = groups.group_size(log, ["ip", "day", "hour"])
+    made = ordered.ordinal(made, ["app", "device"], base=log)
+    made = ordered.click_gap(made, ["ip", "os"], base=log)
+    return made.select(ROW_ID, "click_id", "is_attributed", "ip_day_hour_count", "app_device_rank_True", "ip_os_next_click_next")
+
+
 @query("csv_limited_scan", " SELECT least(count(*), 500) AS n, 3 AS n_columns FROM clicks")
 def csv_limited_scan(spark, sf_dir):
     """A trial scan of some columns of the first rows of a file."""

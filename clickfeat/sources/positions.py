@@ -61,15 +61,25 @@ def scan_lines(spark: SparkSession, path: str, schema: T.StructType, name: str =
     return with_file_positions(reader.csv(path), name)
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType, store: FeatureStore, name: str = "log") -> tuple[DataFrame, DataFrame]:
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType, store: FeatureStore, name: str = "log", start: int = 0
+) -> tuple[DataFrame, DataFrame]:
     """The typed log of CSV files with a row id, and the lines that do not fit the schema as a written table (row id, line).
 
-    A row id is the line's place among all lines, good or not. The log is written as Parquet, because features read it many
+    A row id is the line's place among all lines, good or not, counted from ``start``; a second log begins where the first one
+    ends (``next_row_id``), so that both can be put together. The log is written as Parquet, because features read it many
     times; both tables are those of ``store`` below ``name``.
     """
     lines = scan_lines(spark, path, schema)
+    lines = lines.withColumn(ROW_ID, F.col(ROW_ID) + start)
     write_parquet(lines, store.path(f"{name}-lines"))
     lines = store.get(f"{name}-lines")
     bad = lines.where(F.col(REJECTED).isNotNull()).select(ROW_ID, F.col(REJECTED).alias("line"))
     write_parquet(bad, store.path(f"{name}-rejects"))
     return lines.where(F.col(REJECTED).isNull()).drop(REJECTED), store.get(f"{name}-rejects")
+
+
+def next_row_id(*tables: DataFrame) -> int:
+    """The first row id that no row of the tables has, be it of a log or of its rejected lines; 0 for empty ones."""
+    found = [t.agg(F.max(ROW_ID)).first()[0] for t in tables]
+    return max((x for x in found if x is not None), default=-1) + 1

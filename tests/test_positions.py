@@ -71,3 +71,17 @@ def test_no_exchange_of_rows(spark, files):
     made = positions.with_file_positions(csv_reader(spark, "ip long, app string, click_time string").csv(path))
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_a_second_log_is_numbered_behind_the_first(spark, tmp_path):
+    """Also where the last line of the first log is a rejected one, and where a log has no good line."""
+    from clickfeat.plans import jobs
+
+    for name, lines in (("train", ["1,2,2017-11-07 00:00:00", "x,2,2017-11-07 00:00:00"]), ("test", ["3,4,2017-11-07 01:00:00"] * 2)):
+        (tmp_path / f"{name}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    schema, store = T.StructType.fromDDL(SCHEMA), FeatureStore(spark, str(tmp_path / "store"))
+    train, test, bad = jobs.logs_from_csv(spark, str(tmp_path / "train.csv"), str(tmp_path / "test.csv"), store, (schema, schema))
+    assert [r.rid for r in train.collect()] == [0] and sorted(r.rid for r in test.collect()) == [2, 3]
+    assert [tuple(r) for r in bad.collect()] == [("train", 1, "x,2,2017-11-07 00:00:00")]
+    assert {"t", "hour", "15min"} <= set(train.columns)
+    assert positions.next_row_id(test.limit(0)) == 0
