@@ -1,5 +1,7 @@
 """Every registered query against its SQL, with groups cut into slices, and the shape of the plans."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -61,3 +63,21 @@ def test_scan_reads_only_needed_columns(spark, sf_dir):
     plan = QUERIES["ip_day_hour_count"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     for schema in [line for line in plan.splitlines() if "ReadSchema" in line]:
         assert "props" not in schema and "value" not in schema.split("ReadSchema")[1]
+
+
+def test_core_queries_without_a_package_of_the_text_operators():
+    """A missing package that only the text operators need leaves the others in place."""
+    code = """
+import sys
+class Missing:
+    def find_spec(self, name, path=None, target=None):
+        if name == "sentencepiece":
+            raise ModuleNotFoundError(f"No module named {name}", name=name)
+sys.meta_path.insert(0, Missing())
+import __spark_entry__ as entry
+print(len(entry.queries()))
+"""
+    root = str(Path(entry.__file__).parent)
+    said = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr
+    assert int(said.stdout.split()[-1]) >= len(QUERIES)
