@@ -1,4 +1,7 @@
+import random
+
 import pyarrow as pa
+import pytest
 
 from clickfeat.llm import decontaminate as D
 
@@ -66,3 +69,57 @@ def test_clean_rows_stay_under_null_and_repeated_ids(spark, documents):
 def test_items_of_a_block():
     block = D.Items.of([1, 2], pa.array(["a b c d e f", "x"]), 5)
     assert len(block.seeds) == 2 and sorted(block.place.tolist()) == [0, 1] and len(block.words[1]) == 1
+
+
+def brute_tiles(doc, item, k):
+    """All pairs of places, the longest common run of open words again and again."""
+    used_doc, used_item, tiles = set(), set(), []
+    while True:
+        best = (k - 1, 0, 0)
+        for p in range(len(doc)):
+            for q in range(len(item)):
+                n = 0
+                while (
+                    p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n]
+                    and p + n not in used_doc and q + n not in used_item
+                ):
+                    n += 1
+                if n > best[0]:
+                    best = (n, p, q)
+        n, p, q = best
+        if n < k:
+            return tiles
+        used_doc.update(range(p, p + n))
+        used_item.update(range(q, q + n))
+        tiles.append((p, q, n))
+
+
+@pytest.mark.parametrize("pairs", [1, 1 << 18])
+def test_equals_brute_force(spark, documents, monkeypatch, pairs):
+    monkeypatch.setattr(D, "PAIRS", pairs)
+    rng = random.Random(5)
+    text = lambda n, words: [rng.choice("abcdefgh"[:words]) for _ in range(n)]
+    docs = [(i, text(rng.randint(0, 45), 1 + i % 5)) for i in range(40)]
+    items = [(100 + i, text(rng.randint(0, 20), 1 + i % 5)) for i in range(12)]
+    docs += [(50 + i, text(4, 8) + it[len(it) // 2 :] + text(3, 8) + it[: len(it) // 2]) for i, (_, it) in enumerate(items)]
+    expected = []
+    for d, words in docs:
+        for i, it in items:
+            tiles = brute_tiles(words, it, 3)
+            covered = sum(n for _, _, n in tiles)
+            if tiles and covered >= 0.4 * len(it):
+                expected.append((d, i, len(tiles), covered, len(it)))
+    found = leaks(
+        spark, documents, [(d or -1, " ".join(w)) for d, w in docs], [(i, " \n".join(w)) for i, w in items], coverage=0.4, min_match=3
+    )
+    assert found == sorted((d or -1, *rest) for d, *rest in expected) and len(found) > 100
+
+
+def test_seeds_at_very_many_places(spark, documents):
+    """One word 30,000 times: millions of pairs of places, one match a diagonal."""
+    docs = [(1, "w " * 30_000), (2, "v " * 10 + "w " * 250), (3, "w " * 3 + "v"), (4, "x" * 2_000_000)]
+    items = [(9, "w " * 400), (8, "w " * 5)]
+    assert leaks(spark, documents, docs, items) == [(1, 8, 1, 5, 5), (1, 9, 1, 400, 400), (2, 8, 1, 5, 5), (2, 9, 1, 250, 400)]
+    block = D.Items.of([9], pa.array(["w " * 400]), 5)
+    group = next(iter(D.words_of(pa.array(["w " * 2_000]))))
+    assert len(D._matches(block, group.hashes, group.bounds)[0]) == 2_000 + 400 - 2 * 5 + 1
