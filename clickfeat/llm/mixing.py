@@ -1,9 +1,13 @@
 """Mixing sources to target weights: hash-random order inside each source, prefix sums, exact budgets, epochs.
 
 Every row gets a key that is a seeded hash of its id. A source is cut into slices of about ``SLICE_ROWS`` rows by key
-range (the keys are uniform, so the bounds need no sampling), which keeps a hot source out of a single task: running sums
-are taken inside a slice, and the sums of whole slices before it are added. A source's budget is its target rounded
-down; it takes whole epochs of the source, then rows in key order until the budget is met, the last one in part.
+range (the keys are uniform, so the bounds need no sampling). A source's budget is its target rounded down; it takes whole
+epochs of the source, then rows in key order until the budget is met, the last one in part.
+
+Prefix sums over the slices tell in which of them a budget ends; only the rows of that slice are sorted, as one line per
+id and size with its sum, and where many rows share id and size the same is done once more over a hash of the row. So a hot
+source, or an id that many rows share, is never sorted in one task, and texts are not shuffled: every row compares its
+place with the end of its source.
 """
 
 from __future__ import annotations
@@ -55,59 +59,106 @@ def cycle_weights(sources: DataFrame) -> DataFrame:
     return sources.withColumn("weight", ((place - 1) % 3 + 1).cast("long"))
 
 
+def _cut(groups: DataFrame, order: list[str]) -> DataFrame:
+    """The row of each source in which its budget ends, of ``groups`` (_source, *order, _sum, _rest): the first in order
+    at which the running sum exceeds ``_rest``. What earlier rows of the source take is subtracted from ``_rest``."""
+    upto = Window.partitionBy("_source").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ran = groups.withColumn("_upto", F.sum("_sum").over(upto))
+    ends = ran.where((F.col("_rest") < F.col("_upto")) & (F.col("_rest") >= F.col("_upto") - F.col("_sum")))
+    return ends.select("_source", *order, (F.col("_rest") - F.col("_upto") + F.col("_sum")).alias("_rest"))
+
+
 def mix(docs: DataFrame, size: Column, weigh=cycle_weights, seed: str = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``docs`` (doc_id, source, ...) plus ``size``, ``source_size``, ``target`` and ``taken``, the words the mix takes.
 
     ``weigh`` maps the table (source, source_size, source_rows) to one with a ``weight``. NULL source is a source of its
-    own; NULL ids share one place in the order, and rows of one id follow each other by size. Rows of size 0 take 0. An
-    empty table gives an empty result. Columns already named like one of the four are replaced.
+    own; NULL ids share one place in the order, and rows of one id follow each other by size, then by a hash of all
+    columns. Rows of size 0 take 0. An empty table gives an empty result. Columns already named like one of the four are
+    replaced. Columns must be sortable (no maps).
     """
     added = ["size", "source_size", "target", "taken"]
     keep = without(docs, added)
     rows = docs.select(F.struct(*keep).alias("_row"), docs["doc_id"].alias("_id"), docs["source"].alias("source"), size.alias("size"))
-    narrow = stored(rows.select("_id", "source", "size"), "mix-sizes")
+    rows = rows.withColumn("_key", order_key(F.col("_id"), seed)).withColumn("_tie", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_row"), 1))
+    narrow = stored(rows.select("source", "_key", "size", "_tie"), "mix-sizes")
     sums = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     weighed = stored(weigh(sums), "mix-weights")
-    cuts = weighed.select(
-        F.col("source").alias("_source"),
-        F.greatest(F.lit(1), F.ceil(F.col("source_rows") / SLICE_ROWS)).cast("long").alias("_slices"),
+    budget = F.floor("target").cast("long")
+    slices_of = weighed.select(F.col("source").alias("_of"), F.ceil(F.col("source_rows") / SLICE_ROWS).alias("_slices"))
+    plan = targets(weighed, max_epochs).join(slices_of, F.col("source").eqNullSafe(F.col("_of")))
+    plan = stored(
+        plan.select(
+            F.col("source").alias("_source"),
+            "source_size",
+            "target",
+            F.greatest(F.lit(1), "_slices").cast("long").alias("_slices"),
+            F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long").alias("_epochs"),
+            F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(0).alias("_rest"),
+        ),
+        "mix-plan",
     )
     sourced = F.col("source").eqNullSafe(F.col("_source"))
-
-    def placed(df: DataFrame) -> DataFrame:
-        out = df.join(cuts, sourced).drop("_source").withColumn("_key", order_key(F.col("_id"), seed))
-        high = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
-        return out.withColumn("_slice", F.shiftright(high * F.col("_slices"), 32)).drop("_slices")
-
-    by_source = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        placed(narrow)
-        .groupBy("source", "_slice")
-        .agg(F.sum("size").alias("_sum"))
-        .withColumn("_before", F.coalesce(F.sum("_sum").over(by_source), F.lit(0)))
-    )
-    budget = F.floor("target").cast("long")
-    plan = targets(weighed, max_epochs).select(
-        F.col("source").alias("_source"),
-        "source_size",
-        "target",
-        F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long").alias("_epochs"),
-        F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(0).alias("_rest"),
+    high = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
+    sliced = narrow.join(plan.select("_source", "_slices"), sourced).withColumn("_slice", F.shiftright(high * F.col("_slices"), 32))
+
+    # 1: the slice of keys in which a source's budget ends.
+    by_slice = sliced.groupBy("_source", "_slice").agg(F.sum("size").alias("_sum"))
+    rests = plan.select(F.col("_source").alias("_of"), "_rest")
+    end = _cut(by_slice.join(rests, F.col("_source").eqNullSafe(F.col("_of"))).drop("_of"), ["_slice"])
+    end = stored(end.select(F.col("_source").alias("_of"), F.col("_slice").alias("_end_slice"), "_rest"), "mix-end-slices")
+    # 2: the id and size in that slice.
+    here = sliced.join(end, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_slice") == F.col("_end_slice")))
+    here = stored(here.select("_source", "_key", "size", "_tie", "_rest"), "mix-end-rows")
+    classes = here.groupBy("_source", "_key", "size").agg(
+        F.sum("size").alias("_sum"), F.count(F.lit(1)).alias("_n"), F.first("_rest").alias("_rest")
     )
-    slices = stored(
-        slices.join(plan, sourced).select(
-            "_source", F.col("_slice").alias("_of"), "_before", "source_size", "target", "_epochs", "_rest"
-        ),
-        "mix-slices",
+    classes = stored(classes, "mix-end-classes")
+    named = [F.col(c).alias(f"_end{c}") for c in ("_source", "_key")] + [F.col("size").alias("_end_size")]
+    end = stored(_cut(classes.drop("_n"), ["_key", "size"]).select(*named, "_rest"), "mix-end-class")
+    same_class = (
+        F.col("_source").eqNullSafe(F.col("_end_source")) & (F.col("_key") == F.col("_end_key")) & (F.col("size") == F.col("_end_size"))
     )
-    inside = Window.partitionBy("source", "_slice").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    run = placed(rows).withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    full = run.join(slices, sourced & (F.col("_slice") == F.col("_of")))
-    rest = F.col("_rest") - F.col("_before") - F.col("_inside")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return full.select(
-        "_row.*", "size", "source_size", "target", (F.col("_epochs") * F.col("size") + part).cast("long").alias("taken")
+    # 3: of its rows, which may be a third of the source, the slice of hashes, 4: the hash.
+    counts = classes.join(end.drop("_rest"), same_class).select(
+        "_end_source", "_end_key", "_end_size", F.ceil(F.col("_n") / SLICE_ROWS).cast("long").alias("_slices")
     )
+    tied = here.drop("_rest").join(end, same_class).drop("_source", "_key", "size")
+    tied = tied.join(counts.select(F.col("_end_source").alias("_of"), "_slices"), F.col("_end_source").eqNullSafe(F.col("_of")))
+    bits = F.shiftright(F.col("_tie"), 32)
+    tied = tied.withColumn("_slice", F.shiftright(bits * F.col("_slices"), 31)).withColumnRenamed("_end_source", "_source")
+
+    def sums_by(df: DataFrame, *order: str) -> DataFrame:
+        return df.groupBy("_source", *order).agg(F.sum("_end_size").alias("_sum"), F.first("_rest").alias("_rest"))
+
+    first = _cut(sums_by(tied, "_slice"), ["_slice"])
+    first = first.select(F.col("_source").alias("_in"), F.col("_slice").alias("_end_slice"), "_rest")
+    inner = tied.drop("_rest").join(first, F.col("_source").eqNullSafe(F.col("_in")) & (F.col("_slice") == F.col("_end_slice")))
+    last = _cut(sums_by(inner, "_tie"), ["_tie"])
+    last = last.select(F.col("_source").alias("_of"), F.col("_tie").alias("_end_tie"), F.col("_rest").alias("_end_rest"))
+    ends = stored(end.drop("_rest").join(last, F.col("_end_source").eqNullSafe(F.col("_of"))).drop("_of"), "mix-ends")
+
+    # A row before the end takes its size once more, a row behind it does not.
+    plan = plan.drop("_slices", "_rest").join(ends, F.col("_source").eqNullSafe(F.col("_end_source")), "left")
+    plan = stored(plan.drop("_end_source"), "mix-bounds")
+    placed = rows.join(plan, sourced)
+    end = F.struct(F.col("_end_key"), F.col("_end_size"), F.col("_end_tie"))
+    at = F.struct("_key", "size", "_tie")
+    ended = F.col("_end_key").isNotNull()
+    whole = placed.where(~(ended & (at == end))).withColumn("_part", F.when(ended & (at < end), F.col("size")).otherwise(0))
+    # Rows at the end itself are equal in all columns: they are counted, and given out again one by one.
+    equal = placed.where(ended & (at == end)).groupBy("_row", "source", "size", "source_size", "target", "_epochs", "_end_rest")
+    before = Window.partitionBy("source").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    equal = equal.agg(F.count(F.lit(1)).alias("_n")).withColumn("_behind", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    block = F.lit(SLICE_ROWS).cast("long")
+    equal = equal.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, block)))
+    equal = equal.repartition("source", "_from")
+    equal = equal.withColumn("_place", F.explode(F.sequence("_from", F.least(F.col("_from") + block, "_n") - 1)))
+    equal = equal.withColumn("_place", F.col("_place") + F.col("_behind"))
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_end_rest") - F.col("_place") * F.col("size")))
+    equal = equal.withColumn("_part", part)
+    taken = (F.col("_epochs") * F.col("size") + F.col("_part")).cast("long").alias("taken")
+    out = [df.select("_row", "size", "source_size", "target", taken) for df in (whole, equal)]
+    return out[0].unionByName(out[1]).select("_row.*", "size", "source_size", "target", "taken")
 
 
 def copies(mixed: DataFrame) -> DataFrame:

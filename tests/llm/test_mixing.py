@@ -69,3 +69,22 @@ def test_empty_table_and_one_source(spark):
     assert mixing.mix(empty, n_words(F.col("text"))).collect() == []
     one = spark.createDataFrame([(1, "s", "a b c", "", 0), (2, "s", None, "", 0)], SCHEMA)
     assert sorted(r.taken for r in mixing.mix(one, n_words(F.col("text"))).collect()) == [0, 3]
+
+
+@pytest.mark.parametrize("slice_rows", [10_000, 7, 1])
+def test_one_id_on_a_third_of_the_rows(spark, monkeypatch, slice_rows):
+    """NULL ids and one id fill a source: texts of equal and of different sizes, many of them equal rows."""
+    monkeypatch.setattr(mixing, "SLICE_ROWS", slice_rows)
+    rows = [(None, "a", f"x{i % 40} " + "w " * (i % 3)) for i in range(90)]
+    rows += [(7, "b", "same four words here")] * 80 + [(7, "b", None)] * 3
+    rows += [(100 + i, s, "w " * (i % 5)) for i in range(40) for s in ("a", "b")]
+    rows += [(200 + i, "c", "w " * 200) for i in range(2)]
+    given = spark.createDataFrame([r + ("clash", 1) for r in rows], SCHEMA).repartition(5)
+    out = mixing.mix(given, n_words(F.col("text")))
+    expected, target = brute(rows)
+    assert sorted(((r.doc_id, r.source, r.size, r.taken) for r in out.collect()), key=str) == expected
+    again = mixing.mix(given.repartition(3), n_words(F.col("text")))
+    # The texts are neither sorted nor joined by shuffling; the one window is over the rows at the ends.
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=false" in plan and plan.count("Window ") == 1 and "SortMergeJoin" not in plan
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
