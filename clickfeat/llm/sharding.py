@@ -17,6 +17,7 @@ from clickfeat.llm.common import stored, without
 
 BUCKET_BYTES = 16 << 20
 HOT_ROWS = 1000
+HOT_PART = 16  # an id whose rows hold more than this part of a bucket is spread too
 SEED = 81
 
 
@@ -28,15 +29,19 @@ def text_size(text: Column) -> Column:
 def external_shuffle(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` (doc_id, text, ...) plus ``shard`` (int, from 0) and ``slot`` (long, from 0 in each shard).
 
-    Law ``rows``: shard sizes differ by at most one row. The order depends on the rows and the seed only. An id with more
-    than ``HOT_ROWS`` rows (NULL included) is spread over the buckets by the row's text and place in the input, since one
-    bucket could not hold it. NULL text counts as empty. An empty table gives no rows. Columns already named ``shard``
+    Law ``rows``: shard sizes differ by at most one row. The order depends on the rows and the seed only, but for hot ids:
+    an id with more than ``HOT_ROWS`` rows (NULL included), or with several rows that hold more than a ``HOT_PART``-th of a
+    bucket, is spread over the buckets by the row's text and place in the input, since one bucket could not hold it; where
+    its rows go depends on how the input is partitioned, too. NULL text counts as empty. An empty table gives no rows. Columns already named ``shard``
     or ``slot`` are replaced. Columns must be sortable (no maps).
     """
     keep = without(docs, ["shard", "slot"])
     total = docs.agg(F.sum(text_size(docs["text"]))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    hot = docs.groupBy(docs["doc_id"].alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+    per_id = docs.groupBy(docs["doc_id"].alias("_hot"))
+    hot = per_id.agg(F.count(F.lit(1)).alias("_n"), F.sum(text_size(docs["text"])).alias("_bytes"))
+    large = (F.col("_n") > 1) & (F.col("_bytes") * HOT_PART > bucket_bytes)
+    hot = hot.where((F.col("_n") > HOT_ROWS) | large)
     hot = stored(hot.select("_hot", F.lit(True).alias("_is_hot")), "shard-hot")
     rows = docs.select(F.struct(*keep).alias("_row"), docs["doc_id"].alias("_id"), docs["text"].alias("_text"))
     seeded = F.xxhash64(F.lit(seed), "_id")
