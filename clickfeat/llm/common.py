@@ -13,6 +13,9 @@ from clickfeat.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 # Sides below this many rows of a few numbers may be broadcast (about 100 MB); larger ones are joined by shuffling.
 BROADCAST_ROWS = 2_000_000
+# A group with more than this part of all rows, and more than ``HOT_GROUP_ROWS`` rows, is split: at most ``HOT_PARTS`` groups.
+HOT_PARTS = 20_000
+HOT_GROUP_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,3 +51,19 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     """Columns of ``df`` other than ``names``, compared without case as Spark resolves them."""
     taken = {n.lower() for n in names}
     return [c for c in df.columns if c.lower() not in taken]
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``groups`` (``key`` unique, ``_n`` the rows of the group, ...), which should be written.
+
+    Hot groups are split by ``spread``, a hash of the row, into as many parts as they are times too large, and their line
+    of ``groups`` is repeated for each part. There are never more than ``HOT_PARTS`` of them, so the list is broadcast.
+    """
+    total = groups.agg(F.sum("_n")).first()[0] or 0
+    limit = max(HOT_GROUP_ROWS, total // HOT_PARTS)
+    parts = F.ceil(F.col("_n") / limit).cast("long")
+    hot = groups.where(F.col("_n") > limit).select(F.col(key).alias("_hot"), parts.alias("_parts"))
+    split = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").drop("_hot")
+    split = split.withColumn("_part", F.pmod(spread, F.coalesce("_parts", F.lit(1).cast("long")))).drop("_parts")
+    lines = groups.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_n")
+    return split.join(lines, [key, "_part"], how).drop("_part")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.llm.candidates import PACKED, packed, resolve, shared
-from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
+from clickfeat.llm.common import BROADCAST_ROWS, join_groups, semi_join, stored
 from clickfeat.llm.components import components
 from clickfeat.llm.substrings import keyed
 from clickfeat.llm.words import mix
@@ -213,8 +213,9 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     places = lines.select("doc", "sub", "line", "node").join(F.broadcast(label) if few else label, "node", "left")
     places = stored(places.select("doc", "sub", "line", F.coalesce("component", "node").alias("class")), "line-places")
     place = F.struct("doc", "sub", "line")
-    first = places.groupBy("class").agg(F.min(place).alias("first"))
-    again = stored(places.join(first, "class").where(place != F.col("first")).select("doc", "sub", "line").distinct(), "line-again")
+    first = places.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    several = join_groups(places, stored(first, "line-first"), "class", F.xxhash64("doc", "sub", "line"))
+    again = stored(several.where(place != F.col("first")).select("doc", "sub", "line").distinct(), "line-again")
     lists = again.groupBy("doc", "sub").agg(F.collect_set("line").alias("gone"))
     full = rows.join(F.broadcast(lists) if again.count() <= BROADCAST_ROWS else lists, ["doc", "sub"], "left")
     parts = F.split("text", "\n", -1)

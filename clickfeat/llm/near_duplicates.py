@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.llm.candidates import PACKED, packed, resolve, shared
-from clickfeat.llm.common import BROADCAST_ROWS, semi_join, stored
+from clickfeat.llm.common import BROADCAST_ROWS, join_groups, semi_join, stored
 from clickfeat.llm.components import components
 from clickfeat.llm.words import Words, inside, mix, window_hashes, words_of
 
@@ -287,11 +287,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     possible = lambda a, b: can_link(a, b, percent)
     links = resolve(members, lambda pairs: _verified(pairs, sets, percent), sets.select("node", "fact"), possible)
     label = stored(components(links.unionByName(equal)), "near-components")
-    joined = all_sets.join(label, "node", "left").withColumn("_c", F.coalesce("component", "node"))
+    side = F.broadcast(label) if label.count() <= BROADCAST_ROWS else label
+    salt = F.xxhash64(F.monotonically_increasing_id())  # of the place in the written table, so reruns of a task agree
+    joined = all_sets.withColumn("_salt", salt).join(side, "node", "left")
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "node")
-    least = joined.groupBy("_c").agg(F.min("doc_id").alias("component_id"), F.min(order).alias("_least"))
-    return joined.join(least.withColumnRenamed("_c", "_of"), F.col("_c") == F.col("_of")).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "node", (order == F.col("_least")).alias("first")
+    linked = joined.where(F.col("component").isNotNull()).groupBy(F.col("component").alias("_c"))
+    least = linked.agg(F.min("doc_id").alias("component_id"), F.min(order).alias("_least"), F.count(F.lit(1)).alias("_n"))
+    # A node without links is a component of its own, whatever the number of its rows.
+    full = joined.withColumn("_alone", F.col("component").isNull()).withColumn("_c", F.coalesce("component", "node"))
+    full = join_groups(full, stored(least, "near-least"), "_c", F.col("_salt"), "left")
+    return full.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("_alone"), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "node",
+        (F.col("_alone") | (order == F.col("_least"))).alias("first"),
     )
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -128,3 +129,15 @@ def test_groups_of_two_batches_joined_by_one_inner_pair(spark, monkeypatch):
 
 def test_empty_table(spark, documents):
     assert L.dedup_lines(documents([])).collect() == []
+
+
+def test_a_line_on_a_third_of_all_lines(spark, documents, monkeypatch):
+    from clickfeat.llm import common
+
+    monkeypatch.setattr(common, "HOT_GROUP_ROWS", 4)
+    rows = [(i, f"the common line of them all\nown text number {hashlib.md5(str(i).encode()).hexdigest()} of this row\nthe common line of them all") for i in range(40)]
+    rows += [(None, "the common line of them all"), (3, "another text under a repeated id\nthe common line of them all")]
+    found = L.dedup_lines(documents(rows, {"class": ("int", 1), "_part": ("int", 1)})).collect()
+    kept = [line for r in found for line in (r.kept or "").split("\n")]
+    assert sum(r.n_lines for r in found) == 40 * 3 + 3 and sum(r.n_removed for r in found) == 82 - 1
+    assert kept.count("the common line of them all") == 1 and len([k for k in kept if k.startswith("own")]) == 40

@@ -101,3 +101,20 @@ def test_repeated_rows_and_one_of_each(spark, documents):
 def test_empty_table(spark, documents):
     assert nd.near_duplicates(documents([])).collect() == []
     assert nd.one_of_each(documents([])).collect() == []
+
+
+def test_a_component_and_a_repeated_row_on_a_third_of_the_rows(spark, documents, monkeypatch):
+    """Hot groups are split into parts; lost or doubled rows would show."""
+    from clickfeat.llm import common
+
+    monkeypatch.setattr(common, "HOT_GROUP_ROWS", 3)
+    body = " ".join(f"w{i}" for i in range(120))
+    rows = [(i, f"{body} tail{i % 7}") for i in range(40, 80)] + [(5, body)] * 30 + [(None, "lone text of six other words")] * 20
+    rows += [(1000 + i, " ".join(f"r{i}x{k}" for k in range(9))) for i in range(30)]
+    for limit in (2_000_000, 0):
+        monkeypatch.setattr(nd, "BROADCAST_ROWS", limit)
+        given = documents(rows, {"_c": ("int", 1), "_part": ("int", 1)}).repartition(4)
+        found = nd.near_duplicates(given, 4, 85).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute(rows, 4, 85)
+        assert sum(r.first for r in found if r.component_id == 5) == 30
+        assert nd.one_of_each(given, 4, 85).count() == 1 + 1 + 30
