@@ -5,8 +5,8 @@ its segmentations into pieces of the product of piece probabilities, by a forwar
 of the word, a space in front marking its start. The piece scores start from the file's order of pieces (probability in
 inverse proportion to the rank) and are estimated by expectation over all segmentations of all distinct training words.
 Beside the pieces, a word's lattice has one edge for the whole word as it was counted in training: with c of N training
-tokens, T distinct ones and the sum L over all segmentations, a word has the probability (c + T * L) / (N + T). The log
-probability of a text is the sum over its words plus that of the end; ``lattice_score`` is the same sum of log L alone.
+tokens, the sum L over all segmentations and T, one more than the number of distinct tokens, a word has the probability
+(c + T * L) / (N + T). The log probability of a text is the sum over its words plus that of the end; ``lattice_score`` is the same sum of log L alone.
 
 Counts and lattices are computed once per distinct word. Texts meet them in two ways: the most frequent words (a bounded
 table) go to every task, all other words by a join on the word.
@@ -31,7 +31,7 @@ from clickfeat.llm.words import mix, spelled, words_of
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS = 2  # of estimation
 TOP_WORDS = 200_000  # words sent to every task; the others are joined
-CELLS = 1 << 20  # bytes of words in one block of the recursion
+CELLS = 1 << 18  # bytes of words in one block of the recursion
 _BASE = 0x100000001B3D
 _ADDED = 0.1
 
@@ -109,11 +109,12 @@ def _by_length(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield index, cells
 
 
-def _edges(pieces: Pieces, cells: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For each end j: (first start, j, piece of each start and -1 for none, its log probability), starts by column."""
+def _edges(pieces: Pieces, cells: np.ndarray, first: int = 1, last: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each end j from ``first`` to ``last``: (first start, j, piece of each start and -1 for none, its log
+    probability), starts by column."""
     sums, n = _prefix_hashes(cells), cells.shape[1]
     down = _powers(n, pow(_BASE, -1, 1 << 64))
-    for j in range(1, n + 1):
+    for j in range(first, (last or n) + 1):
         i = max(0, j - pieces.longest)
         key = mix((sums[:, j : j + 1] - sums[:, i:j]) * down[i:j])
         piece = np.full(key.shape, -1, np.int32)
@@ -143,21 +144,28 @@ def log_marginals(pieces: Pieces, words: pa.Array) -> np.ndarray:
 
 
 def expected_counts(pieces: Pieces, words: pa.Array) -> np.ndarray:
-    """How often each piece is used in expectation over all segmentations of the words."""
+    """How often each piece is used in expectation over all segmentations of the words. The edges of ``CELLS`` bytes are
+    held at a time; those of a longer word are found again on the way back."""
     total = np.zeros(len(pieces.keys))
     for index, cells in _by_length(words):
         n = cells.shape[1]
-        edges = list(_edges(pieces, cells))
         alpha, beta = np.full((2, len(index), n + 1), -np.inf)
         alpha[:, 0] = beta[:, n] = 0
-        for i, j, _, logp in edges:
-            alpha[:, j] = _sum_log(alpha[:, i:j] + logp)
-        for i, j, piece, logp in reversed(edges):
-            through = logp + beta[:, j : j + 1]
-            share = np.exp(alpha[:, i:j] + through - alpha[:, n:])
-            used = piece >= 0
-            total += np.bincount(piece[used], weights=share[used], minlength=len(total))
-            beta[:, i:j] = np.logaddexp(beta[:, i:j], through)
+        step = max(1, CELLS // len(index))
+        blocks = [(first, min(first + step - 1, n)) for first in range(1, n + 1, step)]
+        for block in blocks:
+            edges = list(_edges(pieces, cells, *block))
+            for i, j, _, logp in edges:
+                alpha[:, j] = _sum_log(alpha[:, i:j] + logp)
+        for block in reversed(blocks):
+            if block is not blocks[-1]:
+                edges = list(_edges(pieces, cells, *block))
+            for i, j, piece, logp in reversed(edges):
+                through = logp + beta[:, j : j + 1]
+                share = np.exp(alpha[:, i:j] + through - alpha[:, n:])
+                used = piece >= 0
+                np.add.at(total, piece[used], share[used])
+                beta[:, i:j] = np.logaddexp(beta[:, i:j], through)
     return total
 
 
