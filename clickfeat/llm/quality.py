@@ -7,8 +7,10 @@ logistic of the distance to the cut, shifted so that the cut itself scores ``CUT
 
 Features are counts of the surface (``FEATURES``) and, for each kind of n-gram (``GRAMS``), the mean log odds of the
 text's n-grams: how much likelier a good document holds the n-gram than a bad one. N-grams are hashed to ``BUCKETS``
-values a kind. The odds are counted in each half of the labelled sample; a training row takes the odds of the other half,
+values a kind. The odds are counted in each half of the labelled rows; a training row takes the odds of the other half,
 so the pairs never see odds that their own labels made, and a document to score takes the mean of both.
+
+Odds, pairs and the cut are made of all labelled rows. Orders over all of them (places in pairs, the quantile) are sliced.
 """
 
 from __future__ import annotations
@@ -19,17 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clickfeat.llm.common import semi_join, stored, without
+from clickfeat.llm.common import BROADCAST_ROWS, stored, without
 from clickfeat.llm.words import Words, mix, words_of
+from clickfeat.operators.ordered import place_in_group
 
-SAMPLE_ROWS = 20_000  # labelled rows that training reads at most, chosen by a hash of the id
-PAIRS = 40_000  # preference pairs made of them
+PAIRS_PER_ROW = 4  # preference pairs of each row of the larger class
+PAIRS_PER_TASK = 250_000
+GROUP_BYTES = 1 << 18  # text whose n-grams are made at once; each byte takes some ten numbers meanwhile
 CUT_SCORE = 0.7
 BUCKETS = 1 << 14  # hash values of each kind of n-gram
 
@@ -142,7 +144,7 @@ def lexical(words: Words, odds: np.ndarray) -> np.ndarray:
 
 
 def _batch_features(texts: pa.Array, odds: np.ndarray) -> np.ndarray:
-    parts = [np.hstack([features(words, words.offsets), lexical(words, odds)]) for words in words_of(texts)]
+    parts = [np.hstack([features(words, words.offsets), lexical(words, odds)]) for words in words_of(texts, limit=GROUP_BYTES)]
     return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES) + len(GRAMS)))
 
 
@@ -157,7 +159,7 @@ def gram_odds(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             group = 2 * batch.column("half").to_numpy() + batch.column("label").to_numpy()
             held[size] += np.bincount(group, minlength=4)
-            for words in words_of(batch.column("text")):
+            for words in words_of(batch.column("text"), limit=GROUP_BYTES):
                 own = group[words.first : words.first + words.rows]
                 for kind, (row, bucket) in enumerate(grams(words)):
                     once = np.unique(row * BUCKETS + bucket)
@@ -207,20 +209,19 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
 
 
-def preference_pairs(rows: DataFrame, pairs: int = PAIRS) -> DataFrame:
+def preference_pairs(rows: DataFrame) -> DataFrame:
     """(label, features): feature differences of good and bad rows, half of them turned round. Every row of the larger
-    class is used once before any is used twice, as long as ``pairs`` allows."""
-    order = F.xxhash64(F.lit("pair"), "doc_id")
+    class is in ``PAIRS_PER_ROW`` pairs; all of them are used once before any is used twice."""
 
     def placed(label: int, name: str) -> tuple[DataFrame, int]:
-        own = rows.where(F.col("label") == label)
-        place = F.row_number().over(Window.orderBy(order, "doc_id")) - 1
-        return own.select(place.alias("_place"), F.col("features").alias(name)), own.count()
+        own = rows.where(F.col("label") == label).withColumn("_order", F.xxhash64(F.lit("pair"), "doc_id"))
+        made = place_in_group(own, [], ["_order", "doc_id"], "_place", "_size")
+        return made.select("_place", F.col("features").alias(name)), own.count()
 
     (good, n_good), (bad, n_bad) = placed(1, "_good"), placed(0, "_bad")
     if not n_good or not n_bad:
         return rows.sparkSession.createDataFrame([], "label double, features array<double>")
-    total = min(pairs, max(n_good, n_bad) * 4)
+    total = PAIRS_PER_ROW * max(n_good, n_bad)
     ids = rows.sparkSession.range(total).select(
         F.col("id"),
         (F.col("id") % n_good).alias("_g"),
@@ -234,32 +235,46 @@ def preference_pairs(rows: DataFrame, pairs: int = PAIRS) -> DataFrame:
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Ranker:
+def quantile(rows: DataFrame, value: Column, count: int, share: float) -> float:
+    """The exact quantile of ``value``, interpolated as by ``percentile``: its two rows are found by their places in order."""
+    ordered = place_in_group(rows.select(value.alias("_value"), "doc_id", "label"), [], ["_value", "doc_id", "label"], "_place", "_size")
+    at = share * (count - 1)
+    low, high = math.floor(at), math.ceil(at)
+    found = {r["_place"]: r["_value"] for r in ordered.where(F.col("_place").isin(low, high)).select("_place", "_value").collect()}
+    return found[low] if found[low] == found[high] else (high - at) * found[low] + (at - low) * found[high]
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Ranker:
     """A ranker from ``docs`` (doc_id, text) and ``labels`` (doc_id, label of 0 or 1; others and NULL are not used).
 
-    At most ``sample_rows`` labels are used, the first by a hash of the id. Without labels of both kinds there is nothing
-    to rank by: every score is then ``CUT_SCORE``, or 0 if all labels are bad.
+    Without labels of both kinds there is nothing to rank by: every score is then ``CUT_SCORE``, or 0 if all labels are bad.
     """
+    # Tasks import this module for its features; they have no use for the memory of Spark ML and pandas.
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
     used = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "label"])
-    used = used.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id", "label").limit(sample_rows)
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
     used = stored(used.withColumn("half", half), "quality-labels")
-    texts = semi_join(docs.select("doc_id", "text"), used.select("doc_id").distinct(), "doc_id", sample_rows)
-    texts = texts.join(F.broadcast(used), "doc_id")
+    texts = docs.select("doc_id", "text")
+    if used.count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(used), "doc_id")
+    else:  # written, since two passes read the texts and each would exchange them
+        texts = stored(texts.join(used, "doc_id"), "quality-texts")
     odds = gram_odds(texts)
     rows = stored(with_features(texts, odds), "quality-features")
-    bad = rows.agg(F.avg(1 - F.col("label"))).first()[0]
+    bad, count = rows.agg(F.avg(1 - F.col("label")), F.count(F.lit(1))).first()
     if bad is None or bad in (0.0, 1.0):
         return Ranker(np.zeros(len(FEATURES) + len(GRAMS)), 0.0 if not bad else 1e9, odds.mean(axis=0))
-    pairs = preference_pairs(rows).select("label", array_to_vector("features").alias("features")).coalesce(8).cache()
+    tasks = max(8, PAIRS_PER_ROW * count // PAIRS_PER_TASK + 1)
+    pairs = preference_pairs(rows).select("label", array_to_vector("features").alias("features")).coalesce(tasks).cache()
     fitted = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=100, tol=1e-7).fit(pairs)
     pairs.unpersist()
     weights = np.asarray(fitted.coefficients.toArray())
     latent = F.aggregate(
         F.zip_with("features", F.array(*map(F.lit, weights.tolist())), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x
     )
-    cut = rows.agg(F.percentile(latent, F.lit(float(bad)))).first()[0]
-    return Ranker(weights, float(cut), odds.mean(axis=0))
+    return Ranker(weights, quantile(rows, latent, count, float(bad)), odds.mean(axis=0))
 
 
 def score(docs: DataFrame, ranker: Ranker, name: str = "score") -> DataFrame:

@@ -88,8 +88,8 @@ def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
-def text_groups(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of groups of rows of at most about ``LIMIT`` bytes."""
+def text_groups(texts: pa.Array, limit: int = LIMIT) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of groups of rows of at most about ``limit`` bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if not len(texts):
@@ -102,15 +102,15 @@ def text_groups(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     i = 0
     while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + LIMIT, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         yield i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
     pa.default_memory_pool().release_unused()
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
+def words_of(texts: pa.Array, lower: bool = False, limit: int = LIMIT) -> Iterator[Words]:
     """The words of a text column, group by group; ``lower`` maps A-Z to a-z first."""
-    for first, data, offsets in text_groups(texts):
+    for first, data, offsets in text_groups(texts, limit):
         if lower:
             data = _LOWER[data]
         solid = ~_SPACE[data]

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from clickfeat.llm import quality
 from clickfeat.llm.queries import QUERIES
@@ -126,3 +127,31 @@ def test_weights_equal_newton_steps_on_the_pairs(spark, monkeypatch):
     best = np.zeros(len(used))
     best[used] = w / scale[used]
     assert loss(ranker.weights) == pytest.approx(loss(best), abs=1e-4)
+
+
+def test_learns_from_every_labelled_row(spark, monkeypatch):
+    n = 20_050
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('word ', id % 7) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "cast(id % 3 > 0 as int) AS label")
+    seen = []
+    monkeypatch.setattr(quality, "gram_odds", lambda t: seen.append(t.agg({"doc_id": "count"}).first()[0]) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        quality.train(docs, labels)
+    assert seen == [n]
+
+
+def test_every_row_is_in_a_pair(spark):
+    n = 11_000
+    rows = spark.range(n + 3).selectExpr("id AS doc_id", f"cast(id < {n} as int) AS label", "array(double(id)) AS features")
+    made = quality.preference_pairs(rows)
+    differences = made.selectExpr("if(label = 1, features[0], -features[0]) AS d").collect()
+    assert len(differences) == 4 * n
+    assert {int(n + b + r.d) for r in differences for b in range(3)} >= set(range(n))
+
+
+def test_quantile_is_exact(spark):
+    values = [0.5, -1.25, 3.0, 3.0, 7.5, 0.1, 2.0]
+    rows = spark.createDataFrame([(i, 0, v) for i, v in enumerate(values)], "doc_id long, label int, v double")
+    for share in (0.0, 0.2, 0.5, 0.77, 1.0):
+        wanted = rows.agg(F.percentile("v", F.lit(share))).first()[0]
+        assert quality.quantile(rows, F.col("v"), len(values), share) == pytest.approx(wanted, abs=1e-12)
