@@ -73,7 +73,9 @@ def counted(
     sample = with_keys(renamed(base), [*grouped, t]).select(
         *grouped, F.col(t).alias("_at"), F.lit(0).alias("_late"), F.col(rid).alias("_rid"), F.lit(0).alias("_number")
     )
-    sliced = SlicedRows(rows, grouped, order, other, sample=sample, unique=["_rid"])
+    # A row of the log is itself and its marks; slices are half as long again, since several may meet in one task.
+    per_row = 1 + len({(m.offset, m.beside) for own_marks in marks.values() for m in own_marks})
+    sliced = SlicedRows(rows, grouped, order, other, sample=sample, unique=["_rid"], per_row=2 * per_row)
     upto = sliced.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = sliced.rows.withColumns({f"_run{n}": F.sum(n).over(upto) for n in names})
     run = sliced.carry(

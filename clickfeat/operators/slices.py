@@ -18,6 +18,9 @@ carried rows are broadcast when the log's size says that there are at most ``spa
 and joined by shuffling otherwise; the groups of the last level are even, so that join has no hot key.
 
 A table that Spark estimates below the size of one slice is not cut: its plan is the plain window or join.
+
+Rows that were cut are exchanged into as many tasks as their number asks for (``spread``), so what a task holds does not
+grow with the log. Where one row of the log becomes several, ``per_row`` says how many; slices and tasks follow it.
 """
 
 from __future__ import annotations
@@ -41,6 +44,12 @@ DEFAULT_SLICE_ROWS = 1_000_000
 DEFAULT_BROADCAST_CUTS = 500_000
 # Narrow rows take at least this much in a scan; used to tell tables smaller than a slice.
 SMALL_ROW_BYTES = 16
+# A table of unknown size is given more than this.
+UNKNOWN_BYTES = 1 << 60
+# About so many rows are to reach a task of an exchange by key.
+TASK_ROWS = 500_000
+# Up to so many cuts of a group are compared with a row one by one in generated code.
+FEW_CUTS = 8
 
 
 def slice_rows(spark: SparkSession) -> int:
@@ -51,15 +60,29 @@ def _size_estimate(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _read_bytes(df: DataFrame) -> int:
+    """What the tables below ``df`` take, as far as Spark knows; unlike the estimate of a join, this follows the input."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
 def fits_one_slice(df: DataFrame) -> bool:
     """Whether Spark's size estimate puts the whole table below one slice."""
     return _size_estimate(df) <= slice_rows(df.sparkSession) * SMALL_ROW_BYTES
 
 
-def few_cuts(df: DataFrame) -> bool:
+def few_cuts(df: DataFrame, per_row: int = 1) -> bool:
     """Whether the cuts of the table are few enough to be sent to every task."""
     limit = int(df.sparkSession.conf.get(BROADCAST_CUTS_CONF, str(DEFAULT_BROADCAST_CUTS)))
-    return _size_estimate(df) <= limit * slice_rows(df.sparkSession) * SMALL_ROW_BYTES
+    return _size_estimate(df) * per_row <= limit * slice_rows(df.sparkSession) * SMALL_ROW_BYTES
+
+
+def spread(rows: DataFrame, by: Sequence[str], log: DataFrame, per_row: int = 1, task_rows: int | None = None) -> DataFrame:
+    """``rows`` exchanged on ``by`` into one task per about ``task_rows`` rows, by the size of ``log`` with ``per_row`` rows for
+    each of its own. Logs for which the session's shuffle partitions are enough are left to the operator that needs the exchange."""
+    tasks = _read_bytes(log) * per_row // ((task_rows or TASK_ROWS) * SMALL_ROW_BYTES) + 1
+    return rows.repartition(tasks, *by) if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
 
 
 def _sent(table: DataFrame, few: bool) -> DataFrame:
@@ -80,10 +103,10 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(~any_null(keys)) if keys else df
 
 
-def _sampled(df: DataFrame, keys: Sequence[str], unique: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
-    """About one row in ``sliceRows``."""
+def _sampled(df: DataFrame, keys: Sequence[str], unique: Sequence[str], also: Sequence[str] = (), per_row: int = 1) -> DataFrame:
+    """About one row in ``sliceRows`` divided by ``per_row``."""
     columns = list(dict.fromkeys([*keys, *also, *unique]))
-    chosen = F.pmod(F.xxhash64(*unique), F.lit(slice_rows(df.sparkSession))) == 0
+    chosen = F.pmod(F.xxhash64(*unique), F.lit(max(1, slice_rows(df.sparkSession) // per_row))) == 0
     return with_keys(df, keys).where(chosen).select(*columns)
 
 
@@ -123,7 +146,8 @@ class SlicedRows:
 
     Cuts and carried rows are separate passes over the input. When ``df`` is costly to compute, ``base`` names the
     cheap log it was derived from row by row; both passes then read that log, so a chain of features stays linear.
-    ``sample`` replaces the base for the cuts only; ``unique`` are its unique columns.
+    ``sample`` replaces the base for the cuts only; ``unique`` are its unique columns, and ``per_row`` is the number of rows
+    in ``df`` for each of its rows.
     """
 
     def __init__(
@@ -134,6 +158,7 @@ class SlicedRows:
         base: DataFrame | None = None,
         sample: DataFrame | None = None,
         unique: Sequence[str] | None = None,
+        per_row: int = 1,
     ):
         self.keys, self.order = list(keys), list(order)
         self.columns = df.columns
@@ -142,10 +167,11 @@ class SlicedRows:
         if not self.is_cut:
             self.rows = self.base_rows = df
             return
-        self.few = few_cuts(sample)
-        levels = self._levels(_sampled(sample, self.keys, unique or [*self.keys, *self.order], self.order))
-        self.rows = self._cut(df, levels)
-        self.base_rows = self.rows if base is None else self._cut(base, levels)
+        self.few = few_cuts(sample, per_row)
+        levels = self._levels(_sampled(sample, self.keys, unique or [*self.keys, *self.order], self.order, per_row))
+        cut = self._cut(df, levels)
+        self.rows = spread(cut, [*self.keys, SLICE], sample, per_row)
+        self.base_rows = cut if base is None else self._cut(base, levels)
 
     def _levels(self, cuts: DataFrame) -> list[DataFrame]:
         """Of each level the sorted cuts of every group. A group is numbered by the cuts before it: the first level has
@@ -237,4 +263,7 @@ def earlier_slices(window: WindowSpec) -> WindowSpec:
 def _cuts_up_to(position: Column) -> Column:
     """How many of the group's cuts lie at or before ``position``; a group has few."""
     at = F.col(CUTS)["at"]
-    return F.size(F.filter(at, lambda cut: cut <= position)).cast("long")
+    # Function calls per element cost a row more than all else, so up to FEW_CUTS cuts are compared without them.
+    before = [F.coalesce((F.get(at, F.lit(i)) <= position).cast("long"), F.lit(0)) for i in range(FEW_CUTS)]
+    counted = F.size(F.filter(at, lambda cut: cut <= position)).cast("long")
+    return F.when(F.size(at) <= FEW_CUTS, reduce(lambda a, b: a + b, before)).otherwise(counted)
