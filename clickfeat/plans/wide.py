@@ -24,13 +24,15 @@ from clickfeat.naming import MICROS, ROW_ID, TIME
 from clickfeat.operators.groups import group_table
 from clickfeat.operators.history import PRIOR_CLICKS
 from clickfeat.operators.ordered import NO_NEXT_CLICK_SECOND
-from clickfeat.operators.slices import any_null, few_cuts, fits_one_slice, hot_keys, salted_join, slice_rows
+from clickfeat.operators.slices import any_null, few_cuts, fits_one_slice, hot_keys, salted_join, slice_rows, spread
 from clickfeat.plans.features import ORDER_KINDS, Feature, add_features
 from clickfeat.sources.store import FeatureStore, identity, spec_name
 
 BROADCAST_ROWS_CONF = "spark.clickfeat.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 200_000
 TABLES_AT_ONCE = 4
+# Rows of a task of the wide windows, which holds the sorts and windows of all chains at once.
+WIDE_TASK_ROWS = 100_000
 
 
 def key_sets(feature: Feature) -> list[frozenset[str]]:
@@ -147,7 +149,10 @@ def window_features(df: DataFrame, features: Sequence[Feature], lead: str) -> Da
     """
     chains = nested_chains(features)
     last = {group: number for number, chain in enumerate(chains) for group in chain.sets}
-    wide = df if partitioned_by(df, lead) else df.repartition(lead)
+    wide = df
+    if not partitioned_by(df, lead):
+        wide = spread(df, [lead], df, task_rows=WIDE_TASK_ROWS)
+        wide = df.repartition(lead) if wide is df else wide
     for number, chain in enumerate(chains):
         order = chain.order(lead)
         wide = wide.sortWithinPartitions(*order, TIME, ROW_ID)
