@@ -31,8 +31,11 @@ MISSING = -1.0
 LABEL, WEIGHT, FEATURES, SCORE = "is_attributed", "_weight", "_features", "score"
 # Idle rounds after which a validated fit stops. Fixed value.
 PATIENCE = 30
-# Rows that one task of a fit takes; a fit is many short jobs, so small tables are read by few tasks.
-ROWS_PER_TASK = 50_000
+# Rows that one task of a fit takes; a fit is many short jobs, so small tables are read by few tasks. Larger ones are read by
+# twice as many tasks as there are cores, until a task would take more than MOST_ROWS_PER_TASK rows.
+ROWS_PER_TASK, MOST_ROWS_PER_TASK = 50_000, 1_000_000
+# Fits on up to so many rows leave most cores idle between their steps; all seeds are then fitted at once.
+FEW_ROWS = 2_000_000
 # Scores of one round are counted in so many bins for its area under the curve; so many rounds are counted at once.
 BINS, ROUNDS_AT_ONCE = 8192, 64
 
@@ -116,7 +119,12 @@ def written_matrix(df: DataFrame, encoder: Encoder, params: FitParams, store: Fe
     """Vector, label and weight of the rows, written once for all fits on them."""
     rows = encoder.apply(weighted(df.select(*dict.fromkeys([*encoder.predictors, LABEL])), params.positive_weight))
     made = store.get_or_compute(name, lambda: rows.select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), WEIGHT))
-    return made.coalesce(made.count() // ROWS_PER_TASK + 1)
+    return made.coalesce(fit_tasks(made.count(), df.sparkSession.sparkContext.defaultParallelism))
+
+
+def fit_tasks(rows: int, cores: int) -> int:
+    """Tasks of each step of a fit. A step of a round is a job of its own, so more tasks than the cores need only add waiting."""
+    return max(min(rows // ROWS_PER_TASK + 1, 2 * cores), rows // MOST_ROWS_PER_TASK + 1)
 
 
 def nodes(trees: GBTClassificationModel) -> DataFrame:
@@ -340,7 +348,7 @@ def seed_average(
 
     needed, first = run(seeds[0])
     # The other seeds are independent; a few at a time keep the executors busy between the steps of one fit.
-    with ThreadPoolExecutor(SEEDS_AT_ONCE) as pool:
+    with ThreadPoolExecutor(max(1, len(seeds) - 1) if all_rows.count() <= FEW_ROWS else SEEDS_AT_ONCE) as pool:
         others = list(pool.map(lambda seed: run(seed, needed + PATIENCE + 1)[1], seeds[1:]))
     return average_scores([first, *others], click_id)
 
