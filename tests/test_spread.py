@@ -27,7 +27,7 @@ def test_cut_rows_are_exchanged_into_tasks_by_their_number(spark, monkeypatch):
 def test_wide_windows_take_tasks_by_the_size_of_the_log(spark, monkeypatch):
     monkeypatch.setattr(wide, "WIDE_TASK_ROWS", 50)
     log = spark.range(4000).selectExpr("id AS rid", "id % 500 AS ip", "id AS t")
-    made = wide.window_features(log, [Feature("count", ("ip",), "n")], "ip")
+    made = wide.window_features(log, [Feature("size", ("ip",), "n")], "ip")
     assert len(sizes(made)) > 20
     assert {r.n for r in made.collect()} == {8}
 
