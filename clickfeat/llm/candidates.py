@@ -203,5 +203,7 @@ def resolve(
             pairs = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
-        links = links.unionByName(stored(verify(pairs), "links"))
+        # The stars of the components stand for the links so far.
+        stars = label.where(F.col("node") != F.col("component")).select(F.col("component").alias("a"), F.col("node").alias("b"))
+        links = stars.unionByName(stored(verify(pairs), "links"))
     return links

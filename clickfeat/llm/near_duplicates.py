@@ -195,28 +195,49 @@ def _signed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFram
     return docs.select("_node", "text").mapInArrow(run, PACKED)
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, n, shingles, fact): the sets themselves, as sorted 64-bit hashes, and a sketch of each."""
+def _sketches(docs: DataFrame, width: int) -> DataFrame:
+    """(node, fact, n, sketch): the size of every set and two sketches of it, one in ``fact``, see ``can_link`` and ``close``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, cells, bits = [], [], []
+            sizes, bits, cells = [], [], []
             for words in words_of(batch.column("text"), lower=True):
                 values, starts = shingle_sets(words, width)
                 sizes += np.diff(starts).tolist()
-                cells += [values[i:j].tobytes() for i, j in itertools.pairwise(starts)]
                 bits.append(_parities(values, starts))
+                cells += _wide_parities(values, starts)
             sketch = np.concatenate(bits) if bits else np.zeros((0, SKETCH), np.int64)
             n = pa.array(sizes, pa.int64())
             fact = pa.StructArray.from_arrays(
                 [n, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)]], ["n", *[f"w{i}" for i in range(SKETCH)]]
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_node"), n, pa.array(cells, pa.binary()), fact], ["node", "n", "shingles", "fact"]
+                [batch.column("_node"), fact, n, pa.array(cells, pa.binary())], ["node", "fact", "n", "sketch"]
             )
 
     fields = ", ".join(f"w{i}:long" for i in range(SKETCH))
-    return docs.select("_node", "text").mapInArrow(run, f"node long, n long, shingles binary, fact struct<n:long, {fields}>")
+    return docs.select("_node", "text").mapInArrow(run, f"node long, fact struct<n:long, {fields}>, n long, sketch binary")
+
+
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """(node, shingles): the sets themselves, as sorted 64-bit hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = []
+            for words in words_of(batch.column("text"), lower=True):
+                values, starts = shingle_sets(words, width)
+                cells += [values[i:j].tobytes() for i, j in itertools.pairwise(starts)]
+            yield pa.RecordBatch.from_arrays([batch.column("_node"), pa.array(cells, pa.binary())], ["node", "shingles"])
+
+    return docs.select("_node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """``docs`` (_node, doc_id, text) with one row of each node. Only rows of ids that stand for several rows, whose nodes
+    are not their ids, can be repeated; the texts of the others are not shuffled."""
+    own = F.col("_node").eqNullSafe(F.col("doc_id"))
+    return docs.where(own).unionByName(docs.where(~own).dropDuplicates(["_node"]))
 
 
 def _parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -228,6 +249,28 @@ def _parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(rows, SKETCH)
 
 
+def _wide_parities(values: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """For each set of n elements, the same over at least n classes, a power of two from 64 on. Classes follow the low bits
+    of a hash, so halving a sketch by the exclusive or of its halves gives the sketch of half as many classes."""
+    sizes = np.diff(starts)
+    width = 64 << np.ceil(np.log2(np.maximum(sizes, 64) / 64)).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(width)])
+    slot = np.repeat(base[:-1], sizes) + (mix(values) & np.repeat(width - 1, sizes).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(slot, minlength=base[-1]) & 1).astype(np.uint8)
+    raw = np.packbits(odd).tobytes()
+    return [raw[i:j] for i, j in itertools.pairwise((base // 8).tolist())]
+
+
+def close(n: int, one: np.ndarray, m: int, two: np.ndarray, percent: int) -> bool:
+    """Whether sets of n and m elements with these wide sketches (bytes) can link, as in ``can_link``."""
+    while len(one) > len(two):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    while len(two) > len(one):
+        two = two[: len(two) // 2] ^ two[len(two) // 2 :]
+    differ = max(int(np.bitwise_count(one ^ two).sum()), abs(n - m))
+    return differ * (100 + percent) <= (n + m) * (100 - percent)
+
+
 def can_link(a: Column, b: Column, percent: int) -> Column:
     """Whether sets with these facts can link: what differs is at most (100 - percent) / (100 + percent) of both sizes."""
     differ = sum((F.bit_count(a[f"w{i}"].bitwiseXOR(b[f"w{i}"])) for i in range(SKETCH)), F.lit(0))
@@ -235,8 +278,18 @@ def can_link(a: Column, b: Column, percent: int) -> Column:
     return at_least * (100 + percent) <= (a["n"] + b["n"]) * (100 - percent)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by the intersection of their sets."""
+def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by the intersection of their sets. Sketches go to all pairs; sets are made and sent
+    only for the few pairs whose sketches are close."""
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(name) for name in ("n", "x", "m", "y")))
+            keep = [
+                close(n.as_py(), np.frombuffer(x.as_buffer(), np.uint8), m.as_py(), np.frombuffer(y.as_buffer(), np.uint8), percent)
+                for n, x, m, y in rows
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,9 +301,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     named = lambda df, node, **names: df.select(F.col("node").alias(node), *[F.col(k).alias(v) for k, v in names.items()])
-    with_a = pairs.join(named(sets, "a", fact="_f"), "a")
-    theirs = named(sets, "_b", fact="_g")
-    near = with_a.join(theirs, (F.col("b") == F.col("_b")) & can_link(F.col("_f"), F.col("_g"), percent)).select("a", "b")
+    both = pairs.join(named(sketches, "a", n="n", sketch="x"), "a").join(named(sketches, "b", n="m", sketch="y"), "b")
+    near = stored(both.select("a", "b", "n", "x", "m", "y").mapInArrow(sketched, "a long, b long"), "near-close")
+    needed = near.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
+    sets = stored(_sets(_once(semi_join(docs, needed, "_node", 2 * near.count())), width), "near-sets")
     full = near.join(named(sets, "a", shingles="x"), "a").join(named(sets, "b", shingles="y"), "b")
     return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
@@ -277,15 +331,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         "near-idle",
     )
     side = F.broadcast(idle) if idle.count() <= BROADCAST_ROWS else idle
-    distinct = keyed.select("_node", "text").join(side, "_node", "left_anti")
+    distinct = keyed.select("_node", "doc_id", "text").join(side, "_node", "left_anti")
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     signed = _signed(distinct, width, percent, int(text_bytes // BUCKET_BYTES) + 1)
     members = stored(shared(signed), "near-members")
 
     alike = stored(members.select(F.col("node").alias("_node")).distinct(), "near-alike")
-    sets = stored(_sets(semi_join(distinct, alike, "_node"), width).dropDuplicates(["node"]), "near-sets")
+    sketches = stored(_sketches(_once(semi_join(distinct, alike, "_node")), width), "near-sketches")
+    verify = lambda pairs: _verified(pairs, sketches, distinct, width, percent)
     possible = lambda a, b: can_link(a, b, percent)
-    links = resolve(members, lambda pairs: _verified(pairs, sets, percent), sets.select("node", "fact"), possible)
+    links = resolve(members, verify, sketches.select("node", "fact"), possible)
     label = stored(components(links.unionByName(equal)), "near-components")
     side = F.broadcast(label) if label.count() <= BROADCAST_ROWS else label
     salt = F.xxhash64(F.monotonically_increasing_id())  # of the place in the written table, so reruns of a task agree
