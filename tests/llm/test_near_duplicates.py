@@ -118,3 +118,42 @@ def test_a_component_and_a_repeated_row_on_a_third_of_the_rows(spark, documents,
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute(rows, 4, 85)
         assert sum(r.first for r in found if r.component_id == 5) == 30
         assert nd.one_of_each(given, 4, 85).count() == 1 + 1 + 30
+
+
+def test_wide_sketches_keep_all_links_and_part_long_unlike_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 63, 64, 65, 700, 5000):
+        one = np.sort(rng.integers(0, 2**63, n).astype(np.uint64))
+        for m in sorted({n, max(1, n * 9 // 10), n * 4 // 5}):
+            two = np.sort(np.concatenate([one[rng.permutation(n)[:m]], rng.integers(0, 2**63, n // 10).astype(np.uint64)]))
+            both, total = len(np.intersect1d(one, two)), len(np.union1d(one, two))
+            cells = nd._wide_parities(np.concatenate([one, two]), np.array([0, len(one), len(one) + len(two)]))
+            x, y = (np.frombuffer(c, np.uint8) for c in cells)
+            assert 8 * len(x) >= n
+            if 100 * both >= 80 * total:
+                assert nd.close(len(one), x, len(two), y, 80) and nd.close(len(two), y, len(one), x, 80)
+    one, two = (np.sort(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (5000, 4500))
+    x, y = (np.frombuffer(c, np.uint8) for c in nd._wide_parities(np.concatenate([one, two]), np.array([0, 5000, 9500])))
+    assert not nd.close(5000, x, 4500, y, 80)
+
+
+def test_sets_are_sent_for_close_pairs_only(spark, documents, monkeypatch):
+    words = lambda salt: " ".join(f"{salt}{i}" for i in range(3000))
+    rows = [(1, words("a")), (2, words("a") + " end"), (3, words("b")), (4, words("c"))]
+    made = {}
+    keep = nd.stored
+    monkeypatch.setattr(nd, "stored", lambda df, name, **options: made.setdefault(name, keep(df, name, **options)))
+    docs = nd.with_nodes(documents(rows))
+    sketches = nd._sketches(docs, 4)
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (3, 4)], "a long, b long")
+    found = nd._verified(pairs, sketches, docs, 4, 85).collect()
+    assert [tuple(r) for r in found] == [(1, 2)]
+    assert {r.node for r in made["near-sets"].collect()} == {1, 2}
+    assert sum(map(len, (r.sketch for r in sketches.collect()))) * 16 < sum(len(r.shingles) for r in nd._sets(docs, 4).collect())
+
+
+def test_texts_of_unique_ids_are_not_shuffled(spark, documents):
+    plan = nd._once(nd.with_nodes(documents([(1, "a"), (2, "b")])))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, None), (None, "")]
+    assert sorted((r.doc_id or 0, r.text or "") for r in nd._once(nd.with_nodes(documents(rows))).collect()) == [(0, ""), (1, "a"), (1, "b"), (2, "c")]
