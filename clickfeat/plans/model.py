@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -18,12 +17,12 @@ from pyspark.sql import functions as F
 from clickfeat.operators.ordered import place_in_group, top_rows
 from clickfeat.operators.relational import project_scores, union_like
 from clickfeat.operators.slices import salted_join
+from clickfeat.plans import boosting
 from clickfeat.plans.wide import broadcast_rows
 from clickfeat.session import ensure_checkpoint_dir
 from clickfeat.sources.store import FeatureStore, run_store, write_csv
 
 SEEDS = tuple(range(42, 52))
-SEEDS_AT_ONCE = 5
 REFIT_FACTOR = 1.46
 TOP_FEATURES = 60
 # No feature value is negative, so trees can tell a missing value apart.
@@ -34,10 +33,8 @@ PATIENCE = 30
 # Rows that one task of a fit takes; a fit is many short jobs, so small tables are read by few tasks. Larger ones are read by
 # twice as many tasks as there are cores, until a task would take more than MOST_ROWS_PER_TASK rows.
 ROWS_PER_TASK, MOST_ROWS_PER_TASK = 50_000, 1_000_000
-# Fits on up to so many rows leave most cores idle between their steps; all seeds are then fitted at once.
-FEW_ROWS = 2_000_000
 # Scores of one round are counted in so many bins for its area under the curve; so many rounds are counted at once.
-BINS, ROUNDS_AT_ONCE = 8192, 64
+BINS, ROUNDS_AT_ONCE = boosting.BINS, 64
 
 
 @dataclass(frozen=True)
@@ -252,16 +249,8 @@ def best_round(measures: Sequence[dict[str, float]], metrics: Sequence[str], pat
     return min(found)[3:]
 
 
-def fit_trees(
-    train: DataFrame, params: FitParams, seed: int, validate: DataFrame | None = None, patience: int = PATIENCE, start: int | None = None
-) -> GBTClassificationModel:
-    """Boosted trees on written matrices. With ``validate`` the trees up to the best round before ``patience`` idle ones are kept.
-
-    Spark ML fits a fixed number of rounds, so ``start`` rounds (a few more than the wait) are fitted first, and twice as
-    many until the wait is over or ``params.rounds`` is reached. The kept trees are cut from the last fit.
-    """
-    ensure_checkpoint_dir(train.sparkSession)
-    trees = GBTClassifier(
+def estimator(params: FitParams, seed: int) -> GBTClassifier:
+    return GBTClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
         weightCol=WEIGHT,
@@ -274,9 +263,21 @@ def fit_trees(
         maxBins=params.max_bins,
         seed=seed,
     )
+
+
+def fit_trees(
+    train: DataFrame, params: FitParams, seed: int, validate: DataFrame | None = None, patience: int = PATIENCE
+) -> GBTClassificationModel:
+    """Boosted trees on written matrices. With ``validate`` the trees up to the best round before ``patience`` idle ones are kept.
+
+    Spark ML fits a fixed number of rounds, so a few more than the wait are fitted first, and twice as
+    many until the wait is over or ``params.rounds`` is reached. The kept trees are cut from the last fit.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    trees = estimator(params, seed)
     if validate is None:
         return trees.fit(train)
-    rounds = min(params.rounds, start or patience + 2)
+    rounds = min(params.rounds, patience + 2)
     while True:
         model = trees.setMaxIter(rounds).fit(train)
         best, over = best_round(round_measures(model, validate), params.metrics, patience)
@@ -332,25 +333,25 @@ def seed_average(
 ) -> DataFrame:
     """Validate, refit and score once per seed; the mean score per click.
 
-    Codes and matrices are written once and shared by all seeds. The first seed finds about how many rounds are needed; the others
-    begin there.
+    Codes and matrices are written once and shared by all seeds, whose fits run side by side; a seed has the trees that
+    ``fit_trees`` gives it. The scores of all seeds come from one pass and are written once.
     """
+    ensure_checkpoint_dir(train.sparkSession)
     store = run_store(train.sparkSession)
     seen = Encoder.learned(train, predictors, categorical, LABEL, FeatureStore(train.sparkSession, store.path("train")))
     every = Encoder.learned(labelled, predictors, categorical, LABEL, FeatureStore(train.sparkSession, store.path("labelled")))
     rows, held_out = (written_matrix(df, seen, params, store, name) for df, name in ((train, "train-matrix"), (validate, "validate-matrix")))
     all_rows = written_matrix(labelled, every, params, store, "labelled-matrix")
 
-    def run(seed: int, start: int | None = None) -> tuple[int, DataFrame]:
-        best = fit_trees(rows, params, seed, held_out, start=start).getNumTrees
-        trees = fit_trees(all_rows, replace(params, rounds=refit_rounds(best)), seed)
-        return best, FittedModel(every, trees).score(scored)
+    def stop(measures: Sequence[dict[str, float]]) -> tuple[int, bool]:
+        return best_round(measures, params.metrics)
 
-    needed, first = run(seeds[0])
-    # The other seeds are independent; a few at a time keep the executors busy between the steps of one fit.
-    with ThreadPoolExecutor(max(1, len(seeds) - 1) if all_rows.count() <= FEW_ROWS else SEEDS_AT_ONCE) as pool:
-        others = list(pool.map(lambda seed: run(seed, needed + PATIENCE + 1)[1], seeds[1:]))
-    return average_scores([first, *others], click_id)
+    trees = estimator(params, seeds[0])
+    found = boosting.fit(rows, held_out, trees, params.positive_weight, seeds, [params.rounds] * len(seeds), params.metrics, stop)
+    again = [refit_rounds(len(of_seed)) for of_seed in found.trees]
+    final = boosting.fit(all_rows, None, trees, params.positive_weight, seeds, again)
+    scores = store.get_or_compute("scores", lambda: final.scores(every.apply(scored), FEATURES, click_id))
+    return average_scores([scores.select(click_id, F.col(f"score_{place}").alias(SCORE)) for place in range(len(seeds))], click_id)
 
 
 def metrics(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
