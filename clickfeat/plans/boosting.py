@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 # A seed's rows with their bins, margins and sums in one task; beyond, the rows stay where they are.
-TASK_BYTES, BYTES_PER_ROW = 256 << 20, 24
+TASK_BYTES, BYTES_PER_ROW = 384 << 20, 24
 # Rows of one record, and rounds after which margins are written to the checkpoint folder.
-BLOCK_ROWS, ROUNDS_KEPT = 65_536, 20
+BLOCK_ROWS, ROUNDS_KEPT = 65_536, 40
 # Scores of one round are counted in so many bins for its area under the curve.
 BINS = 8192
 # Variances up to this part of the mean square are rounding. Spark ML's own bound is the absolute one.
 ROUNDING, EPSILON = 1e-12, 2.0**-52
+# Features are counted together while the combinations of their bins are no more than this.
+TOGETHER = 1024
 # Rows and conversions of a bin are counted in one sum, the conversions in the upper bits.
 ONE = float(1 << 26)
 U64 = (1 << 64) - 1
@@ -57,20 +59,20 @@ def hashed_seed(seed: int) -> int:
     return _murmur(data, low) << 32 | low
 
 
-def _step(x: np.ndarray) -> np.ndarray:
-    x = x ^ x << np.uint64(21)
-    x ^= x >> np.uint64(35)
-    x ^= x << np.uint64(4)
-    return x
+def _step(states: np.ndarray, spare: np.ndarray) -> None:
+    for shift, by in ((np.left_shift, 21), (np.right_shift, 35), (np.left_shift, 4)):
+        shift(states, np.uint64(by), out=spare)
+        np.bitwise_xor(states, spare, out=states)
 
 
 @cache
 def _jump(power: int) -> np.ndarray:
     """``2 ** power`` steps as a table by byte and value: steps are linear in the bits."""
+    images = np.uint64(1) << np.arange(64, dtype=np.uint64)
     if power == 0:
-        images = _step(np.uint64(1) << np.arange(64, dtype=np.uint64))
+        _step(images, images.copy())
     else:
-        images = _jumped(power - 1, _jumped(power - 1, np.uint64(1) << np.arange(64, dtype=np.uint64)))
+        images = _jumped(power - 1, _jumped(power - 1, images))
     table = np.zeros((8, 256), np.uint64)
     for byte in range(8):
         for bit in range(8):
@@ -79,10 +81,8 @@ def _jump(power: int) -> np.ndarray:
 
 
 def _jumped(power: int, states: np.ndarray) -> np.ndarray:
-    table, made = _jump(power), np.zeros_like(states)
-    for byte in range(8):
-        made ^= table[byte, (states >> np.uint64(8 * byte) & np.uint64(255)).astype(np.intp)]
-    return made
+    values = states.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return np.bitwise_xor.reduce(_jump(power)[np.arange(8), values], axis=1)
 
 
 def drawn(seed: int, offset: int, count: int, share: float) -> np.ndarray:
@@ -93,17 +93,17 @@ def drawn(seed: int, offset: int, count: int, share: float) -> np.ndarray:
     for power in range((2 * offset).bit_length()):
         if 2 * offset >> power & 1:
             states = _jumped(power, states)
-    run = 5  # every lane draws for 2 ** run rows, two steps each
+    run = 6  # every lane draws for 2 ** run rows, two steps each
     lanes = -(-count >> run)
     while len(states) < lanes:
         states = np.concatenate([states, _jumped(run + len(states).bit_length(), states)])
-    states, bound = states[:lanes], np.uint64(math.ceil(share * 2**53))
-    taken = np.empty((1 << run, lanes), bool)
+    states, bound = states[:lanes].copy(), np.uint64(math.ceil(share * 2**53))
+    spare, taken = np.empty_like(states), np.empty((1 << run, lanes), bool)
     for row in taken:
-        states = _step(states)
-        high = states & np.uint64((1 << 26) - 1)
-        states = _step(states)
-        row[:] = (high << np.uint64(27)) + (states & np.uint64((1 << 27) - 1)) < bound
+        _step(states, spare)
+        high = (states & np.uint64((1 << 26) - 1)) << np.uint64(27)
+        _step(states, spare)
+        np.less(high + (states & np.uint64((1 << 27) - 1)), bound, out=row)
     return taken.T.ravel()[:count]
 
 
@@ -177,23 +177,49 @@ class Sums:
     cells: np.ndarray
     squares: np.ndarray
 
-    def __add__(self, other: Sums) -> Sums:
-        return Sums(self.cells + other.cells, self.squares + other.squares)
-
     def rest(self, part: Sums) -> Sums:
         cells = self.cells - part.cells
         cells[2][cells[0] == 0] = 0.0
         return Sums(cells, self.squares - part.squares)
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How the bins of a seed are counted: features of few bins together, by each combination of their bins."""
+
+    cuts: tuple[int, ...]
+    groups: tuple[tuple[int, ...], ...]
+
+    @classmethod
+    def of(cls, cuts: Sequence[int]) -> Layout:
+        groups: list[list[int]] = []
+        for f in sorted(range(len(cuts)), key=lambda f: -cuts[f]):
+            fits = (g for g in groups if math.prod(cuts[x] + 1 for x in [*g, f]) <= TOGETHER)
+            if (group := next(fits, None)) is None:
+                groups.append(group := [])
+            group.append(f)
+        return cls(tuple(cuts), tuple(map(tuple, groups)))
+
+    def sums(self, counted: np.ndarray, nodes: int) -> Sums:
+        """What ``Rows.count`` of some nodes gave, by feature."""
+        cells, at = np.zeros((3, nodes, len(self.cuts), max(self.cuts) + 1)), 0
+        for group in self.groups:
+            shape = (3, nodes, *(self.cuts[f] + 1 for f in group))
+            joint = counted[at : at + math.prod(shape)].reshape(shape)
+            at += joint.size
+            for place, f in enumerate(group):
+                cells[:, :, f, : self.cuts[f] + 1] = joint.sum(axis=tuple(2 + x for x in range(len(group)) if x != place))
+        return Sums(cells, counted[at:])
+
+
 Wish = tuple[Tree, int, list[int]]
 
 
-def grown(growth: Growth, cuts: Sequence[int], seed: int) -> Generator[Wish, Sums, Tree]:
-    """Grows one tree: yields it so far, a level and the nodes of that level whose sums it is then sent."""
-    tree, draws, splits = Tree.empty(growth.depth), JavaRandom(seed), np.array(cuts)
+def grown(growth: Growth, layout: Layout, seed: int) -> Generator[Wish, np.ndarray, Tree]:
+    """Grows one tree: yields it so far, a level and the nodes of that level whose counts it is then sent."""
+    tree, draws, splits = Tree.empty(growth.depth), JavaRandom(seed), np.array(layout.cuts)
     extra = growth.positive_weight - 1
-    sums = yield tree, 0, [1]
+    sums = layout.sums((yield tree, 0, [1]), 1)
     known = {1: Sums(sums.cells[:, 0], sums.squares[0])}
     group = [1]
     rows, ones, total = known[1].cells[:, 0].sum(axis=-1)
@@ -222,11 +248,15 @@ def grown(growth: Growth, cuts: Sequence[int], seed: int) -> Generator[Wish, Sum
             tree.feature[node], tree.cut[node] = feature, cut
             tree.value[2 * node] = s[place, feature, cut] / weight[place, feature, cut]
             tree.value[2 * node + 1] = s_other[place, feature, cut] / other[place, feature, cut]
+            told = s[place, feature, cut] * tree.value[2 * node] + s_other[place, feature, cut] * tree.value[2 * node + 1]
+            if known[node].squares - told <= ROUNDING * known[node].squares:
+                # Nothing varies below any more.
+                continue
             below += [2 * node, 2 * node + 1]
             smaller.append(2 * node + int(2 * n[place, feature, cut] > whole[0, place, feature, 0]))
-        if not below or level + 1 == growth.depth:
+        if not smaller or level + 1 == growth.depth:
             break
-        sums = yield tree, level + 1, smaller
+        sums = layout.sums((yield tree, level + 1, smaller), len(smaller))
         found = {node: Sums(sums.cells[:, i], sums.squares[i]) for i, node in enumerate(smaller)}
         found |= {node ^ 1: known[node // 2].rest(found[node]) for node in smaller}
         known, group = found, []
@@ -271,34 +301,35 @@ class Rows:
     label: np.ndarray
     margin: np.ndarray
     taken: np.ndarray = field(init=False)
-    target: np.ndarray = field(init=False)
     node: np.ndarray = field(init=False)
 
     def begin(self, growth: Growth, seed: int, round_: int) -> None:
-        """Draw the rows of a round, at the root of its tree, with the label or the slope of the loss as target."""
+        """Draw the rows of a round, at the root of its tree."""
         self.taken = drawn(seed + round_ + self.part + 1, self.offset, len(self.label), growth.row_share)
-        sign = 2.0 * self.label - 1
-        self.target = 4 * sign / (1 + np.exp(2 * sign * self.margin)) if round_ else sign
         self.node = np.ones(len(self.label), np.min_scalar_type(2 << growth.depth))
 
-    def count(self, growth: Growth, nodes: Sequence[int], width: int) -> Sums:
-        size = len(nodes) * width
+    def count(self, growth: Growth, layout: Layout, round_: int, nodes: Sequence[int]) -> np.ndarray:
+        """Rows, conversions and weighted targets of the drawn rows by node and cell, group by group, and last the weighted
+        squares by node. The target is the label in the first round, then the slope of the loss."""
         place = np.full(2 << growth.depth, len(nodes), np.uint16)
         place[nodes] = np.arange(len(nodes))
         slot = place[self.node]
         at = np.flatnonzero(self.taken & (slot < len(nodes)))
-        label, target = self.label[at], self.target[at]
-        base = slot[at].astype(np.intp) * width
+        label, slot = self.label[at], slot[at].astype(np.intp)
+        sign = 2.0 * label - 1
+        target = 4 * sign / (1 + np.exp(2 * sign * self.margin[at])) if round_ else sign
         weighted = np.where(label, growth.positive_weight, 1.0) * target
-        counted = 1.0 + label * ONE
-        cells = np.empty((3, growth.features, size))
-        for f in range(growth.features):
-            cell = base + self.bins[f][at]
-            cells[0, f], cells[2, f] = np.bincount(cell, counted, size), np.bincount(cell, weighted, size)
-        cells[1] = np.floor(cells[0] / ONE)
-        cells[0] -= cells[1] * ONE
-        squares = np.bincount(slot[at], weighted * target, len(nodes))
-        return Sums(cells.reshape(3, growth.features, len(nodes), width).swapaxes(1, 2), squares)
+        counted, found = 1.0 + label * ONE, []
+        for group in layout.groups:
+            cell, size = slot.copy(), len(nodes)
+            for f in group:
+                cell *= layout.cuts[f] + 1
+                cell += self.bins[f][at]
+                size *= layout.cuts[f] + 1
+            both = np.bincount(cell, counted, size)
+            ones = np.floor(both / ONE)
+            found += [both - ones * ONE, ones, np.bincount(cell, weighted, size)]
+        return np.concatenate([*found, np.bincount(slot, weighted * target, len(nodes))])
 
     def learn(self, growth: Growth, tree: Tree, round_: int) -> None:
         self.margin = self.margin + growth.weight(round_) * leaves(self.bins, tree)
@@ -325,27 +356,26 @@ def measures(found: np.ndarray) -> dict[str, float | None]:
 Stop = Callable[[list[dict[str, float | None]]], tuple[int, bool]]
 
 
-def fit_in_task(rows: list[Rows], growth: Growth, cuts: Sequence[int], seed: int, rounds: int, stop: Stop | None) -> list[Tree]:
+def fit_in_task(rows: list[Rows], growth: Growth, layout: Layout, seed: int, rounds: int, stop: Stop | None) -> list[Tree]:
     """All trees of one seed, those up to the best round where ``stop`` is given."""
-    width, seen = max(cuts, default=0) + 1, []
+    seen: list[dict[str, float | None]] = []
     learned, held_out = ([r for r in rows if r.held_out == h] for h in (False, True))
     trees: list[Tree] = []
     for round_ in range(rounds):
         for part in learned:
             part.begin(growth, seed, round_)
-        grower, sums = grown(growth, cuts, seed + round_), None
+        grower, counted = grown(growth, layout, seed + round_), None
         while True:
             try:
-                tree, level, nodes = grower.send(sums)
+                tree, level, nodes = grower.send(counted)
             except StopIteration as end:
                 trees.append(end.value)
                 break
-            sums = None
+            counted = 0.0
             for part in learned:
                 if level:
                     down(part.node, part.bins, tree, level - 1)
-                found = part.count(growth, nodes, width)
-                sums = found if sums is None else sums + found
+                counted = counted + part.count(growth, layout, round_, nodes)
         for part in rows:
             part.learn(growth, trees[-1], round_)
         if stop is not None:
@@ -367,12 +397,14 @@ class Bins:
     def __post_init__(self) -> None:
         self.steps = [np.unique(np.concatenate(of_feature)) for of_feature in zip(*self.thresholds)]
 
-    def cuts(self, place: int) -> list[int]:
-        return [len(t) for t in self.thresholds[place]]
+    def layout(self, place: int) -> Layout:
+        return Layout.of([len(t) for t in self.thresholds[place]])
 
-    def table(self, place: int) -> np.ndarray:
-        """Bin by feature and code, of the seed at a place."""
-        made = np.zeros((len(self.steps), max(map(len, self.steps), default=0) + 1), np.min_scalar_type(max(self.cuts(place), default=0)))
+    def table(self, place: int) -> np.ndarray | None:
+        """Bin by feature and code, of the seed at a place; None where codes are bins."""
+        if all(len(own) == len(every) for own, every in zip(self.thresholds[place], self.steps)):
+            return None
+        made = np.zeros((len(self.steps), max(map(len, self.steps), default=0) + 1), np.min_scalar_type(max(map(len, self.thresholds[place]))))
         for f, (own, every) in enumerate(zip(self.thresholds[place], self.steps)):
             made[f, 1 : len(every) + 1] = np.searchsorted(own, every, "right")
         return made
@@ -386,8 +418,8 @@ class Bins:
         return made
 
 
-def binned(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    return np.stack([of_feature[code] for of_feature, code in zip(table, codes)])
+def binned(codes: np.ndarray, table: np.ndarray | None) -> np.ndarray:
+    return codes if table is None else np.stack([of_feature[code] for of_feature, code in zip(table, codes)])
 
 
 def thresholds(rows: DataFrame, estimator: GBTClassifier, seeds: Sequence[int]) -> tuple[Bins, int]:
@@ -498,7 +530,8 @@ def fit(
     if held_out is not None:
         made, count = made.union(records(held_out, bins, features, label, True)), count + held_out.count()
     tables = [bins.table(place) for place in range(len(seeds))]
-    if count * (growth.features * tables[0].itemsize + BYTES_PER_ROW) <= TASK_BYTES:
+    bytes_per_bin = np.min_scalar_type(max(len(cuts) for of_seed in bins.thresholds for cuts in of_seed)).itemsize
+    if count * (growth.features * bytes_per_bin + BYTES_PER_ROW) <= TASK_BYTES:
         trees = fit_by_seed(made, growth, bins, tables, seeds, rounds, stop)
     else:
         trees = fit_in_lockstep(made, growth, bins, tables, seeds, rounds, stop)
@@ -507,7 +540,7 @@ def fit(
 
 def fit_by_seed(made: RDD, growth: Growth, bins: Bins, tables, seeds, rounds, stop: Stop | None) -> list[list[Tree]]:
     """One task per seed, which holds the bins of all rows."""
-    cuts = [bins.cuts(place) for place in range(len(seeds))]
+    layouts = [bins.layout(place) for place in range(len(seeds))]
     told = made.context.broadcast(tables)
 
     def deal(record: Record) -> Iterator[tuple[int, Record]]:
@@ -517,7 +550,7 @@ def fit_by_seed(made: RDD, growth: Growth, bins: Bins, tables, seeds, rounds, st
     def run(place: int, dealt: Iterator[tuple[int, Record]]) -> Iterator[tuple[int, list[Tree]]]:
         rows = [Rows(*record, np.zeros(len(record[-1]))) for _, record in dealt]
         rows.sort(key=lambda r: (r.held_out, r.part, r.offset))
-        yield place, fit_in_task(rows, growth, cuts[place], seeds[place], rounds[place], stop)
+        yield place, fit_in_task(rows, growth, layouts[place], seeds[place], rounds[place], stop)
 
     found = dict(made.flatMap(deal).partitionBy(len(seeds), int).mapPartitionsWithIndex(run).collect())
     told.unpersist()
@@ -538,10 +571,10 @@ def fit_in_lockstep(made: RDD, growth: Growth, bins: Bins, tables, seeds, rounds
         return entry[1], np.zeros((every, len(entry[1][-1])))
 
     def asked(state: RDD, round_: int, wishes: dict[int, Wish], measured: list[int]) -> dict:
-        def run(entries: Iterator[tuple[Record, np.ndarray]]) -> Iterator[tuple[tuple[bool, int], object]]:
-            sums: dict = {}
+        def run(entries: Iterator[tuple[Record, np.ndarray]]) -> Iterator[tuple[tuple[bool, int], np.ndarray]]:
+            sums: dict[tuple[bool, int], np.ndarray] = {}
 
-            def add(key: tuple[bool, int], found) -> None:
+            def add(key: tuple[bool, int], found: np.ndarray) -> None:
                 sums[key] = sums[key] + found if key in sums else found
 
             for (part, offset, held_out, codes, label), margins in entries:
@@ -554,7 +587,7 @@ def fit_in_lockstep(made: RDD, growth: Growth, bins: Bins, tables, seeds, rounds
                     rows.begin(growth, seeds[place], round_)
                     for above in range(level):
                         down(rows.node, rows.bins, tree, above)
-                    add((False, place), rows.count(growth, nodes, widths[place]))
+                    add((False, place), rows.count(growth, layouts[place], round_, nodes))
             return iter(sums.items())
 
         reducers = min(context.defaultParallelism, len(wishes) + len(measured))
@@ -570,15 +603,14 @@ def fit_in_lockstep(made: RDD, growth: Growth, bins: Bins, tables, seeds, rounds
 
         return state.map(run)
 
-    cuts = [bins.cuts(place) for place in range(every)]
-    widths = [max(c, default=0) + 1 for c in cuts]
+    layouts = [bins.layout(place) for place in range(every)]
     grown_trees: list[list[Tree]] = [[] for _ in seeds]
     seen: list[list] = [[] for _ in seeds]
     open_ = [place for place in range(every) if rounds[place] > 0]
     state = made.map(placed).partitionBy(tasks, int).map(started).persist(StorageLevel.MEMORY_AND_DISK)
     before, kept, round_ = None, None, 0
     while open_:
-        growers = {place: grown(growth, cuts[place], seeds[place] + round_) for place in open_ if round_ < rounds[place]}
+        growers = {place: grown(growth, layouts[place], seeds[place] + round_) for place in open_ if round_ < rounds[place]}
         wishes = {place: next(grower) for place, grower in growers.items()}
         measured = open_ if stop is not None and round_ else []
         found = asked(state, round_, wishes, measured)
